@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.operators import attribution, lineage, tenant
+from meterlake.operators import align, attribution, lineage, tenant
 from meterlake.plans import roles as R
 from meterlake.sources.tables import Tables
 
@@ -35,3 +35,50 @@ def job_cost_per_consumer(spark, d):
     return attribution.job_cost_per_consumer(
         R.priced_daily(t), R.jobs_latest(t), R.writes(t),
         lineage.counted(R.reads(t), R.COUNTED_CONSUMERS))
+
+
+# ---- consolidation (UN-*, PRJ-*) --------------------------------------------------------
+@query
+def union_all_catalogs(spark, d):
+    return align.aligned_union(R.catalogs_orders(Tables(spark, d)))
+
+
+@query
+def union_missing_columns(spark, d):
+    c = R.catalogs_orders(Tables(spark, d))
+    return align.aligned_union({"A": c["A"], "B": c["B"]})
+
+
+@query
+def union_type_mismatch_scalar(spark, d):
+    c = R.catalogs_orders(Tables(spark, d))
+    return align.aligned_union({"A": c["A"], "C": c["C"]})
+
+
+@query
+def union_type_mismatch_struct(spark, d):
+    return align.aligned_union(R.catalogs_struct(Tables(spark, d)))
+
+
+@query
+def union_global_primary_only(spark, d):
+    t = Tables(spark, d)
+    return align.consolidate({"A": t.nation, "B": t.nation, "C": t.nation}, align.GLOBAL)
+
+
+@query
+def union_mixed_dedup(spark, d):
+    return align.consolidate(R.catalogs_mixed_events(Tables(spark, d)), align.MIXED, ["event_id"])
+
+
+@query
+def consolidate_all_counts(spark, d):
+    views, modes, _ = align.consolidate_all(R.catalogs_all(Tables(spark, d)), R.fixture_rule)
+    counts = align.row_counts(views)
+    reg = spark.createDataFrame(list(modes.items()), "view string, regionality string")
+    return counts.join(reg, "view").select("view", "regionality", "rows")
+
+
+@query
+def drift_report(spark, d):
+    return align.drift_report(R.catalogs_orders(Tables(spark, d)), "tpch.orders")

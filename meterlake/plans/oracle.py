@@ -80,3 +80,80 @@ SELECT j.job_id, j.name, CAST(round(c.c, 2) AS DOUBLE) AS total_cost,
        CAST(round(c.c, 2) AS DOUBLE) / NULLIF(CAST(coalesce(u.consumers, 0) AS DOUBLE), 0) AS cost_per_consumer
 FROM {JOBS_LATEST} j JOIN cost c ON j.job_id = c.job_id LEFT JOIN job_use u ON j.job_id = u.job_id
 """
+
+# ---- consolidation ------------------------------------------------------------------------
+_A = "(SELECT * FROM orders WHERE o_orderkey % 3 = 0)"
+_B = "(SELECT * FROM orders WHERE o_orderkey % 3 = 1)"
+_C = "(SELECT * FROM orders WHERE o_orderkey % 3 = 2)"
+
+SQL["union_all_catalogs"] = f"""
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority, CAST(NULL AS VARCHAR) AS o_clerk FROM {_A}
+UNION ALL
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR), o_orderstatus, o_totalprice, o_orderdate,
+       CAST(NULL AS VARCHAR), CAST(o_custkey AS VARCHAR) FROM {_B}
+UNION ALL
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR), o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority, CAST(NULL AS VARCHAR) FROM {_C}
+"""
+
+SQL["union_missing_columns"] = f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       CAST(NULL AS VARCHAR) AS o_clerk FROM {_A}
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CAST(NULL AS VARCHAR),
+       CAST(o_custkey AS VARCHAR) FROM {_B}
+"""
+
+SQL["union_type_mismatch_scalar"] = f"""
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority FROM {_A}
+UNION ALL
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR), o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM {_C}
+"""
+
+SQL["union_type_mismatch_struct"] = f"""
+SELECT o_orderkey, CAST(to_json(struct_pack(o_orderstatus := o_orderstatus, o_custkey := o_custkey)) AS VARCHAR)
+       AS info FROM {_A}
+UNION ALL
+SELECT o_orderkey, CAST(to_json(struct_pack(o_orderstatus := o_orderstatus)) AS VARCHAR) FROM {_C}
+"""
+
+SQL["union_global_primary_only"] = "SELECT * FROM nation"
+
+SQL["union_mixed_dedup"] = "SELECT * FROM events"
+
+SQL["consolidate_all_counts"] = """
+SELECT 'tpch.orders' AS view, 'REGIONAL' AS regionality, count(*) AS rows FROM orders
+UNION ALL SELECT 'tpch.nation', 'GLOBAL', count(*) FROM nation
+UNION ALL SELECT 'tpch.events', 'MIXED', count(*) FROM events
+UNION ALL SELECT 'tpch.customer', 'REGIONAL', count(*) FROM customer
+"""
+
+SQL["drift_report"] = f"""
+WITH meta(col_order, "column", type_a, type_b, type_c) AS (VALUES
+  (1, 'o_orderkey', 'bigint', 'bigint', 'bigint'),
+  (2, 'o_custkey', 'bigint', 'bigint', 'string'),
+  (3, 'o_orderstatus', 'string', 'string', 'string'),
+  (4, 'o_totalprice', 'double', 'double', 'double'),
+  (5, 'o_orderdate', 'timestamp_ntz', 'timestamp_ntz', 'timestamp_ntz'),
+  (6, 'o_orderpriority', 'string', NULL, 'string'),
+  (7, 'o_clerk', NULL, 'string', NULL)
+), counts AS (
+  SELECT 'A' AS catalog, count(*) AS rows FROM {_A}
+  UNION ALL SELECT 'B', count(*) FROM {_B}
+  UNION ALL SELECT 'C', count(*) FROM {_C}
+), cells AS (
+  SELECT "column", 'A' AS catalog, type_a AS type, type_a IS DISTINCT FROM type_b OR type_a IS DISTINCT FROM type_c AS d,
+         type_a, type_b, type_c FROM meta
+  UNION ALL SELECT "column", 'B', type_b, NULL, type_a, type_b, type_c FROM meta
+  UNION ALL SELECT "column", 'C', type_c, NULL, type_a, type_b, type_c FROM meta
+)
+SELECT 'tpch.orders' AS "table", c."column", c.catalog, c.type,
+       CASE WHEN c.type IS NULL THEN 'missing'
+            WHEN (SELECT count(DISTINCT x) FROM (VALUES (c.type_a), (c.type_b), (c.type_c)) v(x)) > 1
+              THEN 'mismatch' ELSE 'ok' END AS status,
+       n.rows
+FROM cells c JOIN counts n ON c.catalog = n.catalog
+"""

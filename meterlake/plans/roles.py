@@ -139,3 +139,67 @@ def query_log(t: Tables) -> DataFrame:
 def node_timeline(t: Tables) -> DataFrame:
     """Node utilization samples: ``cluster_id, ts, cpu``."""
     return t.events.select(F.col("user_id").alias("cluster_id"), "ts", F.col("value").alias("cpu"))
+
+
+# ---- regional catalogs for the consolidation ------------------------------------------
+def catalogs_orders(t: Tables) -> dict[str, DataFrame]:
+    """Orders split into catalogs A, B, C by ``o_orderkey % 3``.
+
+    A has every column; B lacks ``o_orderpriority`` and adds ``o_clerk``; C carries
+    ``o_custkey`` as a string (a scalar type mismatch).
+    """
+    o = t.orders
+    k = F.col("o_orderkey") % 3
+    a = o.filter(k == 0)
+    b = o.filter(k == 1).drop("o_orderpriority").withColumn("o_clerk", F.col("o_custkey").cast("string"))
+    c = o.filter(k == 2).withColumn("o_custkey", F.col("o_custkey").cast("string"))
+    return {"A": a, "B": b, "C": c}
+
+
+def catalogs_struct(t: Tables) -> dict[str, DataFrame]:
+    """Struct mismatch: ``info`` is struct(o_orderstatus, o_custkey) in A, struct(o_orderstatus) in C."""
+    cats = catalogs_orders(t)
+    a = cats["A"].select("o_orderkey", F.struct("o_orderstatus", "o_custkey").alias("info"))
+    c = cats["C"].select("o_orderkey", F.struct("o_orderstatus").alias("info"))
+    return {"A": a, "C": c}
+
+
+def catalogs_mixed_events(t: Tables) -> dict[str, DataFrame]:
+    """Events in A (even ids) and B (odd ids); account-level ``signup`` rows appear in both."""
+    e = t.events
+    signup = F.col("event_type") == "signup"
+    return {"A": e.filter((F.col("event_id") % 2 == 0) | signup),
+            "B": e.filter((F.col("event_id") % 2 == 1) | signup)}
+
+
+def catalogs_all(t: Tables) -> dict[str, dict[str, DataFrame]]:
+    """Three catalogs of ``schema.table`` frames for the multi-table consolidation.
+
+    Holds a GLOBAL table (nation in every catalog), a MIXED table (events), regional
+    tables, a table only in a later catalog (supplier in B, dropped by primary-only
+    discovery) and excluded names (``metadata`` schema, ``__`` prefixes).
+    """
+    o = catalogs_orders(t)
+    ev = catalogs_mixed_events(t)
+    cust = t.customer
+    return {
+        "A": {"tpch.orders": o["A"], "tpch.nation": t.nation, "tpch.events": ev["A"],
+              "tpch.customer": cust.filter(F.col("c_custkey") % 2 == 0),
+              "metadata.sync_log": t.region, "__staging.orders": o["A"], "tpch.__tmp": t.region},
+        "B": {"tpch.orders": o["B"], "tpch.nation": t.nation, "tpch.events": ev["B"],
+              "tpch.supplier": t.supplier},
+        "C": {"tpch.orders": o["C"], "tpch.nation": t.nation,
+              "tpch.customer": cust.filter(F.col("c_custkey") % 2 == 1)},
+    }
+
+
+# regionality of the fixture tables: (regionality, dedup key for MIXED)
+FIXTURE_TABLES = {
+    "tpch.nation": ("GLOBAL", None),
+    "tpch.region": ("GLOBAL", None),
+    "tpch.events": ("MIXED", ["event_id"]),
+}
+
+
+def fixture_rule(name: str):
+    return FIXTURE_TABLES.get(name, ("REGIONAL", None))

@@ -37,6 +37,7 @@ def build_session(master: str | None = None, app: str = "meterlake",
         b = b.master(master)
     conf = dict(SQL_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     conf.update(extra or {})
     for k, v in conf.items():
