@@ -36,3 +36,195 @@ def job_cost_per_consumer(priced: DataFrame, jobs: DataFrame, writes: DataFrame,
                     F.coalesce("consumers", F.lit(0)).cast("bigint").alias("consumers"))
             .withColumn("cost_per_consumer", ratio("total_cost", "consumers"))
             .orderBy(F.desc_nulls_last("cost_per_consumer"), "job_id"))
+
+
+def cost_per_resource(priced: DataFrame, resource: str = "resource_id", out_key: str = "job_id") -> DataFrame:
+    """AG-1: ``<out_key>, total_cost`` (cents, DOUBLE)."""
+    return priced.groupBy(F.col(resource).alias(out_key)).agg(money(F.sum("cost")).alias("total_cost"))
+
+
+def cost_by_state(priced: DataFrame, resource: str = "resource_id", state: str = "state",
+                  out_key: str = "job_id") -> DataFrame:
+    """AG-6: cost of successful and of failed runs per resource (conditional sums, one pass)."""
+    def part(s):
+        return money(F.coalesce(F.sum(F.when(F.col(state) == s, F.col("cost"))), F.lit(0)))
+    return priced.groupBy(F.col(resource).alias(out_key)).agg(
+        part("SUCCESS").alias("cost_success"), part("FAILED").alias("cost_failed"))
+
+
+def cost_trend(priced: DataFrame, resource: str = "resource_id", date: str = "usage_date",
+               unit: str = "day") -> DataFrame:
+    """AG-7: cost per resource and time bucket (``day`` / ``week`` / ``month``): ``resource_id, bucket, cost``."""
+    bucket = F.col(date) if unit == "day" else F.date_trunc(unit, F.col(date)).cast("date")
+    return priced.groupBy(F.col(resource).alias("resource_id"), bucket.alias("bucket")).agg(
+        money(F.sum("cost")).alias("cost"))
+
+
+def rolling_cost(priced: DataFrame, days: int = 30, resource: str = "resource_id",
+                 date: str = "usage_date") -> DataFrame:
+    """WN-2: per resource and day with usage: the day's cost and the cost of the ``days`` days
+    ending that day (RANGE frame over the day number, so missing days are handled).
+
+    Rows are reduced to one per resource and day before the window, so a window
+    partition holds at most one row per day of the resource's history.
+    """
+    daily = priced.groupBy(F.col(resource).alias("resource_id"), F.col(date).alias("usage_date")).agg(
+        F.sum("cost").alias("__c"))
+    w = Window.partitionBy("resource_id").orderBy(F.unix_date("usage_date")).rangeBetween(-(days - 1), 0)
+    return daily.select("resource_id", "usage_date", money("__c").alias("daily_cost"),
+                        money(F.sum("__c").over(w)).alias("rolling_cost"))
+
+
+def efficiency_trend(priced: DataFrame, writes: DataFrame, reads: DataFrame, unit: str = "month",
+                     resource: str = "resource_id") -> DataFrame:
+    """AG-7: per job and time bucket: cost, counted reads of the tables it wrote in that
+    bucket, and cost per read. Both sides are aggregated to ``(job, bucket)`` first,
+    then full-outer joined so buckets with only cost or only reads remain.
+    """
+    def b(c):
+        return F.date_trunc(unit, F.col(c)).cast("date")
+    cost = priced.groupBy(F.col(resource).alias("job_id"), b("usage_date").alias("bucket")).agg(
+        F.sum("cost").alias("__c"))
+    prod = writes.select("job_id", "table_id", b("write_date").alias("bucket")).distinct()
+    per_table = reads.groupBy("table_id", b("read_date").alias("bucket")).agg(F.count(F.lit(1)).alias("__r"))
+    use = prod.join(per_table, ["table_id", "bucket"]).groupBy("job_id", "bucket").agg(
+        F.sum("__r").alias("reads"))
+    return (cost.join(use, ["job_id", "bucket"], "full")
+            .select("job_id", "bucket", money("__c").alias("cost"),
+                    F.coalesce("reads", F.lit(0)).cast("bigint").alias("reads"))
+            .withColumn("cost_per_read", ratio("cost", "reads")))
+
+
+def allocate(cost: DataFrame, outputs: DataFrame, key: str, item: str, cost_col: str = "cost",
+             out: str = "cost_share") -> DataFrame:
+    """WN-4: split each resource's cost equally over its distinct outputs.
+
+    ``cost``: one row per ``key`` with ``cost_col``; ``outputs``: ``(key, item)`` pairs.
+    Output count per key is an aggregate joined back (no window over a whole
+    resource), and the shares of a resource sum to its cost.
+    """
+    pairs = outputs.select(key, item).distinct()
+    n = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    return (pairs.join(n, key).join(cost.select(key, cost_col), key)
+            .select(key, item, (F.col(cost_col).cast("double") / F.col("__n")).alias(out)))
+
+
+def table_cost(priced: DataFrame, writes: DataFrame, resource: str = "resource_id") -> DataFrame:
+    """AG-9: maintenance cost per table = sum of its writers' cost shares (equal split, WN-4)."""
+    cost = priced.groupBy(F.col(resource).alias("job_id")).agg(money(F.sum("cost")).alias("cost"))
+    shares = allocate(cost, writes, "job_id", "table_id")
+    return shares.groupBy("table_id").agg(F.round(F.sum("cost_share"), 6).alias("cost"))
+
+
+def table_cost_per_read(tcost: DataFrame, reads: DataFrame) -> DataFrame:
+    """REP-3: ``table_id, cost, reads, cost_per_read`` for every produced table."""
+    r = lineage.consumers_per_table(reads).withColumnRenamed("consumers", "reads")
+    return (tcost.join(r, "table_id", "left")
+            .select("table_id", "cost", F.coalesce("reads", F.lit(0)).cast("bigint").alias("reads"))
+            .withColumn("cost_per_read", F.round(ratio("cost", "reads"), 6)))
+
+
+def endpoint_cost_per_query(priced: DataFrame, queries: DataFrame, resource: str = "resource_id",
+                            endpoint: str = "endpoint_id") -> DataFrame:
+    """REP-2: ``endpoint_id, total_cost, query_count, cost_per_query``.
+
+    Query counts are grouped by an explicit endpoint id (D-16); endpoints with cost
+    but no queries keep a 0 count and a NULL ratio.
+    """
+    cost = priced.groupBy(F.col(resource).alias("endpoint_id")).agg(F.sum("cost").alias("__c"))
+    qc = queries.groupBy(F.col(endpoint).alias("endpoint_id")).agg(F.count(F.lit(1)).alias("__q"))
+    return (cost.join(qc, "endpoint_id", "left")
+            .select("endpoint_id", money("__c").alias("total_cost"),
+                    F.coalesce("__q", F.lit(0)).cast("bigint").alias("query_count"))
+            .withColumn("cost_per_query", ratio("total_cost", "query_count")))
+
+
+def pipeline_roi(priced: DataFrame, outputs: DataFrame, reads: DataFrame, resource: str = "resource_id") -> DataFrame:
+    """REP-5: ``pipeline_id, cost, consumers, cost_per_consumer``; consumers = counted reads
+    of the pipeline's output tables (``outputs``: ``pipeline_id, table_id``)."""
+    cost = priced.groupBy(F.col(resource).alias("pipeline_id")).agg(F.sum("cost").alias("__c"))
+    per_table = lineage.consumers_per_table(reads)
+    use = (outputs.select("pipeline_id", "table_id").distinct().join(per_table, "table_id", "left")
+           .groupBy("pipeline_id").agg(F.coalesce(F.sum("consumers"), F.lit(0)).alias("consumers")))
+    return (cost.join(use, "pipeline_id", "left")
+            .select("pipeline_id", money("__c").alias("cost"),
+                    F.coalesce("consumers", F.lit(0)).cast("bigint").alias("consumers"))
+            .withColumn("cost_per_consumer", ratio("cost", "consumers")))
+
+
+def cost_per_run(priced: DataFrame, usage: DataFrame, resource: str = "resource_id",
+                 run: str = "update_id") -> DataFrame:
+    """AG-12: ``pipeline_id, runs, cost, cost_per_run`` (runs = distinct update ids)."""
+    cost = priced.groupBy(F.col(resource).alias("pipeline_id")).agg(F.sum("cost").alias("__c"))
+    runs = usage.groupBy(F.col(resource).alias("pipeline_id")).agg(F.countDistinct(run).alias("runs"))
+    return (cost.join(runs, "pipeline_id", "left")
+            .select("pipeline_id", F.coalesce("runs", F.lit(0)).cast("bigint").alias("runs"),
+                    money("__c").alias("cost"))
+            .withColumn("cost_per_run", ratio("cost", "runs")))
+
+
+def by_hour(log: DataFrame, ts: str = "start_time") -> DataFrame:
+    """AG-10: query count by hour of day and weekday (0 = Sunday): ``hour, weekday, n``."""
+    return log.groupBy(F.hour(ts).cast("bigint").alias("hour"),
+                       (F.dayofweek(ts) - 1).cast("bigint").alias("weekday")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def peak_hour(log: DataFrame, key: str = "endpoint_id", ts: str = "start_time") -> DataFrame:
+    """AG-10: busiest hour per key (ties: lowest hour): ``key, hour, n``.
+
+    ``max(struct(n, -hour))`` is a plain aggregate (partial aggregation, no window),
+    and it fixes the tie rule.
+    """
+    per = log.groupBy(key, F.hour(ts).cast("bigint").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    best = per.groupBy(key).agg(F.max(F.struct("n", (-F.col("hour")).alias("neg"))).alias("__m"))
+    return best.select(key, (-F.col("__m.neg")).alias("hour"), F.col("__m.n").alias("n"))
+
+
+def node_utilization(samples: DataFrame, key: str = "cluster_id", ts: str = "ts", value: str = "cpu",
+                     every: str = "1 hour") -> DataFrame:
+    """AG-14: per key and hour: ``hour_start, avg, max, p95, samples``.
+
+    ``percentile`` is exact and holds one (key, hour) group's samples, which is
+    bounded by the sampling rate; the other aggregates are algebraic.
+    """
+    return samples.groupBy(key, F.window(ts, every).start.alias("hour_start")).agg(
+        F.round(F.avg(value), 6).alias("avg_cpu"), F.max(value).alias("max_cpu"),
+        F.round(F.percentile(value, 0.95), 6).alias("p95_cpu"), F.count(F.lit(1)).alias("samples"))
+
+
+def top_by(df: DataFrame, col: str, n: int, tiebreak: str) -> DataFrame:
+    """TK-1/TK-2: the ``n`` rows with the largest ``col`` (NULLs last), unique tiebreak ascending."""
+    return df.orderBy(F.desc_nulls_last(col), F.asc(tiebreak)).limit(n)
+
+
+def quadrant(df: DataFrame, cost: str, utilization: str, med_cost: float | None,
+             med_util: float | None) -> DataFrame:
+    """TK-3: ``<cost level>_<utilization level>`` where high means strictly above the median."""
+    def lvl(c, m):
+        return F.when(F.col(c) > F.lit(m), F.lit("high")).otherwise(F.lit("low"))
+    return df.withColumn("quadrant", F.concat(lvl(cost, med_cost), F.lit("_"), lvl(utilization, med_util)))
+
+
+def explorer(parts: dict[str, DataFrame]) -> DataFrame:
+    """AG-16: one table of ``resource_type, id, name, cost, utilization, cost_per_utilization``.
+
+    Each part must already have ``id, name, cost, utilization``.
+    """
+    out = None
+    for typ, df in parts.items():
+        p = df.select(F.lit(typ).alias("resource_type"), F.col("id").cast("bigint").alias("id"),
+                      F.col("name").cast("string").alias("name"), F.col("cost").cast("double").alias("cost"),
+                      F.col("utilization").cast("bigint").alias("utilization"))
+        out = p if out is None else out.unionByName(p)
+    return out.withColumn("cost_per_utilization", F.round(ratio("cost", "utilization"), 6))
+
+
+def search(explorer_df: DataFrame, text: str | None = None, resource_type: str | None = None) -> DataFrame:
+    """FIL-5: case-insensitive name substring and resource type filter over the explorer."""
+    cond = F.lit(True)
+    if text:
+        cond = cond & F.lower(F.col("name")).contains(text.lower())
+    if resource_type:
+        cond = cond & (F.col("resource_type") == resource_type)
+    return explorer_df.filter(cond)

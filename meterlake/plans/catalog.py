@@ -10,7 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.operators import align, attribution, lineage, tenant
+from pyspark.sql import functions as F
+
+from meterlake.functions.columns import last_days, money
+from meterlake.operators import align, attribution, lineage, pricing, tenant
 from meterlake.plans import roles as R
 from meterlake.sources.tables import Tables
 
@@ -82,3 +85,165 @@ def consolidate_all_counts(spark, d):
 @query
 def drift_report(spark, d):
     return align.drift_report(R.catalogs_orders(Tables(spark, d)), "tpch.orders")
+
+
+# ---- pricing and cost (JN-1, WN-1, AG-1, AG-6, AG-7, WN-2, PRJ-5) -------------------------
+def _counted_reads(t, window=True):
+    return lineage.counted(R.reads(t, window), R.COUNTED_CONSUMERS)
+
+
+@query
+def price_asof_join(spark, d):
+    t = Tables(spark, d)
+    p = pricing.price_usage(R.usage_rows(t), R.prices(t))
+    return p.select("resource_id", "update_id", "sku", "usage_date", F.col("quantity").cast("double").alias("quantity"),
+                    F.col("price").cast("double").alias("price"), money("cost").alias("cost"))
+
+
+@query
+def latest_dimension(spark, d):
+    return R.jobs_latest(Tables(spark, d))
+
+
+@query
+def cost_by_job(spark, d):
+    return attribution.cost_per_resource(R.priced_daily(Tables(spark, d)))
+
+
+@query
+def nested_field_cost(spark, d):
+    t = Tables(spark, d)
+    p = pricing.price_usage(R.nested_usage(t), R.prices(t))
+    m = F.col("usage_metadata")
+    return p.groupBy(m.getField("job_id").alias("job_id")).agg(
+        money(F.sum("cost")).alias("total_cost"),
+        money(F.sum(F.when(m.getField("serving_endpoint_id").isNotNull(), F.col("cost")))).alias("endpoint_cost"),
+        money(F.sum(F.when(m.getField("pipeline_id").isNotNull(), F.col("cost")))).alias("pipeline_cost"))
+
+
+@query
+def cost_success_vs_failed(spark, d):
+    return attribution.cost_by_state(R.priced_daily(Tables(spark, d)))
+
+
+@query
+def cost_trend_daily(spark, d):
+    return attribution.cost_trend(R.priced_daily(Tables(spark, d), window=False), unit="day")
+
+
+@query
+def rolling_30d_cost(spark, d):
+    return attribution.rolling_cost(R.priced_daily(Tables(spark, d), window=False), R.WINDOW_DAYS)
+
+
+@query
+def cost_efficiency_trend(spark, d):
+    t = Tables(spark, d)
+    return attribution.efficiency_trend(R.priced_daily(t, window=False), R.writes(t, window=False),
+                                        _counted_reads(t, window=False), unit="month")
+
+
+# ---- lineage (JN-5, JN-6, AG-2..4, AG-8, AG-13, REP-6) ---------------------------------------
+@query
+def tables_per_job(spark, d):
+    return lineage.tables_per_job(R.writes(Tables(spark, d)))
+
+
+@query
+def consumers_per_table(spark, d):
+    return lineage.consumers_per_table(_counted_reads(Tables(spark, d)))
+
+
+@query
+def consumer_breakdown(spark, d):
+    return lineage.consumer_breakdown(_counted_reads(Tables(spark, d)), ["JOB", "NOTEBOOK", "DASHBOARD"])
+
+
+@query
+def lineage_job_table_consumer(spark, d):
+    t = Tables(spark, d)
+    return lineage.lineage_path(R.writes(t), _counted_reads(t))
+
+
+@query
+def lineage_edges(spark, d):
+    t = Tables(spark, d)
+    return lineage.lineage_edges(R.writes(t), _counted_reads(t))
+
+
+@query
+def unused_tables(spark, d):
+    t = Tables(spark, d)
+    return lineage.unused_tables(R.writes(t), _counted_reads(t))
+
+
+@query
+def table_freshness(spark, d):
+    return lineage.table_freshness(R.writes(Tables(spark, d), window=False), R.LINE_AS_OF)
+
+
+@query
+def table_refresh_stats(spark, d):
+    return lineage.refresh_stats(R.writes(Tables(spark, d), window=False))
+
+
+# ---- table, endpoint and pipeline attribution (AG-9, REP-2..5, WN-4, AG-12) -----------------
+def _table_cost(t):
+    return attribution.table_cost(R.priced_daily(t), R.writes(t))
+
+
+def _table_cost_per_read(t):
+    return attribution.table_cost_per_read(_table_cost(t), _counted_reads(t))
+
+
+@query
+def table_cost(spark, d):
+    return _table_cost(Tables(spark, d))
+
+
+@query
+def table_cost_per_read(spark, d):
+    return _table_cost_per_read(Tables(spark, d))
+
+
+@query
+def unused_tables_with_cost(spark, d):
+    t = Tables(spark, d)
+    return lineage.unused_tables(R.writes(t), _counted_reads(t)).join(_table_cost(t), "table_id")
+
+
+def _endpoint_report(t):
+    return attribution.endpoint_cost_per_query(R.endpoint_usage(R.priced_daily(t)),
+                                               last_days(R.query_log(t), "start_time", R.EVENT_AS_OF,
+                                                         R.WINDOW_DAYS))
+
+
+@query
+def endpoint_cost_per_query(spark, d):
+    return _endpoint_report(Tables(spark, d))
+
+
+def _pipeline_roi(t):
+    pr = R.priced_daily(t)
+    return attribution.pipeline_roi(R.pipeline_usage(pr), R.pipeline_outputs(pr), _counted_reads(t))
+
+
+@query
+def pipeline_roi(spark, d):
+    return _pipeline_roi(Tables(spark, d))
+
+
+@query
+def pipeline_cost_by_table(spark, d):
+    t = Tables(spark, d)
+    pr = R.priced_daily(t)
+    cost = R.pipeline_usage(pr).groupBy(F.col("resource_id").alias("pipeline_id")).agg(
+        money(F.sum("cost")).alias("cost"))
+    shares = attribution.allocate(cost, R.pipeline_outputs(pr), "pipeline_id", "table_id")
+    return shares.withColumn("cost_share", F.round("cost_share", 6))
+
+
+@query
+def cost_per_run(spark, d):
+    t = Tables(spark, d)
+    return attribution.cost_per_run(R.pipeline_usage(R.priced_daily(t)), R.pipeline_usage(R.usage_rows(t, True)))

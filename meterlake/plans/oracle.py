@@ -157,3 +157,203 @@ SELECT 'tpch.orders' AS "table", c."column", c.catalog, c.type,
        n.rows
 FROM cells c JOIN counts n ON c.catalog = n.catalog
 """
+
+# ---- pricing and cost ------------------------------------------------------------------------
+ALL_LINES = "lineitem"
+
+
+def _money(x: str) -> str:
+    return f"CAST(round({x}, 2) AS DOUBLE)"
+
+
+def _ratio(num: str, den: str) -> str:
+    return f"CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0)"
+
+
+ALL_READS = """(
+  SELECT l.l_partkey AS table_id,
+         CASE o.o_orderpriority WHEN '1-URGENT' THEN 'JOB' WHEN '2-HIGH' THEN 'NOTEBOOK'
+              WHEN '3-MEDIUM' THEN 'DASHBOARD' ELSE 'OTHER' END AS consumer_type,
+         o.o_custkey AS consumer_id, CAST(l.l_shipdate AS DATE) AS read_date
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+)"""
+ALL_COUNTED_READS = f"(SELECT * FROM {ALL_READS} r WHERE consumer_type IN ('NOTEBOOK', 'JOB', 'DASHBOARD'))"
+
+SQL["price_asof_join"] = f"""
+SELECT resource_id, update_id, sku, usage_date, CAST(quantity AS DOUBLE) AS quantity,
+       CAST(price AS DOUBLE) AS price, {_money('cost')} AS cost
+FROM {priced(ALL_LINES)} x
+"""
+
+SQL["latest_dimension"] = f"SELECT * FROM {JOBS_LATEST} j"
+
+SQL["cost_by_job"] = f"""
+SELECT resource_id AS job_id, {_money('sum(cost)')} AS total_cost FROM {priced(WIN_LINES)} x GROUP BY 1
+"""
+
+SQL["nested_field_cost"] = f"""
+WITH u AS (
+  SELECT struct_pack(job_id := resource_id,
+                     serving_endpoint_id := CASE WHEN family LIKE '%ECON%' THEN resource_id END,
+                     pipeline_id := CASE WHEN family = 'PROMO' THEN resource_id END) AS usage_metadata, cost
+  FROM {priced(WIN_LINES)} x
+)
+SELECT usage_metadata.job_id AS job_id, {_money('sum(cost)')} AS total_cost,
+       {_money('sum(CASE WHEN usage_metadata.serving_endpoint_id IS NOT NULL THEN cost END)')} AS endpoint_cost,
+       {_money('sum(CASE WHEN usage_metadata.pipeline_id IS NOT NULL THEN cost END)')} AS pipeline_cost
+FROM u GROUP BY 1
+"""
+
+SQL["cost_success_vs_failed"] = f"""
+SELECT resource_id AS job_id,
+       {_money("coalesce(sum(CASE WHEN state = 'SUCCESS' THEN cost END), 0)")} AS cost_success,
+       {_money("coalesce(sum(CASE WHEN state = 'FAILED' THEN cost END), 0)")} AS cost_failed
+FROM {priced(WIN_LINES)} x GROUP BY 1
+"""
+
+SQL["cost_trend_daily"] = f"""
+SELECT resource_id, usage_date AS bucket, {_money('sum(cost)')} AS cost FROM {priced(ALL_LINES)} x GROUP BY 1, 2
+"""
+
+SQL["rolling_30d_cost"] = f"""
+WITH d AS (SELECT resource_id, usage_date, sum(cost) AS c FROM {priced(ALL_LINES)} x GROUP BY 1, 2)
+SELECT resource_id, usage_date, {_money('c')} AS daily_cost,
+       {_money('sum(c) OVER (PARTITION BY resource_id ORDER BY usage_date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)')} AS rolling_cost
+FROM d
+"""
+
+SQL["cost_efficiency_trend"] = f"""
+WITH cost AS (
+  SELECT resource_id AS job_id, CAST(date_trunc('month', usage_date) AS DATE) AS bucket, sum(cost) AS c
+  FROM {priced(ALL_LINES)} x GROUP BY 1, 2
+), prod AS (
+  SELECT DISTINCT l_suppkey AS job_id, l_partkey AS table_id,
+         CAST(date_trunc('month', CAST(l_shipdate AS DATE)) AS DATE) AS bucket FROM lineitem
+), pt AS (
+  SELECT table_id, CAST(date_trunc('month', read_date) AS DATE) AS bucket, count(*) AS r
+  FROM {ALL_COUNTED_READS} r GROUP BY 1, 2
+), used AS (
+  SELECT p.job_id, p.bucket, sum(pt.r) AS reads FROM prod p JOIN pt ON p.table_id = pt.table_id AND p.bucket = pt.bucket
+  GROUP BY 1, 2
+)
+SELECT coalesce(c.job_id, u.job_id) AS job_id, coalesce(c.bucket, u.bucket) AS bucket, {_money('c.c')} AS cost,
+       CAST(coalesce(u.reads, 0) AS BIGINT) AS reads, {_ratio(_money('c.c'), 'coalesce(u.reads, 0)')} AS cost_per_read
+FROM cost c FULL OUTER JOIN used u ON c.job_id = u.job_id AND c.bucket = u.bucket
+"""
+
+# ---- lineage ---------------------------------------------------------------------------------
+SQL["tables_per_job"] = f"SELECT job_id, count(DISTINCT table_id) AS tables FROM {WRITES} w GROUP BY 1"
+
+SQL["consumers_per_table"] = f"SELECT table_id, count(*) AS consumers FROM {COUNTED_READS} r GROUP BY 1"
+
+SQL["consumer_breakdown"] = f"""
+SELECT table_id, count(DISTINCT consumer_type || ':' || CAST(consumer_id AS VARCHAR)) AS distinct_consumers,
+       CAST(count(*) FILTER (WHERE consumer_type = 'JOB') AS BIGINT) AS job,
+       CAST(count(*) FILTER (WHERE consumer_type = 'NOTEBOOK') AS BIGINT) AS notebook,
+       CAST(count(*) FILTER (WHERE consumer_type = 'DASHBOARD') AS BIGINT) AS dashboard
+FROM {COUNTED_READS} r GROUP BY 1
+"""
+
+SQL["lineage_job_table_consumer"] = f"""
+WITH pt AS (
+  SELECT table_id, consumer_type, count(DISTINCT consumer_id) AS consumers, count(*) AS reads
+  FROM {COUNTED_READS} r GROUP BY 1, 2
+)
+SELECT p.table_id, p.job_id, pt.consumer_type, pt.consumers, pt.reads
+FROM (SELECT DISTINCT job_id, table_id FROM {WRITES} w) p JOIN pt ON p.table_id = pt.table_id
+"""
+
+SQL["lineage_edges"] = f"""
+SELECT 'job:' || CAST(job_id AS VARCHAR) AS source, 'table:' || CAST(table_id AS VARCHAR) AS target,
+       count(*) AS weight FROM {WRITES} w GROUP BY job_id, table_id
+UNION ALL
+SELECT 'table:' || CAST(table_id AS VARCHAR), consumer_type, count(*) FROM {COUNTED_READS} r GROUP BY table_id, consumer_type
+"""
+
+UNUSED = f"""(
+  SELECT DISTINCT table_id FROM {WRITES} w
+  WHERE NOT EXISTS (SELECT 1 FROM {COUNTED_READS} r WHERE r.table_id = w.table_id)
+)"""
+
+SQL["unused_tables"] = f"SELECT * FROM {UNUSED} u"
+
+SQL["table_freshness"] = """
+SELECT l_partkey AS table_id, max(CAST(l_shipdate AS DATE)) AS last_write,
+       CAST(date_diff('day', max(CAST(l_shipdate AS DATE)), DATE '2001-11-04') AS BIGINT) AS age_days
+FROM lineitem GROUP BY 1
+"""
+
+SQL["table_refresh_stats"] = """
+WITH d AS (SELECT l_partkey AS table_id, CAST(l_shipdate AS DATE) AS dd, count(*) AS n FROM lineitem GROUP BY 1, 2),
+g AS (SELECT table_id, n, dd - lag(dd) OVER (PARTITION BY table_id ORDER BY dd) AS gap FROM d)
+SELECT table_id, count(*) AS refreshes, round(avg(gap), 6) AS mean_gap_days, CAST(sum(n) AS BIGINT) AS rows
+FROM g GROUP BY 1
+"""
+
+# ---- table, endpoint and pipeline attribution ------------------------------------------------
+TABLE_COST = f"""(
+  WITH cost AS (SELECT resource_id AS job_id, {_money('sum(cost)')} AS cost FROM {priced(WIN_LINES)} x GROUP BY 1),
+  pairs AS (SELECT DISTINCT job_id, table_id FROM {WRITES} w),
+  n AS (SELECT job_id, count(*) AS n FROM pairs GROUP BY 1)
+  SELECT p.table_id, round(sum(c.cost / n.n), 6) AS cost
+  FROM pairs p JOIN n ON p.job_id = n.job_id JOIN cost c ON p.job_id = c.job_id GROUP BY 1
+)"""
+
+TABLE_COST_PER_READ = f"""(
+  SELECT tc.table_id, tc.cost, CAST(coalesce(r.reads, 0) AS BIGINT) AS reads,
+         round({_ratio('tc.cost', 'coalesce(r.reads, 0)')}, 6) AS cost_per_read
+  FROM {TABLE_COST} tc LEFT JOIN (SELECT table_id, count(*) AS reads FROM {COUNTED_READS} r GROUP BY 1) r
+    ON tc.table_id = r.table_id
+)"""
+
+SQL["table_cost"] = f"SELECT * FROM {TABLE_COST} t"
+SQL["table_cost_per_read"] = f"SELECT * FROM {TABLE_COST_PER_READ} t"
+SQL["unused_tables_with_cost"] = f"SELECT u.table_id, tc.cost FROM {UNUSED} u JOIN {TABLE_COST} tc ON u.table_id = tc.table_id"
+
+QUERY_LOG = """(
+  SELECT event_id AS statement_id, user_id AS endpoint_id, ts AS start_time, value AS latency
+  FROM events WHERE event_type = 'view'
+)"""
+
+ENDPOINT_REPORT = f"""(
+  WITH cost AS (SELECT resource_id AS endpoint_id, sum(cost) AS c FROM {priced(WIN_LINES)} x
+                WHERE family LIKE '%ECON%' GROUP BY 1),
+  q AS (SELECT endpoint_id, count(*) AS q FROM {QUERY_LOG} ql
+        WHERE start_time >= TIMESTAMP '2024-01-01' AND start_time < TIMESTAMP '2024-02-01' GROUP BY 1)
+  SELECT c.endpoint_id, {_money('c.c')} AS total_cost, CAST(coalesce(q.q, 0) AS BIGINT) AS query_count,
+         {_ratio(_money('c.c'), 'coalesce(q.q, 0)')} AS cost_per_query
+  FROM cost c LEFT JOIN q ON c.endpoint_id = q.endpoint_id
+)"""
+
+SQL["endpoint_cost_per_query"] = f"SELECT * FROM {ENDPOINT_REPORT} e"
+
+PIPE_USAGE = f"(SELECT * FROM {priced(WIN_LINES)} x WHERE family = 'PROMO')"
+PIPE_OUTS = f"(SELECT DISTINCT resource_id AS pipeline_id, sku AS table_id FROM {PIPE_USAGE} pu)"
+
+PIPELINE_ROI = f"""(
+  WITH cost AS (SELECT resource_id AS pipeline_id, sum(cost) AS c FROM {PIPE_USAGE} pu GROUP BY 1),
+  pt AS (SELECT table_id, count(*) AS consumers FROM {COUNTED_READS} r GROUP BY 1),
+  used AS (SELECT o.pipeline_id, coalesce(sum(pt.consumers), 0) AS consumers
+           FROM {PIPE_OUTS} o LEFT JOIN pt ON o.table_id = pt.table_id GROUP BY 1)
+  SELECT c.pipeline_id, {_money('c.c')} AS cost, CAST(coalesce(u.consumers, 0) AS BIGINT) AS consumers,
+         {_ratio(_money('c.c'), 'coalesce(u.consumers, 0)')} AS cost_per_consumer
+  FROM cost c LEFT JOIN used u ON c.pipeline_id = u.pipeline_id
+)"""
+
+SQL["pipeline_roi"] = f"SELECT * FROM {PIPELINE_ROI} p"
+
+SQL["pipeline_cost_by_table"] = f"""
+WITH cost AS (SELECT resource_id AS pipeline_id, {_money('sum(cost)')} AS cost FROM {PIPE_USAGE} pu GROUP BY 1),
+n AS (SELECT pipeline_id, count(*) AS n FROM {PIPE_OUTS} o GROUP BY 1)
+SELECT o.pipeline_id, o.table_id, round(c.cost / n.n, 6) AS cost_share
+FROM {PIPE_OUTS} o JOIN n ON o.pipeline_id = n.pipeline_id JOIN cost c ON o.pipeline_id = c.pipeline_id
+"""
+
+SQL["cost_per_run"] = f"""
+WITH cost AS (SELECT resource_id AS pipeline_id, sum(cost) AS c FROM {PIPE_USAGE} pu GROUP BY 1),
+runs AS (SELECT resource_id AS pipeline_id, count(DISTINCT update_id) AS runs FROM {usage(WIN_LINES)} u
+         WHERE family = 'PROMO' GROUP BY 1)
+SELECT c.pipeline_id, CAST(coalesce(r.runs, 0) AS BIGINT) AS runs, {_money('c.c')} AS cost,
+       {_ratio(_money('c.c'), 'coalesce(r.runs, 0)')} AS cost_per_run
+FROM cost c LEFT JOIN runs r ON c.pipeline_id = r.pipeline_id
+"""

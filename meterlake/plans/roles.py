@@ -203,3 +203,32 @@ FIXTURE_TABLES = {
 
 def fixture_rule(name: str):
     return FIXTURE_TABLES.get(name, ("REGIONAL", None))
+
+
+# ---- resource subsets ---------------------------------------------------------------------
+def endpoint_usage(priced: DataFrame) -> DataFrame:
+    """Priced usage of serving endpoints (FIL-3: ``family LIKE '%ECON%'``)."""
+    return priced.filter(F.col("family").like(ENDPOINT_FAMILY_LIKE))
+
+
+def pipeline_usage(df: DataFrame) -> DataFrame:
+    """Usage of pipelines (FIL-4: ``family = 'PROMO'``)."""
+    return df.filter(F.col("family") == PIPELINE_FAMILY)
+
+
+def pipeline_outputs(df: DataFrame) -> DataFrame:
+    """Output tables of each pipeline: the SKUs of its usage rows (``pipeline_id, table_id``)."""
+    return pipeline_usage(df).select(F.col("resource_id").alias("pipeline_id"), F.col("sku").alias("table_id"))
+
+
+def nested_usage(t: Tables, window: bool = True) -> DataFrame:
+    """Usage whose resource ids sit in a ``usage_metadata`` struct, as in the platform table."""
+    u = usage_daily(t, window)
+    meta = F.struct(
+        F.col("resource_id").alias("job_id"),
+        F.lit(None).cast("bigint").alias("cluster_id"),
+        F.lit(None).cast("bigint").alias("warehouse_id"),
+        F.when(F.col("family").like(ENDPOINT_FAMILY_LIKE), F.col("resource_id")).alias("serving_endpoint_id"),
+        F.when(F.col("family") == PIPELINE_FAMILY, F.col("resource_id")).alias("pipeline_id"),
+    )
+    return u.select(meta.alias("usage_metadata"), "sku", "usage_date", "state", "quantity", "family")
