@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from meterlake.functions.columns import last_days, money
+from meterlake.functions import quantiles
+from meterlake.functions.columns import last_days, money, ratio
 from meterlake.operators import align, attribution, lineage, pricing, tenant
 from meterlake.plans import roles as R
 from meterlake.sources.tables import Tables
@@ -247,3 +248,83 @@ def pipeline_cost_by_table(spark, d):
 def cost_per_run(spark, d):
     t = Tables(spark, d)
     return attribution.cost_per_run(R.pipeline_usage(R.priced_daily(t)), R.pipeline_usage(R.usage_rows(t, True)))
+
+
+# ---- query patterns, percentiles, utilization (AG-10, AG-11, AG-14, AG-15) ------------------
+@query
+def query_pattern_by_hour(spark, d):
+    return attribution.by_hour(R.query_log(Tables(spark, d)))
+
+
+@query
+def peak_hour(spark, d):
+    return attribution.peak_hour(R.query_log(Tables(spark, d)))
+
+
+@query
+def latency_percentiles(spark, d):
+    q = quantiles.quantiles(R.query_log(Tables(spark, d)), "latency", ["endpoint_id"], (0.5, 0.95, 0.99))
+    return q.select("endpoint_id", *[F.round(c, 6).alias(c) for c in ("p50", "p95", "p99")])
+
+
+@query
+def node_utilization_hourly(spark, d):
+    return attribution.node_utilization(R.node_timeline(Tables(spark, d)))
+
+
+@query
+def efficiency_score(spark, d):
+    e = _endpoint_report(Tables(spark, d)).select(
+        "endpoint_id", ratio("query_count", "total_cost").alias("per_cost_unit"))
+    s = quantiles.with_percent_rank(e, "per_cost_unit", "score")
+    return s.select("endpoint_id", F.round("per_cost_unit", 6).alias("per_cost_unit"), F.round("score", 6).alias("score"))
+
+
+# ---- ranking, quadrants, explorer (TK-2, TK-3, AG-16, FIL-5) ---------------------------------
+@query
+def top10_cost_per_read(spark, d):
+    return attribution.top_by(_table_cost_per_read(Tables(spark, d)), "cost_per_read", 10, "table_id")
+
+
+@query
+def cost_utilization_quadrant(spark, d):
+    tc = _table_cost_per_read(Tables(spark, d)).select("table_id", "cost", "reads")
+    tc = tc.checkpoint() if _reuse(spark) else tc
+    mc = quantiles.exact_quantile(tc, "cost", 0.5)
+    mr = quantiles.exact_quantile(tc, "reads", 0.5)
+    return attribution.quadrant(tc, "cost", "reads", mc, mr)
+
+
+def _explorer(t):
+    jobs = attribution.job_cost_per_consumer(R.priced_daily(t), R.jobs_latest(t), R.writes(t), _counted_reads(t))
+    tables = _table_cost_per_read(t)
+    return attribution.explorer({
+        "JOB": jobs.select(F.col("job_id").alias("id"), "name", F.col("total_cost").alias("cost"),
+                           F.col("consumers").alias("utilization")),
+        "TABLE": tables.select(F.col("table_id").alias("id"),
+                               F.concat(F.lit("table_"), F.col("table_id").cast("string")).alias("name"),
+                               "cost", F.col("reads").alias("utilization")),
+        "ENDPOINT": _endpoint_report(t).select(
+            F.col("endpoint_id").alias("id"), F.concat(F.lit("endpoint_"), F.col("endpoint_id").cast("string")).alias("name"),
+            F.col("total_cost").alias("cost"), F.col("query_count").alias("utilization")),
+        "PIPELINE": _pipeline_roi(t).select(
+            F.col("pipeline_id").alias("id"), F.concat(F.lit("pipeline_"), F.col("pipeline_id").cast("string")).alias("name"),
+            "cost", F.col("consumers").alias("utilization")),
+    })
+
+
+@query
+def resource_explorer(spark, d):
+    return _explorer(Tables(spark, d))
+
+
+@query
+def explorer_search(spark, d):
+    return attribution.search(_explorer(Tables(spark, d)), text="7")
+
+
+def _reuse(spark) -> bool:
+    """Cut lineage before several passes over one result (checkpoint to the shared folder)."""
+    from meterlake.session import shared_dir
+    shared_dir(spark)
+    return True

@@ -357,3 +357,70 @@ SELECT c.pipeline_id, CAST(coalesce(r.runs, 0) AS BIGINT) AS runs, {_money('c.c'
        {_ratio(_money('c.c'), 'coalesce(r.runs, 0)')} AS cost_per_run
 FROM cost c LEFT JOIN runs r ON c.pipeline_id = r.pipeline_id
 """
+
+# ---- query patterns, percentiles, utilization ----------------------------------------------
+SQL["query_pattern_by_hour"] = f"""
+SELECT CAST(hour(start_time) AS BIGINT) AS hour, CAST(dayofweek(start_time) AS BIGINT) AS weekday, count(*) AS n
+FROM {QUERY_LOG} q GROUP BY 1, 2
+"""
+
+SQL["peak_hour"] = f"""
+WITH per AS (SELECT endpoint_id, CAST(hour(start_time) AS BIGINT) AS hour, count(*) AS n FROM {QUERY_LOG} q GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY endpoint_id ORDER BY n DESC, hour ASC) AS rn FROM per)
+SELECT endpoint_id, hour, n FROM ranked WHERE rn = 1
+"""
+
+SQL["latency_percentiles"] = f"""
+SELECT endpoint_id, round(quantile_cont(latency, 0.5), 6) AS p50, round(quantile_cont(latency, 0.95), 6) AS p95,
+       round(quantile_cont(latency, 0.99), 6) AS p99
+FROM {QUERY_LOG} q GROUP BY 1
+"""
+
+SQL["node_utilization_hourly"] = """
+SELECT user_id AS cluster_id, date_trunc('hour', ts) AS hour_start, round(avg(value), 6) AS avg_cpu,
+       max(value) AS max_cpu, round(quantile_cont(value, 0.95), 6) AS p95_cpu, count(*) AS samples
+FROM events GROUP BY 1, 2
+"""
+
+SQL["efficiency_score"] = f"""
+WITH e AS (SELECT endpoint_id, {_ratio('query_count', 'total_cost')} AS v FROM {ENDPOINT_REPORT} r)
+SELECT endpoint_id, round(v, 6) AS per_cost_unit,
+       round(CASE WHEN v IS NULL THEN NULL ELSE percent_rank() OVER (PARTITION BY v IS NULL ORDER BY v) END, 6) AS score
+FROM e
+"""
+
+# ---- ranking, quadrants, explorer ------------------------------------------------------------
+SQL["top10_cost_per_read"] = f"""
+SELECT * FROM {TABLE_COST_PER_READ} t ORDER BY cost_per_read DESC NULLS LAST, table_id LIMIT 10
+"""
+
+SQL["cost_utilization_quadrant"] = f"""
+WITH t AS (SELECT table_id, cost, reads FROM {TABLE_COST_PER_READ} x),
+m AS (SELECT median(cost) AS mc, median(reads) AS mr FROM t)
+SELECT t.table_id, t.cost, t.reads,
+       CASE WHEN t.cost > m.mc THEN 'high' ELSE 'low' END || '_' || CASE WHEN t.reads > m.mr THEN 'high' ELSE 'low' END
+         AS quadrant
+FROM t, m
+"""
+
+JOB_REPORT = SQL["job_cost_per_consumer"]
+
+EXPLORER = f"""(
+  WITH parts AS (
+    SELECT 'JOB' AS resource_type, job_id AS id, name, total_cost AS cost, consumers AS utilization
+    FROM ({JOB_REPORT}) j
+    UNION ALL
+    SELECT 'TABLE', table_id, 'table_' || CAST(table_id AS VARCHAR), cost, reads FROM {TABLE_COST_PER_READ} t
+    UNION ALL
+    SELECT 'ENDPOINT', endpoint_id, 'endpoint_' || CAST(endpoint_id AS VARCHAR), total_cost, query_count
+    FROM {ENDPOINT_REPORT} e
+    UNION ALL
+    SELECT 'PIPELINE', pipeline_id, 'pipeline_' || CAST(pipeline_id AS VARCHAR), cost, consumers FROM {PIPELINE_ROI} p
+  )
+  SELECT resource_type, CAST(id AS BIGINT) AS id, name, CAST(cost AS DOUBLE) AS cost,
+         CAST(utilization AS BIGINT) AS utilization, round({_ratio('cost', 'utilization')}, 6) AS cost_per_utilization
+  FROM parts
+)"""
+
+SQL["resource_explorer"] = f"SELECT * FROM {EXPLORER} x"
+SQL["explorer_search"] = f"SELECT * FROM {EXPLORER} x WHERE contains(lower(name), '7')"
