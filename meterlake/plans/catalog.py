@@ -7,6 +7,7 @@ matching DuckDB SQL lives in ``plans.oracle`` under the same key.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import quantiles
 from meterlake.functions.columns import last_days, money, ratio
-from meterlake.operators import align, attribution, lineage, pricing, tenant
+from meterlake.operators import align, attribution, lineage, pricing, quality, tenant
 from meterlake.plans import roles as R
 from meterlake.sources.tables import Tables
 
@@ -328,3 +329,47 @@ def _reuse(spark) -> bool:
     from meterlake.session import shared_dir
     shared_dir(spark)
     return True
+
+
+# ---- key checks (DQ-1..4) ------------------------------------------------------------------
+@query
+def pk_duplicates(spark, d):
+    return quality.pk_duplicates(Tables(spark, d).lineitem, ["l_orderkey", "l_linenumber"])
+
+
+@query
+def pk_nulls(spark, d):
+    t = Tables(spark, d)
+    parts = [quality.pk_nulls(t[name], list(decl.primary_key)).select(F.lit(name).alias("table_name"), "rows", "nulls")
+             for name, decl in R.fixture_keys().items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query
+def fk_orphans(spark, d):
+    t = Tables(spark, d)
+    parent = t.customer.filter(F.col("c_mktsegment") != "BUILDING")
+    return quality.fk_orphans(t.orders, "o_custkey", parent, "c_custkey")
+
+
+@query
+def key_report(spark, d):
+    t = Tables(spark, d)
+    decls = R.fixture_keys()
+    names = set(decls) | {p for k in decls.values() for _, p, _ in k.foreign_keys}
+    return quality.key_report({n: t[n] for n in names}, decls)
+
+
+# ---- tenant views over many tables (TEN-3, AG-17, AG-18) -----------------------------------
+@query
+def tenant_scope_all(spark, d):
+    t = Tables(spark, d)
+    views, skipped = tenant.tenant_scope_all(R.tenant_facts(t), R.workspaces(t), "workspace_id",
+                                             R.WORKSPACE_FILTER, probe=True)
+    return tenant.scope_report(views, skipped)
+
+
+@query
+def view_row_counts(spark, d):
+    views, _, _ = align.consolidate_all(R.catalogs_all(Tables(spark, d)), R.fixture_rule, discover="all")
+    return align.row_counts(views)

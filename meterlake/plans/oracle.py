@@ -424,3 +424,74 @@ EXPLORER = f"""(
 
 SQL["resource_explorer"] = f"SELECT * FROM {EXPLORER} x"
 SQL["explorer_search"] = f"SELECT * FROM {EXPLORER} x WHERE contains(lower(name), '7')"
+
+# ---- key checks ------------------------------------------------------------------------------
+SQL["pk_duplicates"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
+"""
+
+SQL["pk_nulls"] = """
+SELECT 'orders' AS table_name, count(*) AS rows, count(*) FILTER (WHERE o_orderkey IS NULL) AS nulls FROM orders
+UNION ALL SELECT 'lineitem', count(*), count(*) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL) FROM lineitem
+UNION ALL SELECT 'customer', count(*), count(*) FILTER (WHERE c_custkey IS NULL) FROM customer
+UNION ALL SELECT 'supplier', count(*), count(*) FILTER (WHERE s_suppkey IS NULL) FROM supplier
+UNION ALL SELECT 'part', count(*), count(*) FILTER (WHERE p_partkey IS NULL) FROM part
+UNION ALL SELECT 'nation', count(*), count(*) FILTER (WHERE n_nationkey IS NULL) FROM nation
+UNION ALL SELECT 'events', count(*), count(*) FILTER (WHERE event_id IS NULL) FROM events
+"""
+
+SQL["fk_orphans"] = """
+SELECT o_custkey, count(*) AS rows FROM orders o
+WHERE o_custkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_mktsegment <> 'BUILDING' AND c.c_custkey = o.o_custkey)
+GROUP BY 1
+"""
+
+
+def _pk_line(table: str, cols: list[str]) -> str:
+    k = ", ".join(cols)
+    anynull = " OR ".join(f"{c} IS NULL" for c in cols)
+    return f"""SELECT '{table}' AS table_name, 'pk({k})' AS key_name, 'pk' AS kind,
+       CAST(sum(n) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE n > 1 AND NOT ({anynull})) AS BIGINT) AS duplicates,
+       CAST(coalesce(sum(n) FILTER (WHERE {anynull}), 0) AS BIGINT) AS nulls, CAST(NULL AS BIGINT) AS orphans
+FROM (SELECT {k}, count(*) AS n FROM {table} GROUP BY {k}) g"""
+
+
+def _fk_line(table: str, col: str, ptable: str, pcol: str) -> str:
+    return f"""SELECT '{table}' AS table_name, 'fk({col} -> {ptable}.{pcol})' AS key_name, 'fk' AS kind,
+       count(*) AS rows, CAST(NULL AS BIGINT) AS duplicates,
+       count(*) FILTER (WHERE c.{col} IS NULL) AS nulls,
+       count(*) FILTER (WHERE c.{col} IS NOT NULL AND p.k IS NULL) AS orphans
+FROM {table} c LEFT JOIN (SELECT DISTINCT {pcol} AS k FROM {ptable}) p ON c.{col} = p.k"""
+
+
+SQL["key_report"] = "\nUNION ALL\n".join([
+    _pk_line("orders", ["o_orderkey"]), _fk_line("orders", "o_custkey", "customer", "c_custkey"),
+    _pk_line("lineitem", ["l_orderkey", "l_linenumber"]),
+    _fk_line("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    _fk_line("lineitem", "l_partkey", "part", "p_partkey"),
+    _fk_line("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    _pk_line("customer", ["c_custkey"]), _fk_line("customer", "c_nationkey", "nation", "n_nationkey"),
+    _pk_line("supplier", ["s_suppkey"]), _fk_line("supplier", "s_nationkey", "nation", "n_nationkey"),
+    _pk_line("part", ["p_partkey"]),
+    _pk_line("nation", ["n_nationkey"]), _fk_line("nation", "n_regionkey", "region", "r_regionkey"),
+    _pk_line("events", ["event_id"]),
+])
+
+# ---- tenant views over many tables -----------------------------------------------------------
+_SCOPED_KEYS = "(SELECT c_custkey FROM customer WHERE regexp_matches(c_mktsegment, '^(BUILD|MACH).*'))"
+
+SQL["tenant_scope_all"] = f"""
+SELECT 'orders' AS table_name, true AS scoped, count(*) AS rows FROM orders WHERE o_custkey IN {_SCOPED_KEYS}
+UNION ALL SELECT 'customer', true, count(*) FROM customer WHERE c_custkey IN {_SCOPED_KEYS}
+UNION ALL SELECT 'part', false, CAST(NULL AS BIGINT)
+UNION ALL SELECT 'supplier', false, CAST(NULL AS BIGINT)
+"""
+
+SQL["view_row_counts"] = """
+SELECT 'tpch.orders' AS view, count(*) AS rows FROM orders
+UNION ALL SELECT 'tpch.nation', count(*) FROM nation
+UNION ALL SELECT 'tpch.events', count(*) FROM events
+UNION ALL SELECT 'tpch.customer', count(*) FROM customer
+UNION ALL SELECT 'tpch.supplier', count(*) FROM supplier
+"""

@@ -232,3 +232,29 @@ def nested_usage(t: Tables, window: bool = True) -> DataFrame:
         F.when(F.col("family") == PIPELINE_FAMILY, F.col("resource_id")).alias("pipeline_id"),
     )
     return u.select(meta.alias("usage_metadata"), "sku", "usage_date", "state", "quantity", "family")
+
+
+# ---- declared keys of the fixture tables (for DQ-*) ------------------------------------------
+def fixture_keys():
+    from meterlake.operators.quality import KeyDecl
+    return {
+        "orders": KeyDecl(("o_orderkey",), (("o_custkey", "customer", "c_custkey"),)),
+        "lineitem": KeyDecl(("l_orderkey", "l_linenumber"),
+                            (("l_orderkey", "orders", "o_orderkey"), ("l_partkey", "part", "p_partkey"),
+                             ("l_suppkey", "supplier", "s_suppkey"))),
+        "customer": KeyDecl(("c_custkey",), (("c_nationkey", "nation", "n_nationkey"),)),
+        "supplier": KeyDecl(("s_suppkey",), (("s_nationkey", "nation", "n_nationkey"),)),
+        "part": KeyDecl(("p_partkey",)),
+        "nation": KeyDecl(("n_nationkey",), (("n_regionkey", "region", "r_regionkey"),)),
+        "events": KeyDecl(("event_id",)),
+    }
+
+
+def tenant_facts(t: Tables) -> dict[str, DataFrame]:
+    """Facts for TEN-3: two carry the tenant key (one spelled in upper case), two do not."""
+    return {
+        "orders": tenant_fact(t),
+        "customer": t.customer.withColumn("WORKSPACE_ID", F.col("c_custkey")),
+        "part": t.part,
+        "supplier": t.supplier,
+    }
