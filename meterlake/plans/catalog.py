@@ -11,13 +11,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterlake.functions import quantiles
-from meterlake.functions.columns import last_days, money, ratio
+from meterlake.functions.columns import last_days, money, ntz_lit, ratio
 from meterlake.operators import align, attribution, lineage, pricing, quality, tenant
 from meterlake.plans import roles as R
+from meterlake.session import fresh_dir
+from meterlake.sources import sync
 from meterlake.sources.tables import Tables
+from meterlake.streaming import stream_copy
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -373,3 +377,131 @@ def tenant_scope_all(spark, d):
 def view_row_counts(spark, d):
     views, _, _ = align.consolidate_all(R.catalogs_all(Tables(spark, d)), R.fixture_rule, discover="all")
     return align.row_counts(views)
+
+
+# ---- sync (SNK-*), compaction and the streaming copy (ST-1) ---------------------------------
+def _sync_dirs(spark, name):
+    root = fresh_dir(spark, name)
+    return f"{root}/target", f"{root}/log"
+
+
+@query
+def sync_full(spark, d):
+    t = Tables(spark, d)
+    target, log = _sync_dirs(spark, "sync-full")
+    sync.sync_table(spark, t.events, "tpch", "events", target, log, ts_override="ts")
+    return sync.read_target(spark, target, log)
+
+
+@query
+def sync_full_fallback(spark, d):
+    t = Tables(spark, d)
+    target, log = _sync_dirs(spark, "sync-fallback")
+    sync.sync_table(spark, t.nation, "tpch", "nation", target, log)              # FULL (no state)
+    r = sync.sync_table(spark, t.nation, "tpch", "nation", target, log)          # FULL_FALLBACK
+    assert r.mode == sync.FULL_FALLBACK, r.mode
+    return sync.read_target(spark, target, log)
+
+
+@query
+def sync_incremental(spark, d):
+    t = Tables(spark, d)
+    target, log = _sync_dirs(spark, "sync-incr")
+    sync.sync_table(spark, R.events_at_first_sync(t), "tpch", "events", target, log, ts_override="ts")
+    r = sync.sync_table(spark, t.events, "tpch", "events", target, log, ts_override="ts")
+    assert r.mode == sync.INCREMENTAL, r.mode
+    # replay of the same batch (e.g. the log write was lost): replaces, never duplicates
+    sync.copy_incremental(t.events, target, "ts", r.lo, r.hi)
+    return sync.read_target(spark, target, log)
+
+
+@query
+def sync_incremental_schema_growth(spark, d):
+    t = Tables(spark, d)
+    target, log = _sync_dirs(spark, "sync-growth")
+    sync.sync_table(spark, R.events_at_first_sync(t).drop("props"), "tpch", "events", target, log, ts_override="ts")
+    sync.sync_table(spark, t.events, "tpch", "events", target, log, ts_override="ts")
+    return sync.read_target(spark, target, log)
+
+
+def _three_runs(spark, d, name):
+    t = Tables(spark, d)
+    root = fresh_dir(spark, name)
+    log = f"{root}/log"
+    runs = []
+    for run, (ev, force) in enumerate([(R.events_at_first_sync(t), False), (t.events, False), (t.events, True)], 1):
+        for table, src, ov in (("events", ev, "ts"), ("nation", t.nation, None)):
+            r = sync.sync_table(spark, src, "tpch", table, f"{root}/{table}", log, force=force, ts_override=ov)
+            runs.append((run, table, r.mode, r.rows))
+    return log, runs
+
+
+@query
+def sync_modes(spark, d):
+    _, runs = _three_runs(spark, d, "sync-modes")
+    return spark.createDataFrame(runs, "run bigint, table_name string, mode string, rows bigint")
+
+
+@query
+def sync_state_upsert(spark, d):
+    t = Tables(spark, d)
+    root = fresh_dir(spark, "sync-state")
+    log = f"{root}/log"
+    for ev in (R.events_at_first_sync(t), t.events):
+        sync.sync_table(spark, ev, "tpch", "events", f"{root}/events", log, ts_override="ts")
+        sync.sync_table(spark, t.nation, "tpch", "nation", f"{root}/nation", log)
+    return sync.sync_state(spark, log).drop("updated_at")
+
+
+def _sync_all_twice(spark, d, name):
+    t = Tables(spark, d)
+    root = fresh_dir(spark, name)
+    log = f"{root}/log"
+    first = sync.sync_all(spark, R.sync_sources(t, True), f"{root}/data", log, ts_overrides=R.SYNC_OVERRIDES)
+    second = sync.sync_all(spark, R.sync_sources(t, False), f"{root}/data", log, ts_overrides=R.SYNC_OVERRIDES,
+                           parallelism=2)
+    return root, log, first, second
+
+
+@query
+def sync_all_tables(spark, d):
+    root, log, _, second = _sync_all_twice(spark, d, "sync-all")
+    parts = [sync.read_target(spark, f"{root}/data/{r.table.replace('.', '/')}", log)
+             .agg(F.count(F.lit(1)).alias("target_rows"))
+             .select(F.lit(r.table).alias("table_name"), F.lit(r.mode).alias("last_mode"),
+                     F.lit(r.rows).cast("bigint").alias("rows_loaded"), "target_rows")
+             for r in second]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query
+def sync_summary(spark, d):
+    _, log, _, _ = _sync_all_twice(spark, d, "sync-summary")
+    lg = sync.read_log(spark, log)
+    # one log row per table and run: number each table's loads in commit order
+    per_table = Window.partitionBy("schema_name", "table_name").orderBy("seq")
+    runs = lg.withColumn("run", F.row_number().over(per_table).cast("bigint"))
+    return sync.sync_summary(runs, "run")
+
+
+@query
+def compact_files(spark, d):
+    t = Tables(spark, d)
+    root = fresh_dir(spark, "compact")
+    t.events.repartition(16).write.parquet(f"{root}/small")
+    sync.compact(spark, f"{root}/small", f"{root}/compacted", target_file_mb=1.0)
+    return spark.read.parquet(f"{root}/compacted")
+
+
+@query
+def stream_copy_available_now(spark, d):
+    t = Tables(spark, d)
+    root = fresh_dir(spark, "stream")
+    landing, out, ckpt = f"{root}/landing", f"{root}/out", f"{root}/checkpoint"
+    R.events_at_first_sync(t).write.mode("append").parquet(landing)
+    schema = t.events.schema
+    stream_copy(spark, landing, schema, out, ckpt)
+    stream_copy(spark, landing, schema, out, ckpt)            # nothing new: copies nothing
+    t.events.filter(F.col("ts") > ntz_lit(R.SYNC_FIRST_MARK)).write.mode("append").parquet(landing)  # new files
+    stream_copy(spark, landing, schema, out, ckpt)
+    return spark.read.parquet(out)

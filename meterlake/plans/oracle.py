@@ -495,3 +495,45 @@ UNION ALL SELECT 'tpch.events', count(*) FROM events
 UNION ALL SELECT 'tpch.customer', count(*) FROM customer
 UNION ALL SELECT 'tpch.supplier', count(*) FROM supplier
 """
+
+# ---- sync, compaction, streaming copy: the expected final content ----------------------------
+_M1 = "TIMESTAMP '2024-01-15 23:59:59.999999'"
+
+SQL["sync_full"] = "SELECT * FROM events"
+SQL["sync_full_fallback"] = "SELECT * FROM nation"
+SQL["sync_incremental"] = "SELECT * FROM events"
+SQL["sync_incremental_schema_growth"] = f"""
+SELECT event_id, ts, user_id, event_type, value, CASE WHEN ts <= {_M1} THEN NULL ELSE props END AS props FROM events
+"""
+
+SQL["sync_modes"] = f"""
+SELECT CAST(1 AS BIGINT) AS run, 'events' AS table_name, 'FULL' AS mode, (SELECT count(*) FROM events WHERE ts <= {_M1}) AS rows
+UNION ALL SELECT 1, 'nation', 'FULL', (SELECT count(*) FROM nation)
+UNION ALL SELECT 2, 'events', 'INCREMENTAL', (SELECT count(*) FROM events WHERE ts > {_M1})
+UNION ALL SELECT 2, 'nation', 'FULL_FALLBACK', (SELECT count(*) FROM nation)
+UNION ALL SELECT 3, 'events', 'FULL', (SELECT count(*) FROM events)
+UNION ALL SELECT 3, 'nation', 'FULL', (SELECT count(*) FROM nation)
+"""
+
+SQL["sync_state_upsert"] = """
+SELECT 'tpch' AS schema_name, 'events' AS table_name, 'tpch.events' AS full_table_name,
+       max(ts) AS last_sync_timestamp, 'INCREMENTAL' AS last_sync_mode, 'SUCCESS' AS sync_status FROM events
+UNION ALL SELECT 'tpch', 'nation', 'tpch.nation', CAST(NULL AS TIMESTAMP), 'FULL_FALLBACK', 'SUCCESS'
+"""
+
+SQL["sync_all_tables"] = f"""
+SELECT 'tpch.events' AS table_name, 'INCREMENTAL' AS last_mode,
+       (SELECT count(*) FROM events WHERE ts > {_M1}) AS rows_loaded, (SELECT count(*) FROM events) AS target_rows
+UNION ALL SELECT 'tpch.orders', 'INCREMENTAL', (SELECT count(*) FROM orders WHERE o_orderdate > TIMESTAMP '1998-01-01'),
+       (SELECT count(*) FROM orders)
+UNION ALL SELECT 'tpch.nation', 'FULL_FALLBACK', (SELECT count(*) FROM nation), (SELECT count(*) FROM nation)
+UNION ALL SELECT 'tpch.customer', 'FULL_FALLBACK', (SELECT count(*) FROM customer), (SELECT count(*) FROM customer)
+"""
+
+SQL["sync_summary"] = """
+SELECT CAST(run AS BIGINT) AS run, CAST(f AS BIGINT) AS full_loads, CAST(i AS BIGINT) AS incremental_loads
+FROM (VALUES (1, 4, 0), (2, 2, 2)) v(run, f, i)
+"""
+
+SQL["compact_files"] = "SELECT * FROM events"
+SQL["stream_copy_available_now"] = "SELECT * FROM events"

@@ -258,3 +258,35 @@ def tenant_facts(t: Tables) -> dict[str, DataFrame]:
         "part": t.part,
         "supplier": t.supplier,
     }
+
+
+# ---- sync sources: the same tables at two points in time --------------------------------
+def events_at_first_sync(t: Tables) -> DataFrame:
+    """Events as the source looked at the first sync (rows up to the first mark)."""
+    from meterlake.functions.columns import ntz_lit as _n
+    return t.events.filter(F.col("ts") <= _n(SYNC_FIRST_MARK))
+
+
+ORDERS_FIRST_MARK = dt.datetime(1998, 1, 1)
+
+
+def sync_sources(t: Tables, first: bool) -> dict[str, DataFrame]:
+    """``schema.table`` sources for the multi-table sync; ``first`` = the earlier snapshot.
+
+    ``orders`` has no candidate sync column, so it is synced with an explicit
+    override (``o_orderdate``); ``nation`` and ``customer`` have none (fallback).
+    """
+    o = t.orders
+    if first:
+        o = o.filter(F.col("o_orderdate") <= ntz_lit(ORDERS_FIRST_MARK))
+    return {
+        "tpch.events": events_at_first_sync(t).withColumnRenamed("ts", "event_time") if first
+        else t.events.withColumnRenamed("ts", "event_time"),
+        "tpch.orders": o,
+        "tpch.nation": t.nation,
+        "tpch.customer": t.customer,
+        "metadata.sync_log": t.region,
+    }
+
+
+SYNC_OVERRIDES = {"tpch.orders": "o_orderdate"}
