@@ -5,8 +5,10 @@ task. Here the work is split instead:
 
 1. count rows per distinct ``(keys, value)`` (map-side partial aggregation: a hot key
    with few distinct values collapses at once);
-2. cut the value axis into ``buckets`` ranges with boundaries from
-   ``approxQuantile`` (boundaries only decide the split, never the result);
+2. cut the value axis into narrow ranges with an order-preserving bucket function
+   (``floor(log2|v| * 256)``, sign-aware: each bucket spans ~0.3% in relative
+   terms). It needs no pass over the data, and buckets only decide how the work
+   is split, never the result;
 3. a window per ``(keys, bucket)`` gives the count of smaller values inside the
    bucket, and a window over the (at most ``buckets``) bucket totals of a key gives
    the count of values in lower buckets.
@@ -22,22 +24,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 
-def _bucket_expr(value: str, bounds: list[float]) -> Column:
-    b = F.lit(0)
-    for x in bounds:
-        b = b + (F.col(value) > F.lit(float(x))).cast("int")
-    return b
+# offset that keeps negative, zero and positive buckets apart (|log2| * 256 < 300,000)
+_SIDE = 1_000_000
 
 
-def value_ranks(df: DataFrame, value: str, keys: list[str] | tuple = (), buckets: int = 64,
-                rel_err: float = 0.001) -> DataFrame:
-    """``keys..., value, cnt, below, n`` per distinct value (NULL values are ignored)."""
+def _bucket_expr(value: str, per_octave: int = 256) -> Column:
+    """A non-decreasing function of the value: equal values share a bucket and bucket
+    order is value order (``log2`` and ``floor`` are monotone)."""
+    v = F.col(value)
+    mag = F.floor(F.log2(F.abs(v)) * per_octave)
+    return (F.when(v > 0, F.lit(_SIDE) + mag)
+            .when(v < 0, F.lit(-_SIDE) - mag)
+            .otherwise(F.lit(0))).cast("bigint")
+
+
+def value_ranks(df: DataFrame, value: str, keys: list[str] | tuple = (), buckets: int = 256) -> DataFrame:
+    """``keys..., value, cnt, below, n`` per distinct value (NULL and NaN values are ignored).
+
+    ``buckets`` is the number of buckets per doubling of the magnitude.
+    """
     keys = list(keys)
-    src = df.select(*keys, F.col(value).cast("double").alias(value)).filter(F.col(value).isNotNull())
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(src.approxQuantile(value, qs, rel_err))) if buckets > 1 else []
+    src = df.select(*keys, F.col(value).cast("double").alias(value)).filter(
+        F.col(value).isNotNull() & ~F.isnan(F.col(value)))
     d = (src.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt"))
-         .withColumn("__b", _bucket_expr(value, bounds)))
+         .withColumn("__b", _bucket_expr(value, buckets)))
     inner = Window.partitionBy(*keys, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("__in", F.coalesce(F.sum("cnt").over(inner), F.lit(0)))
     per_key = Window.partitionBy(*keys) if keys else Window.partitionBy()
@@ -52,7 +62,7 @@ def value_ranks(df: DataFrame, value: str, keys: list[str] | tuple = (), buckets
 
 
 def quantiles(df: DataFrame, value: str, keys: list[str] | tuple = (), ps=(0.5,),
-              names: list[str] | None = None, buckets: int = 64) -> DataFrame:
+              names: list[str] | None = None, buckets: int = 256) -> DataFrame:
     """Exact continuous quantiles (linear interpolation between closest ranks) per key.
 
     For ``p``: ``h = p * (n - 1)``; with ``lo = floor(h)``, ``hi = ceil(h)`` and ``v(r)`` the
@@ -83,7 +93,7 @@ def exact_quantile(df: DataFrame, value: str, p: float = 0.5) -> float | None:
 
 
 def with_percent_rank(df: DataFrame, value: str, out: str = "score", keys: list[str] | tuple = (),
-                      buckets: int = 64) -> DataFrame:
+                      buckets: int = 256) -> DataFrame:
     """Add ``percent_rank`` of ``value`` (within ``keys``): ``(rank - 1) / (n - 1)``, 0 when n = 1.
 
     Equal values share a rank; rows with a NULL value get NULL.

@@ -14,6 +14,7 @@ def skewed(spark):
     rows = [(0, float(v)) for v in rng.integers(0, 50, 900)]           # hot key, many ties
     rows += [(k, float(v)) for k in range(1, 6) for v in rng.normal(10, 3, 40).round(3)]
     rows += [(6, 1.5)]                                                  # single-row key
+    rows += [(7, float(v)) for v in (-3.0, -0.001, 0.0, 0.0, 1e-9, 2.0, 2.0, 1e12)]  # signs, zero, wide range
     return spark.createDataFrame(rows, "k bigint, v double"), rows
 
 
