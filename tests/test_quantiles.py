@@ -24,7 +24,7 @@ def test_quantiles_match_numpy(spark, skewed):
     for k in {r[0] for r in rows}:
         vals = np.array([v for kk, v in rows if kk == k])
         exp = np.quantile(vals, [0.5, 0.95, 0.99])
-        assert got[k] == pytest.approx(tuple(exp), abs=1e-9)
+        assert got[k] == pytest.approx(tuple(exp), rel=1e-12, abs=1e-9)
 
 
 def test_percent_rank_matches_window(spark, skewed):
