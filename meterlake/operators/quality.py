@@ -63,18 +63,55 @@ def key_report(frames: dict[str, DataFrame], decls: dict[str, KeyDecl]) -> DataF
 
     ``duplicates`` counts key values that occur more than once (primary keys);
     ``orphans`` counts child rows whose non-NULL value has no parent (foreign keys).
-    Each line is a small aggregate; all lines are combined with ``unionByName``.
+    Each table is scanned once: its foreign keys are looked up with left joins against
+    the parents' distinct keys, the rows are grouped by the primary key, and one global
+    aggregate yields every line of that table (unpivoted with ``inline``).
     """
-    parts = []
-    for table, decl in decls.items():
-        df = frames[table]
-        if decl.primary_key:
-            parts.append(_pk_line(df, list(decl.primary_key), table))
-        for col, ptable, pcol in decl.foreign_keys:
-            parts.append(_fk_line(df, col, frames[ptable], pcol, table, ptable))
+    parts = [_table_lines(frames[table], table, decl, frames) for table, decl in decls.items()
+             if decl.primary_key or decl.foreign_keys]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _table_lines(df: DataFrame, table: str, decl: KeyDecl, frames: dict[str, DataFrame]) -> DataFrame:
+    pk = list(decl.primary_key)
+    flags = []
+    cur = df.select(*[F.col(c).alias(f"__p{i}") for i, c in enumerate(pk)],
+                    *[F.col(fk).alias(f"__f{j}") for j, (fk, _, _) in enumerate(decl.foreign_keys)])
+    for j, (_, ptable, pcol) in enumerate(decl.foreign_keys):
+        keys = frames[ptable].select(F.col(pcol).alias(f"__k{j}")).distinct()
+        cur = cur.join(keys, F.col(f"__f{j}") == F.col(f"__k{j}"), "left")
+        flags += [F.col(f"__f{j}").isNull().cast("bigint").alias(f"__fn{j}"),
+                  (F.col(f"__f{j}").isNotNull() & F.col(f"__k{j}").isNull()).cast("bigint").alias(f"__fo{j}")]
+    pcols = [f"__p{i}" for i in range(len(pk))]
+    cur = cur.select(*pcols, *flags)
+    sums = [F.sum(f"__fn{j}").alias(f"__fn{j}") for j in range(len(decl.foreign_keys))]
+    sums += [F.sum(f"__fo{j}").alias(f"__fo{j}") for j in range(len(decl.foreign_keys))]
+    if pk:
+        nullk = _any_null(pcols)
+        g = cur.groupBy(*pcols).agg(F.count(F.lit(1)).alias("__n"), *sums)
+        tot = g.agg(F.sum("__n").alias("rows"),
+                    F.count_if((F.col("__n") > 1) & ~nullk).alias("dups"),
+                    F.coalesce(F.sum(F.when(nullk, F.col("__n"))), F.lit(0)).alias("pnulls"),
+                    *[F.sum(c).alias(c) for c in [f"__fn{j}" for j in range(len(decl.foreign_keys))]
+                      + [f"__fo{j}" for j in range(len(decl.foreign_keys))]])
+    else:
+        tot = cur.agg(F.count(F.lit(1)).alias("rows"), *sums)
+
+    def line(name, kind, dups, nulls, orph):
+        return F.struct(F.lit(name).alias("key_name"), F.lit(kind).alias("kind"),
+                        F.col("rows").cast("bigint").alias("rows"), dups.cast("bigint").alias("duplicates"),
+                        nulls.cast("bigint").alias("nulls"), orph.cast("bigint").alias("orphans"))
+    none = F.lit(None)
+    lines = []
+    if pk:
+        lines.append(line(f"pk({', '.join(pk)})", "pk", F.col("dups"), F.col("pnulls"), none))
+    for j, (fk, ptable, pcol) in enumerate(decl.foreign_keys):
+        lines.append(line(f"fk({fk} -> {ptable}.{pcol})", "fk", none,
+                          F.coalesce(F.col(f"__fn{j}"), F.lit(0)), F.coalesce(F.col(f"__fo{j}"), F.lit(0))))
+    return tot.select(F.inline(F.array(*lines))).select(
+        F.lit(table).alias("table_name"), "key_name", "kind", "rows", "duplicates", "nulls", "orphans")
+
+
 def _pk_line(df: DataFrame, pk: list[str], table: str) -> DataFrame:
     # one pass: count per key value, then fold the groups into rows / nulls / duplicates
     g = df.groupBy(*[F.col(c).alias(_name(c)) for c in pk]).agg(F.count(F.lit(1)).alias("__n"))

@@ -7,9 +7,9 @@ Target layout (plain Parquet, no table format needed)::
 
 * FULL / FULL_FALLBACK replace every file and the schema (D-4: the schema is always
   replaced on a full overwrite).
-* INCREMENTAL loads rows with ``lo < ts <= hi``. ``hi`` is the source's ``max(ts)``
-  taken *before* the write, and it is the mark that is saved (D-1) -- not the wall
-  clock, so rows arriving between read and commit are not skipped.
+* INCREMENTAL loads rows with ``ts > lo`` (the bound is pushed into the scan). The
+  saved mark is the ``max(ts)`` of the rows actually written (D-1), read back from
+  the new batch -- not the wall clock, so no row newer than the mark is ever skipped.
 * The batch id is derived from the low mark, and the batch is written with dynamic
   partition overwrite: re-running a batch (a crash between write and log, or an
   executor loss that restarts the job) replaces that batch instead of appending it
@@ -96,12 +96,6 @@ def _is_date(df: DataFrame, col: str | None) -> bool:
     return col is not None and isinstance(df.schema[col].dataType, DateType)
 
 
-def _high_mark(df: DataFrame, ts_col: str):
-    """One-row driver action: ``max(ts)`` and the number of rows with a NULL mark (D-3)."""
-    r = df.agg(F.max(ts_col).alias("hi"), F.count_if(F.col(ts_col).isNull()).alias("nulls")).first()
-    return r["hi"], int(r["nulls"])
-
-
 def copy_full(df: DataFrame, target: str, ts_col: str | None = None, sort_col: str | None = None) -> str:
     """SNK-1 / SNK-2: replace the target's data and schema with ``df``."""
     if _is_date(df, ts_col):
@@ -190,45 +184,53 @@ def read_target(spark: SparkSession, target: str, log_path: str | None = None, k
     return df if keep_batch or BATCH_COL not in df.columns else df.drop(BATCH_COL)
 
 
-def _count_batch(spark, target, batch_id, ts_col, is_date, lo):
+def _loaded_stats(spark, target, ts_col, batch_id=None, from_day=None):
+    """Rows, max mark and NULL marks of what was just written (reads only that batch's files)."""
     df = spark.read.option("mergeSchema", "true").parquet(target)
-    if is_date:
-        day = lo.date() if isinstance(lo, dt.datetime) else lo
-        return df.filter(F.col(ts_col) >= date_lit(day)).count() if lo is not None else df.count()
-    return df.filter(F.col(BATCH_COL) == batch_id).count()
+    if from_day is not None:
+        df = df.filter(F.col(ts_col) >= date_lit(from_day))
+    elif batch_id is not None:
+        df = df.filter(F.col(BATCH_COL) == batch_id)
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    if ts_col:
+        aggs += [F.max(ts_col).alias("hi"), F.count_if(F.col(ts_col).isNull()).alias("nulls")]
+    r = df.agg(*aggs).first()
+    return int(r["rows"]), (r["hi"] if ts_col else None), (int(r["nulls"]) if ts_col else 0)
 
 
 def sync_table(spark: SparkSession, source: DataFrame, schema: str, table: str, target: str, log_path: str,
                force: bool = False, ts_override: str | None = None) -> SyncResult:
-    """SNK-4 + SNK-1..3 + SNK-6 for one table: pick the mode, copy, count, commit to the log."""
+    """SNK-4 + SNK-1..3 + SNK-6 for one table: pick the mode, copy, measure, commit to the log.
+
+    The source is read once for the copy; the mark (``max`` of the sync column) and the
+    row count are then taken from the batch just written, so the saved mark is exactly
+    the newest row loaded (D-1) and no extra pass over the whole source is needed.
+    """
     ts_col = get_timestamp_column(source, ts_override)
     state = _state_row(spark, log_path, schema, table)
     mode = choose_mode(state is not None, force, ts_col)
     is_date = _is_date(source, ts_col)
     lo = None if mode != INCREMENTAL else state["last_sync_timestamp"]
-    hi, nulls = _high_mark(source, ts_col) if ts_col else (None, 0)
     try:
         if mode == INCREMENTAL:
-            if lo is None:  # previous loads saw no marks: everything up to hi is new
-                lo_eff = None
-            else:
-                lo_eff = lo.date() if is_date else lo
-            bid = copy_incremental(source, target, ts_col, lo_eff, hi)
-            rows = _count_batch(spark, target, bid, ts_col, is_date, lo_eff)
+            lo_eff = None if lo is None else (lo.date() if is_date else lo)
+            bid = copy_incremental(source, target, ts_col, lo_eff, None)
+            rows, hi, _ = _loaded_stats(spark, target, ts_col, batch_id=None if is_date else bid,
+                                        from_day=lo_eff if is_date else None)
+            # rows without a mark are never copied incrementally (D-3); the count uses
+            # the IsNull filter, which row-group statistics answer without reading data
+            nulls = source.filter(F.col(ts_col).isNull()).count()
             mark = hi if hi is not None else lo
         else:
             bid = copy_full(source, target, ts_col, sort_col=ts_col)
-            rows = _count_batch(spark, target, bid, ts_col, is_date, None) if not is_date else \
-                spark.read.parquet(target).count()
-            mark = hi
+            rows, mark, nulls = _loaded_stats(spark, target, ts_col, batch_id=None if is_date else bid)
         if is_date and mark is not None and not isinstance(mark, dt.datetime):
             mark = dt.datetime.combine(mark, dt.time())
         log_sync(spark, log_path, [dict(schema_name=schema, table_name=table, last_sync_timestamp=mark,
                                         last_sync_mode=mode, batch_id=bid, rows=rows, null_marks=nulls)])
         return SyncResult(f"{schema}.{table}", mode, rows, lo, mark, bid, "SUCCESS", nulls)
     except Exception as e:
-        log_sync(spark, log_path, [dict(schema_name=schema, table_name=table,
-                                        last_sync_timestamp=None if lo is None else lo,
+        log_sync(spark, log_path, [dict(schema_name=schema, table_name=table, last_sync_timestamp=lo,
                                         last_sync_mode=mode, sync_status="FAILED", error=type(e).__name__)])
         raise
 
