@@ -109,10 +109,16 @@ def copy_full(df: DataFrame, target: str, ts_col: str | None = None, sort_col: s
     return "full"
 
 
-def copy_incremental(df: DataFrame, target: str, ts_col: str, lo, hi, batch_id: str | None = None) -> str:
+def copy_incremental(df: DataFrame, target: str, ts_col: str, lo, hi, batch_id: str | None = None,
+                     lookback: dt.timedelta | None = None, key: list[str] | None = None) -> str:
     """SNK-3 + FIL-1: append rows with ``lo < ts <= hi`` as one replaceable batch.
 
     DATE columns reload the days ``>= lo`` (D-2) into day partitions instead.
+
+    With ``lookback`` and ``key`` (D-1), the batch also re-reads ``(lo - lookback, lo]``
+    and keeps the rows of that span whose key is not in the target yet (a LEFT ANTI
+    join against the other batches), so rows that arrived late with an old event
+    time are still copied exactly once.
     """
     if _is_date(df, ts_col):
         day = lo.date() if isinstance(lo, dt.datetime) else lo
@@ -123,7 +129,16 @@ def copy_incremental(df: DataFrame, target: str, ts_col: str, lo, hi, batch_id:
          .partitionBy(ts_col).parquet(target))
         return f"days>={day}"
     bid = batch_id or ("binitial" if lo is None else _batch_id(lo))
-    new = between_marks(df, ts_col, lo, hi).withColumn(BATCH_COL, F.lit(bid))
+    if lookback is not None and key and lo is not None:
+        start = lo - lookback
+        new = between_marks(df, ts_col, start, hi)
+        seen = (df.sparkSession.read.option("mergeSchema", "true").parquet(target)
+                .filter((F.col(BATCH_COL) != bid)).transform(lambda x: between_marks(x, ts_col, start, lo))
+                .select(*key))
+        new = new.join(seen, list(key), "left_anti")
+    else:
+        new = between_marks(df, ts_col, lo, hi)
+    new = new.withColumn(BATCH_COL, F.lit(bid))
     (new.sortWithinPartitions(ts_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BATCH_COL).parquet(target))
     return bid
@@ -199,7 +214,8 @@ def _loaded_stats(spark, target, ts_col, batch_id=None, from_day=None):
 
 
 def sync_table(spark: SparkSession, source: DataFrame, schema: str, table: str, target: str, log_path: str,
-               force: bool = False, ts_override: str | None = None) -> SyncResult:
+               force: bool = False, ts_override: str | None = None, lookback: dt.timedelta | None = None,
+               key: list[str] | None = None) -> SyncResult:
     """SNK-4 + SNK-1..3 + SNK-6 for one table: pick the mode, copy, measure, commit to the log.
 
     The source is read once for the copy; the mark (``max`` of the sync column) and the
@@ -214,7 +230,7 @@ def sync_table(spark: SparkSession, source: DataFrame, schema: str, table: str,
     try:
         if mode == INCREMENTAL:
             lo_eff = None if lo is None else (lo.date() if is_date else lo)
-            bid = copy_incremental(source, target, ts_col, lo_eff, None)
+            bid = copy_incremental(source, target, ts_col, lo_eff, None, lookback=lookback, key=key)
             rows, hi, _ = _loaded_stats(spark, target, ts_col, batch_id=None if is_date else bid,
                                         from_day=lo_eff if is_date else None)
             # rows without a mark are never copied incrementally (D-3); the count uses
@@ -253,8 +269,17 @@ def sync_all(spark: SparkSession, sources: dict[str, DataFrame], target_root: st
 
     if parallelism <= 1:
         return [run(n) for n in names]
+
+    def pooled(name):
+        # each table's jobs go to the FAIR pool "sync" when the cluster runs the FAIR scheduler
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", "sync")
+        try:
+            return run(name)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(run, names))
+        return list(pool.map(pooled, names))
 
 
 def sync_summary(log: DataFrame, by: str | None = None) -> DataFrame:
