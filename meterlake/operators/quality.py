@@ -63,6 +63,7 @@ def key_report(frames: dict[str, DataFrame], decls: dict[str, KeyDecl]) -> DataF
 
     ``duplicates`` counts key values that occur more than once (primary keys);
     ``orphans`` counts child rows whose non-NULL value has no parent (foreign keys).
+    A check that does not apply to a line (``kind`` tells which) reports 0.
     Each table is scanned once: its foreign keys are looked up with left joins against
     the parents' distinct keys, the rows are grouped by the primary key, and one global
     aggregate yields every line of that table (unpivoted with ``inline``).
@@ -101,7 +102,7 @@ def _table_lines(df: DataFrame, table: str, decl: KeyDecl, frames: dict[str, Dat
         return F.struct(F.lit(name).alias("key_name"), F.lit(kind).alias("kind"),
                         F.col("rows").cast("bigint").alias("rows"), dups.cast("bigint").alias("duplicates"),
                         nulls.cast("bigint").alias("nulls"), orph.cast("bigint").alias("orphans"))
-    none = F.lit(None)
+    none = F.lit(0)
     lines = []
     if pk:
         lines.append(line(f"pk({', '.join(pk)})", "pk", F.col("dups"), F.col("pnulls"), none))
@@ -122,7 +123,7 @@ def _pk_line(df: DataFrame, pk: list[str], table: str) -> DataFrame:
         F.coalesce(F.sum(F.when(nullk, F.col("__n"))), F.lit(0)).cast("bigint").alias("nulls"),
     ).select(F.lit(table).alias("table_name"), F.lit(f"pk({', '.join(pk)})").alias("key_name"),
              F.lit("pk").alias("kind"), "rows", "duplicates", "nulls",
-             F.lit(None).cast("bigint").alias("orphans"))
+             F.lit(0).cast("bigint").alias("orphans"))
 
 
 def _fk_line(df: DataFrame, col: str, parent: DataFrame, pcol: str, table: str, ptable: str) -> DataFrame:
@@ -133,4 +134,4 @@ def _fk_line(df: DataFrame, col: str, parent: DataFrame, pcol: str, table: str,
         F.count_if(F.col("__fk").isNull()).cast("bigint").alias("nulls"),
         F.count_if(F.col("__fk").isNotNull() & F.col("__pk").isNull()).cast("bigint").alias("orphans"),
     ).select(F.lit(table).alias("table_name"), F.lit(f"fk({col} -> {ptable}.{pcol})").alias("key_name"),
-             F.lit("fk").alias("kind"), "rows", F.lit(None).cast("bigint").alias("duplicates"), "nulls", "orphans")
+             F.lit("fk").alias("kind"), "rows", F.lit(0).cast("bigint").alias("duplicates"), "nulls", "orphans")

@@ -62,7 +62,7 @@ def tenant_scope_all(facts: dict[str, DataFrame], dim: DataFrame, key: str, sql_
 
 
 def scope_report(views: dict[str, DataFrame], skipped: list[str]) -> DataFrame:
-    """Per-table outcome of TEN-3: ``table_name, scoped, rows`` (rows NULL for skipped tables).
+    """Per-table outcome of TEN-3: ``table_name, scoped, rows`` (skipped tables: ``scoped`` false, 0 rows).
 
     One global aggregate per view, combined with ``unionByName``; each count is a
     partial + final aggregate, so no view is pulled through one task.
@@ -78,6 +78,6 @@ def scope_report(views: dict[str, DataFrame], skipped: list[str]) -> DataFrame:
     spark = out.sparkSession
     if skipped:
         sk = spark.createDataFrame([(n,) for n in skipped], "table_name string").select(
-            "table_name", F.lit(False).alias("scoped"), F.lit(None).cast("bigint").alias("rows"))
+            "table_name", F.lit(False).alias("scoped"), F.lit(0).cast("bigint").alias("rows"))
         out = out.unionByName(sk)
     return out

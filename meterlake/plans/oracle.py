@@ -453,13 +453,13 @@ def _pk_line(table: str, cols: list[str]) -> str:
     anynull = " OR ".join(f"{c} IS NULL" for c in cols)
     return f"""SELECT '{table}' AS table_name, 'pk({k})' AS key_name, 'pk' AS kind,
        CAST(sum(n) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE n > 1 AND NOT ({anynull})) AS BIGINT) AS duplicates,
-       CAST(coalesce(sum(n) FILTER (WHERE {anynull}), 0) AS BIGINT) AS nulls, CAST(NULL AS BIGINT) AS orphans
+       CAST(coalesce(sum(n) FILTER (WHERE {anynull}), 0) AS BIGINT) AS nulls, CAST(0 AS BIGINT) AS orphans
 FROM (SELECT {k}, count(*) AS n FROM {table} GROUP BY {k}) g"""
 
 
 def _fk_line(table: str, col: str, ptable: str, pcol: str) -> str:
     return f"""SELECT '{table}' AS table_name, 'fk({col} -> {ptable}.{pcol})' AS key_name, 'fk' AS kind,
-       count(*) AS rows, CAST(NULL AS BIGINT) AS duplicates,
+       count(*) AS rows, CAST(0 AS BIGINT) AS duplicates,
        count(*) FILTER (WHERE c.{col} IS NULL) AS nulls,
        count(*) FILTER (WHERE c.{col} IS NOT NULL AND p.k IS NULL) AS orphans
 FROM {table} c LEFT JOIN (SELECT DISTINCT {pcol} AS k FROM {ptable}) p ON c.{col} = p.k"""
@@ -484,8 +484,8 @@ _SCOPED_KEYS = "(SELECT c_custkey FROM customer WHERE regexp_matches(c_mktsegmen
 SQL["tenant_scope_all"] = f"""
 SELECT 'orders' AS table_name, true AS scoped, count(*) AS rows FROM orders WHERE o_custkey IN {_SCOPED_KEYS}
 UNION ALL SELECT 'customer', true, count(*) FROM customer WHERE c_custkey IN {_SCOPED_KEYS}
-UNION ALL SELECT 'part', false, CAST(NULL AS BIGINT)
-UNION ALL SELECT 'supplier', false, CAST(NULL AS BIGINT)
+UNION ALL SELECT 'part', false, CAST(0 AS BIGINT)
+UNION ALL SELECT 'supplier', false, CAST(0 AS BIGINT)
 """
 
 SQL["view_row_counts"] = """

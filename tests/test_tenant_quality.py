@@ -51,7 +51,7 @@ def test_key_checks(spark):
     rep = quality.key_report({"c": child, "p": parent},
                              {"c": quality.KeyDecl(("k",), (("fk", "p", "pk"),)), "p": quality.KeyDecl(("pk",))})
     got = {(r.table_name, r.kind): (r.rows, r.duplicates, r.nulls, r.orphans) for r in rep.collect()}
-    assert got == {("c", "pk"): (5, 1, 1, None), ("c", "fk"): (5, None, 1, 1), ("p", "pk"): (4, 1, 0, None)}
+    assert got == {("c", "pk"): (5, 1, 1, 0), ("c", "fk"): (5, 0, 1, 1), ("p", "pk"): (4, 1, 0, 0)}
 
 
 def test_nested_key_path(spark):
