@@ -72,3 +72,26 @@ def fresh_dir(spark: SparkSession, prefix: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def scale_settings(input_bytes: int, executors_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Shuffle and scan sizing for a large cluster, from the bytes a job reads.
+
+    * scan splits of ``target_partition_mb`` (``spark.sql.files.maxPartitionBytes``);
+    * an initial shuffle width that keeps each shuffle partition near the same size,
+      at least twice the total core count; AQE then coalesces small partitions
+      toward ``advisoryPartitionSizeInBytes`` and splits skewed ones;
+    * skewed partitions are those 5x the median and above 1 GB.
+
+    Apply with ``spark.conf.set`` for each item (all are runtime SQL settings).
+    """
+    target = target_partition_mb * 1024 * 1024
+    width = max(2 * executors_cores, -(-input_bytes // target))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    }

@@ -63,3 +63,18 @@ def test_missing_everywhere_and_discovery(spark):
 def test_union_row_count_is_sum(spark, sizes):
     frames = {f"c{i}": spark.range(n).selectExpr("id", f"'{i}' AS tag") for i, n in enumerate(sizes)}
     assert align.aligned_union(frames).count() == sum(sizes)
+
+
+def test_publish_views_are_queryable(spark):
+    from meterlake.sources.views import publish_all
+    x = spark.createDataFrame([(1,), (2,)], "k int")
+    names = publish_all({"s.t": x, "s.u": x.filter("k > 1")})
+    assert names == ["s__t", "s__u"]
+    assert spark.sql("SELECT count(*) AS n FROM s__u").first().n == 1
+
+
+def test_scale_settings():
+    from meterlake.session import scale_settings
+    conf = scale_settings(100 * 1024 ** 4, executors_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_settings(10, 4)["spark.sql.shuffle.partitions"] == "8"
