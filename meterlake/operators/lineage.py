@@ -23,9 +23,15 @@ def counted(reads: DataFrame, types: list[str], type_col: str = "consumer_type")
     return reads.filter(F.col(type_col).isin(types))
 
 
-def tables_per_job(writes: DataFrame, job: str = "job_id", table: str = "table_id") -> DataFrame:
-    """AG-2: number of distinct tables each job wrote: ``job, tables``."""
-    return writes.groupBy(job).agg(F.countDistinct(table).alias("tables"))
+def tables_per_job(writes: DataFrame, job: str = "job_id", table: str = "table_id",
+                   approx: bool = False) -> DataFrame:
+    """AG-2: number of distinct tables each job wrote: ``job, tables``.
+
+    ``approx=True`` uses a HyperLogLog++ sketch (``approx_count_distinct``, ~1% error),
+    which keeps a fixed-size buffer per job instead of the distinct pairs.
+    """
+    n = F.approx_count_distinct(table, 0.01) if approx else F.countDistinct(table)
+    return writes.groupBy(job).agg(n.alias("tables"))
 
 
 def consumers_per_table(reads: DataFrame, table: str = "table_id") -> DataFrame:

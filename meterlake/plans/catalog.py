@@ -94,8 +94,8 @@ def drift_report(spark, d):
 
 
 # ---- pricing and cost (JN-1, WN-1, AG-1, AG-6, AG-7, WN-2, PRJ-5) -------------------------
-def _counted_reads(t, window=True):
-    return lineage.counted(R.reads(t, window), R.COUNTED_CONSUMERS)
+def _counted_reads(t, window=True, days=R.WINDOW_DAYS):
+    return lineage.counted(R.reads(t, window, days), R.COUNTED_CONSUMERS)
 
 
 @query
@@ -194,12 +194,12 @@ def table_refresh_stats(spark, d):
 
 
 # ---- table, endpoint and pipeline attribution (AG-9, REP-2..5, WN-4, AG-12) -----------------
-def _table_cost(t):
-    return attribution.table_cost(R.priced_daily(t), R.writes(t))
+def _table_cost(t, days=R.WINDOW_DAYS):
+    return attribution.table_cost(R.priced_daily(t, True, days), R.writes(t, True, days))
 
 
-def _table_cost_per_read(t):
-    return attribution.table_cost_per_read(_table_cost(t), _counted_reads(t))
+def _table_cost_per_read(t, days=R.WINDOW_DAYS):
+    return attribution.table_cost_per_read(_table_cost(t, days), _counted_reads(t, True, days))
 
 
 @query
@@ -218,10 +218,9 @@ def unused_tables_with_cost(spark, d):
     return lineage.unused_tables(R.writes(t), _counted_reads(t)).join(_table_cost(t), "table_id")
 
 
-def _endpoint_report(t):
-    return attribution.endpoint_cost_per_query(R.endpoint_usage(R.priced_daily(t)),
-                                               last_days(R.query_log(t), "start_time", R.EVENT_AS_OF,
-                                                         R.WINDOW_DAYS))
+def _endpoint_report(t, days=R.WINDOW_DAYS):
+    return attribution.endpoint_cost_per_query(R.endpoint_usage(R.priced_daily(t, True, days)),
+                                               last_days(R.query_log(t), "start_time", R.EVENT_AS_OF, days))
 
 
 @query
@@ -229,9 +228,9 @@ def endpoint_cost_per_query(spark, d):
     return _endpoint_report(Tables(spark, d))
 
 
-def _pipeline_roi(t):
-    pr = R.priced_daily(t)
-    return attribution.pipeline_roi(R.pipeline_usage(pr), R.pipeline_outputs(pr), _counted_reads(t))
+def _pipeline_roi(t, days=R.WINDOW_DAYS):
+    pr = R.priced_daily(t, True, days)
+    return attribution.pipeline_roi(R.pipeline_usage(pr), R.pipeline_outputs(pr), _counted_reads(t, True, days))
 
 
 @query
@@ -300,19 +299,21 @@ def cost_utilization_quadrant(spark, d):
     return attribution.quadrant(tc, "cost", "reads", mc, mr)
 
 
-def _explorer(t):
-    jobs = attribution.job_cost_per_consumer(R.priced_daily(t), R.jobs_latest(t), R.writes(t), _counted_reads(t))
-    tables = _table_cost_per_read(t)
+def explorer_for(t, days=R.WINDOW_DAYS):
+    """AG-16 over the last ``days`` days (the explorer's 7 / 30 / 90 day selector)."""
+    jobs = attribution.job_cost_per_consumer(R.priced_daily(t, True, days), R.jobs_latest(t),
+                                             R.writes(t, True, days), _counted_reads(t, True, days))
+    tables = _table_cost_per_read(t, days)
     return attribution.explorer({
         "JOB": jobs.select(F.col("job_id").alias("id"), "name", F.col("total_cost").alias("cost"),
                            F.col("consumers").alias("utilization")),
         "TABLE": tables.select(F.col("table_id").alias("id"),
                                F.concat(F.lit("table_"), F.col("table_id").cast("string")).alias("name"),
                                "cost", F.col("reads").alias("utilization")),
-        "ENDPOINT": _endpoint_report(t).select(
+        "ENDPOINT": _endpoint_report(t, days).select(
             F.col("endpoint_id").alias("id"), F.concat(F.lit("endpoint_"), F.col("endpoint_id").cast("string")).alias("name"),
             F.col("total_cost").alias("cost"), F.col("query_count").alias("utilization")),
-        "PIPELINE": _pipeline_roi(t).select(
+        "PIPELINE": _pipeline_roi(t, days).select(
             F.col("pipeline_id").alias("id"), F.concat(F.lit("pipeline_"), F.col("pipeline_id").cast("string")).alias("name"),
             "cost", F.col("consumers").alias("utilization")),
     })
@@ -320,12 +321,12 @@ def _explorer(t):
 
 @query
 def resource_explorer(spark, d):
-    return _explorer(Tables(spark, d))
+    return explorer_for(Tables(spark, d))
 
 
 @query
 def explorer_search(spark, d):
-    return attribution.search(_explorer(Tables(spark, d)), text="7")
+    return attribution.search(explorer_for(Tables(spark, d)), text="7")
 
 
 def _reuse(spark) -> bool:

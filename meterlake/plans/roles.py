@@ -49,18 +49,18 @@ def tenant_fact(t: Tables) -> DataFrame:
     return t.orders.withColumn("workspace_id", F.col("o_custkey"))
 
 
-def _lines(t: Tables, window: bool) -> DataFrame:
+def _lines(t: Tables, window: bool, days: int = WINDOW_DAYS) -> DataFrame:
     li = t.lineitem
-    return last_days(li, "l_shipdate", LINE_AS_OF, WINDOW_DAYS) if window else li
+    return last_days(li, "l_shipdate", LINE_AS_OF, days) if window else li
 
 
 def _state() -> F.Column:
     return F.when(F.col("l_returnflag") == "R", F.lit("FAILED")).otherwise(F.lit("SUCCESS"))
 
 
-def usage_rows(t: Tables, window: bool = False) -> DataFrame:
+def usage_rows(t: Tables, window: bool = False, days: int = WINDOW_DAYS) -> DataFrame:
     """Row-level usage: one row per line item, with its SKU family from ``part``."""
-    li = _lines(t, window).select(
+    li = _lines(t, window, days).select(
         F.col("l_suppkey").alias("resource_id"), F.col("l_orderkey").alias("update_id"),
         F.col("l_partkey").alias("sku"), F.col("l_quantity").cast(QTY).alias("quantity"),
         F.col("l_shipdate").cast("date").alias("usage_date"), _state().alias("state"))
@@ -68,14 +68,14 @@ def usage_rows(t: Tables, window: bool = False) -> DataFrame:
     return li.join(fam, "sku")
 
 
-def usage_daily(t: Tables, window: bool = False) -> DataFrame:
+def usage_daily(t: Tables, window: bool = False, days: int = WINDOW_DAYS) -> DataFrame:
     """Usage pre-aggregated to ``(resource_id, sku, usage_date, state)`` before pricing.
 
     Quantities are exact decimals, so ``sum(q) * price == sum(q * price)``; the
     aggregate runs map-side first and shrinks the input of the price and family
     joins from one row per event to one row per resource, SKU and day.
     """
-    li = _lines(t, window).groupBy(
+    li = _lines(t, window, days).groupBy(
         F.col("l_suppkey").alias("resource_id"), F.col("l_partkey").alias("sku"),
         F.col("l_shipdate").cast("date").alias("usage_date"), _state().alias("state"),
     ).agg(F.sum(F.col("l_quantity").cast(QTY)).alias("quantity"))
@@ -88,9 +88,9 @@ def prices(t: Tables) -> DataFrame:
     return pricing.price_versions(t.part, "p_partkey", "p_retailprice", PRICE_VERSIONS)
 
 
-def priced_daily(t: Tables, window: bool = True) -> DataFrame:
+def priced_daily(t: Tables, window: bool = True, days: int = WINDOW_DAYS) -> DataFrame:
     """Daily usage with its valid price and exact decimal ``cost``."""
-    return pricing.price_usage(usage_daily(t, window), prices(t))
+    return pricing.price_usage(usage_daily(t, window, days), prices(t))
 
 
 def jobs_history(t: Tables) -> DataFrame:
@@ -106,9 +106,9 @@ def jobs_latest(t: Tables) -> DataFrame:
     return pricing.latest(jobs_history(t), "job_id", ["change_time"])
 
 
-def writes(t: Tables, window: bool = True) -> DataFrame:
+def writes(t: Tables, window: bool = True, days: int = WINDOW_DAYS) -> DataFrame:
     """Lineage writes: job ``job_id`` wrote table ``table_id`` on ``write_date``."""
-    return _lines(t, window).select(F.col("l_suppkey").alias("job_id"), F.col("l_partkey").alias("table_id"),
+    return _lines(t, window, days).select(F.col("l_suppkey").alias("job_id"), F.col("l_partkey").alias("table_id"),
                                     F.col("l_shipdate").cast("date").alias("write_date"))
 
 
@@ -119,9 +119,9 @@ def _consumer_type() -> F.Column:
     return c
 
 
-def reads(t: Tables, window: bool = True) -> DataFrame:
+def reads(t: Tables, window: bool = True, days: int = WINDOW_DAYS) -> DataFrame:
     """Lineage reads: ``table_id`` read by ``consumer_type``/``consumer_id`` on ``read_date``."""
-    li = _lines(t, window).select("l_orderkey", "l_partkey", "l_shipdate")
+    li = _lines(t, window, days).select("l_orderkey", "l_partkey", "l_shipdate")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
     return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(F.col("l_partkey").alias("table_id"), _consumer_type().alias("consumer_type"),

@@ -94,3 +94,42 @@ def regionality(path: str) -> str:
     """REGIONAL unless declared otherwise (unknown tables are treated as regional)."""
     d = get(path)
     return d.regionality if d else "REGIONAL"
+
+
+# Tables that keep one row per change of an entity (D-17), with the column that orders
+# the versions. Their declared key names an entity, so uniqueness is (key, version time).
+HISTORY = {
+    "compute.clusters": "change_time",
+    "compute.warehouses": "change_time",
+    "serving.served_entities": "change_time",
+    "billing.list_prices": "price_start_time",
+}
+
+
+def rule(path: str) -> tuple[str, list[str] | None]:
+    """Consolidation rule for a table: its regionality and, for MIXED tables, the key that
+    identifies repeated account-level rows (None when no key is declared)."""
+    d = get(path)
+    if d is None:
+        return "REGIONAL", None
+    key = list(d.primary_key) if d.regionality == "MIXED" and d.primary_key else None
+    return d.regionality, key
+
+
+def key_decls(paths: list[str]):
+    """Key declarations (``quality.KeyDecl``) for the given ``schema.table`` paths.
+
+    Foreign keys are kept only when the parent table is among ``paths``; history
+    tables get their version column added to the primary key.
+    """
+    from meterlake.operators.quality import KeyDecl
+    wanted = {".".join(p.split(".")[-2:]) for p in paths}
+    out = {}
+    for p in sorted(wanted):
+        d = get(p)
+        if d is None:
+            continue
+        pk = tuple(d.primary_key) + ((HISTORY[p],) if p in HISTORY and d.primary_key else ())
+        fks = tuple((fk.column, fk.table, fk.target_column) for fk in d.foreign_keys if fk.table in wanted)
+        out[p] = KeyDecl(pk, fks)
+    return out

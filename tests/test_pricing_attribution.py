@@ -71,3 +71,22 @@ def test_ratio_is_null_on_zero(spark):
     from meterlake.functions.columns import ratio
     r = spark.createDataFrame([(1.0, 0), (1.0, None), (3.0, 2)], "a double, b int").select(ratio("a", "b").alias("r"))
     assert [x.r for x in r.collect()] == [None, None, 1.5]
+
+
+def test_explorer_time_range(spark):
+    from meterlake.plans.catalog import explorer_for
+    from meterlake.sources.tables import Tables
+    from tests.conftest import SF_SMALL
+    t = Tables(spark, SF_SMALL)
+    week, month = explorer_for(t, 7), explorer_for(t, 30)
+    cost = lambda df, typ: df.filter(F.col("resource_type") == typ).agg(F.sum("cost")).first()[0] or 0.0
+    assert cost(week, "JOB") <= cost(month, "JOB")
+    assert week.filter(F.col("resource_type") == "JOB").count() <= month.filter(F.col("resource_type") == "JOB").count()
+
+
+def test_approx_tables_per_job_close_to_exact(spark):
+    from meterlake.operators import lineage
+    w = spark.range(5000).selectExpr("id % 3 AS job_id", "id % 1000 AS table_id")
+    ex = {r.job_id: r.tables for r in lineage.tables_per_job(w).collect()}
+    ap = {r.job_id: r.tables for r in lineage.tables_per_job(w, approx=True).collect()}
+    assert all(abs(ap[k] - ex[k]) <= 0.05 * ex[k] for k in ex)
