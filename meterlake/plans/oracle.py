@@ -82,9 +82,9 @@ FROM {JOBS_LATEST} j JOIN cost c ON j.job_id = c.job_id LEFT JOIN job_use u ON j
 """
 
 # ---- consolidation ------------------------------------------------------------------------
-_A = "(SELECT * FROM orders WHERE o_orderkey % 3 = 0)"
-_B = "(SELECT * FROM orders WHERE o_orderkey % 3 = 1)"
-_C = "(SELECT * FROM orders WHERE o_orderkey % 3 = 2)"
+_A = "(SELECT * FROM orders WHERE o_orderstatus = 'F')"
+_B = "(SELECT * FROM orders WHERE o_orderstatus = 'O')"
+_C = "(SELECT * FROM orders WHERE o_orderstatus = 'P')"
 
 SQL["union_all_catalogs"] = f"""
 SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_totalprice, o_orderdate,

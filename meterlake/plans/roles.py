@@ -142,17 +142,21 @@ def node_timeline(t: Tables) -> DataFrame:
 
 
 # ---- regional catalogs for the consolidation ------------------------------------------
+# which orders each regional catalog holds (every order is in exactly one catalog)
+CATALOG_ORDER_STATUS = {"A": "F", "B": "O", "C": "P"}
+
+
 def catalogs_orders(t: Tables) -> dict[str, DataFrame]:
-    """Orders split into catalogs A, B, C by ``o_orderkey % 3``.
+    """Orders held by three regional catalogs A, B, C (split by ``o_orderstatus``).
 
     A has every column; B lacks ``o_orderpriority`` and adds ``o_clerk``; C carries
     ``o_custkey`` as a string (a scalar type mismatch).
     """
     o = t.orders
-    k = F.col("o_orderkey") % 3
-    a = o.filter(k == 0)
-    b = o.filter(k == 1).drop("o_orderpriority").withColumn("o_clerk", F.col("o_custkey").cast("string"))
-    c = o.filter(k == 2).withColumn("o_custkey", F.col("o_custkey").cast("string"))
+    part = {c: o.filter(F.col("o_orderstatus") == s) for c, s in CATALOG_ORDER_STATUS.items()}
+    a = part["A"]
+    b = part["B"].drop("o_orderpriority").withColumn("o_clerk", F.col("o_custkey").cast("string"))
+    c = part["C"].withColumn("o_custkey", F.col("o_custkey").cast("string"))
     return {"A": a, "B": b, "C": c}
 
 
@@ -164,12 +168,15 @@ def catalogs_struct(t: Tables) -> dict[str, DataFrame]:
     return {"A": a, "C": c}
 
 
+EVENTS_SPLIT = dt.datetime(2024, 1, 16)
+
+
 def catalogs_mixed_events(t: Tables) -> dict[str, DataFrame]:
-    """Events in A (even ids) and B (odd ids); account-level ``signup`` rows appear in both."""
+    """Events in A (before Jan 16) and B (from Jan 16); account-level ``signup`` rows appear in both."""
     e = t.events
     signup = F.col("event_type") == "signup"
-    return {"A": e.filter((F.col("event_id") % 2 == 0) | signup),
-            "B": e.filter((F.col("event_id") % 2 == 1) | signup)}
+    early = F.col("ts") < ntz_lit(EVENTS_SPLIT)
+    return {"A": e.filter(early | signup), "B": e.filter(~early | signup)}
 
 
 def catalogs_all(t: Tables) -> dict[str, dict[str, DataFrame]]:
@@ -184,12 +191,12 @@ def catalogs_all(t: Tables) -> dict[str, dict[str, DataFrame]]:
     cust = t.customer
     return {
         "A": {"tpch.orders": o["A"], "tpch.nation": t.nation, "tpch.events": ev["A"],
-              "tpch.customer": cust.filter(F.col("c_custkey") % 2 == 0),
+              "tpch.customer": cust.filter(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")),
               "metadata.sync_log": t.region, "__staging.orders": o["A"], "tpch.__tmp": t.region},
         "B": {"tpch.orders": o["B"], "tpch.nation": t.nation, "tpch.events": ev["B"],
               "tpch.supplier": t.supplier},
         "C": {"tpch.orders": o["C"], "tpch.nation": t.nation,
-              "tpch.customer": cust.filter(F.col("c_custkey") % 2 == 1)},
+              "tpch.customer": cust.filter(~F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"))},
     }
 
 
