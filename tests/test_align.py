@@ -78,3 +78,27 @@ def test_scale_settings():
     conf = scale_settings(100 * 1024 ** 4, executors_cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert scale_settings(10, 4)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_every_type_pair_reconciles_to_text(spark):
+    # D-9: int / string / decimal / date / array / map / struct against each other
+    import datetime as dt
+    import decimal
+    a = spark.createDataFrame(
+        [(1, "s", decimal.Decimal("1.50"), dt.date(2024, 1, 2), [1, 2], {"k": 1}, (1, "x"))],
+        "c1 int, c2 string, c3 decimal(5,2), c4 date, c5 array<int>, c6 map<string,int>, c7 struct<a:int,b:string>")
+    b = spark.createDataFrame([("t", 2, 3, "d", "e", "f", "g")],
+                              "c1 string, c2 int, c3 int, c4 string, c5 string, c6 string, c7 string")
+    u = align.aligned_union({"A": a, "B": b})
+    assert all(f.dataType.simpleString() == "string" for f in u.schema.fields)
+    rows = {tuple(r) for r in u.collect()}
+    assert ("1", "s", "1.50", "2024-01-02", "[1,2]", '{"k":1}', '{"a":1,"b":"x"}') in rows
+    assert ("t", "2", "3", "d", "e", "f", "g") in rows
+
+
+def test_struct_json_keeps_microseconds(spark):
+    import datetime as dt
+    a = spark.createDataFrame([((dt.datetime(2024, 1, 1, 0, 0, 0, 123456),),)], "s struct<t:timestamp_ntz>")
+    b = spark.createDataFrame([("x",)], "s string")
+    got = {r.s for r in align.aligned_union({"A": a, "B": b}).collect()}
+    assert '{"t":"2024-01-01T00:00:00.123456"}' in got
