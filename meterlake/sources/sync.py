@@ -31,6 +31,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
@@ -200,12 +201,20 @@ def read_target(spark: SparkSession, target: str, log_path: str | None = None, k
 
 
 def _loaded_stats(spark, target, ts_col, batch_id=None, from_day=None):
-    """Rows, max mark and NULL marks of what was just written (reads only that batch's files)."""
-    df = spark.read.option("mergeSchema", "true").parquet(target)
-    if from_day is not None:
-        df = df.filter(F.col(ts_col) >= date_lit(from_day))
-    elif batch_id is not None:
-        df = df.filter(F.col(BATCH_COL) == batch_id)
+    """Rows, max mark and NULL marks of what was just written.
+
+    Reads only the new batch's folder (or the reloaded day partitions), so the cost
+    does not grow with the number of batches already in the target.
+    """
+    if batch_id is not None:
+        try:
+            df = spark.read.parquet(f"{target}/{BATCH_COL}={batch_id}")
+        except AnalysisException:  # an empty batch writes no partition folder
+            return 0, None, 0
+    else:
+        df = spark.read.parquet(target)
+        if from_day is not None:
+            df = df.filter(F.col(ts_col) >= date_lit(from_day))
     aggs = [F.count(F.lit(1)).alias("rows")]
     if ts_col:
         aggs += [F.max(ts_col).alias("hi"), F.count_if(F.col(ts_col).isNull()).alias("nulls")]
