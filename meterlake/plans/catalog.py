@@ -9,16 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
-
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions import quantiles
 from meterlake.functions.columns import last_days, money, ntz_lit, ratio
 from meterlake.operators import align, attribution, lineage, pricing, quality, tenant
 from meterlake.plans import roles as R
-from meterlake.session import fresh_dir
+from meterlake.session import fresh_dir, shared_dir
 from meterlake.sources import sync
 from meterlake.sources.tables import Tables
 from meterlake.streaming import stream_copy
@@ -292,8 +290,9 @@ def top10_cost_per_read(spark, d):
 
 @query
 def cost_utilization_quadrant(spark, d):
-    tc = _table_cost_per_read(Tables(spark, d)).select("table_id", "cost", "reads")
-    tc = tc.checkpoint() if _reuse(spark) else tc
+    shared_dir(spark)  # checkpoint() writes to the cluster's shared folder
+    # three passes (two medians, then the labelling) read one materialized result
+    tc = _table_cost_per_read(Tables(spark, d)).select("table_id", "cost", "reads").checkpoint()
     mc = quantiles.exact_quantile(tc, "cost", 0.5)
     mr = quantiles.exact_quantile(tc, "reads", 0.5)
     return attribution.quadrant(tc, "cost", "reads", mc, mr)
@@ -329,13 +328,6 @@ def explorer_search(spark, d):
     return attribution.search(explorer_for(Tables(spark, d)), text="7")
 
 
-def _reuse(spark) -> bool:
-    """Cut lineage before several passes over one result (checkpoint to the shared folder)."""
-    from meterlake.session import shared_dir
-    shared_dir(spark)
-    return True
-
-
 # ---- key checks (DQ-1..4) ------------------------------------------------------------------
 @query
 def pk_duplicates(spark, d):
