@@ -6,14 +6,40 @@ reads stay lazy so Catalyst prunes columns and pushes filters into the Parquet s
 
 from __future__ import annotations
 
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+# Schemas already read, per session and path. Reading with a known schema skips the
+# footer-reading job Spark otherwise starts for every ``read.parquet``; the cache lives
+# as long as the session, so a table whose schema changes needs a new session or
+# ``forget_schemas()``.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+_LOCK = threading.Lock()
+
+
+def forget_schemas() -> None:
+    with _LOCK:
+        _SCHEMAS.clear()
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet`` with the schema remembered from the first read of ``path``."""
+    key = (spark.sparkContext.applicationId, path)
+    schema = _SCHEMAS.get(key)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    with _LOCK:
+        _SCHEMAS[key] = df.schema
+    return df
 
 
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read ``<root>/<name>.parquet`` (a file or a folder of part files)."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{root.rstrip('/')}/{name}.parquet")
 
 
 class Tables:
@@ -22,9 +48,12 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return load(self.spark, self.root, name)
+        if name not in self._frames:
+            self._frames[name] = load(self.spark, self.root, name)
+        return self._frames[name]
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
