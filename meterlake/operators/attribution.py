@@ -66,13 +66,32 @@ def rolling_cost(priced: DataFrame, days: int = 30, resource: str = "resource_id
     ending that day (RANGE frame over the day number, so missing days are handled).
 
     Rows are reduced to one per resource and day before the window, so a window
-    partition holds at most one row per day of the resource's history.
+    partition holds at most one row per day of the resource's history. The frame sums
+    exact integers (the decimal cost in units of its last digit) instead of wide
+    decimals, which keeps the sliding sum in 64-bit arithmetic; ANSI mode turns an
+    overflow into an error, never a wrong value.
     """
+    scale = priced.schema["cost"].dataType.scale
     daily = priced.groupBy(F.col(resource).alias("resource_id"), F.col(date).alias("usage_date")).agg(
         F.sum("cost").alias("__c"))
     w = Window.partitionBy("resource_id").orderBy(F.unix_date("usage_date")).rangeBetween(-(days - 1), 0)
-    return daily.select("resource_id", "usage_date", money("__c").alias("daily_cost"),
-                        money(F.sum("__c").over(w)).alias("rolling_cost"))
+    units = (F.col("__c") * F.lit(10 ** scale)).cast("bigint")
+    return (daily.select("resource_id", "usage_date", money("__c").alias("daily_cost"),
+                         F.sum(units).over(w).alias("__u"))
+            .select("resource_id", "usage_date", "daily_cost", units_to_money("__u", scale).alias("rolling_cost")))
+
+
+def units_to_money(col: str, scale: int):
+    """An exact integer count of ``10^-scale`` units as cents (half away from zero), DOUBLE.
+
+    Equal to ``CAST(ROUND(col * 10^-scale, 2) AS DOUBLE)`` without leaving 64-bit integers.
+    """
+    if scale <= 2:
+        return (F.col(col) * F.lit(10 ** (2 - scale))).cast("double") / F.lit(100.0)
+    unit, half = 10 ** (scale - 2), 10 ** (scale - 2) // 2
+    cents = F.expr(f"CASE WHEN `{col}` >= 0 THEN (`{col}` + {half}) div {unit} "
+                   f"ELSE -((-`{col}` + {half}) div {unit}) END")
+    return cents.cast("double") / F.lit(100.0)
 
 
 def efficiency_trend(priced: DataFrame, writes: DataFrame, reads: DataFrame, unit: str = "month",

@@ -90,3 +90,14 @@ def test_approx_tables_per_job_close_to_exact(spark):
     ex = {r.job_id: r.tables for r in lineage.tables_per_job(w).collect()}
     ap = {r.job_id: r.tables for r in lineage.tables_per_job(w, approx=True).collect()}
     assert all(abs(ap[k] - ex[k]) <= 0.05 * ex[k] for k in ex)
+
+
+def test_units_to_money_matches_decimal_rounding(spark):
+    from meterlake.operators.attribution import units_to_money
+    vals = [0, 1, 499999, 500000, 500001, 123456789, -499999, -500000, -500001, 10 ** 17 + 500000]
+    import decimal
+    df = spark.createDataFrame([(v,) for v in vals], "u bigint")
+    got = [r.a for r in df.select(units_to_money("u", 8).alias("a")).collect()]
+    exp = [float(decimal.Decimal(v).scaleb(-8).quantize(decimal.Decimal("0.01"), decimal.ROUND_HALF_UP))
+           for v in vals]
+    assert got == exp
