@@ -7,7 +7,7 @@ matching DuckDB SQL lives in ``plans.oracle`` under the same key.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -192,48 +192,79 @@ def table_refresh_stats(spark, d):
 
 
 # ---- table, endpoint and pipeline attribution (AG-9, REP-2..5, WN-4, AG-12) -----------------
-def _table_cost(t, days=R.WINDOW_DAYS):
-    return attribution.table_cost(R.priced_daily(t, True, days), R.writes(t, True, days))
+class Facts:
+    """The windowed inputs shared by the attribution reports, each built once.
 
+    Reports composed from several parts (the explorer) reuse the same DataFrame
+    objects, so the driver builds each sub-plan once and identical shuffles are
+    planned once and reused.
+    """
 
-def _table_cost_per_read(t, days=R.WINDOW_DAYS):
-    return attribution.table_cost_per_read(_table_cost(t, days), _counted_reads(t, True, days))
+    def __init__(self, t: Tables, days: int = R.WINDOW_DAYS):
+        self.t, self.days = t, days
+
+    @cached_property
+    def priced(self):
+        return R.priced_daily(self.t, True, self.days)
+
+    @cached_property
+    def writes(self):
+        return R.writes(self.t, True, self.days)
+
+    @cached_property
+    def reads(self):
+        return _counted_reads(self.t, True, self.days)
+
+    @cached_property
+    def table_cost(self):
+        return attribution.table_cost(self.priced, self.writes)
+
+    @cached_property
+    def table_cost_per_read(self):
+        return attribution.table_cost_per_read(self.table_cost, self.reads)
+
+    @cached_property
+    def endpoint_report(self):
+        log = last_days(R.query_log(self.t), "start_time", R.EVENT_AS_OF, self.days)
+        return attribution.endpoint_cost_per_query(R.endpoint_usage(self.priced), log)
+
+    @cached_property
+    def pipeline_roi(self):
+        return attribution.pipeline_roi(R.pipeline_usage(self.priced), R.pipeline_outputs(self.priced), self.reads)
+
+    @cached_property
+    def job_report(self):
+        return attribution.job_cost_per_consumer(self.priced, R.jobs_latest(self.t), self.writes, self.reads)
+
+
+def _facts(spark, d, days=R.WINDOW_DAYS) -> Facts:
+    return Facts(Tables(spark, d), days)
 
 
 @query
 def table_cost(spark, d):
-    return _table_cost(Tables(spark, d))
+    return _facts(spark, d).table_cost
 
 
 @query
 def table_cost_per_read(spark, d):
-    return _table_cost_per_read(Tables(spark, d))
+    return _facts(spark, d).table_cost_per_read
 
 
 @query
 def unused_tables_with_cost(spark, d):
-    t = Tables(spark, d)
-    return lineage.unused_tables(R.writes(t), _counted_reads(t)).join(_table_cost(t), "table_id")
-
-
-def _endpoint_report(t, days=R.WINDOW_DAYS):
-    return attribution.endpoint_cost_per_query(R.endpoint_usage(R.priced_daily(t, True, days)),
-                                               last_days(R.query_log(t), "start_time", R.EVENT_AS_OF, days))
+    f = _facts(spark, d)
+    return lineage.unused_tables(f.writes, f.reads).join(f.table_cost, "table_id")
 
 
 @query
 def endpoint_cost_per_query(spark, d):
-    return _endpoint_report(Tables(spark, d))
-
-
-def _pipeline_roi(t, days=R.WINDOW_DAYS):
-    pr = R.priced_daily(t, True, days)
-    return attribution.pipeline_roi(R.pipeline_usage(pr), R.pipeline_outputs(pr), _counted_reads(t, True, days))
+    return _facts(spark, d).endpoint_report
 
 
 @query
 def pipeline_roi(spark, d):
-    return _pipeline_roi(Tables(spark, d))
+    return _facts(spark, d).pipeline_roi
 
 
 @query
@@ -276,7 +307,7 @@ def node_utilization_hourly(spark, d):
 
 @query
 def efficiency_score(spark, d):
-    e = _endpoint_report(Tables(spark, d)).select(
+    e = _facts(spark, d).endpoint_report.select(
         "endpoint_id", ratio("query_count", "total_cost").alias("per_cost_unit"))
     s = quantiles.with_percent_rank(e, "per_cost_unit", "score")
     return s.select("endpoint_id", F.round("per_cost_unit", 6).alias("per_cost_unit"), F.round("score", 6).alias("score"))
@@ -285,14 +316,14 @@ def efficiency_score(spark, d):
 # ---- ranking, quadrants, explorer (TK-2, TK-3, AG-16, FIL-5) ---------------------------------
 @query
 def top10_cost_per_read(spark, d):
-    return attribution.top_by(_table_cost_per_read(Tables(spark, d)), "cost_per_read", 10, "table_id")
+    return attribution.top_by(_facts(spark, d).table_cost_per_read, "cost_per_read", 10, "table_id")
 
 
 @query
 def cost_utilization_quadrant(spark, d):
     shared_dir(spark)  # checkpoint() writes to the cluster's shared folder
     # three passes (two medians, then the labelling) read one materialized result
-    tc = _table_cost_per_read(Tables(spark, d)).select("table_id", "cost", "reads").checkpoint()
+    tc = _facts(spark, d).table_cost_per_read.select("table_id", "cost", "reads").checkpoint()
     mc = quantiles.exact_quantile(tc, "cost", 0.5)
     mr = quantiles.exact_quantile(tc, "reads", 0.5)
     return attribution.quadrant(tc, "cost", "reads", mc, mr)
@@ -300,21 +331,20 @@ def cost_utilization_quadrant(spark, d):
 
 def explorer_for(t, days=R.WINDOW_DAYS):
     """AG-16 over the last ``days`` days (the explorer's 7 / 30 / 90 day selector)."""
-    jobs = attribution.job_cost_per_consumer(R.priced_daily(t, True, days), R.jobs_latest(t),
-                                             R.writes(t, True, days), _counted_reads(t, True, days))
-    tables = _table_cost_per_read(t, days)
+    f = Facts(t, days)
+
+    def named(prefix, col):
+        return F.concat(F.lit(prefix), F.col(col).cast("string")).alias("name")
     return attribution.explorer({
-        "JOB": jobs.select(F.col("job_id").alias("id"), "name", F.col("total_cost").alias("cost"),
-                           F.col("consumers").alias("utilization")),
-        "TABLE": tables.select(F.col("table_id").alias("id"),
-                               F.concat(F.lit("table_"), F.col("table_id").cast("string")).alias("name"),
-                               "cost", F.col("reads").alias("utilization")),
-        "ENDPOINT": _endpoint_report(t, days).select(
-            F.col("endpoint_id").alias("id"), F.concat(F.lit("endpoint_"), F.col("endpoint_id").cast("string")).alias("name"),
-            F.col("total_cost").alias("cost"), F.col("query_count").alias("utilization")),
-        "PIPELINE": _pipeline_roi(t, days).select(
-            F.col("pipeline_id").alias("id"), F.concat(F.lit("pipeline_"), F.col("pipeline_id").cast("string")).alias("name"),
-            "cost", F.col("consumers").alias("utilization")),
+        "JOB": f.job_report.select(F.col("job_id").alias("id"), "name", F.col("total_cost").alias("cost"),
+                                   F.col("consumers").alias("utilization")),
+        "TABLE": f.table_cost_per_read.select(F.col("table_id").alias("id"), named("table_", "table_id"),
+                                              "cost", F.col("reads").alias("utilization")),
+        "ENDPOINT": f.endpoint_report.select(F.col("endpoint_id").alias("id"), named("endpoint_", "endpoint_id"),
+                                             F.col("total_cost").alias("cost"),
+                                             F.col("query_count").alias("utilization")),
+        "PIPELINE": f.pipeline_roi.select(F.col("pipeline_id").alias("id"), named("pipeline_", "pipeline_id"),
+                                          "cost", F.col("consumers").alias("utilization")),
     })
 
 
