@@ -74,43 +74,49 @@ def key_report(frames: dict[str, DataFrame], decls: dict[str, KeyDecl]) -> DataF
 
 
 def _table_lines(df: DataFrame, table: str, decl: KeyDecl, frames: dict[str, DataFrame]) -> DataFrame:
+    # Built from SQL expression text: one expression per step keeps the driver-side
+    # construction cheap for reports over many tables.
     pk = list(decl.primary_key)
-    flags = []
-    cur = df.select(*[F.col(c).alias(f"__p{i}") for i, c in enumerate(pk)],
-                    *[F.col(fk).alias(f"__f{j}") for j, (fk, _, _) in enumerate(decl.foreign_keys)])
-    for j, (_, ptable, pcol) in enumerate(decl.foreign_keys):
-        keys = frames[ptable].select(F.col(pcol).alias(f"__k{j}")).distinct()
-        cur = cur.join(keys, F.col(f"__f{j}") == F.col(f"__k{j}"), "left")
-        flags += [F.col(f"__f{j}").isNull().cast("bigint").alias(f"__fn{j}"),
-                  (F.col(f"__f{j}").isNotNull() & F.col(f"__k{j}").isNull()).cast("bigint").alias(f"__fo{j}")]
+    fks = list(decl.foreign_keys)
     pcols = [f"__p{i}" for i in range(len(pk))]
-    cur = cur.select(*pcols, *flags)
-    sums = [F.sum(f"__fn{j}").alias(f"__fn{j}") for j in range(len(decl.foreign_keys))]
-    sums += [F.sum(f"__fo{j}").alias(f"__fo{j}") for j in range(len(decl.foreign_keys))]
+    cur = df.selectExpr(*[f"`{c}` AS __p{i}" for i, c in enumerate(pk)],
+                        *[f"{_sql_path(fk)} AS __f{j}" for j, (fk, _, _) in enumerate(fks)])
+    for j, (_, ptable, pcol) in enumerate(fks):
+        keys = frames[ptable].selectExpr(f"{_sql_path(pcol)} AS __k{j}").distinct()
+        cur = cur.join(keys, F.expr(f"__f{j} = __k{j}"), "left")
+    flags = []
+    for j in range(len(fks)):
+        flags += [f"CAST(__f{j} IS NULL AS BIGINT) AS __fn{j}",
+                  f"CAST(__f{j} IS NOT NULL AND __k{j} IS NULL AS BIGINT) AS __fo{j}"]
+    cur = cur.selectExpr(*pcols, *flags)
+    fsum = [f"sum(__fn{j}) AS __fn{j}" for j in range(len(fks))] + [f"sum(__fo{j}) AS __fo{j}" for j in range(len(fks))]
     if pk:
-        nullk = _any_null(pcols)
-        g = cur.groupBy(*pcols).agg(F.count(F.lit(1)).alias("__n"), *sums)
-        tot = g.agg(F.sum("__n").alias("rows"),
-                    F.count_if((F.col("__n") > 1) & ~nullk).alias("dups"),
-                    F.coalesce(F.sum(F.when(nullk, F.col("__n"))), F.lit(0)).alias("pnulls"),
-                    *[F.sum(c).alias(c) for c in [f"__fn{j}" for j in range(len(decl.foreign_keys))]
-                      + [f"__fo{j}" for j in range(len(decl.foreign_keys))]])
+        anynull = " OR ".join(f"{c} IS NULL" for c in pcols)
+        g = cur.groupBy(*pcols).agg(F.expr("count(1)").alias("__n"), *[F.expr(x) for x in fsum])
+        tot = g.selectExpr("sum(__n) AS rows", f"count_if(__n > 1 AND NOT ({anynull})) AS dups",
+                           f"coalesce(sum(CASE WHEN {anynull} THEN __n END), 0) AS pnulls",
+                           *[f"sum({c}) AS {c}" for c in [f"__fn{j}" for j in range(len(fks))]
+                             + [f"__fo{j}" for j in range(len(fks))]])
     else:
-        tot = cur.agg(F.count(F.lit(1)).alias("rows"), *sums)
+        tot = cur.selectExpr("count(1) AS rows", *fsum)
 
     def line(name, kind, dups, nulls, orph):
-        return F.struct(F.lit(name).alias("key_name"), F.lit(kind).alias("kind"),
-                        F.col("rows").cast("bigint").alias("rows"), dups.cast("bigint").alias("duplicates"),
-                        nulls.cast("bigint").alias("nulls"), orph.cast("bigint").alias("orphans"))
-    none = F.lit(0)
+        return (f"named_struct('key_name', '{name}', 'kind', '{kind}', 'rows', CAST(rows AS BIGINT), "
+                f"'duplicates', CAST({dups} AS BIGINT), 'nulls', CAST({nulls} AS BIGINT), "
+                f"'orphans', CAST({orph} AS BIGINT))")
     lines = []
     if pk:
-        lines.append(line(f"pk({', '.join(pk)})", "pk", F.col("dups"), F.col("pnulls"), none))
-    for j, (fk, ptable, pcol) in enumerate(decl.foreign_keys):
-        lines.append(line(f"fk({fk} -> {ptable}.{pcol})", "fk", none,
-                          F.coalesce(F.col(f"__fn{j}"), F.lit(0)), F.coalesce(F.col(f"__fo{j}"), F.lit(0))))
-    return tot.select(F.inline(F.array(*lines))).select(
-        F.lit(table).alias("table_name"), "key_name", "kind", "rows", "duplicates", "nulls", "orphans")
+        lines.append(line(f"pk({', '.join(pk)})", "pk", "dups", "pnulls", "0"))
+    for j, (fk, ptable, pcol) in enumerate(fks):
+        lines.append(line(f"fk({fk} -> {ptable}.{pcol})", "fk", "0", f"coalesce(__fn{j}, 0)",
+                          f"coalesce(__fo{j}, 0)"))
+    return tot.selectExpr(f"inline(array({', '.join(lines)}))").selectExpr(
+        f"'{table}' AS table_name", "key_name", "kind", "rows", "duplicates", "nulls", "orphans")
+
+
+def _sql_path(c: str) -> str:
+    """A column or dotted struct path as SQL text with each part quoted."""
+    return ".".join(f"`{p}`" for p in c.split("."))
 
 
 def _pk_line(df: DataFrame, pk: list[str], table: str) -> DataFrame:
