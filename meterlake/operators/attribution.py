@@ -254,3 +254,21 @@ def search(explorer_df: DataFrame, text: str | None = None, resource_type: str |
     if resource_type:
         cond = cond & (F.col("resource_type") == resource_type)
     return explorer_df.filter(cond)
+
+
+def latency(log: DataFrame, value: str = "latency", key: str = "endpoint_id", ps=(0.5, 0.95, 0.99),
+            exact: bool = True, accuracy: int = 10000) -> DataFrame:
+    """AG-11: latency percentiles per key: ``key, p50, p95, p99`` (rounded to 6 decimals).
+
+    ``exact=True`` uses the distributed exact quantiles (``functions.quantiles``);
+    ``exact=False`` uses ``percentile_approx``, a fixed-size sketch per key (relative
+    rank error about ``1 / accuracy``), for very large logs where an estimate is enough.
+    """
+    names = [f"p{int(round(p * 100))}" for p in ps]
+    if exact:
+        from meterlake.functions import quantiles
+        q = quantiles.quantiles(log, value, [key], tuple(ps), names)
+    else:
+        arr = F.percentile_approx(F.col(value).cast("double"), list(ps), accuracy).alias("__q")
+        q = log.groupBy(key).agg(arr).select(key, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
+    return q.select(key, *[F.round(n, 6).alias(n) for n in names])

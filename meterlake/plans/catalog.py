@@ -296,8 +296,7 @@ def peak_hour(spark, d):
 
 @query
 def latency_percentiles(spark, d):
-    q = quantiles.quantiles(R.query_log(Tables(spark, d)), "latency", ["endpoint_id"], (0.5, 0.95, 0.99))
-    return q.select("endpoint_id", *[F.round(c, 6).alias(c) for c in ("p50", "p95", "p99")])
+    return attribution.latency(R.query_log(Tables(spark, d)))
 
 
 @query

@@ -37,3 +37,13 @@ def test_percent_rank_matches_window(spark, skewed):
 def test_global_median(spark):
     df = spark.createDataFrame([(float(x),) for x in [5, 1, 3, 2, 4, 4]], "v double")
     assert quantiles.exact_quantile(df, "v", 0.5) == pytest.approx(3.5)
+
+
+def test_latency_exact_and_approximate(spark, skewed):
+    from meterlake.operators.attribution import latency
+    df, _ = skewed
+    ex = {r.k: (r.p50, r.p95) for r in latency(df, "v", "k", (0.5, 0.95)).collect()}
+    ap = {r.k: (r.p50, r.p95) for r in latency(df, "v", "k", (0.5, 0.95), exact=False).collect()}
+    assert set(ex) == set(ap)
+    for k in ex:  # the sketch returns an observed value near the exact (interpolated) quantile
+        assert abs(ap[k][0] - ex[k][0]) <= 0.05 * max(1.0, abs(ex[k][0])) + 1.0
