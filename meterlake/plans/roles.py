@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.columns import QTY, last_days, ntz_lit
 from meterlake.operators import pricing
+from meterlake.operators.quality import KeyDecl
 from meterlake.sources.tables import Tables
 
 # ---- fixed values of the test roles -------------------------------------------------
@@ -242,8 +243,8 @@ def nested_usage(t: Tables, window: bool = True) -> DataFrame:
 
 
 # ---- declared keys of the fixture tables (for DQ-*) ------------------------------------------
-def fixture_keys():
-    from meterlake.operators.quality import KeyDecl
+def fixture_keys() -> dict[str, KeyDecl]:
+    """Declared keys of the test tables (composite key on lineitem, foreign keys to parents)."""
     return {
         "orders": KeyDecl(("o_orderkey",), (("o_custkey", "customer", "c_custkey"),)),
         "lineitem": KeyDecl(("l_orderkey", "l_linenumber"),
@@ -270,8 +271,7 @@ def tenant_facts(t: Tables) -> dict[str, DataFrame]:
 # ---- sync sources: the same tables at two points in time --------------------------------
 def events_at_first_sync(t: Tables) -> DataFrame:
     """Events as the source looked at the first sync (rows up to the first mark)."""
-    from meterlake.functions.columns import ntz_lit as _n
-    return t.events.filter(F.col("ts") <= _n(SYNC_FIRST_MARK))
+    return t.events.filter(F.col("ts") <= ntz_lit(SYNC_FIRST_MARK))
 
 
 ORDERS_FIRST_MARK = dt.datetime(1998, 1, 1)
