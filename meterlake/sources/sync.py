@@ -146,12 +146,24 @@ def copy_incremental(df: DataFrame, target: str, ts_col: str, lo, hi, batch_id:
 
 
 # ---- sync log (SNK-6) --------------------------------------------------------------------
+#   <log>/commits/day=<UTC day>/commit-<seq>-<id>/   one folder per commit (the commit point)
+#   <log>/snapshots/gen=<seq>/                       latest successful row per table up to <seq>
+# ``seq`` is the UTC clock in microseconds x 1000 plus a per-process counter, so the day of
+# any seq is known without reading.
+LOG_COLUMNS = [c.split()[0] for c in LOG_SCHEMA.split(", ")]
+
+
+def _seq_day(seq: int) -> dt.date:
+    return dt.datetime.fromtimestamp(seq // 1_000_000_000, dt.timezone.utc).date()
+
+
 def log_sync(spark: SparkSession, log_path: str, rows: list[dict]) -> None:
     """Append log rows. The log write is the commit point of a batch.
 
-    Every commit is its own folder (``commit-<seq>-<id>``): concurrent table jobs never
-    share a write staging area, and a commit becomes visible only once its job has
-    committed.
+    Every commit is its own folder: concurrent table jobs never share a write staging
+    area, and a commit becomes visible only once its job has committed. Commits are
+    grouped in day folders so state lookups read only the days after the latest
+    snapshot.
     """
     now = dt.datetime.now(dt.timezone.utc)
     recs = []
@@ -160,28 +172,77 @@ def log_sync(spark: SparkSession, log_path: str, rows: list[dict]) -> None:
                      r.get("last_sync_timestamp"), r["last_sync_mode"], r.get("sync_status", "SUCCESS"), now,
                      r.get("batch_id"), time.time_ns() // 1000 * 1000 + next(_seq) % 1000,
                      r.get("rows"), r.get("null_marks"), r.get("error")))
-    name = f"commit-{recs[0][8]:020d}-{uuid.uuid4().hex[:8]}"
-    spark.createDataFrame(recs, LOG_SCHEMA).coalesce(1).write.mode("error").parquet(f"{log_path}/{name}")
+    seq = recs[0][8]
+    path = f"{log_path}/commits/day={_seq_day(seq).isoformat()}/commit-{seq:020d}-{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame(recs, LOG_SCHEMA).coalesce(1).write.mode("error").parquet(path)
+
+
+def _empty_log(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], LOG_SCHEMA)
+
+
+def read_log(spark: SparkSession, log_path: str, since: dt.date | None = None) -> DataFrame:
+    """Log rows of every commit, or of the commits made on ``since`` or later."""
+    if since is None:
+        pattern = f"{log_path}/commits/day=*/commit-*"
+    else:
+        today = dt.datetime.now(dt.timezone.utc).date()
+        days = [(since + dt.timedelta(days=i)).isoformat() for i in range((today - since).days + 1)]
+        pattern = f"{log_path}/commits/day={{{','.join(days)}}}/commit-*"
+    try:
+        return spark.read.schema(LOG_SCHEMA).parquet(pattern).select(*LOG_COLUMNS)
+    except AnalysisException:  # no commit (in that span) yet
+        return _empty_log(spark)
+
+
+def _latest(log: DataFrame) -> DataFrame:
+    """Newest successful log row per table (``max_by`` on ``seq``), all log columns."""
+    rest = [c for c in LOG_COLUMNS if c not in ("schema_name", "table_name")]
+    m = F.max_by(F.struct(*rest), "seq").alias("s")
+    return (log.filter(F.col("sync_status") == "SUCCESS").groupBy("schema_name", "table_name").agg(m)
+            .select("schema_name", "table_name", *[F.col(f"s.{c}").alias(c) for c in rest]))
+
+
+def snapshot_state(spark: SparkSession, log_path: str) -> int | None:
+    """Write the current state as a snapshot generation; returns its ``seq`` (None if no log).
+
+    Run it periodically (e.g. daily): later state lookups read the newest snapshot plus
+    the commits made since, however long the log's history is.
+    """
+    state = _current(spark, log_path).cache()
+    try:
+        top = state.agg(F.max("seq")).first()[0]
+        if top is None:
+            return None
+        state.coalesce(1).write.mode("error").parquet(f"{log_path}/snapshots/gen={top:020d}")
+        return int(top)
+    finally:
+        state.unpersist()
 
 
-def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+def _current(spark: SparkSession, log_path: str) -> DataFrame:
     try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{log_path}/commit-*")
-    except Exception:  # noqa: BLE001 - no log yet
-        return spark.createDataFrame([], LOG_SCHEMA)
+        snaps = spark.read.parquet(f"{log_path}/snapshots")
+        gen = snaps.agg(F.max("gen")).first()[0]
+    except AnalysisException:  # no snapshot yet
+        return _latest(read_log(spark, log_path))
+    if gen is None:
+        return _latest(read_log(spark, log_path))
+    gen = int(gen)
+    base = snaps.filter(F.col("gen") == gen).select(*LOG_COLUMNS)
+    recent = read_log(spark, log_path, since=_seq_day(gen)).filter(F.col("seq") > gen)
+    return _latest(base.unionByName(recent))
 
 
 def sync_state(spark: SparkSession, log_path: str) -> DataFrame:
-    """Current state per table: the newest *successful* log row (``max_by`` on ``seq``).
+    """Current state per table: the newest *successful* log row.
 
     Columns are those of the control table: ``schema_name, table_name,
     full_table_name, last_sync_timestamp, last_sync_mode, sync_status, updated_at``.
     """
-    cols = ["full_table_name", "last_sync_timestamp", "last_sync_mode", "sync_status", "updated_at"]
-    log = read_log(spark, log_path).filter(F.col("sync_status") == "SUCCESS")
-    m = F.max_by(F.struct(*cols), "seq").alias("s")
-    return log.groupBy("schema_name", "table_name").agg(m).select(
-        "schema_name", "table_name", *[F.col(f"s.{c}").alias(c) for c in cols])
+    return _current(spark, log_path).select(
+        "schema_name", "table_name", "full_table_name", "last_sync_timestamp", "last_sync_mode",
+        "sync_status", "updated_at")
 
 
 def _state_row(spark, log_path, schema, table):

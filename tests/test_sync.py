@@ -135,3 +135,18 @@ def test_lookback_picks_up_late_rows_once(spark, workdir):
         sync.sync_table(spark, late, "s", "e", tgt, log, ts_override="ts",
                         lookback=dt.timedelta(days=5), key=["id"])
     assert sorted(x.id for x in sync.read_target(spark, tgt, log).collect()) == [1, 2, 3, 4]
+
+
+def test_state_from_snapshot_plus_recent_commits(spark, workdir):
+    tgt, log = f"{workdir}/t", f"{workdir}/log"
+    src = _ev(spark, [(1, 1, 0)])
+    sync.sync_table(spark, src, "s", "e", tgt, log, ts_override="ts")
+    sync.sync_table(spark, spark.createDataFrame([(1,)], "n int"), "s", "n", f"{workdir}/n", log)
+    gen = sync.snapshot_state(spark, log)
+    assert gen is not None
+    r = sync.sync_table(spark, _ev(spark, [(1, 1, 0), (2, 2, 0)]), "s", "e", tgt, log, ts_override="ts")
+    assert r.mode == sync.INCREMENTAL and r.rows == 1  # the mark came from the snapshot
+    st_ = {x.table_name: x for x in sync.sync_state(spark, log).collect()}
+    assert st_["e"].last_sync_timestamp == dt.datetime(2024, 1, 2) and st_["e"].last_sync_mode == "INCREMENTAL"
+    assert st_["n"].last_sync_mode == "FULL"
+    assert sync.read_log(spark, log).count() == 3
