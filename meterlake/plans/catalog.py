@@ -469,9 +469,11 @@ def sync_state_upsert(spark, d):
     t = Tables(spark, d)
     root = fresh_dir(spark, "sync-state")
     log = f"{root}/log"
-    for ev in (R.events_at_first_sync(t), t.events):
+    for i, ev in enumerate((R.events_at_first_sync(t), t.events)):
         sync.sync_table(spark, ev, "tpch", "events", f"{root}/events", log, ts_override="ts")
         sync.sync_table(spark, t.nation, "tpch", "nation", f"{root}/nation", log)
+        if i == 0:
+            sync.snapshot_state(spark, log)  # later lookups: snapshot + commits since
     return sync.sync_state(spark, log).drop("updated_at")
 
 
