@@ -310,6 +310,9 @@ def sync_table(spark: SparkSession, source: DataFrame, schema: str, table: str,
         else:
             bid = copy_full(source, target, ts_col, sort_col=ts_col)
             rows, mark, nulls = _loaded_stats(spark, target, ts_col, batch_id=None if is_date else bid)
+            if rows == 0 and not is_date:
+                # a partitioned write of no rows creates no file; keep the schema readable
+                source.limit(0).write.mode("overwrite").parquet(f"{target}/{BATCH_COL}={bid}")
         if is_date and mark is not None and not isinstance(mark, dt.datetime):
             mark = dt.datetime.combine(mark, dt.time())
         log_sync(spark, log_path, [dict(schema_name=schema, table_name=table, last_sync_timestamp=mark,

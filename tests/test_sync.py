@@ -150,3 +150,13 @@ def test_state_from_snapshot_plus_recent_commits(spark, workdir):
     assert st_["e"].last_sync_timestamp == dt.datetime(2024, 1, 2) and st_["e"].last_sync_mode == "INCREMENTAL"
     assert st_["n"].last_sync_mode == "FULL"
     assert sync.read_log(spark, log).count() == 3
+
+
+def test_empty_full_load_is_readable(spark, workdir):
+    tgt, log = f"{workdir}/t", f"{workdir}/log"
+    r = sync.sync_table(spark, _ev(spark, [(1, 1, 0)]).limit(0), "s", "e", tgt, log, ts_override="ts")
+    assert r.mode == sync.FULL and r.rows == 0
+    out = sync.read_target(spark, tgt, log)
+    assert out.count() == 0 and out.columns == ["id", "ts"]
+    r2 = sync.sync_table(spark, _ev(spark, [(1, 1, 0), (2, 2, 0)]), "s", "e", tgt, log, ts_override="ts")
+    assert r2.mode == sync.INCREMENTAL and sync.read_target(spark, tgt, log).count() == 2
