@@ -123,7 +123,7 @@ def copy_incremental(df: DataFrame, target: str, ts_col: str, lo, hi, batch_id:
     """
     if _is_date(df, ts_col):
         day = lo.date() if isinstance(lo, dt.datetime) else lo
-        new = df.filter(F.col(ts_col) >= date_lit(day))
+        new = df if day is None else df.filter(F.col(ts_col) >= date_lit(day))  # no mark yet: every day
         if hi is not None:
             new = new.filter(F.col(ts_col) <= date_lit(hi))
         (new.sortWithinPartitions(ts_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -273,7 +273,10 @@ def _loaded_stats(spark, target, ts_col, batch_id=None, from_day=None):
         except AnalysisException:  # an empty batch writes no partition folder
             return 0, None, 0
     else:
-        df = spark.read.parquet(target)
+        try:
+            df = spark.read.parquet(target)
+        except AnalysisException:  # nothing written (no partition folder yet)
+            return 0, None, 0
         if from_day is not None:
             df = df.filter(F.col(ts_col) >= date_lit(from_day))
     aggs = [F.count(F.lit(1)).alias("rows")]
@@ -310,9 +313,13 @@ def sync_table(spark: SparkSession, source: DataFrame, schema: str, table: str,
         else:
             bid = copy_full(source, target, ts_col, sort_col=ts_col)
             rows, mark, nulls = _loaded_stats(spark, target, ts_col, batch_id=None if is_date else bid)
-            if rows == 0 and not is_date:
+            if rows == 0:
                 # a partitioned write of no rows creates no file; keep the schema readable
-                source.limit(0).write.mode("overwrite").parquet(f"{target}/{BATCH_COL}={bid}")
+                # (for day partitions: an empty file under the NULL-day folder, which adds no rows)
+                folder = (f"{target}/{ts_col}=__HIVE_DEFAULT_PARTITION__" if is_date
+                          else f"{target}/{BATCH_COL}={bid}")
+                empty = source.limit(0).drop(ts_col) if is_date else source.limit(0)
+                empty.write.mode("overwrite").parquet(folder)
         if is_date and mark is not None and not isinstance(mark, dt.datetime):
             mark = dt.datetime.combine(mark, dt.time())
         log_sync(spark, log_path, [dict(schema_name=schema, table_name=table, last_sync_timestamp=mark,

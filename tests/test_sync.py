@@ -160,3 +160,16 @@ def test_empty_full_load_is_readable(spark, workdir):
     assert out.count() == 0 and out.columns == ["id", "ts"]
     r2 = sync.sync_table(spark, _ev(spark, [(1, 1, 0), (2, 2, 0)]), "s", "e", tgt, log, ts_override="ts")
     assert r2.mode == sync.INCREMENTAL and sync.read_target(spark, tgt, log).count() == 2
+
+
+def test_empty_full_load_with_date_column(spark, workdir):
+    tgt, log = f"{workdir}/t", f"{workdir}/log"
+    d = lambda rows: spark.createDataFrame(rows, "id int, usage_date date")
+    r = sync.sync_table(spark, d([]), "s", "u", tgt, log)
+    assert r.mode == sync.FULL and r.rows == 0
+    out = sync.read_target(spark, tgt, log)
+    assert out.count() == 0 and set(out.columns) == {"id", "usage_date"}
+    sync.sync_table(spark, d([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))]), "s", "u", tgt, log)
+    got = sync.read_target(spark, tgt, log)
+    assert sorted(x.id for x in got.collect()) == [1, 2]
+    assert got.schema["usage_date"].dataType.simpleString() == "date"
