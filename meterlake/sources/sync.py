@@ -288,7 +288,7 @@ def _loaded_stats(spark, target, ts_col, batch_id=None, from_day=None):
 
 def sync_table(spark: SparkSession, source: DataFrame, schema: str, table: str, target: str, log_path: str,
                force: bool = False, ts_override: str | None = None, lookback: dt.timedelta | None = None,
-               key: list[str] | None = None) -> SyncResult:
+               key: list[str] | None = None, state: dict | None = None) -> SyncResult:
     """SNK-4 + SNK-1..3 + SNK-6 for one table: pick the mode, copy, measure, commit to the log.
 
     The source is read once for the copy; the mark (``max`` of the sync column) and the
@@ -296,7 +296,8 @@ def sync_table(spark: SparkSession, source: DataFrame, schema: str, table: str,
     the newest row loaded (D-1) and no extra pass over the whole source is needed.
     """
     ts_col = get_timestamp_column(source, ts_override)
-    state = _state_row(spark, log_path, schema, table)
+    # ``state``: the run's state rows by (schema, table), read once by ``sync_all``
+    state = state.get((schema, table)) if state is not None else _state_row(spark, log_path, schema, table)
     mode = choose_mode(state is not None, force, ts_col)
     is_date = _is_date(source, ts_col)
     lo = None if mode != INCREMENTAL else state["last_sync_timestamp"]
@@ -342,10 +343,13 @@ def sync_all(spark: SparkSession, sources: dict[str, DataFrame], target_root: st
     ts_overrides = ts_overrides or {}
     names = [n for n in sources if n.split(".")[0] not in excluded and not n.split(".")[0].startswith("__")]
 
+    # one state lookup for the whole run (one row per table) instead of one per table
+    state = {(r["schema_name"], r["table_name"]): r for r in sync_state(spark, log_path).collect()}
+
     def run(name):
         schema, table = name.split(".", 1)
         return sync_table(spark, sources[name], schema, table, f"{target_root}/{schema}/{table}", log_path,
-                          force, ts_overrides.get(name))
+                          force, ts_overrides.get(name), state=state)
 
     if parallelism <= 1:
         return [run(n) for n in names]
