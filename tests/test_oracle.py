@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from meterlake.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 from tools.check_oracle import TABLES, digest
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,7 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(KEYS) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
