@@ -50,8 +50,10 @@ def _values(code: Column, segments) -> Column:
                      for w, shift, width in segments])
 
 
-def _masks(width: int, radius: int) -> list[int]:
-    return [sum(1 << i for i in c) for c in itertools.combinations(range(width), radius)]
+def _masks(width: int, radius: int) -> Column:
+    """All ``width``-bit masks of ``radius`` bits, as one literal: the plan stays small however many there are."""
+    values = (sum(1 << i for i in c) for c in itertools.combinations(range(width), radius))
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
 def top_k(codes: DataFrame, queries: DataFrame, dims: int, k: int = 10, n_rows: int | None = None) -> DataFrame:
@@ -83,15 +85,17 @@ def top_k(codes: DataFrame, queries: DataFrame, dims: int, k: int = 10, n_rows:
     best = done = None
     open_q = seek
     for radius in range(max(width for _, _, width in segments) + 1):
-        masks = F.array(*[F.array(*[F.lit(x).cast("long") for x in _masks(width, radius)]).cast("array<bigint>")
-                          for _, _, width in segments])
+        masks = F.lit(None).cast("array<bigint>")
+        for w in sorted({w for _, _, w in segments if w >= radius}):
+            masks = F.when(F.col("seg").isin([i for i, x in enumerate(segments) if x[2] == w]), _masks(w, radius)).otherwise(masks)
         probe = open_q.select("q", "qcode", F.posexplode(_values(F.col("qcode"), segments)).alias("seg", "qvalue")) \
-            .select("q", "qcode", "seg", "qvalue", F.explode(F.element_at(masks, F.col("seg") + 1)).alias("mask")) \
+            .select("q", "qcode", "seg", "qvalue", F.explode(masks).alias("mask")) \
             .select("q", "qcode", "seg", F.col("qvalue").bitwiseXOR(F.col("mask")).alias("value"))
         # a code met in several segments is taken in the first of its closest segments only
         apart = F.transform(F.arrays_zip(_values(F.col("qcode"), segments).alias("x"), _values(F.col("code"), segments).alias("y")),
                             lambda z: F.bit_count(z["x"].bitwiseXOR(z["y"])))
-        found = probe.join(entry, ["seg", "value"]) \
+        # merge: the optimiser takes the probes for as small as the queries they are made from and would broadcast them
+        found = probe.hint("merge").join(entry, ["seg", "value"]) \
             .filter(F.array_position(apart, F.array_min(apart)) == F.col("seg") + 1) \
             .filter(F.array_min(apart) == radius) \
             .select("q", "code", "copies", distance(F.col("qcode"), F.col("code"), words).alias("d"))
