@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from meterlake.llm import bpe, decontaminate, hamming, html, records, repeats, shards, urls
+from meterlake.llm import bpe, decontaminate, hamming, html, minhash, records, repeats, shards, urls
 from meterlake.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 BPE_JSON = "byte_bpe_50k.json"
 
 
+def op1_order_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_link_trust(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -44,7 +48,7 @@ def op10_hamming(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_link_trust, op3_byte_bpe, op4_html_text, op5_suffix_repeats, op6_benchmark_ngrams,
+    op1_order_minhash, op2_link_trust, op3_byte_bpe, op4_html_text, op5_suffix_repeats, op6_benchmark_ngrams,
     op8_records, op9_rendezvous, op10_hamming)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
