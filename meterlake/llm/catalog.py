@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from meterlake.llm import bpe, decontaminate, hamming, html, minhash, records, repeats, shards, urls
+from meterlake.llm import bpe, decontaminate, hamming, html, minhash, quality, records, repeats, shards, urls
 from meterlake.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -35,6 +35,10 @@ def op6_benchmark_ngrams(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_kneser_ney(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_records(spark, sf_dir):
     return records.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_JSON))
 
@@ -48,7 +52,7 @@ def op10_hamming(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_order_minhash, op2_link_trust, op3_byte_bpe, op4_html_text, op5_suffix_repeats, op6_benchmark_ngrams,
+    op1_order_minhash, op2_link_trust, op3_byte_bpe, op4_html_text, op5_suffix_repeats, op6_benchmark_ngrams, op7_kneser_ney,
     op8_records, op9_rendezvous, op10_hamming)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
