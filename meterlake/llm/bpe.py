@@ -28,7 +28,7 @@ from meterlake.llm.pieces import PieceCache
 BITS, SHIFT = 8, 24
 MASK = (1 << BITS) - 1
 #: Pre-tokens held by a worker, and the characters of the longest one held.
-HELD, LONGEST = 400_000, 100
+HELD, LONGEST = 1_200_000, 100
 
 
 class Merges(NamedTuple):
@@ -123,22 +123,20 @@ def _codec(path: str, pattern: str) -> tuple[PieceCache, list[bytes]]:
     vocabulary = merges(ranks)
     find = regex.compile(pattern).findall
 
-    known: dict[str, list[int]] = {}
+    known: dict[str, bytes] = {}
 
-    def ids_of(token: str) -> list[int]:
-        ids = known.get(token)
-        if ids is None:
-            ids = encode_bytes(token.encode(), vocabulary)
-            if len(token) <= LONGEST:
-                known[token] = ids
-        return ids
+    def ids_of(token: str) -> bytes:
+        ids = encode_bytes(token.encode(), vocabulary)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(token) <= LONGEST:
+            known[token] = packed
+        return packed
 
     def encode(texts: list[str]) -> Iterator[bytes]:
         if len(known) > HELD:
             known.clear()
         for text in texts:
-            ids = [i for token in find(text) for i in ids_of(token)]
-            yield struct.pack(f"<{len(ids)}I", *ids)
+            yield b"".join([known.get(token) or ids_of(token) for token in find(text)])
 
     tokens = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():

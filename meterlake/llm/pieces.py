@@ -27,7 +27,7 @@ def pieces(text: str) -> list[str]:
 class PieceCache(dict):
     """piece -> little-endian uint32 ids; emptied when ``limit`` pieces are held, so its memory is bounded."""
 
-    def __init__(self, encode, limit: int = 300_000, longest: int = 200):
+    def __init__(self, encode, limit: int = 400_000, longest: int = 200):
         super().__init__()
         self.encode, self.limit, self.longest = encode, limit, longest
 
