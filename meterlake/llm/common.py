@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake.session import fresh_dir
@@ -32,6 +32,16 @@ def lower_ascii(col):
         .otherwise(F.translate(col, A_TO_Z, A_TO_Z.lower()))
 
 
+def row_key(id_col: str = "doc_id") -> list[Column]:
+    """Columns k1, k2: two 64-bit hashes of a row's id and text. Rows alike in both share them."""
+    return [F.xxhash64(id_col, "text").alias("k1"), F.xxhash64(F.lit(71), F.col("text"), F.col(id_col)).alias("k2")]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``row`` (all of the row's columns, whatever their names) and its ``k1, k2``."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_key())
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

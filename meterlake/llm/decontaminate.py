@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import lower_ascii, written
+from meterlake.llm.common import keyed, lower_ascii, row_key, written
 
 N = 10
 #: Separators of words once A-Z are lower-cased; and of words in the text as it is.
@@ -38,18 +38,13 @@ def windows(benchmark: DataFrame, n: int = N) -> DataFrame:
         .distinct().withColumn("hash", F.xxhash64("window"))
 
 
-def _row_key(id_col: str) -> list[Column]:
-    """Two 64-bit hashes that tell rows apart; rows alike in id and text may share what is found."""
-    return [F.xxhash64(id_col, "text").alias("k1"), F.xxhash64(F.lit(31), F.col("text"), F.col(id_col)).alias("k2")]
-
-
 def hits(docs: DataFrame, benchmark: DataFrame, n: int = N, id_col: str = "doc_id") -> DataFrame:
     """Occurrences ``(k1, k2, p, len, item_id)``: the window at word ``p`` of a row is one of the item's."""
     bench = written(windows(benchmark, n), "windows")
     bounded = bench.count() * n <= BROADCAST_ROWS
     hint = F.broadcast if bounded else (lambda df: df)
     lengths = [r["len"] for r in bench.select("len").distinct().orderBy("len").collect()]  # n values at most
-    texts = docs.select(*_row_key(id_col), words(F.col("text")).alias("w"))
+    texts = docs.select(*row_key(id_col), words(F.col("text")).alias("w"))
     out = None
     for size in sorted({(k + 1) // 2 for k in lengths}):
         mine = [k for k in lengths if (k + 1) // 2 == size]
@@ -90,7 +85,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFram
     each. An empty benchmark contaminates nothing. Other columns are ignored.
     """
     found = _by_row(hits(docs, benchmark, n))
-    rows = docs.select("doc_id", *_row_key("doc_id"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    rows = docs.select("doc_id", *row_key(), F.size(words(F.col("text"))).cast("long").alias("n_words"))
     return rows.join(found, ["k1", "k2"], "left").select(
         "doc_id", "n_words", F.coalesce(F.size("hit"), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
@@ -106,12 +101,12 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N, whole_docume
     an empty text. All columns stay; the order of columns too.
     """
     found = _by_row(hits(docs, benchmark, n)).select("k1", "k2", "hit")
-    keyed = docs.select("*", *_row_key("doc_id"))
     if whole_documents:
-        return keyed.join(found, ["k1", "k2"], "left_anti").select(*docs.columns)
-    between = F.split("text", WORD)
-    kept = F.filter(F.transform(F.regexp_extract_all("text", F.lit(f"({WORD})")), lambda w, i: F.when(
+        return keyed(docs).join(found, ["k1", "k2"], "left_anti").select("row.*")
+    text = F.col("row.text")
+    between = F.split(text, WORD)
+    kept = F.filter(F.transform(F.regexp_extract_all(text, F.lit(f"({WORD})")), lambda w, i: F.when(
         ~F.array_contains("hit", i), F.concat(w, F.element_at(between, i + 2)))), lambda x: x.isNotNull())
     cut = F.concat(F.element_at(between, 1), F.array_join(kept, ""))
-    return keyed.join(found, ["k1", "k2"], "left") \
-        .withColumn("text", F.when(F.col("hit").isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)
+    return keyed(docs).join(found, ["k1", "k2"], "left") \
+        .select(F.col("row").withField("text", F.when(F.col("hit").isNull(), text).otherwise(cut)).alias("row")).select("row.*")

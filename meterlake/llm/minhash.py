@@ -26,10 +26,10 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import components, written
+from meterlake.llm.common import components, keyed, row_key, written
 
 K, L, SKETCHES = 5, 3, 40
 SIMILARITY = 0.8
@@ -182,10 +182,6 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
 
 # ---- Spark ------------------------------------------------------------------------------
 
-def _row_key(id_col: str = "doc_id") -> list[Column]:
-    return [F.xxhash64(id_col, "text").alias("k1"), F.xxhash64(F.lit(71), F.col("text"), F.col(id_col)).alias("k2")]
-
-
 def sketches(docs: DataFrame) -> DataFrame:
     """Per row: row key, hash of its words (h1, h2), number of words, sketches, word bitmap. Rows
     without words have null sketches."""
@@ -210,7 +206,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     ["doc_id", "k1", "k2", "h1", "h2", "n", "keys", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", *_row_key(), "text").mapInArrow(
+    return docs.select("doc_id", *row_key(), "text").mapInArrow(
         run, f"doc_id {kind}, k1 long, k2 long, h1 long, h2 long, n int, keys array<long>, bits array<long>")
 
 
@@ -238,7 +234,7 @@ def _words_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(
                     [words(t, hashes).tobytes() for t in part.column(1).to_pylist()], pa.binary())], ["node", "seq"])
 
-    texts = docs.select(*_row_key(), "text").join(nodes, ["k1", "k2"]).dropDuplicates(["node"])
+    texts = docs.select(*row_key(), "text").join(nodes, ["k1", "k2"]).dropDuplicates(["node"])
     return texts.select("node", "text").mapInArrow(run, "node long, seq binary")
 
 
@@ -307,4 +303,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     of = classes(docs).groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("k1")).alias("alone")) \
         .agg(F.min_by(F.struct("k1", "k2"), F.struct(F.coalesce(F.col("doc_id") != F.col("class_id"), F.lit(True)), "k1", "k2")).alias("one"))
     chosen = of.select("one.k1", "one.k2")
-    return docs.select("*", *_row_key()).join(chosen, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(*docs.columns)
+    return keyed(docs).join(chosen, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("row.*")

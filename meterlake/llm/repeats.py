@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import written
+from meterlake.llm.common import keyed, row_key, written
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 CHUNK = 1 << 17  # window starts handled at once, so that a text of any length needs bounded memory
@@ -131,10 +131,6 @@ def reach(n: int, place: int, unit: Unit) -> tuple[int, int]:
 
 # ---- passes -----------------------------------------------------------------------------
 
-def _row_key(id_col: str = "doc_id"):
-    return [F.xxhash64(id_col, "text").alias("k1"), F.xxhash64(F.lit(53), F.col("text"), F.col(id_col)).alias("k2")]
-
-
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -161,7 +157,7 @@ def _anchor_rows(docs: DataFrame, unit: Unit) -> DataFrame:
                     pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), pa.array(grams.view(np.int64)),
                     pa.array(np.array(around, np.uint64).view(np.int64))], ["k1", "k2", "place", "l", "r", "g", "c"])
 
-    return docs.select(*_row_key(), "text").mapInArrow(_merged(run), "k1 long, k2 long, place long, l int, r int, g long, c long")
+    return docs.select(*row_key(), "text").mapInArrow(_merged(run), "k1 long, k2 long, place long, l int, r int, g long, c long")
 
 
 def _merged(run, rows: int = 20_000):
@@ -243,7 +239,7 @@ def covered(docs: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
     seen = first.join(groups, ["g", "c"]).withColumn("goes_on", (F.col("kinds") > 1) & (F.struct("k1", "k2", "place") == F.col("one")))
     seen = seen.filter("n > 1 or goes_on").groupBy("k1", "k2").agg(
         F.collect_set(F.struct("place", (F.col("n") > 1).alias("whole"), "goes_on", "l", "r")).alias("all"))
-    texts = written(docs.select(*_row_key(), "text").join(seen, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    texts = written(docs.select(*row_key(), "text").join(seen, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
                     .select(F.monotonically_increasing_id().alias("did"), "k1", "k2", "text", "all"), "texts")
     rows = texts.select("did", F.inline("all"))
     whole = rows.filter("whole").select("did", (F.col("place") - F.col("l")).alias("lo"), (F.col("place") + unit.gram + F.col("r")).alias("hi"))
@@ -314,7 +310,7 @@ def byte_report(docs: DataFrame, unit: Unit = BYTES_400) -> DataFrame:
 
     found = written(_cut(docs, unit, change, "k1 long, k2 long, n_removed long, n_spans long, sha string"), "cut")
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", *_row_key(), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(F.encode(text, "UTF-8"), 256).alias("all"))
+    rows = docs.select("doc_id", *row_key(), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(F.encode(text, "UTF-8"), 256).alias("all"))
     return rows.join(found, ["k1", "k2"], "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("sha", "all").alias("kept_sha256"))
@@ -339,5 +335,5 @@ def remove_repeats(docs: DataFrame, unit: Unit = WORDS_50) -> DataFrame:
         return ("".join([*out, text[at:]]),)
 
     found = written(_cut(docs, unit, change, "k1 long, k2 long, cut string"), "cut")
-    return docs.select("*", *_row_key()).join(found, ["k1", "k2"], "left") \
-        .withColumn("text", F.coalesce("cut", "text")).select(*docs.columns)
+    return keyed(docs).join(found, ["k1", "k2"], "left") \
+        .select(F.col("row").withField("text", F.coalesce("cut", "row.text")).alias("row")).select("row.*")
