@@ -32,6 +32,8 @@ FRAME = struct.Struct("<QI")
 HEADER = struct.Struct("<q?B")
 END_ID = 0
 BUFFER = 4 << 20
+#: Pieces held by a worker: about 250 MB.
+HELD = 1_200_000
 
 
 def masked_crc(data: bytes) -> int:
@@ -88,7 +90,7 @@ def _cache(tokenizer: str) -> tuple[PieceCache, int]:
         for e in lib.encode_batch_fast(texts, add_special_tokens=False):
             yield struct.pack(f"<{len(e.ids)}I", *e.ids)
 
-    return PieceCache(encode), 2 if lib.get_vocab_size() <= 1 << 16 else 4
+    return PieceCache(encode, HELD), 2 if lib.get_vocab_size() <= 1 << 16 else 4
 
 
 def write_records(docs: DataFrame, tokenizer: str, base: str, key: str = "doc_id") -> DataFrame:
