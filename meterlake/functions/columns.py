@@ -72,7 +72,7 @@ def between_marks(df: DataFrame, col: str, lo, hi) -> DataFrame:
     elif isinstance(dtype, DateType):
         lit = date_lit
     elif isinstance(dtype, TimestampType):
-        lit = lambda x: F.lit(_iso(x)).cast("timestamp")
+        lit = lambda x: F.lit(f"{_iso(x)}Z").cast("timestamp")  # noqa: E731  marks are UTC wall time
     else:
         lit = F.lit
     cond = F.lit(True)

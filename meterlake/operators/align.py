@@ -110,18 +110,24 @@ def consolidate(frames: dict[str, DataFrame | None], regionality: str = REGIONAL
     """UN-3 / UN-4: apply the table's regionality.
 
     GLOBAL  identical in every account: the primary (first) catalog only, None if it lacks it.
-    MIXED   account-level rows repeat in every catalog: union, then one row per ``key``
-            (``dropDuplicates`` is a keyed aggregate with map-side partial
-            aggregation). Without a key it behaves as REGIONAL.
+    MIXED   account-level rows repeat in every catalog: a key's rows are taken from the first
+            catalog that has it, all of them; rows whose key is not complete (any NULL)
+            are kept. Without a key it behaves as REGIONAL.
     other   aligned UNION ALL.
     """
     if regionality == GLOBAL:
         primary = next(iter(frames))
         return frames[primary]
-    out = aligned_union(frames)
-    if out is not None and regionality == MIXED and key:
-        out = out.dropDuplicates(list(key))
-    return out
+    if regionality != MIXED or not key:
+        return aligned_union(frames)
+    out = aligned_union({c: None if df is None else df.withColumn("__catalog", F.lit(i)) for i, (c, df) in enumerate(frames.items())})
+    if out is None:
+        return None
+    keyed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+    # the first catalog of each key: an aggregate of at most one row per key and catalog after its map side
+    first = out.filter(keyed).groupBy(*key).agg(F.min("__catalog").alias("__first"))
+    chosen = out.filter(keyed).join(first, list(key)).filter(F.col("__catalog") == F.col("__first")).drop("__first")
+    return chosen.unionByName(out.filter(~keyed)).drop("__catalog").select(*[c for c in out.columns if c != "__catalog"])
 
 
 def _excluded(name: str, excluded) -> bool:

@@ -62,7 +62,7 @@ def lineage_path(writes: DataFrame, reads: DataFrame, job: str = "job_id", table
 
 def unused_tables(writes: DataFrame, reads: DataFrame, table: str = "table_id") -> DataFrame:
     """JN-6: tables produced in the window with no counted read in the window (LEFT ANTI)."""
-    return writes.select(table).distinct().join(reads.select(table), table, "left_anti")
+    return writes.select(table).distinct().join(reads.select(table).distinct(), table, "left_anti")
 
 
 def lineage_edges(writes: DataFrame, reads: DataFrame, job: str = "job_id", table: str = "table_id",

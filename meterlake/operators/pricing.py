@@ -4,7 +4,9 @@ Prices keep history: one row per (sku, validity interval). Usage is priced with
 equi join on the SKU plus a half-open interval residual ``start <= d < end`` (a NULL
 end means "still valid"). The equi key lets Spark use a hash or sort-merge join with
 the interval as a residual filter, so no range-join machinery or cross product is
-needed; AQE's skew handling splits a SKU that carries an outsized share of usage.
+needed. A SKU that carries an outsized share of usage is split by AQE as long as the
+join's output does not feed an operator that needs the same partitioning; other columns
+of the price list (``keep``) come with the same join, so usage is not joined by SKU twice.
 """
 
 from __future__ import annotations
@@ -13,14 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from meterlake.functions.columns import MONEY, QTY, ntz_lit
+from meterlake.functions.columns import MONEY, ntz_lit
 
 
 def price_versions(dim: DataFrame, sku: str, base_price: str,
-                   versions: list[tuple[str, str | None, str]]) -> DataFrame:
+                   versions: list[tuple[str, str | None, str]], keep: dict[str, str] | None = None) -> DataFrame:
     """Expand a price list into validity versions ``(start, end, factor)``.
 
-    Output: ``sku, price_start_time, price_end_time, price`` with
+    Output: ``sku, price_start_time, price_end_time, price`` and the columns ``keep`` with
     ``price = round(base * factor, 2)`` in decimal. Uses ``explode`` (a generator,
     no join), so it is one narrow pass over ``dim``.
     """
@@ -30,9 +32,10 @@ def price_versions(dim: DataFrame, sku: str, base_price: str,
                  F.lit(f).cast("decimal(3,2)").alias("f"))
         for s, e, f in versions
     ])
+    keep = keep or {}  # output name -> column of ``dim``
     return (dim.select(F.col(sku).alias("sku"), F.col(base_price).alias("__base"),
-                       F.explode(arr).alias("__v"))
-            .select("sku",
+                       *[F.col(c).alias(name) for name, c in keep.items()], F.explode(arr).alias("__v"))
+            .select("sku", *keep,
                     F.col("__v.s").alias("price_start_time"),
                     F.col("__v.e").alias("price_end_time"),
                     F.round(F.col("__base").cast(MONEY) * F.col("__v.f"), 2).cast(MONEY).alias("price")))
@@ -44,18 +47,21 @@ def _valid(d: Column, start: Column, end: Column) -> Column:
 
 
 def price_usage(usage: DataFrame, prices: DataFrame, sku: str = "sku", date: str = "usage_date",
-                qty: str = "quantity") -> DataFrame:
-    """JN-1: attach the price valid on ``date`` and ``cost = qty * price`` (exact decimal).
+                qty: str = "quantity", keep: tuple[str, ...] = ()) -> DataFrame:
+    """JN-1: attach the price valid on ``date`` and ``cost = qty * price``.
+
+    Decimal and whole quantities are priced exactly, in their own precision; floating ones
+    stay floating. ``keep`` names further columns of ``prices`` to attach.
 
     Half-open intervals (D-11): touching versions never both match, and an open end
     keeps the current price. Rows without a valid price are dropped here; see
     :func:`unpriced` for the report of those rows.
     """
     p = prices.select(F.col("sku").alias("__sku"), F.col("price_start_time").alias("__ps"),
-                      F.col("price_end_time").alias("__pe"), "price")
+                      F.col("price_end_time").alias("__pe"), "price", *keep)
     j = usage.join(p, (F.col(sku) == F.col("__sku")) & _valid(F.col(date), F.col("__ps"), F.col("__pe")))
     return (j.drop("__sku", "__ps", "__pe")
-            .withColumn("cost", F.col(qty).cast(QTY) * F.col("price")))
+            .withColumn("cost", F.col(qty) * F.col("price")))
 
 
 def unpriced(usage: DataFrame, prices: DataFrame, sku: str = "sku", date: str = "usage_date") -> DataFrame:
@@ -82,20 +88,13 @@ def price_overlaps(prices: DataFrame) -> DataFrame:
 def latest(dim: DataFrame, key: str | list[str], order_cols: list[str]) -> DataFrame:
     """WN-1: the newest row per key of a history dimension.
 
-    Written as ``max(struct(order..., rest...))`` per key instead of a
-    ``row_number`` window: it is an ordinary aggregate with map-side partial
-    aggregation, so a key with a very long history is reduced before the shuffle and
-    never has to sit in one task. Ties on the order columns are broken by the
-    remaining columns, which makes the pick deterministic.
+    Written as ``max_by`` per key instead of a ``row_number`` window: it is an ordinary
+    aggregate with map-side partial aggregation, so a key with a very long history is
+    reduced before the shuffle and never has to sit in one task. Ties on the order columns
+    are broken by the remaining columns that can be ordered (all but maps).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in dim.columns if c not in keys and c not in order_cols]
-    packed = F.max(F.struct(*[F.col(c) for c in order_cols + rest])).alias("__m")
-    return dim.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"__m.{c}").alias(c) for c in dim.columns
-                                                          if c not in keys])
-
-
-def cost_by(priced: DataFrame, key: str | list[str], cost: str = "cost", out: str = "total_cost") -> DataFrame:
-    """AG-1: decimal cost per key (partial + final hash aggregate)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return priced.groupBy(*keys).agg(F.sum(cost).alias(out))
+    rest = [c for c in dim.columns if c not in keys]
+    ordered = [c for c in rest if c not in order_cols and "map<" not in dim.schema[c].dataType.simpleString()]
+    newest = F.max_by(F.struct(*rest), F.struct(*order_cols, *ordered)).alias("__m")
+    return dim.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"__m.{c}").alias(c) for c in rest])

@@ -42,13 +42,13 @@ def pk_nulls(df: DataFrame, pk) -> DataFrame:
 def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """DQ-3 / JN-7: foreign-key values with no parent row, and how many child rows carry each.
 
-    A NULL foreign key is not an orphan. The parent side is reduced to its distinct
-    keys before the anti join; the child side is aggregated per orphan value after.
+    A NULL foreign key is not an orphan. The child side is counted per value (map-side
+    first, so a busy value is one row before the shuffle) and the parent side reduced to
+    its distinct keys; only those meet in the anti join.
     """
     keys = parent.select(F.col(pk).alias("__pk")).distinct()
-    return (child.filter(F.col(fk).isNotNull())
-            .join(keys, F.col(fk) == F.col("__pk"), "left_anti")
-            .groupBy(F.col(fk).alias(_name(fk))).agg(F.count(F.lit(1)).alias("rows")))
+    counts = child.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias(_name(fk))).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.join(keys, F.col(_name(fk)) == F.col("__pk"), "left_anti")
 
 
 @dataclass(frozen=True)
@@ -79,7 +79,7 @@ def _table_lines(df: DataFrame, table: str, decl: KeyDecl, frames: dict[str, Dat
     pk = list(decl.primary_key)
     fks = list(decl.foreign_keys)
     pcols = [f"__p{i}" for i in range(len(pk))]
-    cur = df.selectExpr(*[f"`{c}` AS __p{i}" for i, c in enumerate(pk)],
+    cur = df.selectExpr(*[f"{_sql_path(c)} AS __p{i}" for i, c in enumerate(pk)],
                         *[f"{_sql_path(fk)} AS __f{j}" for j, (fk, _, _) in enumerate(fks)])
     for j, (_, ptable, pcol) in enumerate(fks):
         keys = frames[ptable].selectExpr(f"{_sql_path(pcol)} AS __k{j}").distinct()
@@ -117,27 +117,3 @@ def _table_lines(df: DataFrame, table: str, decl: KeyDecl, frames: dict[str, Dat
 def _sql_path(c: str) -> str:
     """A column or dotted struct path as SQL text with each part quoted."""
     return ".".join(f"`{p}`" for p in c.split("."))
-
-
-def _pk_line(df: DataFrame, pk: list[str], table: str) -> DataFrame:
-    # one pass: count per key value, then fold the groups into rows / nulls / duplicates
-    g = df.groupBy(*[F.col(c).alias(_name(c)) for c in pk]).agg(F.count(F.lit(1)).alias("__n"))
-    nullk = _any_null([_name(c) for c in pk])
-    return g.agg(
-        F.sum("__n").cast("bigint").alias("rows"),
-        F.count_if((F.col("__n") > 1) & ~nullk).cast("bigint").alias("duplicates"),
-        F.coalesce(F.sum(F.when(nullk, F.col("__n"))), F.lit(0)).cast("bigint").alias("nulls"),
-    ).select(F.lit(table).alias("table_name"), F.lit(f"pk({', '.join(pk)})").alias("key_name"),
-             F.lit("pk").alias("kind"), "rows", "duplicates", "nulls",
-             F.lit(0).cast("bigint").alias("orphans"))
-
-
-def _fk_line(df: DataFrame, col: str, parent: DataFrame, pcol: str, table: str, ptable: str) -> DataFrame:
-    keys = parent.select(F.col(pcol).alias("__pk")).distinct()
-    tagged = df.select(F.col(col).alias("__fk")).join(keys, F.col("__fk") == F.col("__pk"), "left")
-    return tagged.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("__fk").isNull()).cast("bigint").alias("nulls"),
-        F.count_if(F.col("__fk").isNotNull() & F.col("__pk").isNull()).cast("bigint").alias("orphans"),
-    ).select(F.lit(table).alias("table_name"), F.lit(f"fk({col} -> {ptable}.{pcol})").alias("key_name"),
-             F.lit("fk").alias("kind"), "rows", F.lit(0).cast("bigint").alias("duplicates"), "nulls", "orphans")

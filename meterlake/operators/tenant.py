@@ -9,6 +9,7 @@ otherwise a shuffled semi join), so a large dimension does not break the plan.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,23 +42,30 @@ def tenant_scope(fact: DataFrame, dim: DataFrame, key: str, sql_filter: str,
 
 
 def is_readable(df: DataFrame) -> bool:
-    """AG-18 / LIM-1: resolve the plan and read at most one row (no columns are read)."""
-    return df.limit(1).count() >= 0
+    """AG-18 / LIM-1: whether the plan resolves and a first row can be read (one row of one file at most)."""
+    try:
+        return len(df.limit(1).select(F.lit(1)).collect()) >= 0
+    except PySparkException:
+        return False
 
 
 def tenant_scope_all(facts: dict[str, DataFrame], dim: DataFrame, key: str, sql_filter: str,
                      dim_key: str | None = None, probe: bool = False
                      ) -> tuple[dict[str, DataFrame], list[str]]:
-    """TEN-3: scope every fact that has ``key``; return the scoped views and the skipped names."""
+    """TEN-3: scope every fact that has ``key``; return the scoped views and the skipped names.
+
+    With ``probe`` a fact that cannot be read is skipped too; the probe reads the fact itself, not its join.
+    """
     views: dict[str, DataFrame] = {}
     skipped: list[str] = []
     for name, fact in facts.items():
         if _find(fact, key) is None:
             skipped.append(name)
             continue
+        if probe and not is_readable(fact):
+            skipped.append(name)
+            continue
         views[name] = tenant_scope(fact, dim, key, sql_filter, dim_key)
-        if probe:
-            is_readable(views[name])
     return views, skipped
 
 

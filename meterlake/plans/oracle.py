@@ -6,6 +6,8 @@ statement of the expected result, used by the correctness gate.
 
 from __future__ import annotations
 
+import datetime as dt
+
 # ---- role fragments --------------------------------------------------------------------
 WIN_LINES = ("(SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-10-05' "
              "AND l_shipdate < TIMESTAMP '2001-11-05')")
@@ -84,7 +86,8 @@ FROM {JOBS_LATEST} j JOIN cost c ON j.job_id = c.job_id LEFT JOIN job_use u ON j
 # ---- consolidation ------------------------------------------------------------------------
 _A = "(SELECT * FROM orders WHERE o_orderstatus = 'F')"
 _B = "(SELECT * FROM orders WHERE o_orderstatus = 'O')"
-_C = "(SELECT * FROM orders WHERE o_orderstatus = 'P')"
+_C = "(SELECT * FROM orders WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O'))"
+_NOT_A = "(SELECT * FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F')"
 
 SQL["union_all_catalogs"] = f"""
 SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_totalprice, o_orderdate,
@@ -102,7 +105,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
        CAST(NULL AS VARCHAR) AS o_clerk FROM {_A}
 UNION ALL
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CAST(NULL AS VARCHAR),
-       CAST(o_custkey AS VARCHAR) FROM {_B}
+       CAST(o_custkey AS VARCHAR) FROM {_NOT_A}
 """
 
 SQL["union_type_mismatch_scalar"] = f"""
@@ -110,14 +113,14 @@ SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_tot
        o_orderpriority FROM {_A}
 UNION ALL
 SELECT o_orderkey, CAST(o_custkey AS VARCHAR), o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-FROM {_C}
+FROM {_NOT_A}
 """
 
 SQL["union_type_mismatch_struct"] = f"""
 SELECT o_orderkey, CAST(to_json(struct_pack(o_orderstatus := o_orderstatus, o_custkey := o_custkey)) AS VARCHAR)
        AS info FROM {_A}
 UNION ALL
-SELECT o_orderkey, CAST(to_json(struct_pack(o_orderstatus := o_orderstatus)) AS VARCHAR) FROM {_C}
+SELECT o_orderkey, CAST(to_json(struct_pack(o_orderstatus := o_orderstatus)) AS VARCHAR) FROM {_NOT_A}
 """
 
 SQL["union_global_primary_only"] = "SELECT * FROM nation"
@@ -536,4 +539,34 @@ FROM (VALUES (1, 4, 0), (2, 2, 2)) v(run, f, i)
 """
 
 SQL["compact_files"] = "SELECT * FROM events"
+SQL["sync_full_after_failure"] = "SELECT * FROM events"
+SQL["sync_uncommitted_hidden"] = f"SELECT * FROM events WHERE ts <= {_M1}"
+SQL["sync_late_rows"] = "SELECT * FROM events"
+SQL["sync_null_marks"] = "SELECT * REPLACE (CAST(NULL AS TIMESTAMP) AS ts) FROM events"
+SQL["published_views"] = """
+SELECT 'tpch__orders' AS view_name, count(*) AS rows FROM orders
+UNION ALL SELECT 'tpch__nation', count(*) FROM nation
+UNION ALL SELECT 'tpch__events', count(*) FROM events
+UNION ALL SELECT 'tpch__customer', count(*) FROM customer
+"""
+SQL["unpriced_usage"] = f"""
+SELECT resource_id, update_id, sku, usage_date, CAST(quantity AS DOUBLE) AS quantity, state
+FROM {usage('lineitem')} WHERE usage_date >= DATE '2001-01-01' OR usage_date < DATE '1990-01-01'
+"""
+SQL["price_overlaps"] = """
+SELECT p_partkey AS sku, TIMESTAMP '1990-01-01' AS price_start_time, TIMESTAMP '1998-01-01' AS price_end_time,
+       TIMESTAMP '1997-06-01' AS next_start FROM part
+"""
+SQL["explorer_search_by_type"] = f"SELECT * FROM {EXPLORER} x WHERE resource_type = 'TABLE' AND contains(lower(name), '1')"
+
+
+def _days(sql: str, days: int) -> str:
+    """The 30-day report over another number of days ending at the same dates."""
+    end, event_end = dt.date(2001, 11, 4), dt.date(2024, 1, 31)
+    first = f"TIMESTAMP '{end - dt.timedelta(days=days)}'", f"TIMESTAMP '{event_end - dt.timedelta(days=days)}'"
+    return sql.replace("TIMESTAMP '2001-10-05'", first[0]).replace("TIMESTAMP '2024-01-01'", first[1])
+
+
+SQL["explorer_7d"] = _days(SQL["resource_explorer"], 7)
+SQL["explorer_90d"] = _days(SQL["resource_explorer"], 90)
 SQL["stream_copy_available_now"] = "SELECT * FROM events"

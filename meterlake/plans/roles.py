@@ -60,38 +60,47 @@ def _state() -> F.Column:
 
 
 def usage_rows(t: Tables, window: bool = False, days: int = WINDOW_DAYS) -> DataFrame:
-    """Row-level usage: one row per line item, with its SKU family from ``part``."""
-    li = _lines(t, window, days).select(
+    """Row-level usage: one row per line item."""
+    return _lines(t, window, days).select(
         F.col("l_suppkey").alias("resource_id"), F.col("l_orderkey").alias("update_id"),
         F.col("l_partkey").alias("sku"), F.col("l_quantity").cast(QTY).alias("quantity"),
         F.col("l_shipdate").cast("date").alias("usage_date"), _state().alias("state"))
-    fam = t.part.select(F.col("p_partkey").alias("sku"), F.col("p_type").alias("family"))
-    return li.join(fam, "sku")
+
+
+def with_family(t: Tables, usage: DataFrame) -> DataFrame:
+    """Usage with its SKU family, for reports that need no price."""
+    return usage.join(t.part.select(F.col("p_partkey").alias("sku"), F.col("p_type").alias("family")), "sku")
 
 
 def usage_daily(t: Tables, window: bool = False, days: int = WINDOW_DAYS) -> DataFrame:
     """Usage pre-aggregated to ``(resource_id, sku, usage_date, state)`` before pricing.
 
     Quantities are exact decimals, so ``sum(q) * price == sum(q * price)``; the
-    aggregate runs map-side first and shrinks the input of the price and family
-    joins from one row per event to one row per resource, SKU and day.
+    aggregate runs map-side first and shrinks the input of the price join
+    from one row per event to one row per resource, SKU and day.
     """
-    li = _lines(t, window, days).groupBy(
+    return _lines(t, window, days).groupBy(
         F.col("l_suppkey").alias("resource_id"), F.col("l_partkey").alias("sku"),
         F.col("l_shipdate").cast("date").alias("usage_date"), _state().alias("state"),
     ).agg(F.sum(F.col("l_quantity").cast(QTY)).alias("quantity"))
-    fam = t.part.select(F.col("p_partkey").alias("sku"), F.col("p_type").alias("family"))
-    return li.join(fam, "sku")
 
 
-def prices(t: Tables) -> DataFrame:
-    """List prices with validity history: ``sku, price_start_time, price_end_time, price``."""
-    return pricing.price_versions(t.part, "p_partkey", "p_retailprice", PRICE_VERSIONS)
+def prices(t: Tables, versions=None) -> DataFrame:
+    """List prices with validity history: ``sku, family, price_start_time, price_end_time, price``.
+
+    The family comes from the same table, so usage joins by SKU once for both.
+    """
+    return pricing.price_versions(t.part, "p_partkey", "p_retailprice", versions or PRICE_VERSIONS, {"family": "p_type"})
+
+
+def priced_rows(t: Tables, window: bool = False, days: int = WINDOW_DAYS) -> DataFrame:
+    """Row-level usage with its valid price, family and exact ``cost``."""
+    return pricing.price_usage(usage_rows(t, window, days), prices(t), keep=("family",))
 
 
 def priced_daily(t: Tables, window: bool = True, days: int = WINDOW_DAYS) -> DataFrame:
     """Daily usage with its valid price and exact decimal ``cost``."""
-    return pricing.price_usage(usage_daily(t, window, days), prices(t))
+    return pricing.price_usage(usage_daily(t, window, days), prices(t), keep=("family",))
 
 
 def jobs_history(t: Tables) -> DataFrame:
@@ -143,27 +152,31 @@ def node_timeline(t: Tables) -> DataFrame:
 
 
 # ---- regional catalogs for the consolidation ------------------------------------------
-# which orders each regional catalog holds (every order is in exactly one catalog)
+# which orders a regional catalog holds; the last catalog of a set holds all the others
 CATALOG_ORDER_STATUS = {"A": "F", "B": "O", "C": "P"}
 
 
-def catalogs_orders(t: Tables) -> dict[str, DataFrame]:
-    """Orders held by three regional catalogs A, B, C (split by ``o_orderstatus``).
+def catalogs_orders(t: Tables, names: tuple[str, ...] = ("A", "B", "C")) -> dict[str, DataFrame]:
+    """Orders held by the regional catalogs ``names`` (split by ``o_orderstatus``).
 
-    A has every column; B lacks ``o_orderpriority`` and adds ``o_clerk``; C carries
-    ``o_custkey`` as a string (a scalar type mismatch).
+    Every order is in exactly one of them, whatever its status: the last one holds those of
+    no other, a NULL status included. A has every column; B lacks ``o_orderpriority`` and
+    adds ``o_clerk``; C carries ``o_custkey`` as a string (a scalar type mismatch).
     """
-    o = t.orders
-    part = {c: o.filter(F.col("o_orderstatus") == s) for c, s in CATALOG_ORDER_STATUS.items()}
-    a = part["A"]
-    b = part["B"].drop("o_orderpriority").withColumn("o_clerk", F.col("o_custkey").cast("string"))
-    c = part["C"].withColumn("o_custkey", F.col("o_custkey").cast("string"))
-    return {"A": a, "B": b, "C": c}
+    holder = F.lit(names[-1])
+    for c in reversed(names[:-1]):
+        holder = F.when(F.col("o_orderstatus") == CATALOG_ORDER_STATUS[c], c).otherwise(holder)
+    shapes = {
+        "A": lambda o: o,
+        "B": lambda o: o.drop("o_orderpriority").withColumn("o_clerk", F.col("o_custkey").cast("string")),
+        "C": lambda o: o.withColumn("o_custkey", F.col("o_custkey").cast("string")),
+    }
+    return {c: shapes[c](t.orders.filter(holder == c)) for c in names}
 
 
 def catalogs_struct(t: Tables) -> dict[str, DataFrame]:
     """Struct mismatch: ``info`` is struct(o_orderstatus, o_custkey) in A, struct(o_orderstatus) in C."""
-    cats = catalogs_orders(t)
+    cats = catalogs_orders(t, ("A", "C"))
     a = cats["A"].select("o_orderkey", F.struct("o_orderstatus", "o_custkey").alias("info"))
     c = cats["C"].select("o_orderkey", F.struct("o_orderstatus").alias("info"))
     return {"A": a, "C": c}
@@ -176,7 +189,8 @@ def catalogs_mixed_events(t: Tables) -> dict[str, DataFrame]:
     """Events in A (before Jan 16) and B (from Jan 16); account-level ``signup`` rows appear in both."""
     e = t.events
     signup = F.col("event_type") == "signup"
-    early = F.col("ts") < ntz_lit(EVENTS_SPLIT)
+    signup = F.coalesce(signup, F.lit(False))
+    early = F.coalesce(F.col("ts") < ntz_lit(EVENTS_SPLIT), F.lit(False))  # a NULL time goes to B
     return {"A": e.filter(early | signup), "B": e.filter(~early | signup)}
 
 
@@ -190,14 +204,15 @@ def catalogs_all(t: Tables) -> dict[str, dict[str, DataFrame]]:
     o = catalogs_orders(t)
     ev = catalogs_mixed_events(t)
     cust = t.customer
+    in_a = F.coalesce(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"), F.lit(False))
     return {
         "A": {"tpch.orders": o["A"], "tpch.nation": t.nation, "tpch.events": ev["A"],
-              "tpch.customer": cust.filter(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")),
+              "tpch.customer": cust.filter(in_a),
               "metadata.sync_log": t.region, "__staging.orders": o["A"], "tpch.__tmp": t.region},
         "B": {"tpch.orders": o["B"], "tpch.nation": t.nation, "tpch.events": ev["B"],
               "tpch.supplier": t.supplier},
         "C": {"tpch.orders": o["C"], "tpch.nation": t.nation,
-              "tpch.customer": cust.filter(~F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"))},
+              "tpch.customer": cust.filter(~in_a)},
     }
 
 
@@ -231,7 +246,7 @@ def pipeline_outputs(df: DataFrame) -> DataFrame:
 
 def nested_usage(t: Tables, window: bool = True) -> DataFrame:
     """Usage whose resource ids sit in a ``usage_metadata`` struct, as in the platform table."""
-    u = usage_daily(t, window)
+    u = with_family(t, usage_daily(t, window))
     meta = F.struct(
         F.col("resource_id").alias("job_id"),
         F.lit(None).cast("bigint").alias("cluster_id"),

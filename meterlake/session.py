@@ -7,7 +7,6 @@ runtime broadcast switching) and an explicit broadcast size bound.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -34,15 +33,22 @@ SQL_CONF = {
 
 def build_session(master: str | None = None, app: str = "meterlake",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """Create (or reuse) a session with the settings this library expects."""
+                  extra: dict[str, str] | None = None, sized_for: tuple[int, int] | None = None) -> SparkSession:
+    """Create (or reuse) a session with the settings this library expects.
+
+    The shuffle width is the cluster's unless ``shuffle_partitions`` or ``sized_for`` (bytes read,
+    executor cores; see ``scale_settings``) is given.
+    """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(SQL_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+    if sized_for:
+        conf.update(scale_settings(*sized_for))
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -54,13 +60,17 @@ def build_session(master: str | None = None, app: str = "meterlake",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's value is used as is. Only when it is unset (local runs, tests) a
-    folder is created and registered, so later calls and ``checkpoint()`` agree.
+    The cluster's value is used as is. Only when it is unset in a local run (tests) a
+    folder is created and registered, so later calls and ``checkpoint()`` agree; on a
+    cluster an unset value is an error, since executors do not share the driver's disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="meterlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
@@ -73,8 +83,8 @@ def fresh_dir(spark: SparkSession, prefix: str) -> str:
     """A new, unique folder under the shared folder (never reused, never cleared)."""
     base = shared_dir(spark)
     path = f"{base}/{prefix}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path
 
 

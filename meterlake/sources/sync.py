@@ -1,29 +1,30 @@
-"""SNK-1..10: full / incremental copy with a replay-safe, append-only sync log.
+"""SNK-1..10: full / incremental copy with an append-only sync log as the only commit point.
 
 Target layout (plain Parquet, no table format needed)::
 
-    <target>/_batch=<batch id>/part-*.parquet      timestamp sync column, or no sync column
-    <target>/<date column>=<day>/part-*.parquet    DateType sync column (D-2)
-
-* FULL / FULL_FALLBACK replace every file and the schema (D-4: the schema is always
-  replaced on a full overwrite).
-* INCREMENTAL loads rows with ``ts > lo`` (the bound is pushed into the scan). The
-  saved mark is the ``max(ts)`` of the rows actually written (D-1), read back from
-  the new batch -- not the wall clock, so no row newer than the mark is ever skipped.
-* The batch id is derived from the low mark, and the batch is written with dynamic
-  partition overwrite: re-running a batch (a crash between write and log, or an
-  executor loss that restarts the job) replaces that batch instead of appending it
-  twice (D-5).
-* A DATE sync column reloads whole days ``>= lo`` into day partitions, replacing
-  them, so the rest of a partly loaded day is not lost (D-2).
-* Readers see only batches committed in the log (``read_target``), and read with
-  ``mergeSchema`` so columns added by later batches appear (SNK-3).
+    <target>/full-<id>/part-*.parquet     one full load
+    <target>/inc-<id>/part-*.parquet      one incremental batch
+    <target>/compact-<id>/part-*.parquet  the live rows rewritten into larger files
+
+* Every load writes a folder of its own with a new id and changes no other. Its commit is one
+  log row, which lists the folders that make up the table from then on (``live``). A load
+  that fails, or whose log row was never written, leaves a folder that no row names: readers
+  do not see it and a new run copies its rows again. Nothing is overwritten in place, so a
+  failed full load leaves the old content readable.
+* FULL / FULL_FALLBACK start a new list, and with it a new schema (D-4).
+* INCREMENTAL loads rows with ``ts > lo`` (the bound is pushed into the scan) and adds its
+  folder to the list. The saved mark is the highest one written, never below the old mark,
+  and is taken from the new folder, not from the wall clock (D-1).
+* A DATE sync column reloads whole days ``>= lo`` (D-2): the older folders of the list are
+  visible only for days before ``lo`` from then on.
+* Readers read the folders that the table's newest log row names, with merged schemas, so
+  columns added by later batches appear (SNK-3).
+* One writer per table at a time; different tables may be synced at once.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 import itertools
 import math
 import time
@@ -31,15 +32,14 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
+from pyspark.sql.types import DateType, TimestampType
 
 from meterlake.functions.columns import between_marks, date_lit
 
 FULL, FULL_FALLBACK, INCREMENTAL = "FULL", "FULL_FALLBACK", "INCREMENTAL"
-BATCH_COL = "_batch"
+SUCCESS, COMPACTED, FAILED = "SUCCESS", "COMPACTED", "FAILED"
 
 # Sync-column candidates, matched case-insensitively, first match wins.
 SYNC_CANDIDATES = [
@@ -49,7 +49,8 @@ SYNC_CANDIDATES = [
 
 LOG_SCHEMA = ("schema_name string, table_name string, full_table_name string, "
               "last_sync_timestamp timestamp_ntz, last_sync_mode string, sync_status string, "
-              "updated_at timestamp, batch_id string, seq bigint, rows bigint, null_marks bigint, error string")
+              "updated_at timestamp, batch_id string, seq bigint, rows bigint, null_marks bigint, error string, "
+              "target string, mark_column string, live array<struct<folder:string,before:date>>")
 
 _seq = itertools.count()
 
@@ -87,67 +88,54 @@ def choose_mode(has_state: bool, force: bool, ts_col: str | None) -> str:
     return INCREMENTAL
 
 
-def _batch_id(lo) -> str:
-    if lo is None:
-        return "full"
-    return "b" + hashlib.sha1(str(lo).encode()).hexdigest()[:16]
-
-
 def _is_date(df: DataFrame, col: str | None) -> bool:
     return col is not None and isinstance(df.schema[col].dataType, DateType)
 
 
-def copy_full(df: DataFrame, target: str, ts_col: str | None = None, sort_col: str | None = None) -> str:
-    """SNK-1 / SNK-2: replace the target's data and schema with ``df``."""
-    if _is_date(df, ts_col):
-        out, part = df, ts_col
-    else:
-        out, part = df.withColumn(BATCH_COL, F.lit("full")), BATCH_COL
-    if sort_col:
-        out = out.sortWithinPartitions(sort_col)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(part).parquet(target))
-    return "full"
+def _write(df: DataFrame, target: str, kind: str, ts_col: str | None) -> str:
+    """Write ``df`` to a new folder of the target; returns the folder's name.
 
+    Rows are sorted by the sync column within files, so row-group statistics prune later
+    reads; rows of one day are brought together first, so that a day is not in every file.
+    """
+    if ts_col:
+        df = (df.hint("rebalance", ts_col) if _is_date(df, ts_col) else df).sortWithinPartitions(ts_col)
+    folder = f"{kind}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(f"{target}/{folder}")
+    return folder
 
-def copy_incremental(df: DataFrame, target: str, ts_col: str, lo, hi, batch_id: str | None = None,
-                     lookback: dt.timedelta | None = None, key: list[str] | None = None) -> str:
-    """SNK-3 + FIL-1: append rows with ``lo < ts <= hi`` as one replaceable batch.
 
-    DATE columns reload the days ``>= lo`` (D-2) into day partitions instead.
+def copy_full(df: DataFrame, target: str, ts_col: str | None = None) -> str:
+    """SNK-1 / SNK-2: write all of ``df`` as a new folder; it counts once the log names it."""
+    return _write(df, target, "full", ts_col)
 
-    With ``lookback`` and ``key`` (D-1), the batch also re-reads ``(lo - lookback, lo]``
-    and keeps the rows of that span whose key is not in the target yet (a LEFT ANTI
-    join against the other batches), so rows that arrived late with an old event
-    time are still copied exactly once.
+
+def copy_incremental(df: DataFrame, target: str, ts_col: str, lo, hi=None,
+                     lookback: dt.timedelta | None = None, key: list[str] | None = None,
+                     loaded: DataFrame | None = None) -> str:
+    """SNK-3 + FIL-1: write the rows with ``lo < ts <= hi`` as a new folder.
+
+    Without a low mark every row that has a mark is new. DATE columns take the days ``>= lo``
+    (D-2). With ``lookback``, ``key`` and the rows ``loaded`` so far (D-1), the batch goes back to
+    ``lo - lookback`` and leaves out keys that are loaded already (a LEFT ANTI join over the
+    whole span that is read again), so rows that arrived late are copied exactly once.
     """
+    known = df.filter(F.col(ts_col).isNotNull())
     if _is_date(df, ts_col):
-        day = lo.date() if isinstance(lo, dt.datetime) else lo
-        new = df if day is None else df.filter(F.col(ts_col) >= date_lit(day))  # no mark yet: every day
+        new = known if lo is None else known.filter(F.col(ts_col) >= date_lit(lo))
         if hi is not None:
             new = new.filter(F.col(ts_col) <= date_lit(hi))
-        (new.sortWithinPartitions(ts_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(ts_col).parquet(target))
-        return f"days>={day}"
-    bid = batch_id or ("binitial" if lo is None else _batch_id(lo))
-    if lookback is not None and key and lo is not None:
-        start = lo - lookback
-        new = between_marks(df, ts_col, start, hi)
-        seen = (df.sparkSession.read.option("mergeSchema", "true").parquet(target)
-                .filter((F.col(BATCH_COL) != bid)).transform(lambda x: between_marks(x, ts_col, start, lo))
-                .select(*key))
-        new = new.join(seen, list(key), "left_anti")
+    elif lookback is not None and key and lo is not None and loaded is not None:
+        seen = between_marks(loaded, ts_col, lo - lookback, None).select(*key).distinct()
+        new = between_marks(known, ts_col, lo - lookback, hi).join(seen, list(key), "left_anti").select(*df.columns)
     else:
-        new = between_marks(df, ts_col, lo, hi)
-    new = new.withColumn(BATCH_COL, F.lit(bid))
-    (new.sortWithinPartitions(ts_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH_COL).parquet(target))
-    return bid
+        new = between_marks(known, ts_col, lo, hi)
+    return _write(new, target, "inc", ts_col)
 
 
 # ---- sync log (SNK-6) --------------------------------------------------------------------
 #   <log>/commits/day=<UTC day>/commit-<seq>-<id>/   one folder per commit (the commit point)
-#   <log>/snapshots/gen=<seq>/                       latest successful row per table up to <seq>
+#   <log>/snapshots/gen=<seq>/                       newest committed row per table up to <seq>
 # ``seq`` is the UTC clock in microseconds x 1000 plus a per-process counter, so the day of
 # any seq is known without reading.
 LOG_COLUMNS = [c.split()[0] for c in LOG_SCHEMA.split(", ")]
@@ -171,14 +159,29 @@ def log_sync(spark: SparkSession, log_path: str, rows: list[dict]) -> None:
         recs.append((r["schema_name"], r["table_name"], r.get("full_table_name") or f"{r['schema_name']}.{r['table_name']}",
                      r.get("last_sync_timestamp"), r["last_sync_mode"], r.get("sync_status", "SUCCESS"), now,
                      r.get("batch_id"), time.time_ns() // 1000 * 1000 + next(_seq) % 1000,
-                     r.get("rows"), r.get("null_marks"), r.get("error")))
+                     r.get("rows"), r.get("null_marks"), r.get("error"), r.get("target"), r.get("mark_column"), r.get("live")))
     seq = recs[0][8]
     path = f"{log_path}/commits/day={_seq_day(seq).isoformat()}/commit-{seq:020d}-{uuid.uuid4().hex[:8]}"
     spark.createDataFrame(recs, LOG_SCHEMA).coalesce(1).write.mode("error").parquet(path)
 
 
-def _empty_log(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], LOG_SCHEMA)
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches ``pattern``; other errors of the file system are raised."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def _size(spark: SparkSession, paths: list[str]) -> tuple[int, int]:
+    """Bytes and number of the Parquet files in the folders, from the file listing."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = files = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        for status in path.getFileSystem(conf).listStatus(path):
+            if status.isFile() and status.getPath().getName().endswith(".parquet"):
+                total, files = total + status.getLen(), files + 1
+    return total, files
 
 
 def read_log(spark: SparkSession, log_path: str, since: dt.date | None = None) -> DataFrame:
@@ -189,17 +192,16 @@ def read_log(spark: SparkSession, log_path: str, since: dt.date | None = None) -
         today = dt.datetime.now(dt.timezone.utc).date()
         days = [(since + dt.timedelta(days=i)).isoformat() for i in range((today - since).days + 1)]
         pattern = f"{log_path}/commits/day={{{','.join(days)}}}/commit-*"
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(pattern).select(*LOG_COLUMNS)
-    except AnalysisException:  # no commit (in that span) yet
-        return _empty_log(spark)
+    if not _exists(spark, pattern):
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).parquet(pattern).select(*LOG_COLUMNS)
 
 
 def _latest(log: DataFrame) -> DataFrame:
-    """Newest successful log row per table (``max_by`` on ``seq``), all log columns."""
+    """Newest committed log row per table (``max_by`` on ``seq``), all log columns."""
     rest = [c for c in LOG_COLUMNS if c not in ("schema_name", "table_name")]
     m = F.max_by(F.struct(*rest), "seq").alias("s")
-    return (log.filter(F.col("sync_status") == "SUCCESS").groupBy("schema_name", "table_name").agg(m)
+    return (log.filter(F.col("sync_status").isin(SUCCESS, COMPACTED)).groupBy("schema_name", "table_name").agg(m)
             .select("schema_name", "table_name", *[F.col(f"s.{c}").alias(c) for c in rest]))
 
 
@@ -221,138 +223,158 @@ def snapshot_state(spark: SparkSession, log_path: str) -> int | None:
 
 
 def _current(spark: SparkSession, log_path: str) -> DataFrame:
-    try:
-        snaps = spark.read.parquet(f"{log_path}/snapshots")
-        gen = snaps.agg(F.max("gen")).first()[0]
-    except AnalysisException:  # no snapshot yet
-        return _latest(read_log(spark, log_path))
-    if gen is None:
+    if not _exists(spark, f"{log_path}/snapshots/gen=*/_SUCCESS"):
         return _latest(read_log(spark, log_path))
-    gen = int(gen)
+    snaps = spark.read.parquet(f"{log_path}/snapshots")
+    gen = int(snaps.agg(F.max("gen")).first()[0])
     base = snaps.filter(F.col("gen") == gen).select(*LOG_COLUMNS)
     recent = read_log(spark, log_path, since=_seq_day(gen)).filter(F.col("seq") > gen)
     return _latest(base.unionByName(recent))
 
 
 def sync_state(spark: SparkSession, log_path: str) -> DataFrame:
-    """Current state per table: the newest *successful* log row.
+    """Current state per table: the newest committed log row.
 
     Columns are those of the control table: ``schema_name, table_name,
     full_table_name, last_sync_timestamp, last_sync_mode, sync_status, updated_at``.
     """
     return _current(spark, log_path).select(
         "schema_name", "table_name", "full_table_name", "last_sync_timestamp", "last_sync_mode",
-        "sync_status", "updated_at")
-
-
-def _state_row(spark, log_path, schema, table):
-    rows = (sync_state(spark, log_path)
-            .filter((F.col("schema_name") == schema) & (F.col("table_name") == table)).collect())
-    return rows[0] if rows else None
-
-
-def read_target(spark: SparkSession, target: str, log_path: str | None = None, keep_batch: bool = False) -> DataFrame:
-    """Read a sync target with ``mergeSchema``; with a log, only committed batches are visible."""
-    df = spark.read.option("mergeSchema", "true").parquet(target)
-    if BATCH_COL in df.columns and log_path is not None:
-        committed = (read_log(spark, log_path).filter(F.col("sync_status") == "SUCCESS")
-                     .select(F.col("batch_id").alias(BATCH_COL)).distinct())
-        df = df.join(committed, BATCH_COL, "left_semi")
-    return df if keep_batch or BATCH_COL not in df.columns else df.drop(BATCH_COL)
-
-
-def _loaded_stats(spark, target, ts_col, batch_id=None, from_day=None):
-    """Rows, max mark and NULL marks of what was just written.
-
-    Reads only the new batch's folder (or the reloaded day partitions), so the cost
-    does not grow with the number of batches already in the target.
-    """
-    if batch_id is not None:
-        try:
-            df = spark.read.parquet(f"{target}/{BATCH_COL}={batch_id}")
-        except AnalysisException:  # an empty batch writes no partition folder
-            return 0, None, 0
-    else:
-        try:
-            df = spark.read.parquet(target)
-        except AnalysisException:  # nothing written (no partition folder yet)
-            return 0, None, 0
-        if from_day is not None:
-            df = df.filter(F.col(ts_col) >= date_lit(from_day))
+        F.lit(SUCCESS).alias("sync_status"), "updated_at")
+
+
+def _state_rows(spark: SparkSession, log_path: str) -> dict[tuple[str, str], object]:
+    """(schema, table) -> newest committed log row: one row per table on the driver."""
+    return {(r["schema_name"], r["table_name"]): r for r in _current(spark, log_path).collect()}
+
+
+def read_target(spark: SparkSession, target: str, log_path: str, ts_col: str | None = None) -> DataFrame:
+    """The committed rows of a sync target: the folders that its newest log row names."""
+    row = (_current(spark, log_path).filter(F.col("target") == target)
+           .orderBy(F.desc("seq")).select("live", "mark_column").first())
+    if row is None:
+        raise ValueError(f"nothing was committed to {target}")
+    return _read_live(spark, target, row["live"], ts_col or row["mark_column"])
+
+
+def _read_live(spark: SparkSession, target: str, live, ts_col: str | None) -> DataFrame:
+    """Rows of the live folders; a folder with a ``before`` day shows only earlier days (and rows without a day)."""
+    groups: dict[object, list[str]] = {}
+    for x in live:
+        groups.setdefault(x["before"], []).append(f"{target}/{x['folder']}")
+    out = None
+    for before, paths in groups.items():  # a group per reloaded day span, merged by compaction
+        part = spark.read.option("mergeSchema", "true").parquet(*paths)
+        if before is not None:
+            part = part.filter(F.col(ts_col).isNull() | (F.col(ts_col) < date_lit(before)))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def _mark_out(df: DataFrame, col: str):
+    """max(col) without a zone shift: TIMESTAMP marks leave Spark as microseconds."""
+    if isinstance(df.schema[col].dataType, TimestampType):
+        return F.unix_micros(F.max(col))
+    return F.max(col)
+
+
+def _as_mark(value) -> dt.datetime | None:
+    """The mark as UTC wall time: microseconds, a date or a zone-less time."""
+    if value is None:
+        return None
+    if isinstance(value, int):
+        return dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=value)
+    if isinstance(value, dt.datetime):
+        return value
+    return dt.datetime.combine(value, dt.time())
+
+
+def _loaded_stats(spark: SparkSession, folder: str, ts_col: str | None):
+    """Rows, highest mark and rows without a mark of the folder just written."""
+    df = spark.read.parquet(folder)
     aggs = [F.count(F.lit(1)).alias("rows")]
     if ts_col:
-        aggs += [F.max(ts_col).alias("hi"), F.count_if(F.col(ts_col).isNull()).alias("nulls")]
+        aggs += [_mark_out(df, ts_col).alias("hi"), F.count_if(F.col(ts_col).isNull()).alias("nulls")]
     r = df.agg(*aggs).first()
-    return int(r["rows"]), (r["hi"] if ts_col else None), (int(r["nulls"]) if ts_col else 0)
+    return int(r["rows"]), (_as_mark(r["hi"]) if ts_col else None), (int(r["nulls"]) if ts_col else 0)
 
 
 def sync_table(spark: SparkSession, source: DataFrame, schema: str, table: str, target: str, log_path: str,
                force: bool = False, ts_override: str | None = None, lookback: dt.timedelta | None = None,
-               key: list[str] | None = None, state: dict | None = None) -> SyncResult:
+               key: list[str] | None = None, state: dict | None = None, file_mb: float = 128.0) -> SyncResult:
     """SNK-4 + SNK-1..3 + SNK-6 for one table: pick the mode, copy, measure, commit to the log.
 
     The source is read once for the copy; the mark (``max`` of the sync column) and the
-    row count are then taken from the batch just written, so the saved mark is exactly
-    the newest row loaded (D-1) and no extra pass over the whole source is needed.
+    row count are then taken from the folder just written, so the saved mark is exactly
+    the newest row loaded (D-1) and no extra pass over the whole source is needed. A full
+    load that left many small files is compacted into files of about ``file_mb``.
     """
     ts_col = get_timestamp_column(source, ts_override)
     # ``state``: the run's state rows by (schema, table), read once by ``sync_all``
-    state = state.get((schema, table)) if state is not None else _state_row(spark, log_path, schema, table)
-    mode = choose_mode(state is not None, force, ts_col)
+    row = (state if state is not None else _state_rows(spark, log_path)).get((schema, table))
+    mode = choose_mode(row is not None, force, ts_col)
     is_date = _is_date(source, ts_col)
-    lo = None if mode != INCREMENTAL else state["last_sync_timestamp"]
+    lo = None if mode != INCREMENTAL else row["last_sync_timestamp"]
+    entry = dict(schema_name=schema, table_name=table, last_sync_mode=mode, target=target, mark_column=ts_col)
     try:
         if mode == INCREMENTAL:
-            lo_eff = None if lo is None else (lo.date() if is_date else lo)
-            bid = copy_incremental(source, target, ts_col, lo_eff, None, lookback=lookback, key=key)
-            rows, hi, _ = _loaded_stats(spark, target, ts_col, batch_id=None if is_date else bid,
-                                        from_day=lo_eff if is_date else None)
+            at = lo.date() if is_date and lo is not None else lo
+            loaded = _read_live(spark, target, row["live"], ts_col) if lookback is not None and key else None
+            folder = copy_incremental(source, target, ts_col, at, lookback=lookback, key=key, loaded=loaded)
+            rows, hi, _ = _loaded_stats(spark, f"{target}/{folder}", ts_col)
             # rows without a mark are never copied incrementally (D-3); the count uses
             # the IsNull filter, which row-group statistics answer without reading data
             nulls = source.filter(F.col(ts_col).isNull()).count()
-            mark = hi if hi is not None else lo
+            mark = max((m for m in (lo, hi) if m is not None), default=None)  # late rows never pull it back
+            hidden = at if is_date else None
+            live = [(x["folder"], x["before"] if hidden is None else min(x["before"] or hidden, hidden)) for x in row["live"]]
         else:
-            bid = copy_full(source, target, ts_col, sort_col=ts_col)
-            rows, mark, nulls = _loaded_stats(spark, target, ts_col, batch_id=None if is_date else bid)
-            if rows == 0:
-                # a partitioned write of no rows creates no file; keep the schema readable
-                # (for day partitions: an empty file under the NULL-day folder, which adds no rows)
-                folder = (f"{target}/{ts_col}=__HIVE_DEFAULT_PARTITION__" if is_date
-                          else f"{target}/{BATCH_COL}={bid}")
-                empty = source.limit(0).drop(ts_col) if is_date else source.limit(0)
-                empty.write.mode("overwrite").parquet(folder)
-        if is_date and mark is not None and not isinstance(mark, dt.datetime):
-            mark = dt.datetime.combine(mark, dt.time())
-        log_sync(spark, log_path, [dict(schema_name=schema, table_name=table, last_sync_timestamp=mark,
-                                        last_sync_mode=mode, batch_id=bid, rows=rows, null_marks=nulls)])
-        return SyncResult(f"{schema}.{table}", mode, rows, lo, mark, bid, "SUCCESS", nulls)
+            folder = copy_full(source, target, ts_col)
+            rows, mark, nulls = _loaded_stats(spark, f"{target}/{folder}", ts_col)
+            live = []
+        log_sync(spark, log_path, [entry | dict(last_sync_timestamp=mark, batch_id=folder, rows=rows, null_marks=nulls,
+                                                live=[*live, (folder, None)])])
+        if mode != INCREMENTAL:
+            compact_target(spark, target, log_path, file_mb)
+        return SyncResult(f"{schema}.{table}", mode, rows, lo, mark, folder, SUCCESS, nulls)
     except Exception as e:
-        log_sync(spark, log_path, [dict(schema_name=schema, table_name=table, last_sync_timestamp=lo,
-                                        last_sync_mode=mode, sync_status="FAILED", error=type(e).__name__)])
+        log_sync(spark, log_path, [entry | dict(last_sync_timestamp=lo, sync_status=FAILED, error=type(e).__name__)])
         raise
 
 
+class SyncFailed(Exception):
+    """Some tables of a run failed; ``results`` has every table's result, failed ones included."""
+
+    def __init__(self, results: list[SyncResult], errors: dict[str, Exception]):
+        super().__init__("; ".join(f"{t}: {type(e).__name__}" for t, e in errors.items()))
+        self.results, self.errors = results, errors
+
+
 def sync_all(spark: SparkSession, sources: dict[str, DataFrame], target_root: str, log_path: str,
              force: bool = False, ts_overrides: dict[str, str] | None = None, parallelism: int = 1,
-             excluded=("information_schema", "metadata")) -> list[SyncResult]:
+             excluded=("information_schema", "metadata"), lookbacks: dict[str, dt.timedelta] | None = None,
+             keys: dict[str, list[str]] | None = None) -> list[SyncResult]:
     """SNK-7: sync every ``schema.table`` source into ``<target_root>/<schema>/<table>``.
 
     Tables are independent jobs; ``parallelism > 1`` submits them from a small
-    thread pool so several write jobs share the cluster.
+    thread pool so several write jobs share the cluster. A table that fails does not keep
+    the others from being synced; after the last one ``SyncFailed`` carries every result.
     """
-    ts_overrides = ts_overrides or {}
+    ts_overrides, lookbacks, keys = ts_overrides or {}, lookbacks or {}, keys or {}
     names = [n for n in sources if n.split(".")[0] not in excluded and not n.split(".")[0].startswith("__")]
 
     # one state lookup for the whole run (one row per table) instead of one per table
-    state = {(r["schema_name"], r["table_name"]): r for r in sync_state(spark, log_path).collect()}
+    state = _state_rows(spark, log_path)
+    errors: dict[str, Exception] = {}
 
     def run(name):
         schema, table = name.split(".", 1)
-        return sync_table(spark, sources[name], schema, table, f"{target_root}/{schema}/{table}", log_path,
-                          force, ts_overrides.get(name), state=state)
-
-    if parallelism <= 1:
-        return [run(n) for n in names]
+        try:
+            return sync_table(spark, sources[name], schema, table, f"{target_root}/{schema}/{table}", log_path,
+                              force, ts_overrides.get(name), lookbacks.get(name), keys.get(name), state=state)
+        except Exception as e:  # reported below, with the other tables' results
+            errors[name] = e
+            return SyncResult(name, "", 0, None, None, "", FAILED)
 
     def pooled(name):
         # each table's jobs go to the FAIR pool "sync" when the cluster runs the FAIR scheduler
@@ -362,33 +384,65 @@ def sync_all(spark: SparkSession, sources: dict[str, DataFrame], target_root: st
         finally:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(pooled, names))
+    if parallelism <= 1:
+        results = [run(n) for n in names]
+    else:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            results = list(pool.map(pooled, names))
+    if errors:
+        raise SyncFailed(results, errors)
+    return results
 
 
 def sync_summary(log: DataFrame, by: str | None = None) -> DataFrame:
     """SNK-8: number of full loads (FULL and FULL_FALLBACK) and incremental loads."""
     aggs = [F.count_if(F.col("last_sync_mode").contains("FULL")).cast("bigint").alias("full_loads"),
             F.count_if(F.col("last_sync_mode") == INCREMENTAL).cast("bigint").alias("incremental_loads")]
-    ok = log.filter(F.col("sync_status") == "SUCCESS")
+    ok = log.filter(F.col("sync_status") == SUCCESS)
     return ok.groupBy(by).agg(*aggs) if by else ok.agg(*aggs)
 
 
 # ---- compaction (SNK-9) ---------------------------------------------------------------------
-def compact(spark: SparkSession, path_in: str, path_out: str, target_file_mb: float = 128.0) -> int:
-    """Rewrite ``path_in`` into ``path_out`` with files of about ``target_file_mb``.
+def _ideal_files(size: int, file_mb: float) -> int:
+    return max(1, math.ceil(size / (file_mb * 1024 * 1024)))
+
+
+def _resized(df: DataFrame, n: int, sort_col: str | None) -> DataFrame:
+    """``df`` in ``n`` partitions, ranged and sorted by ``sort_col`` where there is one."""
+    return df.repartitionByRange(n, sort_col).sortWithinPartitions(sort_col) if sort_col else df.repartition(n)
+
+
+def compact(spark: SparkSession, path_in: str, path_out: str, target_file_mb: float = 128.0,
+            sort_col: str | None = None) -> int:
+    """Rewrite the files of one folder into ``path_out``, a new folder, with files of about
+    ``target_file_mb``; returns their number. Sizes come from the file listing."""
+    n = _ideal_files(_size(spark, [path_in])[0], target_file_mb)
+    _resized(spark.read.option("mergeSchema", "true").parquet(path_in), n, sort_col).write.mode("error").parquet(path_out)
+    return n
+
+
+def compact_target(spark: SparkSession, target: str, log_path: str, file_mb: float = 128.0) -> int:
+    """Rewrite a sync target's live rows into one folder and switch readers to it with a log row.
 
-    The input size comes from the scan's ``_metadata.file_size`` (one row per file);
-    the data is then repartitioned to ``ceil(size / target)`` tasks and written to a
-    *new* path (a path cannot be overwritten while it is being read). Returns the
-    partition count used.
+    The old folders stay for readers that have listed them; ``unused_folders`` names them.
+    Returns the number of files, or 0 where there already are no more files than that.
     """
-    df = spark.read.option("mergeSchema", "true").parquet(path_in)
-    size = (df.select("_metadata.file_path", "_metadata.file_size").distinct()
-            .agg(F.sum("file_size").alias("b")).first()["b"]) or 0
-    n = max(1, math.ceil(size / (target_file_mb * 1024 * 1024)))
-    w = df.repartition(n).write.mode("overwrite")
-    if BATCH_COL in df.columns:
-        w = w.partitionBy(BATCH_COL)
-    w.parquet(path_out)
+    row = _current(spark, log_path).filter(F.col("target") == target).orderBy(F.desc("seq")).first()
+    size, files = _size(spark, [f"{target}/{x['folder']}" for x in row["live"]])
+    n = _ideal_files(size, file_mb)
+    if files <= n:
+        return 0
+    folder = f"compact-{uuid.uuid4().hex}"
+    ts_col = row["mark_column"]
+    _resized(_read_live(spark, target, row["live"], ts_col), n, ts_col).write.mode("error").parquet(f"{target}/{folder}")
+    log_sync(spark, log_path, [row.asDict() | dict(sync_status=COMPACTED, batch_id=folder, live=[(folder, None)])])
     return n
+
+
+def unused_folders(spark: SparkSession, target: str, log_path: str) -> list[str]:
+    """Folders of the target that its newest log row does not name: superseded or never committed."""
+    row = _current(spark, log_path).filter(F.col("target") == target).orderBy(F.desc("seq")).select("live").first()
+    live = {x["folder"] for x in row["live"]} if row else set()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted(x.getPath().getName() for x in found if x.isDirectory() and x.getPath().getName() not in live)

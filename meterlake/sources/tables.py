@@ -6,40 +6,23 @@ reads stay lazy so Catalyst prunes columns and pushes filters into the Parquet s
 
 from __future__ import annotations
 
-import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
-
-# Schemas already read, per session and path. Reading with a known schema skips the
-# footer-reading job Spark otherwise starts for every ``read.parquet``; the cache lives
-# as long as the session, so a table whose schema changes needs a new session or
-# ``forget_schemas()``.
-_SCHEMAS: dict[tuple[str, str], StructType] = {}
-_LOCK = threading.Lock()
-
-
-def forget_schemas() -> None:
-    with _LOCK:
-        _SCHEMAS.clear()
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """``spark.read.parquet`` with the schema remembered from the first read of ``path``."""
-    key = (spark.sparkContext.applicationId, path)
-    schema = _SCHEMAS.get(key)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    with _LOCK:
-        _SCHEMAS[key] = df.schema
-    return df
-
 
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read ``<root>/<name>.parquet`` (a file or a folder of part files)."""
-    return read_parquet(spark, f"{root.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+
+
+def discover(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """SRC-1 over a folder: ``schema.table`` -> lazy DataFrame for every ``<root>/<schema>/<table>``
+    (a ``.parquet`` ending is not part of the name); hidden names are left out."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/*")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+    names = [(x.getPath().getParent().getName(), x.getPath().getName(), x.getPath().toString()) for x in found]
+    return {f"{schema}.{table.removesuffix('.parquet')}": spark.read.parquet(full)
+            for schema, table, full in names if schema[0] not in "._" and table[0] not in "._"}
 
 
 class Tables:

@@ -1,8 +1,13 @@
 """Sync decisions and replay safety (SNK-1..9)."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
 
+import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from meterlake.sources import sync
@@ -56,7 +61,7 @@ def test_replay_of_a_batch_does_not_duplicate(spark, workdir):
 def test_uncommitted_batch_is_invisible(spark, workdir):
     tgt, log = f"{workdir}/t", f"{workdir}/log"
     sync.sync_table(spark, _ev(spark, [(1, 1, 0)]), "s", "e", tgt, log, ts_override="ts")
-    sync.copy_incremental(_ev(spark, [(9, 5, 0)]), tgt, "ts", dt.datetime(2024, 1, 1), None, batch_id="orphan")
+    sync.copy_incremental(_ev(spark, [(9, 5, 0)]), tgt, "ts", dt.datetime(2024, 1, 1))
     assert sync.read_target(spark, tgt, log).count() == 1
 
 
@@ -149,7 +154,7 @@ def test_state_from_snapshot_plus_recent_commits(spark, workdir):
     st_ = {x.table_name: x for x in sync.sync_state(spark, log).collect()}
     assert st_["e"].last_sync_timestamp == dt.datetime(2024, 1, 2) and st_["e"].last_sync_mode == "INCREMENTAL"
     assert st_["n"].last_sync_mode == "FULL"
-    assert sync.read_log(spark, log).count() == 3
+    assert sync.read_log(spark, log).filter("sync_status = 'SUCCESS'").count() == 3
 
 
 def test_empty_full_load_is_readable(spark, workdir):
@@ -173,3 +178,116 @@ def test_empty_full_load_with_date_column(spark, workdir):
     got = sync.read_target(spark, tgt, log)
     assert sorted(x.id for x in got.collect()) == [1, 2]
     assert got.schema["usage_date"].dataType.simpleString() == "date"
+
+
+def test_failed_full_load_keeps_the_old_content(spark, workdir):
+    tgt, log = f"{workdir}/t", f"{workdir}/log"
+    sync.sync_table(spark, _ev(spark, [(i, 1 + i, 0) for i in range(10)]), "s", "e", tgt, log, ts_override="ts")
+    broken = _ev(spark, [(i, 1 + i, 0) for i in range(12)]).withColumn(
+        "id", F.when(F.col("id") == 11, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("id")))
+    with pytest.raises(PySparkException):
+        sync.sync_table(spark, broken, "s", "e", tgt, log, force=True, ts_override="ts")
+    assert sync.read_target(spark, tgt, log).count() == 10
+    r = sync.sync_table(spark, _ev(spark, [(i, 1 + i, 0) for i in range(12)]), "s", "e", tgt, log, ts_override="ts")
+    assert (r.mode, r.rows) == (sync.INCREMENTAL, 2) and sync.read_target(spark, tgt, log).count() == 12
+    assert all(f.startswith("full-") for f in sync.unused_folders(spark, tgt, log))
+
+
+def test_mark_never_moves_back(spark, workdir):
+    tgt, log = f"{workdir}/t", f"{workdir}/log"
+    run = lambda rows: sync.sync_table(spark, _ev(spark, rows), "s", "e", tgt, log, ts_override="ts",
+                                       lookback=dt.timedelta(days=5), key=["id"])
+    run([(1, 1, 0), (2, 4, 0)])
+    r = run([(3, 2, 0)])  # only a late row
+    assert r.rows == 1 and r.hi == dt.datetime(2024, 1, 4)
+    assert run([(1, 1, 0), (2, 4, 0), (3, 2, 0)]).rows == 0
+    assert sorted(x.id for x in sync.read_target(spark, tgt, log).collect()) == [1, 2, 3]
+
+
+def test_column_of_null_marks_is_copied_once(spark, workdir):
+    tgt, log = f"{workdir}/t", f"{workdir}/log"
+    src = spark.createDataFrame([(i, None) for i in range(5)], "id int, ts timestamp_ntz")
+    assert [sync.sync_table(spark, src, "s", "e", tgt, log, ts_override="ts").rows for _ in range(3)] == [5, 0, 0]
+    later = src.unionByName(_ev(spark, [(9, 1, 0)]))
+    assert sync.sync_table(spark, later, "s", "e", tgt, log, ts_override="ts").rows == 1
+    assert sync.read_target(spark, tgt, log).count() == 6
+
+
+def test_a_batch_of_another_table_commits_nothing(spark, workdir):
+    log = f"{workdir}/log"
+    sync.sync_table(spark, _ev(spark, [(1, 1, 0)]), "s", "a", f"{workdir}/a", log, ts_override="ts")
+    sync.copy_full(_ev(spark, [(7, 1, 0)]), f"{workdir}/b", "ts")
+    with pytest.raises(ValueError):
+        sync.read_target(spark, f"{workdir}/b", log)
+    d = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "id int, usage_date date")
+    sync.sync_table(spark, d, "s", "u", f"{workdir}/u", log)
+    sync.copy_incremental(spark.createDataFrame([(2, dt.date(2024, 1, 5))], "id int, usage_date date"), f"{workdir}/u", "usage_date", None)
+    assert sync.read_target(spark, f"{workdir}/u", log).count() == 1
+
+
+def test_many_batches_compact_into_sorted_files(spark, workdir):
+    tgt, log = f"{workdir}/t", f"{workdir}/log"
+    for last in range(2, 9):
+        sync.sync_table(spark, _ev(spark, [(i, i, 0) for i in range(1, last)]), "s", "e", tgt, log, ts_override="ts")
+    before = sync.read_target(spark, tgt, log)
+    rows, files = sorted(map(tuple, before.collect())), len(before.inputFiles())
+    assert sync.compact_target(spark, tgt, log) == 1
+    after = sync.read_target(spark, tgt, log)
+    assert sorted(map(tuple, after.collect())) == rows and len(after.inputFiles()) < files
+    assert [r.id for r in after.collect()] == sorted(r.id for r in after.collect())
+    assert sync.compact_target(spark, tgt, log) == 0
+    r = sync.sync_table(spark, _ev(spark, [(i, i, 0) for i in range(1, 12)]), "s", "e", tgt, log, ts_override="ts")
+    assert r.mode == sync.INCREMENTAL and r.rows == 4 and sync.read_target(spark, tgt, log).count() == 11
+
+
+def test_full_load_of_many_small_files_is_compacted(spark, workdir):
+    tgt, log = f"{workdir}/t", f"{workdir}/log"
+    sync.sync_table(spark, _ev(spark, [(i, 1 + i % 28, 0) for i in range(100)]).repartition(12), "s", "e", tgt, log, ts_override="ts")
+    out = sync.read_target(spark, tgt, log)
+    assert len(out.inputFiles()) == 1 and out.count() == 100
+    assert sync.sync_state(spark, log).first().last_sync_mode == sync.FULL
+    assert sync.sync_summary(sync.read_log(spark, log)).first().full_loads == 1
+
+
+def test_dates_are_not_in_every_file(spark, workdir):
+    rows = [(i, dt.date(2024, 1, 1) + dt.timedelta(days=i % 60)) for i in range(600)]
+    folder = sync.copy_full(spark.createDataFrame(rows, "id int, usage_date date").repartition(8), f"{workdir}/t", "usage_date")
+    assert len(spark.read.parquet(f"{workdir}/t/{folder}").inputFiles()) <= 8
+
+
+def test_a_failing_table_does_not_stop_the_others(spark, workdir):
+    bad = spark.range(3).select(F.raise_error(F.lit("broken")).cast("int").alias("x"))
+    good = _ev(spark, [(1, 1, 0)]).withColumnRenamed("ts", "event_time")
+    for workers in (1, 2):
+        root = f"{workdir}/{workers}"
+        with pytest.raises(sync.SyncFailed) as e:
+            sync.sync_all(spark, {"s.a": bad, "s.b": good, "s.c": bad, "s.d": good}, root, f"{root}/log", parallelism=workers)
+        assert [r.status for r in e.value.results] == ["FAILED", "SUCCESS", "FAILED", "SUCCESS"]
+        assert sync.read_target(spark, f"{root}/s/d", f"{root}/log").count() == 1
+
+
+def test_errors_of_the_log_are_not_taken_for_an_empty_log(spark, workdir):
+    spark.createDataFrame([("x",)], "a string").write.text(f"{workdir}/log/commits/day=2024-01-01/commit-1")
+    with pytest.raises(Exception, match="not a Parquet file|FAILED_READ_FILE"):
+        sync.sync_state(spark, f"{workdir}/log").collect()
+
+
+ZONE_SCRIPT = """
+import datetime as dt, sys, tempfile
+sys.path.insert(0, {repo!r})
+from meterlake.session import build_session
+from meterlake.sources import sync
+spark = build_session("local[2]", shuffle_partitions=2)
+root = tempfile.mkdtemp(prefix="meterlake-zone-")
+rows = "SELECT id, timestamp'2024-03-10 00:00:00' + make_interval(0, 0, 0, 0, id * 7, 0, 0) AS event_time FROM range({{}})"
+got = [sync.sync_table(spark, spark.sql(rows.format(n)), "s", "e", root + "/t", root + "/log").rows for n in (5, 12, 12)]
+print("RESULT", got, sync.read_target(spark, root + "/t", root + "/log").count())
+"""
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+def test_marks_do_not_depend_on_the_host_zone(zone):
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    p = subprocess.run([sys.executable, "-c", ZONE_SCRIPT.format(repo=repo)], capture_output=True, text=True,
+                       timeout=600, env=os.environ | {"TZ": zone})
+    assert "RESULT [5, 7, 0] 12" in p.stdout, p.stdout[-500:] + p.stderr[-2000:]
