@@ -4,17 +4,15 @@ Suffixes are ordered only through ``width`` tokens, most significant digits firs
 still equal after the last digit are exactly the repeated windows. Three things keep the
 passes small:
 
-* Pass 0 takes one suffix position per window as its anchor: the lowest hash of any ``GRAM``
-  tokens inside the window (winnowing). Equal windows have equal anchors at equal places, so
-  no repeat is missed, and about two positions per ``width - GRAM`` tokens remain. Anchors whose
-  gram occurs once leave.
-* Anchors alike in everything around them that a window can reach are repeated as a whole;
-  one of them goes on to stand for all.
-* The digits then extend the gram on both sides: a pass with digits of D tokens groups anchors
-  by (left digits, right digits) pairs that every window of the pass must contain; anchors
-  alone in all their groups leave. D falls from pass to pass, to single tokens. Since all
-  windows of an anchor contain its gram, their union is one span, and only its two ends
-  need single-token digits.
+* Pass 0 gives every window to one anchor: the gram of ``gram`` tokens with the lowest hash inside
+  it (winnowing), the leftmost of equals. Equal windows have equal anchors at equal places, so
+  no repeat is missed, and an anchor owns a run of neighbouring windows, about half of
+  ``width - gram`` of them. Anchors whose gram occurs once leave.
+* Anchors whose whole run is alike are repeated as a whole; one of them goes on to stand for all.
+* The later passes look at blocks of windows: a block's windows have most of their tokens in
+  common, and these are its digit. Blocks alone with their digit leave. Blocks shrink from pass
+  to pass, to single windows. Since all windows of an anchor contain its gram, their union is
+  one span, and only the blocks at its two ends are taken further.
 
 Groups are counted by aggregation with map-side partial sums and joined back, so a passage in a
 third of all documents is no hot task; no group is ever gathered.
@@ -24,7 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
+from functools import lru_cache, reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -36,20 +34,21 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import keyed, row_key, written
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
-CHUNK = 1 << 17  # window starts handled at once, so that a text of any length needs bounded memory
+PLACE_BITS = 18
+CHUNK = 1 << 17  # tokens hashed at once, so that a text of any length needs bounded memory
 
 
 class Unit(NamedTuple):
-    """Token unit and window shape. ``width - gram`` must be a multiple of every digit."""
+    """Token unit and window shape."""
 
     name: str                 # "bytes" or "words"
     width: int                # tokens of a window
     gram: int                 # tokens of an anchor
-    digits: tuple[int, ...]   # digit sizes of the passes, falling; the last one is 1
+    blocks: tuple[int, int]   # windows of a block in the first and second pass; the first is a multiple of the second
 
 
-BYTES_400 = Unit("bytes", 400, 48, (44, 16, 1))
-WORDS_50 = Unit("words", 50, 10, (10, 4, 1))
+BYTES_400 = Unit("bytes", 400, 48, (32, 8))
+WORDS_50 = Unit("words", 50, 10, (8, 2))
 
 
 # ---- tokens -----------------------------------------------------------------------------
@@ -79,7 +78,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _gram_hashes(part: np.ndarray, gram: int) -> np.ndarray:
-    up, down = _powers(CHUNK + 1024)
+    up, down = _powers((1 << PLACE_BITS) + 1)
     with np.errstate(over="ignore"):
         sums = np.empty(len(part) + 1, np.uint64)
         sums[0] = 0
@@ -91,42 +90,71 @@ def _gram_hashes(part: np.ndarray, gram: int) -> np.ndarray:
         return h
 
 
-def _sliding(x: np.ndarray, k: int, reduce: np.ufunc, fill) -> np.ndarray:
-    """reduce over every k neighbours, in time that does not depend on k."""
-    n = len(x)
-    rows = -(-n // k)
-    padded = np.full(rows * k, fill, x.dtype)
-    padded[:n] = x
-    blocks = padded.reshape(rows, k)
-    ahead = reduce.accumulate(blocks, axis=1).ravel()
-    back = reduce.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return reduce(back[:n - k + 1], ahead[k - 1:n])
+def _lowest(x: np.ndarray, k: int) -> np.ndarray:
+    """The lowest of every k neighbours, by doubling."""
+    size = 1
+    while 2 * size <= k:
+        x = np.minimum(x[:-size], x[size:])
+        size *= 2
+    return np.minimum(x[:len(x) - (k - size)], x[k - size:]) if k > size else x
 
 
-def anchors(seq: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
-    """(gram hashes, places) of every gram that is the lowest of some window; all of equal ones."""
+def owners(seq: np.ndarray, ends: np.ndarray, unit: Unit) -> tuple[np.ndarray, ...]:
+    """(gram hash, place, first window, last window) of every anchor's run of windows.
+
+    ``seq`` holds the tokens of texts one after another, text i up to ``ends[i]``; windows do
+    not cross texts. At most 2 ** PLACE_BITS tokens.
+    """
     starts = len(seq) - unit.width + 1
     if starts <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    span = unit.width - unit.gram + 1
-    hashes, places = [], []
-    for lo in range(0, starts, CHUNK):
-        part = seq[lo:min(len(seq), lo + CHUNK + unit.width - 1)]
-        h = _gram_hashes(_byte_hashes()[part] if unit.name == "bytes" else part, unit.gram)
-        lowest = _sliding(h, span, np.minimum, np.uint64(2 ** 64 - 1))
-        edge = np.zeros(span - 1, np.uint64)
-        highest = _sliding(np.concatenate([edge, lowest, edge]), span, np.maximum, np.uint64(0))
-        at = np.flatnonzero(h == highest)
-        hashes.append(h[at])
-        places.append(at + lo)
-    place, first = np.unique(np.concatenate(places), return_index=True)
-    return np.concatenate(hashes)[first], place
-
-
-def reach(n: int, place: int, unit: Unit) -> tuple[int, int]:
-    """How many tokens a window around the anchor can take to its left and right."""
-    most = unit.width - unit.gram
-    return min(most, place), min(most, n - place - unit.gram)
+        return (np.empty(0, np.int64),) * 4
+    h = _gram_hashes(_byte_hashes()[seq] if unit.name == "bytes" else seq, unit.gram)
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    packed = h & ~low | np.arange(len(h), dtype=np.uint64)
+    owner = (_lowest(packed, unit.width - unit.gram + 1) & low).astype(np.int64)
+    of = np.searchsorted(ends, np.arange(starts), "right")
+    inside = np.arange(starts) + unit.width <= ends[np.minimum(of, len(ends) - 1)]
+    owner[~inside] = -1
+    edges = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    last = np.concatenate([edges[1:], [starts]]) - 1
+    keep = owner[edges] >= 0
+    edges, last = edges[keep], last[keep]
+    place = owner[edges]
+    # a run is cut where a text ends; its owner lies in the same text
+    return h[place].view(np.int64), place, edges, last
+
+
+def runs(texts: list[np.ndarray], unit: Unit):
+    """(text number, gram hash, place, first window, last window) of all anchors, places within the text."""
+    most = 1 << PLACE_BITS
+    held: list[int] = []
+    size = 0
+
+    def flush():
+        lengths = np.array([len(texts[i]) for i in held])
+        ends = np.cumsum(lengths)
+        g, place, first, last = owners(np.concatenate([texts[i] for i in held]), ends, unit)
+        of = np.searchsorted(ends, place, "right")
+        base = (ends - lengths)[of]
+        return np.array(held)[of], g, place - base, first - base, last - base
+
+    for i, seq in enumerate(texts):
+        if len(seq) < unit.width:
+            continue
+        if len(seq) > CHUNK:
+            step = CHUNK - unit.width + 1
+            for lo in range(0, len(seq) - unit.width + 1, step):
+                part = seq[lo:lo + CHUNK]
+                g, place, first, last = owners(part, np.array([len(part)]), unit)
+                yield np.full(len(g), i), g, place + lo, first + lo, last + lo
+            continue
+        if size + len(seq) > min(CHUNK, most):
+            yield flush()
+            held, size = [], 0
+        held.append(i)
+        size += len(seq)
+    if held:
+        yield flush()
 
 
 # ---- passes -----------------------------------------------------------------------------
@@ -136,28 +164,25 @@ def _signed(x: int) -> int:
 
 
 def _anchor_rows(docs: DataFrame, unit: Unit) -> DataFrame:
-    """One row per anchor: row key, place, reach, gram hash ``g`` and hash ``c`` of all within reach."""
+    """One row per anchor: row key, place, range ``lo .. hi`` of the distances from its windows' starts
+    to it, gram hash ``g`` and hash ``c`` of all tokens of its windows."""
     def run(batches):
         for batch in batches:
-            k1s, k2s, texts = batch.columns
-            for i in range(batch.num_rows):
-                seq = tokens(texts[i].as_py(), unit)
-                grams, places = anchors(seq, unit)
-                if not len(places):
-                    continue
-                data, size, n = seq.tobytes(), seq.itemsize, len(seq)
-                most = unit.width - unit.gram
-                left = np.minimum(places, most)
-                right = np.minimum(n - places - unit.gram, most)
-                around = [xxhash.xxh3_64_intdigest(data[a:b], seed=s) for a, b, s in zip(
-                    ((places - left) * size).tolist(), ((places + unit.gram + right) * size).tolist(), left.tolist())]
-                m = len(places)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(m, k1s[i].as_py())), pa.array(np.full(m, k2s[i].as_py())), pa.array(places.astype(np.int64)),
-                    pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), pa.array(grams.view(np.int64)),
-                    pa.array(np.array(around, np.uint64).view(np.int64))], ["k1", "k2", "place", "l", "r", "g", "c"])
-
-    return docs.select(*row_key(), "text").mapInArrow(_merged(run), "k1 long, k2 long, place long, l int, r int, g long, c long")
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                seqs = [tokens(t, unit) for t in part.column(2).to_pylist()]
+                k1s, k2s = part.column(0).to_numpy(), part.column(1).to_numpy()
+                for of, g, place, first, last in runs(seqs, unit):
+                    raw = {i: (seqs[i].tobytes(), seqs[i].itemsize) for i in set(of.tolist())}
+                    around = np.fromiter((
+                        xxhash.xxh3_64_intdigest(raw[i][0][a * raw[i][1]:(b + unit.width) * raw[i][1]], seed=d)
+                        for i, a, b, d in zip(of.tolist(), first.tolist(), last.tolist(), (place - first).tolist())), np.uint64)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(k1s[of]), pa.array(k2s[of]), pa.array(place.astype(np.int64)), pa.array((place - last).astype(np.int32)),
+                        pa.array((place - first).astype(np.int32)), pa.array(g), pa.array(around.view(np.int64))],
+                        ["k1", "k2", "place", "lo", "hi", "g", "c"])
+
+    return docs.select(*row_key(), "text").mapInArrow(_merged(run), "k1 long, k2 long, place long, lo int, hi int, g long, c long")
 
 
 def _merged(run, rows: int = 20_000):
@@ -175,102 +200,121 @@ def _merged(run, rows: int = 20_000):
     return merged
 
 
-def _keys(table: DataFrame, unit: Unit, digit: int, what: str) -> DataFrame:
-    """Group keys of one pass for the anchors in ``table.list``.
+SURE, MAY = 0, 1
 
-    ``what`` "may": pairs that every window must contain some of. "sure": pairs that are a
-    window themselves. "exact": windows at the offsets that the list asks for. ``i`` counts the
-    left digits (for windows: their left tokens); the key is the hash of the text from there on.
-    """
-    most = unit.width - unit.gram
 
-    def pairs(place, n, offsets):
-        left, right = reach(n, place, unit)
-        if what == "exact":
-            return [(a, a, most - a) for a in offsets if a <= left and most - a <= right]
-        total = most // digit if what == "sure" else -(-(most - 2 * (digit - 1)) // digit)
-        return [(i, i * digit, (total - i) * digit) for i in range(total + 1) if i * digit <= left and (total - i) * digit <= right]
+def _keys(table: DataFrame, unit: Unit, size: int, within: int | None) -> DataFrame:
+    """Digits of one pass for the anchors in ``table.list``: ``(did, place, kind, a, h1, h2)``.
+
+    Windows are named by the distance ``a`` from their start to the anchor. A SURE row is the
+    window at the start of a block of ``size`` windows, a MAY row what the block's windows
+    have in common. Only the blocks of ``within`` windows whose numbers the list gives are
+    looked at; all of them if ``within`` is None. Single windows have SURE rows only.
+    """
+    def emit(text, anchors, did, out):
+        seq = tokens(text, unit)
+        data, w = seq.tobytes(), seq.itemsize
+        digest, width = xxhash.xxh3_128_intdigest, unit.width
+        for x in anchors:
+            place, lo, hi = x["place"], x["lo"], x["hi"]
+            spans = [(lo, hi)] if within is None else [(max(lo, b * within), min(hi, b * within + within - 1)) for b in x["parts"]]
+            for low, high in spans:
+                for a in range(low // size * size, high + 1, size):
+                    if a >= low:
+                        at = place - a
+                        out.append((did, place, SURE, a, digest(data[at * w:(at + width) * w], seed=a)))
+                    if size > 1:
+                        at = place - a
+                        out.append((did, place, MAY, a, digest(data[at * w:(at + width - size + 1) * w], seed=a)))
+
+    def batch_of(out):
+        did, place, kind, a, h = zip(*out)
+        return pa.RecordBatch.from_arrays([
+            pa.array(did, pa.int64()), pa.array(place, pa.int64()), pa.array(kind, pa.int8()), pa.array(a, pa.int32()),
+            pa.array([_signed(x >> 64) for x in h], pa.int64()), pa.array([_signed(x & (1 << 64) - 1) for x in h], pa.int64())],
+            ["did", "place", "kind", "a", "h1", "h2"])
 
     def run(batches):
+        out = []
         for batch in batches:
-            out = []
             for row in batch.to_pylist():
-                seq = tokens(row["text"], unit)
-                data, size, n = seq.tobytes(), seq.itemsize, len(seq)
-                for x in row["list"]:
-                    place = x["place"]
-                    for i, a, b in pairs(place, n, x.get("offsets")):
-                        key = xxhash.xxh3_128_intdigest(data[(place - a) * size:(place + unit.gram + b) * size], seed=a)
-                        out.append((row["did"], place, i, _signed(key >> 64), _signed(key & (1 << 64) - 1)))
+                emit(row["text"], row["list"], row["did"], out)
                 if len(out) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["did", "place", "i", "h1", "h2"])
+                    yield batch_of(out)
                     out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["did", "place", "i", "h1", "h2"])
+        if out:
+            yield batch_of(out)
 
-    return table.select("did", "text", "list").mapInArrow(run, "did long, place long, i long, h1 long, h2 long")
+    return table.select("did", "text", "list").mapInArrow(run, "did long, place long, kind byte, a int, h1 long, h2 long")
 
 
 def _repeated(keys: DataFrame, name: str) -> DataFrame:
-    """The rows whose key another row has too."""
+    """The rows whose digit another row has too."""
     keys = written(keys, name)
     more = keys.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return keys.join(more, ["h1", "h2"], "left_semi")
+    return written(keys.join(more, ["h1", "h2"], "left_semi"), name)
 
 
 def _with_list(texts: DataFrame, rows: DataFrame, *fields: str) -> DataFrame:
     return rows.groupBy("did").agg(F.collect_list(F.struct("place", *fields)).alias("list")).join(texts, "did")
 
 
+def _ends(*sure: DataFrame) -> DataFrame:
+    """(did, place) -> lowest and highest distance of a window known to be repeated."""
+    known = reduce(DataFrame.unionByName, [x.filter(F.col("kind") == SURE).select("did", "place", "a") for x in sure])
+    return known.groupBy("did", "place").agg(F.min("a").alias("least"), F.max("a").alias("most"))
+
+
+def _asked(found: DataFrame, going: DataFrame, ends: DataFrame, size: int) -> DataFrame:
+    """Anchors with the numbers of their blocks that the next pass takes up.
+
+    A block is wanted where it may hold a repeated window outside the known ends. Everyone who
+    shares the wanted block's digit is asked, since a window is repeated only if the others show theirs.
+    """
+    blocks = found.filter(F.col("kind") == MAY)
+    wanted = blocks.join(going.filter(~F.col("whole")), ["did", "place"]).join(ends, ["did", "place"], "left").filter(
+        F.col("most").isNull() | (F.least(F.col("a") + size - 1, F.col("hi")) > F.col("most")) | (F.greatest(F.col("a"), F.col("lo")) < F.col("least")))
+    asked = blocks.join(wanted.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
+    parts = asked.groupBy("did", "place").agg(F.collect_set((F.col("a") / size).cast("int")).alias("parts"))
+    return parts.join(going.select("did", "place", "lo", "hi"), ["did", "place"])
+
+
 def covered(docs: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
-    """(``texts (did, k1, k2, text)``, ``spans (did, lo, hi)`` in tokens) of the rows that may have repeats.
+    """(``texts (did, k1, k2, text)``, ``spans (did, first, end)`` in tokens) of the rows that may have repeats.
 
     A token is in a span exactly if a window that covers it starts anywhere else too, in
     another row or in the same one. Spans may overlap. Rows alike in id and text count as
     several rows but share one ``did``.
     """
-    most = unit.width - unit.gram
-    first = written(_anchor_rows(docs, unit), "anchors")
-    often = first.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    first = written(first.join(often, "g", "left_semi"), "anchors")
-    groups = first.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "place")).alias("one"))
+    found = written(_anchor_rows(docs, unit), "anchors")
+    often = found.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    found = written(found.join(often, "g", "left_semi"), "anchors")
+    groups = found.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "place")).alias("one"))
     kinds = groups.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"))
-    groups = groups.join(kinds, "g")
-    seen = first.join(groups, ["g", "c"]).withColumn("goes_on", (F.col("kinds") > 1) & (F.struct("k1", "k2", "place") == F.col("one")))
+    seen = found.join(groups.join(kinds, "g"), ["g", "c"]) \
+        .withColumn("goes_on", (F.col("kinds") > 1) & (F.struct("k1", "k2", "place") == F.col("one")))
     seen = seen.filter("n > 1 or goes_on").groupBy("k1", "k2").agg(
-        F.collect_set(F.struct("place", (F.col("n") > 1).alias("whole"), "goes_on", "l", "r")).alias("all"))
+        F.collect_set(F.struct("place", (F.col("n") > 1).alias("whole"), "goes_on", "lo", "hi")).alias("all"))
     texts = written(docs.select(*row_key(), "text").join(seen, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
                     .select(F.monotonically_increasing_id().alias("did"), "k1", "k2", "text", "all"), "texts")
     rows = texts.select("did", F.inline("all"))
-    whole = rows.filter("whole").select("did", (F.col("place") - F.col("l")).alias("lo"), (F.col("place") + unit.gram + F.col("r")).alias("hi"))
+    whole = rows.filter("whole").select("did", (F.col("place") - F.col("hi")).alias("first"), (F.col("place") - F.col("lo") + unit.width).alias("end"))
+    going = written(rows.filter("goes_on").select("did", "place", "whole", "lo", "hi"), "going")
     texts = texts.drop("all")
-    going = rows.filter("goes_on").select("did", "place", "whole")
-
-    coarse, fine, _ = unit.digits
-    left = _repeated(_keys(_with_list(texts, going), unit, coarse, "may"), "keys").select("did", "place").distinct()
-    going = written(going.join(left, ["did", "place"], "left_semi"), "going")
-    listed = written(_with_list(texts, going), "listed")
-    sure = _repeated(_keys(listed, unit, fine, "sure"), "keys").groupBy("did", "place") \
-        .agg((F.max("i") * fine).alias("most"), (F.min("i") * fine).alias("least"))
-    sure = written(sure, "sure")
-    may = written(_repeated(_keys(listed, unit, fine, "may"), "keys"), "may")
-    # single-token digits only where a longer span is possible; who shares the group has to show its windows too
-    slack = most - (-(-(most - 2 * (fine - 1)) // fine)) * fine
-    asks = may.join(going, ["did", "place"]).join(sure, ["did", "place"], "left") \
-        .filter(~F.col("whole")).filter((F.col("most").isNull()) | (F.col("i") * fine + slack > F.col("most")) | (F.col("i") * fine < F.col("least")))
-    asked = may.join(asks.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi") \
-        .select("did", "place", F.explode(F.sequence(F.col("i") * fine, F.least(F.col("i") * fine + slack, F.lit(most).cast("long")))).alias("a"))
-    asked = asked.groupBy("did", "place").agg(F.collect_set("a").alias("offsets"))
-    exact = _repeated(_keys(_with_list(texts, asked, "offsets"), unit, 1, "exact"), "keys").select("did", "place", F.col("i").alias("a"))
-    ends = sure.select("did", "place", F.col("most").alias("a")).unionByName(sure.select("did", "place", F.col("least").alias("a"))).unionByName(exact)
-    part = ends.groupBy("did", "place").agg(F.max("a").alias("most"), F.min("a").alias("least")) \
-        .select("did", (F.col("place") - F.col("most")).alias("lo"), (F.col("place") + unit.width - F.col("least")).alias("hi"))
+
+    large, small = unit.blocks
+    one = _repeated(_keys(_with_list(texts, going, "lo", "hi"), unit, large, None), "pass-1")
+    asked = _asked(one, going, _ends(one), large)
+    two = _repeated(_keys(_with_list(texts, asked, "lo", "hi", "parts"), unit, small, large), "pass-2")
+    asked = _asked(two, going, _ends(one, two), small)
+    three = _repeated(_keys(_with_list(texts, asked, "lo", "hi", "parts"), unit, 1, small), "pass-3")
+    part = _ends(one, two, three).select("did", (F.col("place") - F.col("most")).alias("first"), (F.col("place") - F.col("least") + unit.width).alias("end"))
     return texts, written(whole.unionByName(part), "spans")
 
 
 def _union_spans(spans: list[dict]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
-    for lo, hi in sorted((s["lo"], s["hi"]) for s in spans):
+    for lo, hi in sorted((s["first"], s["end"]) for s in spans):
         if out and lo <= out[-1][1]:
             out[-1][1] = max(out[-1][1], hi)
         else:
@@ -281,7 +325,7 @@ def _union_spans(spans: list[dict]) -> list[tuple[int, int]]:
 def _cut(docs: DataFrame, unit: Unit, change, schema: str) -> DataFrame:
     """Row keys and what ``change(text, merged spans)`` returns, for the rows with repeats."""
     texts, spans = covered(docs, unit)
-    rows = spans.groupBy("did").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")).join(texts, "did")
+    rows = spans.groupBy("did").agg(F.collect_set(F.struct("first", "end")).alias("spans")).join(texts, "did")
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches):

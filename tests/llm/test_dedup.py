@@ -111,7 +111,7 @@ def repeats_by_force(rows, width):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("unit", [repeats.Unit("bytes", 20, 4, (8, 4, 1)), repeats.Unit("bytes", 40, 8, (8, 4, 1)), repeats.BYTES_400])
+@pytest.mark.parametrize("unit", [repeats.Unit("bytes", 20, 4, (8, 2)), repeats.Unit("bytes", 40, 8, (8, 4)), repeats.BYTES_400])
 def test_repeated_bytes(spark, unit):
     rng, width = random.Random(unit.width), unit.width
     bases = ["".join(rng.choice("abé ") for _ in range(rng.randint(width, 4 * width))) for _ in range(5)]
@@ -135,13 +135,21 @@ def test_odd_documents_bytes(odd_docs, odd_rows, no_docs):
 
 def test_long_texts_are_handled_in_chunks(monkeypatch):
     rng = np.random.default_rng(1)
-    seq = rng.integers(0, 3, 5000).astype(np.uint8)
-    whole = repeats.anchors(seq, repeats.BYTES_400)
-    monkeypatch.setattr(repeats, "CHUNK", 700)
-    repeats._powers.cache_clear()
-    parts = repeats.anchors(seq, repeats.BYTES_400)
-    repeats._powers.cache_clear()
-    assert all((a == b).all() for a, b in zip(whole, parts))
+    texts = [rng.integers(0, 3, n).astype(np.uint8) for n in (5000, 399, 0, 400, 3000, 12_000)]
+
+    def windows():
+        owner = {}
+        for of, g, place, first, last in repeats.runs(texts, repeats.BYTES_400):
+            for i, x, p, a, b in zip(of.tolist(), g.tolist(), place.tolist(), first.tolist(), last.tolist()):
+                for w in range(a, b + 1):
+                    assert (i, w) not in owner and 0 <= p - w <= 352
+                    owner[i, w] = (x, p)
+        return owner
+
+    whole = windows()
+    assert len(whole) == sum(max(0, len(t) - 399) for t in texts)
+    monkeypatch.setattr(repeats, "CHUNK", 1000)
+    assert windows() == whole
 
 
 def test_repeated_words_are_cut(odd_docs, odd_rows, no_docs):
