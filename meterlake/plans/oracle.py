@@ -421,7 +421,7 @@ EXPLORER = f"""(
     SELECT 'PIPELINE', pipeline_id, 'pipeline_' || CAST(pipeline_id AS VARCHAR), cost, consumers FROM {PIPELINE_ROI} p
   )
   SELECT resource_type, CAST(id AS BIGINT) AS id, name, CAST(cost AS DOUBLE) AS cost,
-         CAST(utilization AS BIGINT) AS utilization, round({_ratio('cost', 'utilization')}, 6) AS cost_per_utilization
+         CAST(utilization AS BIGINT) AS utilization, CAST(round(CAST({_ratio('cost', 'utilization')} AS DECIMAL(38,12)), 6) AS DOUBLE) AS cost_per_utilization
   FROM parts
 )"""
 
