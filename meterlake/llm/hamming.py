@@ -56,6 +56,13 @@ def _masks(width: int, radius: int) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
+def segment_bits(n: int) -> float:
+    """Bits of a segment for ``n`` codes: about one code per segment value, since wider segments need more
+    probes and narrower ones find more strangers; 16 over the middle sizes, so that work grows evenly."""
+    bits = math.log2(max(n, 16))
+    return 16.0 if 12 <= bits <= 17 else min(bits, 24.0)
+
+
 def top_k(codes: DataFrame, queries: DataFrame, dims: int, k: int = 10, n_rows: int | None = None) -> DataFrame:
     """The k nearest rows of ``codes (id, code)`` for each row of ``queries (id, code)``.
 
@@ -75,34 +82,35 @@ def top_k(codes: DataFrame, queries: DataFrame, dims: int, k: int = 10, n_rows:
         .withColumn("r", F.row_number().over(fewest)).filter(F.col("r") <= k)
     index = written(kept.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "codes")
     n = n_rows or max(2, index.count())
-    # about one entry per segment value: wider segments would need more probes, narrower ones find more strangers
-    segments = _segments(dims, max(words, round(dims / max(4.0, min(20.0, math.log2(n))))))
+    segments = _segments(dims, max(words, round(dims / segment_bits(n))))
     m = len(segments)
     seek = written(queries.filter("code is not null").select("code").distinct()
                    .select(F.monotonically_increasing_id().alias("q"), F.col("code").alias("qcode")), "seek")
     entry = written(index.select("code", F.size("ids").alias("copies"), F.posexplode(_values(F.col("code"), segments)).alias("seg", "value")), "segments")
     nearest = Window.partitionBy("q").orderBy("d")
     best = done = None
-    open_q = seek
+    open_q = seek.withColumn("bound", F.lit(None).cast("int"))
     for radius in range(max(width for _, _, width in segments) + 1):
         masks = F.lit(None).cast("array<bigint>")
         for w in sorted({w for _, _, w in segments if w >= radius}):
             masks = F.when(F.col("seg").isin([i for i, x in enumerate(segments) if x[2] == w]), _masks(w, radius)).otherwise(masks)
-        probe = open_q.select("q", "qcode", F.posexplode(_values(F.col("qcode"), segments)).alias("seg", "qvalue")) \
-            .select("q", "qcode", "seg", "qvalue", F.explode(masks).alias("mask")) \
-            .select("q", "qcode", "seg", F.col("qvalue").bitwiseXOR(F.col("mask")).alias("value"))
-        # a code met in several segments is taken in the first of its closest segments only
+        probe = open_q.select("q", "qcode", "bound", F.posexplode(_values(F.col("qcode"), segments)).alias("seg", "qvalue")) \
+            .select("q", "qcode", "bound", "seg", "qvalue", F.explode(masks).alias("mask")) \
+            .select("q", "qcode", "bound", F.col("seg").alias("pseg"), F.col("qvalue").bitwiseXOR(F.col("mask")).alias("pvalue"))
+        # a code met in several segments is taken in the first of its closest segments only, and
+        # one farther than the k-th best so far is not taken at all
         apart = F.transform(F.arrays_zip(_values(F.col("qcode"), segments).alias("x"), _values(F.col("code"), segments).alias("y")),
                             lambda z: F.bit_count(z["x"].bitwiseXOR(z["y"])))
+        d = distance(F.col("qcode"), F.col("code"), words)
         # merge: the optimiser takes the probes for as small as the queries they are made from and would broadcast them
-        found = probe.hint("merge").join(entry, ["seg", "value"]) \
-            .filter(F.array_position(apart, F.array_min(apart)) == F.col("seg") + 1) \
-            .filter(F.array_min(apart) == radius) \
-            .select("q", "code", "copies", distance(F.col("qcode"), F.col("code"), words).alias("d"))
+        found = probe.hint("merge").join(entry, (F.col("pseg") == F.col("seg")) & (F.col("pvalue") == F.col("value"))
+                                         & (F.col("bound").isNull() | (d <= F.col("bound")))
+                                         & (F.array_min(apart) == radius) & (F.array_position(apart, F.array_min(apart)) == F.col("seg") + 1)) \
+            .select("q", "code", "copies", d.alias("d"))
         if best is not None:
             found = found.unionByName(best.select("q", "code", "copies", "d"))
         # rank counts codes, so it keeps whole distances and at least every row of the first k
-        kept = found.withColumn("r", F.rank().over(nearest)).filter(F.col("r") <= k).drop("r")
+        kept = written(found.withColumn("r", F.rank().over(nearest)).filter(F.col("r") <= k).drop("r"), "near")
         upto = kept.groupBy("q", "d").agg(F.sum("copies").alias("n")) \
             .withColumn("upto", F.sum("n").over(nearest)).filter(F.col("upto") >= k).groupBy("q").agg(F.min("d").alias("kth"))
         best = written(kept.join(upto, "q", "left").filter("kth is null or d <= kth"), "near")
@@ -111,7 +119,9 @@ def top_k(codes: DataFrame, queries: DataFrame, dims: int, k: int = 10, n_rows:
         done = closed if done is None else done.unionByName(closed)
         ids = closed.select("q").distinct()
         best = best.join(ids, "q", "left_anti")
-        open_q = written(open_q.join(ids, "q", "left_anti"), "open")
+        bounds = best.groupBy("q").agg(F.max("kth").alias("bound"))
+        open_q = written(seek.join(done.select("q").distinct(), "q", "left_anti")
+                         .join(bounds, "q", "left").select("q", "qcode", "bound"), "open")
         if not open_q.limit(1).count():
             break
     else:  # every segment value was probed: fewer than k rows in all
