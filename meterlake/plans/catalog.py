@@ -14,6 +14,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from meterlake import registry
 from meterlake.functions import quantiles
 from meterlake.functions.columns import last_days, money, ntz_lit, ratio
 from meterlake.operators import align, attribution, lineage, pricing, quality, tenant
@@ -86,6 +87,14 @@ def consolidate_all_counts(spark, d):
     return counts.join(reg, "view").select("view", "regionality", "rows")
 
 
+@query
+def consolidate_by_registry(spark, d):
+    """The registry's own rules: audit events are MIXED, workspaces GLOBAL, jobs REGIONAL."""
+    merged, modes, _ = align.consolidate_all(R.catalogs_platform(Tables(spark, d)), registry.rule)
+    reg = spark.createDataFrame(list(modes.items()), "view string, regionality string")
+    return align.row_counts(merged).join(reg, "view").select("view", "regionality", "rows")
+
+
 @query
 def drift_report(spark, d):
     return align.drift_report(R.catalogs_orders(Tables(spark, d)), "tpch.orders")
@@ -444,6 +453,17 @@ def key_report(spark, d):
     return quality.key_report({n: t[n] for n in names}, decls)
 
 
+@query
+def key_report_nested(spark, d):
+    """Dotted keys in both directions, and a history table whose key comes from the registry."""
+    t = Tables(spark, d)
+    nested = t.events.select(F.struct("event_id", "user_id").alias("meta"))
+    prices = R.prices(t).withColumnRenamed("sku", "sku_name")
+    decls = registry.key_decls(["billing.list_prices"]) | {
+        "nested_events": quality.KeyDecl(("meta.event_id",), (("meta.user_id", "nested_events", "meta.user_id"),))}
+    return quality.key_report({"billing.list_prices": prices, "nested_events": nested}, decls)
+
+
 # ---- tenant views over many tables (TEN-3, AG-17, AG-18) -----------------------------------
 @query
 def tenant_scope_all(spark, d):

@@ -421,7 +421,7 @@ EXPLORER = f"""(
     SELECT 'PIPELINE', pipeline_id, 'pipeline_' || CAST(pipeline_id AS VARCHAR), cost, consumers FROM {PIPELINE_ROI} p
   )
   SELECT resource_type, CAST(id AS BIGINT) AS id, name, CAST(cost AS DOUBLE) AS cost,
-         CAST(utilization AS BIGINT) AS utilization, CAST(round(CAST({_ratio('cost', 'utilization')} AS DECIMAL(38,12)), 6) AS DOUBLE) AS cost_per_utilization
+         CAST(utilization AS BIGINT) AS utilization, CAST(round(CAST(CAST({_ratio('cost', 'utilization')} AS VARCHAR) AS DECIMAL(38,12)), 6) AS DOUBLE) AS cost_per_utilization
   FROM parts
 )"""
 
@@ -570,3 +570,15 @@ def _days(sql: str, days: int) -> str:
 SQL["explorer_7d"] = _days(SQL["resource_explorer"], 7)
 SQL["explorer_90d"] = _days(SQL["resource_explorer"], 90)
 SQL["stream_copy_available_now"] = "SELECT * FROM events"
+SQL["consolidate_by_registry"] = """
+SELECT 'access.audit' AS view, 'MIXED' AS regionality, count(*) AS rows FROM events
+UNION ALL SELECT 'access.workspaces_latest', 'GLOBAL', count(*) FROM nation
+UNION ALL SELECT 'lakeflow.jobs', 'REGIONAL', count(*) FROM orders
+"""
+SQL["key_report_nested"] = """
+SELECT 'billing.list_prices' AS table_name, 'pk(sku_name, price_start_time)' AS key_name, 'pk' AS kind, 3 * count(*) AS rows,
+       CAST(0 AS BIGINT) AS duplicates, CAST(0 AS BIGINT) AS nulls, CAST(0 AS BIGINT) AS orphans FROM part
+UNION ALL SELECT 'nested_events', 'pk(meta.event_id)', 'pk', count(*), 0, 0, 0 FROM events
+UNION ALL SELECT 'nested_events', 'fk(meta.user_id -> nested_events.meta.user_id)', 'fk', count(*), 0,
+       count(*) FILTER (user_id IS NULL), 0 FROM events
+"""

@@ -216,6 +216,16 @@ def catalogs_all(t: Tables) -> dict[str, dict[str, DataFrame]]:
     }
 
 
+def catalogs_platform(t: Tables) -> dict[str, dict[str, DataFrame]]:
+    """Three catalogs under platform table names, for the registry's rules."""
+    o, ev = catalogs_orders(t), catalogs_mixed_events(t)
+    return {
+        "A": {"access.audit": ev["A"], "access.workspaces_latest": t.nation, "lakeflow.jobs": o["A"]},
+        "B": {"access.audit": ev["B"], "access.workspaces_latest": t.nation, "lakeflow.jobs": o["B"]},
+        "C": {"access.workspaces_latest": t.nation, "lakeflow.jobs": o["C"]},
+    }
+
+
 # regionality of the fixture tables: (regionality, dedup key for MIXED)
 FIXTURE_TABLES = {
     "tpch.nation": ("GLOBAL", None),

@@ -9,47 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-# The platform table catalogue, one table per line, as
-#   path | release status | regionality | primary keys | foreign keys (col->table[.col])
-CATALOGUE = """
-access.audit | PUBLIC_PREVIEW | MIXED | event_id | workspace_id->access.workspaces_latest
-billing.usage | GA | GLOBAL | record_id | workspace_id->access.workspaces_latest, sku_name->billing.list_prices, job_id->lakeflow.jobs, warehouse_id->compute.warehouses, cluster_id->compute.clusters, node_type->compute.node_types, endpoint_id->serving.served_entities
-access.clean_room_events | PUBLIC_PREVIEW | REGIONAL | event_id |
-compute.clusters | GA | REGIONAL | cluster_id |
-access.column_lineage | GA | REGIONAL | | entity_id->access.table_lineage
-data_classification.results | BETA | REGIONAL | |
-data_quality_monitoring.table_results | BETA | REGIONAL | |
-access.assistant_events | PUBLIC_PREVIEW | REGIONAL | event_id | workspace_id->access.workspaces_latest
-sharing.materialization_history | GA | MIXED | |
-lakeflow.job_run_timeline | GA | REGIONAL | run_id | job_id->lakeflow.jobs
-lakeflow.job_task_run_timeline | GA | REGIONAL | | job_id->lakeflow.jobs, task_key->lakeflow.job_tasks, job_run_id->lakeflow.job_run_timeline.run_id
-lakeflow.job_tasks | GA | REGIONAL | task_key | job_id->lakeflow.jobs
-lakeflow.jobs | GA | REGIONAL | job_id |
-marketplace.listing_funnel_events | PUBLIC_PREVIEW | REGIONAL | provider_id, listing_id |
-marketplace.listing_access_events | PUBLIC_PREVIEW | REGIONAL | | provider_id->marketplace.listing_funnel_events, listing_id->marketplace.listing_funnel_events
-mlflow.experiments_latest | PUBLIC_PREVIEW | REGIONAL | experiment_id |
-mlflow.runs_latest | PUBLIC_PREVIEW | REGIONAL | run_id | experiment_id->mlflow.experiments_latest
-mlflow.run_metrics_history | PUBLIC_PREVIEW | REGIONAL | record_id | run_id->mlflow.runs_latest
-serving.served_entities | PUBLIC_PREVIEW | REGIONAL | served_entity_id, endpoint_id |
-serving.endpoint_usage | PUBLIC_PREVIEW | REGIONAL | databricks_request_id | served_entity_id->serving.served_entities
-access.inbound_network | PUBLIC_PREVIEW | REGIONAL | event_id |
-access.outbound_network | PUBLIC_PREVIEW | REGIONAL | event_id |
-compute.node_timeline | GA | REGIONAL | | cluster_id->compute.clusters, node_type->compute.node_types
-compute.node_types | GA | REGIONAL | node_type |
-lakeflow.pipeline_update_timeline | PUBLIC_PREVIEW | REGIONAL | | pipeline_id->lakeflow.pipelines
-lakeflow.pipelines | PUBLIC_PREVIEW | REGIONAL | pipeline_id |
-storage.predictive_optimization_operations_history | PUBLIC_PREVIEW | REGIONAL | |
-billing.list_prices | GA | GLOBAL | sku_name |
-query.history | PUBLIC_PREVIEW | REGIONAL | statement_id | warehouse_id->compute.warehouses
-compute.warehouse_events | PUBLIC_PREVIEW | REGIONAL | | warehouse_id->compute.warehouses
-compute.warehouses | PUBLIC_PREVIEW | REGIONAL | warehouse_id |
-access.table_lineage | GA | REGIONAL | entity_id |
-access.workspaces_latest | PUBLIC_PREVIEW | GLOBAL | workspace_id |
-lakeflow.zerobus_stream | BETA | REGIONAL | |
-lakeflow.zerobus_ingest | BETA | REGIONAL | |
-"""
-
-
 @dataclass(frozen=True)
 class ForeignKey:
     column: str          # may be a dotted path into a struct (D-18)
@@ -66,22 +25,86 @@ class TableDef:
     foreign_keys: tuple[ForeignKey, ...] = field(default_factory=tuple)
 
 
-def _parse(text: str) -> dict[str, TableDef]:
-    out = {}
-    for line in text.strip().splitlines():
-        path, status, reg, pk, fk = [p.strip() for p in line.split("|")]
-        pks = tuple(p.strip() for p in pk.split(",") if p.strip())
-        fks = []
-        for item in (x.strip() for x in fk.split(",") if x.strip()):
-            col, target = item.split("->")
-            parts = target.split(".")
-            table = ".".join(parts[:2])
-            fks.append(ForeignKey(col, table, parts[2] if len(parts) > 2 else col))
-        out[path] = TableDef(path, status, reg, pks, tuple(fks))
-    return out
-
-
-TABLES: dict[str, TableDef] = _parse(CATALOGUE)
+# The platform's tables with release status, regionality and declared keys.
+_DEFINITIONS = (
+    TableDef("access.audit", "PUBLIC_PREVIEW", "MIXED", ("event_id",), (
+        ForeignKey("workspace_id", "access.workspaces_latest", "workspace_id"),
+    )),
+    TableDef("billing.usage", "GA", "GLOBAL", ("record_id",), (
+        ForeignKey("workspace_id", "access.workspaces_latest", "workspace_id"),
+        ForeignKey("sku_name", "billing.list_prices", "sku_name"),
+        ForeignKey("job_id", "lakeflow.jobs", "job_id"),
+        ForeignKey("warehouse_id", "compute.warehouses", "warehouse_id"),
+        ForeignKey("cluster_id", "compute.clusters", "cluster_id"),
+        ForeignKey("node_type", "compute.node_types", "node_type"),
+        ForeignKey("endpoint_id", "serving.served_entities", "endpoint_id"),
+    )),
+    TableDef("access.clean_room_events", "PUBLIC_PREVIEW", "REGIONAL", ("event_id",)),
+    TableDef("compute.clusters", "GA", "REGIONAL", ("cluster_id",)),
+    TableDef("access.column_lineage", "GA", "REGIONAL", (), (
+        ForeignKey("entity_id", "access.table_lineage", "entity_id"),
+    )),
+    TableDef("data_classification.results", "BETA", "REGIONAL"),
+    TableDef("data_quality_monitoring.table_results", "BETA", "REGIONAL"),
+    TableDef("access.assistant_events", "PUBLIC_PREVIEW", "REGIONAL", ("event_id",), (
+        ForeignKey("workspace_id", "access.workspaces_latest", "workspace_id"),
+    )),
+    TableDef("sharing.materialization_history", "GA", "MIXED"),
+    TableDef("lakeflow.job_run_timeline", "GA", "REGIONAL", ("run_id",), (
+        ForeignKey("job_id", "lakeflow.jobs", "job_id"),
+    )),
+    TableDef("lakeflow.job_task_run_timeline", "GA", "REGIONAL", (), (
+        ForeignKey("job_id", "lakeflow.jobs", "job_id"),
+        ForeignKey("task_key", "lakeflow.job_tasks", "task_key"),
+        ForeignKey("job_run_id", "lakeflow.job_run_timeline", "run_id"),
+    )),
+    TableDef("lakeflow.job_tasks", "GA", "REGIONAL", ("task_key",), (
+        ForeignKey("job_id", "lakeflow.jobs", "job_id"),
+    )),
+    TableDef("lakeflow.jobs", "GA", "REGIONAL", ("job_id",)),
+    TableDef("marketplace.listing_funnel_events", "PUBLIC_PREVIEW", "REGIONAL", ("provider_id", "listing_id")),
+    TableDef("marketplace.listing_access_events", "PUBLIC_PREVIEW", "REGIONAL", (), (
+        ForeignKey("provider_id", "marketplace.listing_funnel_events", "provider_id"),
+        ForeignKey("listing_id", "marketplace.listing_funnel_events", "listing_id"),
+    )),
+    TableDef("mlflow.experiments_latest", "PUBLIC_PREVIEW", "REGIONAL", ("experiment_id",)),
+    TableDef("mlflow.runs_latest", "PUBLIC_PREVIEW", "REGIONAL", ("run_id",), (
+        ForeignKey("experiment_id", "mlflow.experiments_latest", "experiment_id"),
+    )),
+    TableDef("mlflow.run_metrics_history", "PUBLIC_PREVIEW", "REGIONAL", ("record_id",), (
+        ForeignKey("run_id", "mlflow.runs_latest", "run_id"),
+    )),
+    TableDef("serving.served_entities", "PUBLIC_PREVIEW", "REGIONAL", ("served_entity_id", "endpoint_id")),
+    TableDef("serving.endpoint_usage", "PUBLIC_PREVIEW", "REGIONAL", ("databricks_request_id",), (
+        ForeignKey("served_entity_id", "serving.served_entities", "served_entity_id"),
+    )),
+    TableDef("access.inbound_network", "PUBLIC_PREVIEW", "REGIONAL", ("event_id",)),
+    TableDef("access.outbound_network", "PUBLIC_PREVIEW", "REGIONAL", ("event_id",)),
+    TableDef("compute.node_timeline", "GA", "REGIONAL", (), (
+        ForeignKey("cluster_id", "compute.clusters", "cluster_id"),
+        ForeignKey("node_type", "compute.node_types", "node_type"),
+    )),
+    TableDef("compute.node_types", "GA", "REGIONAL", ("node_type",)),
+    TableDef("lakeflow.pipeline_update_timeline", "PUBLIC_PREVIEW", "REGIONAL", (), (
+        ForeignKey("pipeline_id", "lakeflow.pipelines", "pipeline_id"),
+    )),
+    TableDef("lakeflow.pipelines", "PUBLIC_PREVIEW", "REGIONAL", ("pipeline_id",)),
+    TableDef("storage.predictive_optimization_operations_history", "PUBLIC_PREVIEW", "REGIONAL"),
+    TableDef("billing.list_prices", "GA", "GLOBAL", ("sku_name",)),
+    TableDef("query.history", "PUBLIC_PREVIEW", "REGIONAL", ("statement_id",), (
+        ForeignKey("warehouse_id", "compute.warehouses", "warehouse_id"),
+    )),
+    TableDef("compute.warehouse_events", "PUBLIC_PREVIEW", "REGIONAL", (), (
+        ForeignKey("warehouse_id", "compute.warehouses", "warehouse_id"),
+    )),
+    TableDef("compute.warehouses", "PUBLIC_PREVIEW", "REGIONAL", ("warehouse_id",)),
+    TableDef("access.table_lineage", "GA", "REGIONAL", ("entity_id",)),
+    TableDef("access.workspaces_latest", "PUBLIC_PREVIEW", "GLOBAL", ("workspace_id",)),
+    TableDef("lakeflow.zerobus_stream", "BETA", "REGIONAL"),
+    TableDef("lakeflow.zerobus_ingest", "BETA", "REGIONAL"),
+)
+
+TABLES: dict[str, TableDef] = {t.path: t for t in _DEFINITIONS}
 
 
 def get(path: str) -> TableDef | None:
@@ -103,6 +126,7 @@ HISTORY = {
     "compute.warehouses": "change_time",
     "serving.served_entities": "change_time",
     "billing.list_prices": "price_start_time",
+    "access.table_lineage": "event_time",
 }
 
 

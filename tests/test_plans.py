@@ -4,13 +4,14 @@ filters and column pruning reach the scan."""
 import pytest
 
 import __spark_entry__ as E
+from meterlake.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas",
              "CartesianProduct", "BroadcastNestedLoopJoin"]
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_python_udf_and_no_cross_product(spark, key):
     df = E.queries()[key](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
