@@ -266,9 +266,14 @@ class Facts:
         log = last_days(R.query_log(self.t), "start_time", R.EVENT_AS_OF, self.days)
         return attribution.endpoint_cost_per_query(R.endpoint_usage(self.priced), log)
 
+    @cached_property
+    def pipeline_outputs(self):
+        # listed from usage without prices, so the price join does not run for it again
+        return R.pipeline_outputs(R.with_family(self.t, R.usage_rows(self.t, True, self.days)))
+
     @cached_property
     def pipeline_roi(self):
-        return attribution.pipeline_roi(R.pipeline_usage(self.priced), R.pipeline_outputs(self.priced), self.reads)
+        return attribution.pipeline_roi(R.pipeline_usage(self.priced), self.pipeline_outputs, self.reads)
 
     @cached_property
     def job_report(self):
@@ -307,11 +312,10 @@ def pipeline_roi(spark, d):
 
 @query
 def pipeline_cost_by_table(spark, d):
-    t = Tables(spark, d)
-    pr = R.priced_daily(t)
-    cost = R.pipeline_usage(pr).groupBy(F.col("resource_id").alias("pipeline_id")).agg(
+    f = _facts(spark, d)
+    cost = R.pipeline_usage(f.priced).groupBy(F.col("resource_id").alias("pipeline_id")).agg(
         money(F.sum("cost")).alias("cost"))
-    shares = attribution.allocate(cost, R.pipeline_outputs(pr), "pipeline_id", "table_id")
+    shares = attribution.allocate(cost, f.pipeline_outputs, "pipeline_id", "table_id")
     return shares.withColumn("cost_share", F.round("cost_share", 6))
 
 

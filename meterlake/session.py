@@ -23,11 +23,8 @@ SQL_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
-    # A windowed fact slice joined to a large table (lineitem window vs all orders,
-    # usage vs the part/price list) gets a runtime Bloom filter built from the small
-    # side's keys and applied to the large side's scan before the shuffle.
+    # lets Spark filter the large side of a shuffled join by the small side's keys, above its own thresholds
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
