@@ -157,7 +157,7 @@ def test_held_out_accuracy(tables):
 def test_kneser_ney_sums_to_one(spark):
     import numpy as np
     texts = spark.createDataFrame([(0, "the cat and the dog " * 20), (0, "A dog, a cat!"), (1, "zzz"), (0, None), (1, "")], "model long, text string")
-    log_p, ratio = quality.dense(quality.train(texts))
+    log_p, ratio = quality.dense(quality.compact(quality.train(texts)))
     p = np.exp(log_p.astype(np.float64)).reshape(-1, quality.SYMBOLS)
     assert np.abs(p.sum(1) - 1).max() < 0.01
     q = np.exp((log_p + ratio).astype(np.float64)).reshape(-1, quality.SYMBOLS)
