@@ -61,10 +61,12 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(max_rounds):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # written, so that the join stands alone and a node with very many links can be split
+        low = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "lowest")
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = written(large, "links")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         small = large.join(low, "u").select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                               F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")

@@ -251,7 +251,8 @@ def _keys(table: DataFrame, unit: Unit, size: int, within: int | None) -> DataFr
 def _repeated(keys: DataFrame, name: str) -> DataFrame:
     """The rows whose digit another row has too."""
     keys = written(keys, name)
-    more = keys.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # written, so that the join stands alone and a digit that very many rows share can be split
+    more = written(keys.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), name)
     return written(keys.join(more, ["h1", "h2"], "left_semi"), name)
 
 
@@ -287,15 +288,16 @@ def covered(docs: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
     several rows but share one ``did``.
     """
     found = written(_anchor_rows(docs, unit), "anchors")
-    often = found.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # the counts are written before each join, so that a join stands alone and a hot gram can be split
+    often = written(found.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "often")
     found = written(found.join(often, "g", "left_semi"), "anchors")
-    groups = found.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "place")).alias("one"))
-    kinds = groups.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"))
-    seen = found.join(groups.join(kinds, "g"), ["g", "c"]) \
+    groups = written(found.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "place")).alias("one")), "groups")
+    kinds = written(groups.groupBy("g").agg(F.count(F.lit(1)).alias("kinds")), "kinds")
+    seen = found.join(written(groups.join(kinds, "g"), "groups"), ["g", "c"]) \
         .withColumn("goes_on", (F.col("kinds") > 1) & (F.struct("k1", "k2", "place") == F.col("one")))
     seen = seen.filter("n > 1 or goes_on").groupBy("k1", "k2").agg(
         F.collect_set(F.struct("place", (F.col("n") > 1).alias("whole"), "goes_on", "lo", "hi")).alias("all"))
-    texts = written(docs.select(*row_key(), "text").join(seen, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    texts = written(docs.select(*row_key(), "text").join(seen.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
                     .select(F.monotonically_increasing_id().alias("did"), "k1", "k2", "text", "all"), "texts")
     rows = texts.select("did", F.inline("all"))
     whole = rows.filter("whole").select("did", (F.col("place") - F.col("hi")).alias("first"), (F.col("place") - F.col("lo") + unit.width).alias("end"))
@@ -379,5 +381,5 @@ def remove_repeats(docs: DataFrame, unit: Unit = WORDS_50) -> DataFrame:
         return ("".join([*out, text[at:]]),)
 
     found = written(_cut(docs, unit, change, "k1 long, k2 long, cut string"), "cut")
-    return keyed(docs).join(found, ["k1", "k2"], "left") \
+    return keyed(docs).join(found.hint("merge"), ["k1", "k2"], "left") \
         .select(F.col("row").withField("text", F.coalesce("cut", "row.text")).alias("row")).select("row.*")
