@@ -102,11 +102,11 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N, whole_docume
     """
     found = _by_row(hits(docs, benchmark, n)).select("k1", "k2", "hit")
     if whole_documents:
-        return keyed(docs).join(found, ["k1", "k2"], "left_anti").select("row.*")
+        return keyed(docs).join(found.hint("merge"), ["k1", "k2"], "left_anti").select("row.*")
     text = F.col("row.text")
     between = F.split(text, WORD)
     kept = F.filter(F.transform(F.regexp_extract_all(text, F.lit(f"({WORD})")), lambda w, i: F.when(
         ~F.array_contains("hit", i), F.concat(w, F.element_at(between, i + 2)))), lambda x: x.isNotNull())
     cut = F.concat(F.element_at(between, 1), F.array_join(kept, ""))
-    return keyed(docs).join(found, ["k1", "k2"], "left") \
+    return keyed(docs).join(found.hint("merge"), ["k1", "k2"], "left") \
         .select(F.col("row").withField("text", F.when(F.col("hit").isNull(), text).otherwise(cut)).alias("row")).select("row.*")

@@ -12,10 +12,10 @@ similarity 1 - distance / words of the longer text of 0.8 or more. Classes are t
 components of the links.
 
 A bucket (texts with one sketch) never emits all its pairs. First every text is aligned with
-the bucket's lowest one only; this settles families of copies. Then texts that are not in the
-component of their bucket's lowest text are aligned with every text of the bucket that is in
-another component, except pairs that exact bounds (length, a bitmap of the words) rule out. Every
-candidate pair is thus aligned, ruled out exactly, or already in one class.
+the bucket's lowest one only, then those outside the bucket's largest class with members of it
+that each bucket draws anew; this settles families of copies. Then the texts outside the bucket's largest class are aligned with
+every text of the bucket in another class, except pairs that exact bounds (length, a bitmap of
+the words) rule out. Every candidate pair is thus aligned, ruled out exactly, or in one class already.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import components, keyed, row_key, written
@@ -34,6 +34,8 @@ from meterlake.llm.common import components, keyed, row_key, written
 K, L, SKETCHES = 5, 3, 40
 SIMILARITY = 0.8
 BIT_WORDS = 8  # longs of the word bitmap
+#: Rounds in which texts outside a bucket's largest class meet DRAWN members of it.
+STAR_ROUNDS, DRAWN = 2, 2
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -238,6 +240,46 @@ def _words_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node long, seq binary")
 
 
+def _most(longest: Column) -> Column:
+    """Edits that two texts may be apart."""
+    return F.floor(longest * (1 - SIMILARITY) + 1e-9)
+
+
+def _fitting(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The ``pairs (a, b)``, a below b, whose lengths allow the similarity."""
+    n = nodes.select("node", "n")
+    both = pairs.join(n.select(F.col("node").alias("a"), F.col("n").alias("an")), "a").join(n.select(F.col("node").alias("b"), F.col("n").alias("bn")), "b")
+    return both.filter(F.least("an", "bn") >= F.greatest("an", "bn") - _most(F.greatest("an", "bn"))).select("a", "b")
+
+
+def _placed(df: DataFrame, comps: DataFrame, col: str, out: str) -> DataFrame:
+    """``df`` with the component of ``col``; a node without links is its own."""
+    return df.join(comps.select(F.col("id").alias(col), F.col("comp").alias(out)), col, "left").withColumn(out, F.coalesce(out, col))
+
+
+def _merged(comps: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components ``(id, comp)`` after the new ``links (a, b)``: the links join whole components."""
+    if comps is None:
+        return written(components(links), "components")
+    if not links.limit(1).count():
+        return comps
+    between = _placed(_placed(links, comps, "a", "x"), comps, "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    joined = written(components(between), "components")
+    every = comps.union(joined.select("id", F.col("id").alias("comp"))).distinct()
+    return written(_placed(every.withColumnRenamed("comp", "part"), joined, "part", "comp").select("id", "comp"), "components")
+
+
+def _by_class(buckets: DataFrame, comps: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Bucket members with their component, and for every bucket of several components its
+    largest one (``main``) with DRAWN of its members, picked by a hash of bucket and turn."""
+    placed = written(_placed(buckets.select("key", "node"), comps, "node", "comp"), "placed")
+    drawn = [F.min_by("node", F.xxhash64("node", "key", F.lit(turn * DRAWN + i))).alias(f"d{i}") for i in range(DRAWN)]
+    parts = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"), *drawn)
+    best = F.max_by(F.struct("comp", *[f"d{i}" for i in range(DRAWN)]), F.struct("size", "comp")).alias("b")
+    largest = parts.groupBy("key").agg(best, F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+    return placed, written(largest.select("key", F.col("b.comp").alias("main"), F.array(*[f"b.d{i}" for i in range(DRAWN)]).alias("drawn")), "largest")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """``(doc_id, k1, k2, class_id)`` for every row; ``class_id`` is the lowest doc_id of the row's class.
 
@@ -252,38 +294,36 @@ def classes(docs: DataFrame) -> DataFrame:
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "one.k1", "one.k2", "low", "n", "keys", "bits"), "nodes")
 
     drawn = nodes.select("node", "n", F.explode(F.array_distinct("keys")).alias("key"))
-    heads = drawn.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "head")
+    # written, so that the join below stands alone and a bucket of very many texts can be split
+    heads = written(drawn.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "head"), "heads")
     buckets = written(drawn.join(heads, "key"), "buckets")
     texts = written(_words_of(docs, nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "k1", "k2")), "words")
-    size = nodes.select(F.col("node").alias("head"), F.col("n").alias("head_n"))
-    fits = F.least("n", "head_n") >= F.greatest("n", "head_n") - F.floor(F.greatest("n", "head_n") * (1 - SIMILARITY) + 1e-9)
-    stars = buckets.filter("node <> head").select("node", "n", "head").distinct().join(size, "head").filter(fits) \
-        .select(F.col("head").alias("a"), F.col("node").alias("b"))
-    links = written(_verified(stars, texts), "links")
-    comps = written(components(links), "components")
-
-    def placed(df: DataFrame, col: str, out: str) -> DataFrame:
-        return df.join(comps.select(F.col("id").alias(col), F.col("comp").alias(out)), col, "left") \
-            .withColumn(out, F.coalesce(out, col))
-
-    known = written(placed(placed(buckets, "node", "comp"), "head", "head_comp"), "placed")
-    apart = known.filter("comp <> head_comp")
-    mixed = known.join(apart.select("key").distinct(), "key", "left_semi").join(nodes.select("node", "bits"), "node")
-    mixed = written(mixed.select("key", "node", "head", "n", "comp", "head_comp", "bits"), "mixed")
-    one = mixed.filter("comp <> head_comp").select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"), F.col("bits").alias("ab"), "head")
-    two = mixed.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), F.col("bits").alias("bb"), (F.col("comp") != F.col("head_comp")).alias("both"))
-    longest = F.greatest("an", "bn")
-    most = F.floor(longest * (1 - SIMILARITY) + 1e-9)
-    differ = sum((F.bit_count(F.element_at("ab", i + 1).bitwiseXOR(F.element_at("bb", i + 1))) for i in range(BIT_WORDS)), F.lit(0))
-    # an edit changes at most two words of the sets; pairs of two such texts are taken once
-    rest = one.hint("merge").join(two, "key").filter(
-        (F.col("ac") != F.col("bc")) & (F.col("b") != F.col("head")) & (~F.col("both") | (F.col("a") < F.col("b")))
-        & (F.least("an", "bn") >= longest - most) & (differ <= 2 * most)).select("a", "b").distinct()
-    links = links.unionByName(written(_verified(rest, texts), "links"))
-    comps = written(components(links), "components")
-
-    classed = nodes.select("node", "h1", "h2", "low").join(comps.withColumnRenamed("id", "node"), "node", "left") \
-        .withColumn("comp", F.coalesce("comp", "node"))
+    stars = written(_fitting(buckets.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), nodes), "pairs")
+    tried, comps = stars, _merged(None, written(_verified(stars, texts), "links"))
+    for turn in range(STAR_ROUNDS):
+        placed, largest = _by_class(buckets, comps, turn)
+        # texts outside a bucket's largest class meet members of it that each bucket draws by itself
+        apart = placed.join(largest, "key").filter("comp <> main").select(F.explode("drawn").alias("m"), "node")
+        stars = _fitting(apart.select(F.least("m", "node").alias("a"), F.greatest("m", "node").alias("b")).distinct(), nodes)
+        stars = written(stars.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried, comps = tried.unionByName(stars), _merged(comps, written(_verified(stars, texts), "links"))
+
+    placed, largest = _by_class(buckets, comps, STAR_ROUNDS)
+    mixed = placed.join(largest.select("key", "main"), "key").join(nodes.select("node", "n", "bits"), "node")
+    mixed = written(mixed.select("key", "node", "n", "comp", "bits", (F.col("comp") != F.col("main")).alias("minor")), "mixed")
+    one = mixed.filter("minor").select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"), F.col("bits").alias("ab"))
+    two = mixed.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), F.col("bits").alias("bb"), "minor")
+    most = _most(F.greatest("an", "bn"))
+
+    def lost(x: str, y: str) -> Column:
+        """Words of one text that the other lacks, as far as the bitmaps show: each costs an edit."""
+        return sum((F.bit_count(F.element_at(x, i + 1).bitwiseAND(F.bitwise_not(F.element_at(y, i + 1)))) for i in range(BIT_WORDS)), F.lit(0))
+
+    rest = one.hint("merge").join(two, (one["key"] == two["key"]) & (F.col("ac") != F.col("bc")) & (~F.col("minor") | (F.col("a") < F.col("b")))
+                                  & (F.least("an", "bn") >= F.greatest("an", "bn") - most) & (lost("ab", "bb") <= most) & (lost("bb", "ab") <= most))
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    comps = _merged(comps, written(_verified(rest, texts), "links"))
+    classed = _placed(nodes.select("node", "h1", "h2", "low"), comps, "node", "comp")
     lowest = classed.groupBy("comp").agg(F.min("low").alias("class_id"))
     classed = classed.join(lowest, "comp").select("h1", "h2", "class_id")
     return rows.select("doc_id", "k1", "k2", "h1", "h2", "n").join(classed, ["h1", "h2"], "left") \
@@ -303,4 +343,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     of = classes(docs).groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("k1")).alias("alone")) \
         .agg(F.min_by(F.struct("k1", "k2"), F.struct(F.coalesce(F.col("doc_id") != F.col("class_id"), F.lit(True)), "k1", "k2")).alias("one"))
     chosen = of.select("one.k1", "one.k2")
-    return keyed(docs).join(chosen, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("row.*")
+    return keyed(docs).join(chosen.hint("merge"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("row.*")
