@@ -33,7 +33,7 @@ from meterlake.llm.common import components, keyed, row_key, written
 
 K, L, SKETCHES = 5, 3, 40
 SIMILARITY = 0.8
-BIT_WORDS = 8  # longs of the word bitmap
+BIT_WORDS = 16  # longs of the word bitmap
 #: Rounds in which texts outside a bucket's largest class meet DRAWN members of it.
 STAR_ROUNDS, DRAWN = 2, 2
 _WORD = re.compile(r"\w+")
@@ -63,6 +63,19 @@ def words(text: str | None, hashes: dict) -> np.ndarray:
     return np.fromiter(map(hashes.__getitem__, _WORD.findall((text or "").lower())), np.uint64)
 
 
+def _labelled(h: np.ndarray) -> np.ndarray:
+    """Hashes that tell the occurrences of an equal hash apart."""
+    order = np.argsort(h, kind="stable")
+    new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
+    if new.all():
+        return h
+    first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+    label = np.empty(len(h), np.uint64)
+    label[order] = (np.arange(len(h)) - first).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        return _mixed(h + label * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
 def kmers(seq: np.ndarray) -> np.ndarray:
     """Hashes of the occurrence-labelled k-mers; one for a text of fewer than K words."""
     k = min(K, len(seq))
@@ -70,15 +83,7 @@ def kmers(seq: np.ndarray) -> np.ndarray:
         h = np.zeros(len(seq) - k + 1, np.uint64)
         for i in range(k):
             h = h * np.uint64(0x9E3779B97F4A7C15) + seq[i:len(seq) - k + 1 + i]
-        h = _mixed(h)
-        order = np.argsort(h, kind="stable")
-        new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
-        if not new.all():
-            first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-            label = np.empty(len(h), np.uint64)
-            label[order] = (np.arange(len(h)) - first).astype(np.uint64)
-            h = _mixed(h + label * np.uint64(0xC2B2AE3D27D4EB4F))
-    return h
+    return _labelled(_mixed(h))
 
 
 _SEEDS = _mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64))
@@ -105,6 +110,10 @@ def sketch(h: np.ndarray) -> np.ndarray:
 
 
 def bitmap(seq: np.ndarray) -> np.ndarray:
+    """The words of a text as bits, a word that occurs again as another one."""
+    if not len(seq):
+        return np.zeros(BIT_WORDS, np.int64)
+    seq = _labelled(seq)
     bits = np.zeros(64 * BIT_WORDS, np.uint8)
     bits[(seq >> np.uint64(7)) % np.uint64(64 * BIT_WORDS)] = 1
     return np.packbits(bits).view(np.int64)
@@ -311,16 +320,16 @@ def classes(docs: DataFrame) -> DataFrame:
     placed, largest = _by_class(buckets, comps, STAR_ROUNDS)
     mixed = placed.join(largest.select("key", "main"), "key").join(nodes.select("node", "n", "bits"), "node")
     mixed = written(mixed.select("key", "node", "n", "comp", "bits", (F.col("comp") != F.col("main")).alias("minor")), "mixed")
-    one = mixed.filter("minor").select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"), F.col("bits").alias("ab"))
-    two = mixed.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), F.col("bits").alias("bb"), "minor")
+    one = mixed.filter("minor").select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"), *[F.element_at("bits", i + 1).alias(f"x{i}") for i in range(BIT_WORDS)])
+    two = mixed.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), "minor", *[F.element_at("bits", i + 1).alias(f"y{i}") for i in range(BIT_WORDS)])
     most = _most(F.greatest("an", "bn"))
 
     def lost(x: str, y: str) -> Column:
         """Words of one text that the other lacks, as far as the bitmaps show: each costs an edit."""
-        return sum((F.bit_count(F.element_at(x, i + 1).bitwiseAND(F.bitwise_not(F.element_at(y, i + 1)))) for i in range(BIT_WORDS)), F.lit(0))
+        return sum((F.bit_count(F.col(f"{x}{i}").bitwiseAND(F.bitwise_not(F.col(f"{y}{i}")))) for i in range(BIT_WORDS)), F.lit(0))
 
     rest = one.hint("merge").join(two, (one["key"] == two["key"]) & (F.col("ac") != F.col("bc")) & (~F.col("minor") | (F.col("a") < F.col("b")))
-                                  & (F.least("an", "bn") >= F.greatest("an", "bn") - most) & (lost("ab", "bb") <= most) & (lost("bb", "ab") <= most))
+                                  & (F.least("an", "bn") >= F.greatest("an", "bn") - most) & (lost("x", "y") <= most) & (lost("y", "x") <= most))
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     comps = _merged(comps, written(_verified(rest, texts), "links"))
     classed = _placed(nodes.select("node", "h1", "h2", "low"), comps, "node", "comp")
