@@ -33,7 +33,7 @@ from meterlake.llm.common import components, keyed, row_key, written
 
 K, L, SKETCHES = 5, 3, 40
 SIMILARITY = 0.8
-BIT_WORDS = 16  # longs of the word bitmap
+BIT_WORDS = 64  # longs of the word bitmap: 4096 bits show most differing words of texts up to 1000 words
 #: Rounds in which texts outside a bucket's largest class meet DRAWN members of it.
 STAR_ROUNDS, DRAWN = 2, 2
 _WORD = re.compile(r"\w+")
@@ -320,8 +320,8 @@ def classes(docs: DataFrame) -> DataFrame:
     placed, largest = _by_class(buckets, comps, STAR_ROUNDS)
     mixed = placed.join(largest.select("key", "main"), "key").join(nodes.select("node", "n", "bits"), "node")
     mixed = written(mixed.select("key", "node", "n", "comp", "bits", (F.col("comp") != F.col("main")).alias("minor")), "mixed")
-    one = mixed.filter("minor").select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"), *[F.element_at("bits", i + 1).alias(f"x{i}") for i in range(BIT_WORDS)])
-    two = mixed.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), "minor", *[F.element_at("bits", i + 1).alias(f"y{i}") for i in range(BIT_WORDS)])
+    one = mixed.filter("minor").select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"), *[F.coalesce(F.element_at("bits", i + 1), F.lit(0).cast("long")).alias(f"x{i}") for i in range(BIT_WORDS)])
+    two = mixed.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), "minor", *[F.coalesce(F.element_at("bits", i + 1), F.lit(0).cast("long")).alias(f"y{i}") for i in range(BIT_WORDS)])
     most = _most(F.greatest("an", "bn"))
 
     def lost(x: str, y: str) -> Column:
