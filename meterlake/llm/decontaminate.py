@@ -105,8 +105,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N, whole_docume
         return keyed(docs).join(found.hint("merge"), ["k1", "k2"], "left_anti").select("row.*")
     text = F.col("row.text")
     between = F.split(text, WORD)
-    kept = F.filter(F.transform(F.regexp_extract_all(text, F.lit(f"({WORD})")), lambda w, i: F.when(
-        ~F.array_contains("hit", i), F.concat(w, F.element_at(between, i + 2)))), lambda x: x.isNotNull())
+    # zipped first: what a lambda names from outside is worked out anew for every word
+    pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(f"({WORD})")).alias("w"), F.slice(between, F.lit(2), F.greatest(F.size(between) - 1, F.lit(0))).alias("s"))
+    kept = F.transform(pairs, lambda x, i: F.when(F.array_contains("hit", i), "").otherwise(F.concat(x["w"], x["s"])))
     cut = F.concat(F.element_at(between, 1), F.array_join(kept, ""))
     return keyed(docs).join(found.hint("merge"), ["k1", "k2"], "left") \
         .select(F.col("row").withField("text", F.when(F.col("hit").isNull(), text).otherwise(cut)).alias("row")).select("row.*")
