@@ -64,7 +64,7 @@ def words(text: str | None, hashes: dict) -> np.ndarray:
 
 
 def _labelled(h: np.ndarray) -> np.ndarray:
-    """Hashes that tell the occurrences of an equal hash apart."""
+    """Hashes that tell the occurrences of an equal hash apart; a first occurrence keeps its own."""
     order = np.argsort(h, kind="stable")
     new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
     if new.all():
@@ -73,7 +73,7 @@ def _labelled(h: np.ndarray) -> np.ndarray:
     label = np.empty(len(h), np.uint64)
     label[order] = (np.arange(len(h)) - first).astype(np.uint64)
     with np.errstate(over="ignore"):
-        return _mixed(h + label * np.uint64(0xC2B2AE3D27D4EB4F))
+        return np.where(label > 0, _mixed(h + label * np.uint64(0xC2B2AE3D27D4EB4F)), h)
 
 
 def kmers(seq: np.ndarray) -> np.ndarray:

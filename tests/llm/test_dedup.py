@@ -89,6 +89,20 @@ def test_families_chains_and_shared_passages(spark):
     assert got == classes_by_force(rows)
 
 
+def test_a_repeat_in_one_text_only(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    long, short = [word() for _ in range(60)], [word() for _ in range(8)]
+    hashes = minhash.WordHashes()
+    once, twice = (minhash.kmers(minhash.words(" ".join(t), hashes)) for t in (long, long + long[:6]))
+    assert set(once.tolist()) <= set(twice.tolist())
+    once, twice = (np.unpackbits(minhash.bitmap(minhash.words(" ".join(t), hashes)).view(np.uint8)) for t in (short, short + short[-1:]))
+    assert (once <= twice).all()
+    rows = [(i, " ".join(t)) for i, t in enumerate((long, long + long[:6], short, short + short[-1:], [word() for _ in range(30)]))]
+    got = sorted(map(tuple, minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == classes_by_force(rows) and len({c for _, c in got}) == 3
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 200), (300, 200), (7, 7), (500, 500)]
     got = {r["id"]: r["comp"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
