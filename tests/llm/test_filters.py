@@ -154,6 +154,21 @@ def test_held_out_accuracy(tables):
     assert judged[judged.quality == 0].keep.mean() < 0.4
 
 
+def test_held_out_recall_by_kind(tables):
+    docs, labels = tables
+    judged = quality.classify(docs, labels.filter("doc_id % 2 = 0")).join(labels.filter("doc_id % 2 = 1"), "doc_id") \
+        .join(docs.select("doc_id", "text"), "doc_id").toPandas()
+    for lang, least in {"de": 0.9, "fr": 0.9, "es": 0.85, "en": 0.97}.items():
+        toxic = judged[(judged.toxic == 1) & (judged.lang == lang)]
+        assert len(toxic) > 10 and 1 - toxic.keep.mean() >= least
+    assert judged[(judged.quality == 1) & (judged.toxic == 0)].keep.mean() > 0.998
+
+
+def test_letters_of_any_script():
+    numbers = quality.Numbers({"ключ": 2.0})
+    assert [numbers.ratios[n] for n in numbers.of("ключевой конь")] == [2.0, 0.0]
+
+
 def test_kneser_ney_sums_to_one(spark):
     import numpy as np
     texts = spark.createDataFrame([(0, "the cat and the dog " * 20), (0, "A dog, a cat!"), (1, "zzz"), (0, None), (1, "")], "model long, text string")
