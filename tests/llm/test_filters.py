@@ -161,12 +161,15 @@ def test_held_out_recall_by_kind(tables):
     for lang, least in {"de": 0.9, "fr": 0.9, "es": 0.85, "en": 0.97}.items():
         toxic = judged[(judged.toxic == 1) & (judged.lang == lang)]
         assert len(toxic) > 10 and 1 - toxic.keep.mean() >= least
+    doubled = judged.text.str.contains(r"\b(\w+)(?: \1\b){2}", case=False) & (judged.quality == 0)
+    assert doubled.sum() > 50 and judged[doubled].keep.mean() < 0.05
     assert judged[(judged.quality == 1) & (judged.toxic == 0)].keep.mean() > 0.998
 
 
-def test_letters_of_any_script():
+def test_rhythm_and_letters_of_any_script():
     numbers = quality.Numbers({"ключ": 2.0})
-    assert [numbers.ratios[n] for n in numbers.of("ключевой конь")] == [2.0, 0.0]
+    assert quality.rhythm(numbers.of("a b A a c d b")).tolist() == [0, 0, 2, 1, 0, 0, 3]
+    assert [numbers.ratios[n] for n in numbers.of("ключевой конь")] == [2.0, 0.0] and not len(quality.rhythm(numbers.of("")))
 
 
 def test_kneser_ney_sums_to_one(spark):
