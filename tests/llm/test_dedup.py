@@ -103,6 +103,35 @@ def test_a_repeat_in_one_text_only(spark):
     assert got == classes_by_force(rows) and len({c for _, c in got}) == 3
 
 
+def test_candidates_down_to_the_least_similarity():
+    rng = random.Random(8)
+    hashes = minhash.WordHashes()
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(60)]
+    keys = lambda w: set(np.concatenate([minhash.sketch(minhash.kmers(w)), minhash.prefix(w)]).tolist())
+    seen = 0
+    for n in list(range(4, 40)) * 20:  # short texts: every pair
+        a = [rng.choice(vocabulary) for _ in range(n)]
+        b = list(a)
+        for _ in range(rng.randint(1, max(1, n // 5))):
+            at = rng.randrange(len(b))
+            b[at:at + rng.randint(0, 1)] = [rng.choice(vocabulary)] * rng.randint(0, 1)
+        x, y = (minhash.words(" ".join(t), hashes) for t in (a, b))
+        if len(y) and minhash.similar(x, y):
+            seen += 1
+            assert keys(x) & keys(y)
+    assert seen > 300
+    for rate, least in ((0.1, 0.99), (0.15, 0.97), (0.19, 0.85)):  # long texts: measured recall
+        found = 0
+        for _ in range(200):
+            a = [rng.getrandbits(63) for _ in range(400)]
+            b = list(a)
+            for at in rng.sample(range(400), int(400 * rate)):
+                b[at] = rng.getrandbits(63)
+            found += bool(keys(np.array(a, np.uint64)) & keys(np.array(b, np.uint64)))
+        print(rate, found / 200)
+        assert found >= 200 * least
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 200), (300, 200), (7, 7), (500, 500)]
     got = {r["id"]: r["comp"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
