@@ -66,6 +66,13 @@ def test_hard_texts(reference, library):
         assert unpacked(ids) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_texts_give_no_special_tokens():
+    cache, _ = records._cache(JSON)
+    ids, = cache.ids(["a<|endoftext|>b"])
+    assert unpacked(ids) == [64, 27, 91, 437, 1659, 5239, 91, 29, 65]
+    assert Tokenizer.from_file(JSON).encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+
+
 def test_very_long_pre_token(reference):
     rng = random.Random(2)
     text = "".join(rng.choice("abcdth") for _ in range(20_000))
