@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from meterlake.llm import bpe, decontaminate, hamming, html, merkle, minhash, quality, records, repeats, shards, urls
+from meterlake.llm import bpe, decontaminate, hamming, html, merkle, minhash, quality, records, repeats, shards, urls, whitening
 from meterlake.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -51,13 +51,18 @@ def op10_hamming(spark, sf_dir):
     return hamming.search_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op11_chebyshev_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_merkle(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_order_minhash, op2_link_trust, op3_byte_bpe, op4_html_text, op5_suffix_repeats, op6_benchmark_ngrams, op7_kneser_ney,
-    op8_records, op9_rendezvous, op10_hamming, op12_merkle)}
+    op8_records, op9_rendezvous, op10_hamming, op11_chebyshev_whitening,
+    op12_merkle)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
