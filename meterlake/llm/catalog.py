@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from meterlake.llm import bpe, decontaminate, hamming, html, merkle, minhash, quality, records, repeats, shards, urls, whitening
+from meterlake.llm import bpe, decontaminate, hamming, html, language, merkle, minhash, quality, records, repeats, shards, urls, whitening
 from meterlake.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -59,10 +59,14 @@ def op12_merkle(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_ppm_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_order_minhash, op2_link_trust, op3_byte_bpe, op4_html_text, op5_suffix_repeats, op6_benchmark_ngrams, op7_kneser_ney,
     op8_records, op9_rendezvous, op10_hamming, op11_chebyshev_whitening,
-    op12_merkle)}
+    op12_merkle, op13_ppm_language)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
