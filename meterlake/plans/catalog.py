@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from meterlake import registry
 from meterlake.functions import quantiles
 from meterlake.functions.columns import last_days, money, ntz_lit, ratio
-from meterlake.operators import align, attribution, lineage, pricing, quality, tenant
+from meterlake.operators import align, attribution, lineage, lineage_graph, pricing, quality, tenant
 from meterlake.plans import roles as R
 from meterlake.session import fresh_dir, shared_dir
+from meterlake.session import stored as write_once
 from meterlake.sources import sync, views
 from meterlake.sources.tables import Tables
 from meterlake.streaming import stream_copy
@@ -217,13 +218,40 @@ def table_refresh_stats(spark, d):
     return lineage.refresh_stats(R.writes(Tables(spark, d), window=False))
 
 
-# ---- table, endpoint and pipeline attribution (AG-9, REP-2..5, WN-4, AG-12) -----------------
-def _stored(spark, df, name):
-    path = fresh_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+@query
+def lineage_downstream(spark, d):
+    """Everything that data of the jobs with failed runs in the window has gone to, over a year's lineage."""
+    t = Tables(spark, d)
+    failed = R.usage_rows(t, True).filter(F.col("state") == "FAILED").select(lineage_graph.node("job", "resource_id").alias("node"))
+    return lineage_graph.walk(R.data_flow(t), failed)
 
 
+@query
+def lineage_upstream(spark, d):
+    """What each of the ten tables dearest per read was made from, over a year's lineage."""
+    t = Tables(spark, d)
+    return lineage_graph.walk(R.data_flow(t), _dearest_tables(t), upstream=True, by_start=True)
+
+
+@query
+def lineage_related(spark, d):
+    """Resources up to three hops from the ten tables dearest per read, in both directions."""
+    t = Tables(spark, d)
+    return lineage_graph.related(R.data_flow(t), _dearest_tables(t), max_hops=3)
+
+
+@query
+def lineage_impact(spark, d):
+    """How many jobs, tables and consumers lie how many hops below the jobs with failed runs."""
+    return lineage_graph.impact(lineage_downstream(spark, d))
+
+
+def _dearest_tables(t):
+    top = attribution.top_by(Facts(t).table_cost_per_read, "cost_per_read", 10, "table_id")
+    return write_once(top.select(lineage_graph.node("table", "table_id").alias("node")), "starts")
+
+
+# ---- table, endpoint and pipeline attribution (AG-9, REP-2..5, WN-4, AG-12) -----------------
 class Facts:
     """The windowed inputs shared by the attribution reports, each built once.
 
@@ -236,7 +264,7 @@ class Facts:
         self.t, self.days = t, days
         # ``stored``: priced usage, writes and reads are written once to the shared folder, for
         # reports that use them several times
-        self._store = (lambda df, name: _stored(t.spark, df, name)) if stored else (lambda df, name: df)
+        self._store = write_once if stored else (lambda df, name: df)
         if stored:
             self.t = Tables(t.spark, t.root)
             self.t._frames["lineitem"] = self._store(R._lines(t, True, days), "lines")
@@ -349,7 +377,7 @@ def node_utilization_hourly(spark, d):
 @query
 def efficiency_score(spark, d):
     # ranking reads the report several times: it is computed once
-    e = _stored(spark, _facts(spark, d).endpoint_report.select(
+    e = write_once(_facts(spark, d).endpoint_report.select(
         "endpoint_id", ratio("query_count", "total_cost").alias("per_cost_unit")), "endpoints")
     s = quantiles.with_percent_rank(e, "per_cost_unit", "score")
     return s.select("endpoint_id", F.round("per_cost_unit", 6).alias("per_cost_unit"), F.round("score", 6).alias("score"))

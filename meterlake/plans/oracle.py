@@ -582,3 +582,42 @@ UNION ALL SELECT 'nested_events', 'pk(meta.event_id)', 'pk', count(*), 0, 0, 0 F
 UNION ALL SELECT 'nested_events', 'fk(meta.user_id -> nested_events.meta.user_id)', 'fk', count(*), 0,
        count(*) FILTER (user_id IS NULL), 0 FROM events
 """
+
+# ---- lineage over several hops ---------------------------------------------------------------
+YEAR_LINES = ("(SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-11-04' "
+              "AND l_shipdate < TIMESTAMP '2001-11-05')")
+_FLOW = f"""
+edges AS MATERIALIZED (
+  SELECT DISTINCT 'job:' || l_suppkey AS src, 'table:' || l_partkey AS dst FROM {YEAR_LINES}
+  UNION
+  SELECT 'table:' || l.l_partkey, CASE o.o_orderpriority WHEN '1-URGENT' THEN 'job:' WHEN '2-HIGH' THEN 'notebook:' ELSE 'dashboard:' END || o.o_custkey
+  FROM {YEAR_LINES} l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE o.o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))"""
+_FAILED = f"SELECT DISTINCT 'job:' || l_suppkey FROM {WIN_LINES} WHERE l_returnflag = 'R'"
+_DEAREST = f"SELECT 'table:' || table_id AS node FROM {TABLE_COST_PER_READ} t ORDER BY cost_per_read DESC NULLS LAST, table_id LIMIT 10"
+# longer than the longest shortest path between any two nodes of the test data
+_HOPS = 30
+
+_DOWNSTREAM = f"""
+WITH RECURSIVE {_FLOW},
+walk(node, hops) AS ({_FAILED.replace("DISTINCT 'job:' || l_suppkey", "DISTINCT 'job:' || l_suppkey, 0")}
+  UNION SELECT e.dst, w.hops + 1 FROM walk w JOIN edges e ON e.src = w.node WHERE w.hops < {_HOPS})
+SELECT node, min(hops)::BIGINT AS hops FROM walk GROUP BY 1"""
+SQL["lineage_downstream"] = _DOWNSTREAM
+SQL["lineage_impact"] = f"SELECT split_part(node, ':', 1) AS kind, hops, count(*) AS nodes FROM ({_DOWNSTREAM}) d GROUP BY 1, 2"
+
+
+def _walk(name: str, src: str, dst: str, hops: int) -> str:
+    return f"""{name}(start, node, hops) AS (SELECT node, node, 0 FROM starts
+  UNION SELECT w.start, e.{dst}, w.hops + 1 FROM {name} w JOIN edges e ON e.{src} = w.node WHERE w.hops < {hops})"""
+
+
+SQL["lineage_upstream"] = f"""
+WITH RECURSIVE {_FLOW}, starts AS MATERIALIZED ({_DEAREST}), {_walk('up', 'dst', 'src', _HOPS)}
+SELECT start, node, min(hops)::BIGINT AS hops FROM up GROUP BY 1, 2"""
+
+SQL["lineage_related"] = f"""
+WITH RECURSIVE {_FLOW}, starts AS MATERIALIZED ({_DEAREST}), {_walk('up', 'dst', 'src', 3)}, {_walk('down', 'src', 'dst', 3)}
+SELECT start, 'upstream' AS direction, node, min(hops)::BIGINT AS hops FROM up GROUP BY start, node HAVING min(hops) > 0
+UNION ALL
+SELECT start, 'downstream', node, min(hops)::BIGINT FROM down GROUP BY start, node HAVING min(hops) > 0"""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions.columns import QTY, last_days, ntz_lit
-from meterlake.operators import pricing
+from meterlake.operators import lineage, lineage_graph, pricing
 from meterlake.operators.quality import KeyDecl
 from meterlake.sources.tables import Tables
 
@@ -21,6 +21,7 @@ from meterlake.sources.tables import Tables
 LINE_AS_OF = dt.date(2001, 11, 4)        # report date for lineitem-based roles
 EVENT_AS_OF = dt.date(2024, 1, 31)       # report date for events-based roles
 WINDOW_DAYS = 30                         # the 30-day analysis window
+LINEAGE_DAYS = 365                       # span of the lineage graph that is walked
 WORKSPACE_FILTER = "workspace_name RLIKE '^(BUILD|MACH).*'"
 # price list versions: (start, end (None = open), factor on p_retailprice)
 PRICE_VERSIONS = [
@@ -139,6 +140,11 @@ def reads(t: Tables, window: bool = True, days: int = WINDOW_DAYS) -> DataFrame:
                     F.col("l_shipdate").cast("date").alias("read_date")))
 
 
+def data_flow(t: Tables, days: int = LINEAGE_DAYS) -> DataFrame:
+    """Lineage graph of ``days`` days: job -> table -> consumer; consumers of type JOB are the jobs of that id."""
+    return lineage_graph.data_flow(writes(t, True, days), lineage.counted(reads(t, True, days), COUNTED_CONSUMERS))
+
+
 def query_log(t: Tables) -> DataFrame:
     """Endpoint query log: ``statement_id, endpoint_id, start_time, latency``."""
     e = t.events.filter(F.col("event_type") == "view")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. Broadcast is decided by Spark from plan statistics against
 # this bound (never by an unconditional hint), so a side that grows past it falls
@@ -85,6 +85,13 @@ def fresh_dir(spark: SparkSession, prefix: str) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: later uses read it instead of computing it again."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scale_settings(input_bytes: int, executors_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
     """Shuffle and scan sizing for a large cluster, from the bytes a job reads.
 
