@@ -1,53 +1,60 @@
 """Exact ranks and quantiles without sending a whole group (or table) through one task.
 
 ``percentile`` / ``percent_rank() OVER (...)`` place every value of a group in one
-task. Here the work is split instead:
+task. Here the work is a sample sort:
 
 1. count rows per distinct ``(keys, value)`` (map-side partial aggregation: a hot key
    with few distinct values collapses at once);
-2. cut the value axis into narrow ranges with an order-preserving bucket function
-   (``floor(log2|v| * 256)``, sign-aware: each bucket spans ~0.3% in relative
-   terms). It needs no pass over the data, and buckets only decide how the work
-   is split, never the result;
+2. range partition the distinct values by ``(keys, value)``. Spark draws the splitters from a sample
+   of the data itself (an overfull input partition is sampled again), so partitions hold about equally many values however they
+   lie: a key with very many values in a narrow range is cut as finely as any other. The sorted
+   partitions are written once with each row's place, and the place fixes the bucket;
 3. a window per ``(keys, bucket)`` gives the count of smaller values inside the
-   bucket, and a window over the (at most ``buckets``) bucket totals of a key gives
+   bucket, and a window over the bucket totals of a key (one per partition that has the key) gives
    the count of values in lower buckets.
 
+Where the plan's statistics bound the whole input by ``ONE_TASK_BYTES``, no key can be too large for a
+task, and one window per key does the same without the sort.
+
 ``below`` = rows with a strictly smaller value; ``n`` = rows of the key. Ranks and
-interpolated quantiles follow exactly from these two numbers.
+interpolated quantiles follow exactly from these two numbers; the splitters only decide how the work
+is split, never the result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from meterlake.session import stored
+
 
-# offset that keeps negative, zero and positive buckets apart (|log2| * 256 < 300,000)
-_SIDE = 1_000_000
+#: Input that one task can rank by itself: far below an executor's memory, also after decompression.
+ONE_TASK_BYTES = 16 * 1024 * 1024
 
 
-def _bucket_expr(value: str, per_octave: int = 256) -> Column:
-    """A non-decreasing function of the value: equal values share a bucket and bucket
-    order is value order (``log2`` and ``floor`` are monotone)."""
-    v = F.col(value)
-    mag = F.floor(F.log2(F.abs(v)) * per_octave)
-    return (F.when(v > 0, F.lit(_SIDE) + mag)
-            .when(v < 0, F.lit(-_SIDE) - mag)
-            .otherwise(F.lit(0))).cast("bigint")
+def _fits_one_task(df: DataFrame) -> bool:
+    """Whether Spark's statistics bound the size of ``df`` by ONE_TASK_BYTES (file sizes, where nothing better is known)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= ONE_TASK_BYTES
 
 
-def value_ranks(df: DataFrame, value: str, keys: list[str] | tuple = (), buckets: int = 256) -> DataFrame:
+def value_ranks(df: DataFrame, value: str, keys: list[str] | tuple = (), partitions: int | None = None) -> DataFrame:
     """``keys..., value, cnt, below, n`` per distinct value (NULL and NaN values are ignored).
 
-    ``buckets`` is the number of buckets per doubling of the magnitude.
+    ``partitions``: number of ranges of the sample sort; by default the session's shuffle width, which AQE
+    coalesces by size, and no ranges for an input that one task can hold.
     """
     keys = list(keys)
     src = df.select(*keys, F.col(value).cast("double").alias(value)).filter(
         F.col(value).isNotNull() & ~F.isnan(F.col(value)))
-    d = (src.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt"))
-         .withColumn("__b", _bucket_expr(value, buckets)))
+    d = src.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt"))
+    if partitions is None and _fits_one_task(src):
+        one = Window.partitionBy(*keys)
+        below = F.coalesce(F.sum("cnt").over(one.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        return d.select(*keys, value, "cnt", below.alias("below"), F.sum("cnt").over(one).alias("n"))
+    width = [partitions] if partitions else []
+    d = stored(d.repartitionByRange(*width, *keys, value).withColumn("__b", F.spark_partition_id()), "value-ranges")
     inner = Window.partitionBy(*keys, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("__in", F.coalesce(F.sum("cnt").over(inner), F.lit(0)))
     per_key = Window.partitionBy(*keys) if keys else Window.partitionBy()
@@ -56,13 +63,13 @@ def value_ranks(df: DataFrame, value: str, keys: list[str] | tuple = (), buckets
     bt = (d.groupBy(*keys, "__b").agg(F.sum("cnt").alias("__bn"))
           .withColumn("__off", F.coalesce(F.sum("__bn").over(outer), F.lit(0)))
           .withColumn("n", F.sum("__bn").over(per_key))
-          .drop("__bn"))
-    return (d.join(bt, [*keys, "__b"])
-            .select(*keys, value, "cnt", (F.col("__off") + F.col("__in")).alias("below"), "n"))
+          .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__b").alias("__c"), "__off", "n"))
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)] + [F.col("__b") == F.col("__c")]
+    return d.join(bt, same).select(*keys, value, "cnt", (F.col("__off") + F.col("__in")).alias("below"), "n")
 
 
 def quantiles(df: DataFrame, value: str, keys: list[str] | tuple = (), ps=(0.5,),
-              names: list[str] | None = None, buckets: int = 256) -> DataFrame:
+              names: list[str] | None = None, partitions: int | None = None) -> DataFrame:
     """Exact continuous quantiles (linear interpolation between closest ranks) per key.
 
     For ``p``: ``h = p * (n - 1)``; with ``lo = floor(h)``, ``hi = ceil(h)`` and ``v(r)`` the
@@ -70,7 +77,7 @@ def quantiles(df: DataFrame, value: str, keys: list[str] | tuple = (), ps=(0.5,)
     """
     keys = list(keys)
     names = names or [f"p{int(round(p * 100))}" for p in ps]
-    r = value_ranks(df, value, keys, buckets)
+    r = value_ranks(df, value, keys, partitions)
     end = F.col("below") + F.col("cnt")
     aggs = [F.max("n").alias("__n")]
     for p, nm in zip(ps, names):
@@ -93,16 +100,16 @@ def exact_quantile(df: DataFrame, value: str, p: float = 0.5) -> float | None:
 
 
 def with_percent_rank(df: DataFrame, value: str, out: str = "score", keys: list[str] | tuple = (),
-                      buckets: int = 256) -> DataFrame:
+                      partitions: int | None = None) -> DataFrame:
     """Add ``percent_rank`` of ``value`` (within ``keys``): ``(rank - 1) / (n - 1)``, 0 when n = 1.
 
     Equal values share a rank; rows with a NULL value get NULL.
     """
     keys = list(keys)
-    r = value_ranks(df, value, keys, buckets).select(
+    r = value_ranks(df, value, keys, partitions).select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(value).alias("__v"),
         F.when(F.col("n") > 1, F.col("below") / (F.col("n") - 1)).otherwise(F.lit(0.0)).alias(out))
-    cond = [F.col(value).cast("double") == F.col("__v")] + [F.col(k) == F.col(f"__k{i}")
+    cond = [F.col(value).cast("double") == F.col("__v")] + [F.col(k).eqNullSafe(F.col(f"__k{i}"))
                                                             for i, k in enumerate(keys)]
     joined = df.join(r, cond, "left")
     return joined.select(*df.columns, out)

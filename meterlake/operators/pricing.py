@@ -1,4 +1,4 @@
-"""JN-1, WN-1, AG-1: validity-interval price join, latest dimension row, cost per resource.
+"""JN-1, WN-1, AG-1: price joins by validity interval and as of a time, latest dimension row, cost per resource.
 
 Prices keep history: one row per (sku, validity interval). Usage is priced with an
 equi join on the SKU plus a half-open interval residual ``start <= d < end`` (a NULL
@@ -64,6 +64,64 @@ def price_usage(usage: DataFrame, prices: DataFrame, sku: str = "sku", date: str
             .withColumn("cost", F.col(qty) * F.col("price")))
 
 
+#: Usage rows of one SKU and time bin that one task walks through; more are dealt over several.
+ASOF_ROWS = 1_000_000
+
+
+def price_usage_asof(usage: DataFrame, prices: DataFrame, sku: str = "sku", date: str = "usage_date", qty: str = "quantity",
+                     keep: tuple[str, ...] = (), bin_days: int = 32, rows_per_task: int = ASOF_ROWS) -> DataFrame:
+    """JN-1 for price lists of many versions a SKU: ``price_usage`` in one sorted pass.
+
+    An interval join pairs every usage row with all versions of its SKU before it drops all but
+    one. Here usage and version starts are united, sorted by time within a SKU and time bin,
+    and the newest version so far is carried forward to the usage rows: rows read grow
+    with usage plus versions, not with their product. The version that is open when a
+    bin begins comes from the same carry over the (far fewer) bins that hold usage. A SKU and bin with more than
+    ``rows_per_task`` usage rows is dealt over several tasks, each with the bin's few versions.
+
+    A usage row takes the version that started last (of versions that start together, the one that ends
+    last, an open one most of all; see ``price_overlaps``), if that has not ended; rows before the first version, in a gap,
+    or without SKU or date are dropped, as ``price_usage`` does.
+    """
+    time = lambda c: F.col(c).cast("timestamp_ntz")
+    bin_of = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / bin_days)
+    forever = F.lit("9999-12-31").cast("timestamp_ntz")
+    version = F.struct(F.coalesce("price_end_time", forever).alias("end"), "price", *keep)
+    starts = prices.filter("sku IS NOT NULL AND price_start_time IS NOT NULL").select(
+        F.col("sku").alias("__sku"), time("price_start_time").alias("__t"), version.alias("__v"))
+    # of versions that start together only one can ever be taken
+    starts = starts.groupBy("__sku", "__t").agg(F.max("__v").alias("__v"))
+    starts = starts.withColumn("__bin", bin_of(F.col("__t")))
+    used = usage.filter(F.col(sku).isNotNull() & F.col(date).isNotNull())
+    used = used.select(F.col(sku).alias("__sku"), time(date).alias("__t"), F.struct(*[F.col(f"`{c}`") for c in usage.columns]).alias("__u"))
+    used = used.withColumn("__bin", bin_of(F.col("__t")))
+
+    bins = used.groupBy("__sku", "__bin").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("__sku").orderBy("__bin", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    newest = starts.groupBy("__sku", "__bin").agg(F.max_by("__v", "__t").alias("__v"))
+    # a bin opens with the newest version of the bins before it: its own versions (kind 1) come after its opening (kind 0)
+    marks = bins.select("__sku", "__bin", F.lit(0).alias("__kind"), "__n", F.lit(None).cast(newest.schema["__v"].dataType).alias("__v")) \
+        .unionByName(newest.select("__sku", "__bin", F.lit(1).alias("__kind"), F.lit(0).cast("long").alias("__n"), "__v"))
+    opening = marks.withColumn("__v", F.last("__v", ignorenulls=True).over(before)).filter("__kind = 0")
+
+    parts = F.ceil(F.col("__n") / rows_per_task).cast("int")
+    hot = bins.filter(F.col("__n") > rows_per_task).select("__sku", "__bin", parts.alias("__parts"))
+    dealt = used.join(hot, ["__sku", "__bin"], "left").withColumn(
+        "__part", F.when(F.col("__parts").isNotNull(), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("__parts")).cast("int")).otherwise(0)).drop("__parts")
+    spread = starts.join(hot, ["__sku", "__bin"], "left").withColumn(
+        "__part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - 1))).drop("__parts")
+    opened = opening.select("__sku", "__bin", "__v", F.explode(F.sequence(F.lit(0), parts - 1)).alias("__part"))
+
+    none_v, none_u = F.lit(None).cast(starts.schema["__v"].dataType), F.lit(None).cast(used.schema["__u"].dataType)
+    place = ["__sku", "__bin", "__part"]
+    both = opened.select(*place, F.lit(None).cast("timestamp_ntz").alias("__t"), F.lit(0).alias("__kind"), "__v", none_u.alias("__u")) \
+        .unionByName(spread.select(*place, "__t", F.lit(1).alias("__kind"), "__v", none_u.alias("__u"))) \
+        .unionByName(dealt.select(*place, "__t", F.lit(2).alias("__kind"), none_v.alias("__v"), "__u"))
+    so_far = Window.partitionBy(*place).orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    priced = both.withColumn("__v", F.last("__v", ignorenulls=True).over(so_far)).filter((F.col("__kind") == 2) & (F.col("__t") < F.col("__v.end")))
+    return priced.select("__u.*", "__v.price", *[F.col(f"__v.{c}") for c in keep]).withColumn("cost", F.col(qty) * F.col("price"))
+
+
 def unpriced(usage: DataFrame, prices: DataFrame, sku: str = "sku", date: str = "usage_date") -> DataFrame:
     """Usage rows with no valid price (left anti join on the same condition)."""
     p = prices.select(F.col("sku").alias("__sku"), F.col("price_start_time").alias("__ps"),

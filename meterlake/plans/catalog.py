@@ -114,6 +114,15 @@ def price_asof_join(spark, d):
                     F.col("price").cast("double").alias("price"), money("cost").alias("cost"))
 
 
+@query
+def price_asof_long_history(spark, d):
+    """Usage priced from a list whose SKUs have a version a month (some close early and leave a gap)."""
+    t = Tables(spark, d)
+    p = pricing.price_usage_asof(R.usage_rows(t), R.monthly_prices(t))
+    return p.select("resource_id", "update_id", "sku", "usage_date", F.col("quantity").cast("double").alias("quantity"),
+                    F.col("price").cast("double").alias("price"), money("cost").alias("cost"))
+
+
 @query
 def unpriced_usage(spark, d):
     """Usage that no price version covers, with a price list that ends on 2001-01-01."""
@@ -369,6 +378,14 @@ def latency_percentiles(spark, d):
     return attribution.latency(R.query_log(Tables(spark, d)))
 
 
+@query
+def latency_ranks(spark, d):
+    """Rank of every latency within its endpoint by the sample sort, whatever the size of the log."""
+    log = R.query_log(Tables(spark, d))
+    r = quantiles.value_ranks(log, "latency", ["endpoint_id"], partitions=16)
+    return r.select("endpoint_id", "latency", "cnt", "below", "n")
+
+
 @query
 def node_utilization_hourly(spark, d):
     return attribution.node_utilization(R.node_timeline(Tables(spark, d)))

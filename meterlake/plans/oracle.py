@@ -621,3 +621,24 @@ WITH RECURSIVE {_FLOW}, starts AS MATERIALIZED ({_DEAREST}), {_walk('up', 'dst',
 SELECT start, 'upstream' AS direction, node, min(hops)::BIGINT AS hops FROM up GROUP BY start, node HAVING min(hops) > 0
 UNION ALL
 SELECT start, 'downstream', node, min(hops)::BIGINT FROM down GROUP BY start, node HAVING min(hops) > 0"""
+
+SQL["latency_ranks"] = f"""
+WITH v AS (SELECT endpoint_id, CAST(latency AS DOUBLE) AS latency, count(*) AS cnt FROM {QUERY_LOG} q WHERE latency IS NOT NULL GROUP BY 1, 2)
+SELECT endpoint_id, latency, cnt,
+       CAST(coalesce(sum(cnt) OVER (PARTITION BY endpoint_id ORDER BY latency ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS below,
+       CAST(sum(cnt) OVER (PARTITION BY endpoint_id) AS BIGINT) AS n
+FROM v"""
+
+SQL["price_asof_long_history"] = """
+WITH versions AS (
+  SELECT p_partkey AS sku, CAST(DATE '1992-01-01' + to_months(CAST(m AS INTEGER)) AS TIMESTAMP) AS ps,
+         CASE WHEN m % 12 = 11 THEN CAST(DATE '1992-01-01' + to_months(CAST(m AS INTEGER)) AS TIMESTAMP) + INTERVAL 15 DAY
+              WHEN m < 119 THEN CAST(DATE '1992-01-01' + to_months(CAST(m + 1 AS INTEGER)) AS TIMESTAMP) END AS pe,
+         CAST(round(CAST(p_retailprice AS DECIMAL(12,2)) * CAST((100 + (m * 7) % 40) / 100.0 AS DECIMAL(5,2)), 2) AS DECIMAL(12,2)) AS price
+  FROM part, range(0, 120) r(m))
+SELECT l.l_suppkey AS resource_id, l.l_orderkey AS update_id, l.l_partkey AS sku, CAST(l.l_shipdate AS DATE) AS usage_date,
+       CAST(CAST(l.l_quantity AS DECIMAL(20,6)) AS DOUBLE) AS quantity, CAST(v.price AS DOUBLE) AS price,
+       CAST(round(CAST(l.l_quantity AS DECIMAL(20,6)) * v.price, 2) AS DOUBLE) AS cost, CASE WHEN l.l_returnflag = 'R' THEN 'FAILED' ELSE 'SUCCESS' END AS state
+FROM lineitem l JOIN versions v ON l.l_partkey = v.sku AND CAST(l.l_shipdate AS DATE) >= v.ps AND (v.pe IS NULL OR CAST(l.l_shipdate AS DATE) < v.pe)
+"""
+SQL["price_asof_long_history"] = f"SELECT * EXCLUDE (state) FROM ({SQL['price_asof_long_history']}) x"

@@ -94,6 +94,22 @@ def prices(t: Tables, versions=None) -> DataFrame:
     return pricing.price_versions(t.part, "p_partkey", "p_retailprice", versions or PRICE_VERSIONS, {"family": "p_type"})
 
 
+MONTHLY_FROM, MONTHS = "1992-01-01", 120  # the long price history: a version a month
+MONTHLY_GAP = 11                          # versions of every such month close after 15 days
+
+
+def monthly_prices(t: Tables) -> DataFrame:
+    """List prices with a version a month: ``price = round(base * (100 + 7 * month % 40) / 100, 2)``, as in ``prices``."""
+    m = F.col("m")
+    start = F.add_months(F.lit(MONTHLY_FROM).cast("date"), m)
+    end = F.when(m % 12 == MONTHLY_GAP, F.date_add(start, 15)).when(m < MONTHS - 1, F.add_months(F.lit(MONTHLY_FROM).cast("date"), m + 1))
+    factor = ((F.lit(100) + (m * 7) % 40).cast("decimal(5,2)") / F.lit(100).cast("decimal(5,2)")).cast("decimal(5,2)")
+    every = t.part.select(F.col("p_partkey").alias("sku"), F.col("p_retailprice").cast("decimal(12,2)").alias("base"),
+                          F.explode(F.sequence(F.lit(0), F.lit(MONTHS - 1))).alias("m"))
+    return every.select("sku", start.cast("timestamp_ntz").alias("price_start_time"), end.cast("timestamp_ntz").alias("price_end_time"),
+                        F.round(F.col("base") * factor, 2).cast("decimal(12,2)").alias("price"))
+
+
 def priced_rows(t: Tables, window: bool = False, days: int = WINDOW_DAYS) -> DataFrame:
     """Row-level usage with its valid price, family and exact ``cost``."""
     return pricing.price_usage(usage_rows(t, window, days), prices(t), keep=("family",))
