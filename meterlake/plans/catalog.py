@@ -23,7 +23,9 @@ from meterlake.session import fresh_dir, shared_dir
 from meterlake.session import stored as write_once
 from meterlake.sources import sync, views
 from meterlake.sources.tables import Tables
+from meterlake.sources.schemas import SchemaConflict
 from meterlake.streaming import stream_copy
+from meterlake.streaming import stream_into_sync as stream_to_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -702,6 +704,65 @@ def sync_null_marks(spark, d):
     return sync.read_target(spark, target, log)
 
 
+@query
+def sync_type_change(spark, d):
+    """A column that widens from int to bigint is read as bigint throughout; a batch that has it as text is
+    refused before it writes, and the run after that completes the target."""
+    t = Tables(spark, d)
+    target, log = _sync_dirs(spark, "sync-types")
+    narrow = R.events_at_first_sync(t).withColumn("user_id", F.col("user_id").cast("int"))
+    sync.sync_table(spark, narrow, "tpch", "events", target, log, ts_override="ts")
+    sync.sync_table(spark, t.events.filter(F.col("ts") < ntz_lit(dt.datetime(2024, 1, 22))), "tpch", "events", target, log, ts_override="ts")
+    try:
+        sync.sync_table(spark, t.events.withColumn("user_id", F.col("user_id").cast("string")), "tpch", "events", target, log, ts_override="ts")
+    except SchemaConflict:
+        pass
+    sync.sync_table(spark, t.events, "tpch", "events", target, log, ts_override="ts")
+    return sync.read_target(spark, target, log)
+
+
+@query
+def snapshot_twice(spark, d):
+    """A snapshot of a log without new commits is the one that is there; state is read from it and what came after."""
+    t = Tables(spark, d)
+    target, log = _sync_dirs(spark, "sync-snapshots")
+    sync.sync_table(spark, R.events_at_first_sync(t), "tpch", "events", target, log, ts_override="ts")
+    first, again = sync.snapshot_state(spark, log), sync.snapshot_state(spark, log)
+    assert first == again
+    sync.sync_table(spark, t.events, "tpch", "events", target, log, ts_override="ts")
+    assert sync.snapshot_state(spark, log) > first
+    return sync.sync_state(spark, log).drop("updated_at")
+
+
+@query
+def date_target_many_runs(spark, d):
+    """Orders synced by their day in eight runs, each of which reloads the last day it had: folders are merged on the way."""
+    t = Tables(spark, d)
+    target, log = _sync_dirs(spark, "sync-days")
+    orders = t.orders.withColumn("usage_date", F.col("o_orderdate").cast("date"))
+    for year in [*range(1994, 2001), None]:
+        upto = orders if year is None else orders.filter(F.col("o_orderdate") < ntz_lit(dt.datetime(year, 6, 15, 12)))
+        sync.sync_table(spark, upto, "tpch", "orders", target, log, max_folders=3)
+    return sync.read_target(spark, target, log)
+
+
+@query
+def stream_into_sync(spark, d):
+    """Events that arrive as files, some of them twice, in a stream that commits to the sync log; a batch sync adds the rest."""
+    t = Tables(spark, d)
+    target, log = _sync_dirs(spark, "stream-sync")
+    root = fresh_dir(spark, "stream-in")
+    landing, checkpoint = f"{root}/landing", f"{root}/checkpoint"
+    first, middle = R.events_at_first_sync(t), ntz_lit(dt.datetime(2024, 1, 22))
+    again = t.events.filter(((F.col("ts") > ntz_lit(R.SYNC_FIRST_MARK)) & (F.col("ts") < middle)) | (F.col("event_type") == "view") & (F.col("ts") < middle))
+    for arrived in (first, again):
+        arrived.withColumn("ts", F.col("ts").cast("timestamp")).write.mode("append").parquet(landing)
+        source = spark.readStream.schema(t.events.schema.simpleString()[7:-1].replace("timestamp_ntz", "timestamp").replace(":", " ")).parquet(landing)
+        stream_to_log(spark, source, "tpch", "events", target, log, checkpoint, "ts", ["event_id"], "60 days")
+    sync.sync_table(spark, t.events.withColumn("ts", F.col("ts").cast("timestamp")), "tpch", "events", target, log, ts_override="ts")
+    return sync.read_target(spark, target, log).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query
 def stream_copy_available_now(spark, d):
     t = Tables(spark, d)

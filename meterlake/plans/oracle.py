@@ -642,3 +642,11 @@ SELECT l.l_suppkey AS resource_id, l.l_orderkey AS update_id, l.l_partkey AS sku
 FROM lineitem l JOIN versions v ON l.l_partkey = v.sku AND CAST(l.l_shipdate AS DATE) >= v.ps AND (v.pe IS NULL OR CAST(l.l_shipdate AS DATE) < v.pe)
 """
 SQL["price_asof_long_history"] = f"SELECT * EXCLUDE (state) FROM ({SQL['price_asof_long_history']}) x"
+
+# ---- sync: types, snapshots, many runs, streams ------------------------------------------------
+SQL["sync_type_change"] = "SELECT * FROM events"
+SQL["snapshot_twice"] = """
+SELECT 'tpch' AS schema_name, 'events' AS table_name, 'tpch.events' AS full_table_name,
+       max(ts) AS last_sync_timestamp, 'INCREMENTAL' AS last_sync_mode, 'SUCCESS' AS sync_status FROM events"""
+SQL["date_target_many_runs"] = "SELECT *, CAST(o_orderdate AS DATE) AS usage_date FROM orders"
+SQL["stream_into_sync"] = "SELECT * FROM events"

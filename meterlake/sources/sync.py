@@ -17,8 +17,11 @@ Target layout (plain Parquet, no table format needed)::
   and is taken from the new folder, not from the wall clock (D-1).
 * A DATE sync column reloads whole days ``>= lo`` (D-2): the older folders of the list are
   visible only for days before ``lo`` from then on.
-* Readers read the folders that the table's newest log row names, with merged schemas, so
-  columns added by later batches appear (SNK-3).
+* Readers read the folders that the table's newest log row names, with the schema it names, so
+  columns added by later batches appear (SNK-3). A batch that changes a type widens the schema or,
+  where nothing holds both types, fails before it writes (``sources.schemas``).
+* A stream commits its epochs to the same log (``append_epoch``); the log row holds the last epoch
+  of every stream, so an epoch that is run again changes nothing.
 * One writer per table at a time; different tables may be synced at once.
 """
 
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
+import json
 import math
 import time
 import uuid
@@ -34,12 +38,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampType
+from pyspark.sql.types import DateType, StructType, TimestampType
 
 from meterlake.functions.columns import between_marks, date_lit
+from meterlake.sources.schemas import fitted, merged
 
 FULL, FULL_FALLBACK, INCREMENTAL = "FULL", "FULL_FALLBACK", "INCREMENTAL"
-SUCCESS, COMPACTED, FAILED = "SUCCESS", "COMPACTED", "FAILED"
+SUCCESS, COMPACTED, FAILED, NOT_COMPACTED = "SUCCESS", "COMPACTED", "FAILED", "COMPACTION_FAILED"
+#: Live folders beyond which an incremental target is compacted.
+MAX_FOLDERS = 24
+#: Share of the wanted file size below which a folder's files count as small.
+SMALL = 0.5
 
 # Sync-column candidates, matched case-insensitively, first match wins.
 SYNC_CANDIDATES = [
@@ -50,7 +59,7 @@ SYNC_CANDIDATES = [
 LOG_SCHEMA = ("schema_name string, table_name string, full_table_name string, "
               "last_sync_timestamp timestamp_ntz, last_sync_mode string, sync_status string, "
               "updated_at timestamp, batch_id string, seq bigint, rows bigint, null_marks bigint, error string, "
-              "target string, mark_column string, live array<struct<folder:string,before:date>>")
+              "target string, mark_column string, live array<struct<folder:string,before:date>>, columns string, epochs map<string,bigint>")
 
 _seq = itertools.count()
 
@@ -138,7 +147,7 @@ def copy_incremental(df: DataFrame, target: str, ts_col: str, lo, hi=None,
 #   <log>/snapshots/gen=<seq>/                       newest committed row per table up to <seq>
 # ``seq`` is the UTC clock in microseconds x 1000 plus a per-process counter, so the day of
 # any seq is known without reading.
-LOG_COLUMNS = [c.split()[0] for c in LOG_SCHEMA.split(", ")]
+LOG_COLUMNS = [c.split()[0] for c in LOG_SCHEMA.split(", ")]  # the types hold no ", "
 
 
 def _seq_day(seq: int) -> dt.date:
@@ -159,7 +168,8 @@ def log_sync(spark: SparkSession, log_path: str, rows: list[dict]) -> None:
         recs.append((r["schema_name"], r["table_name"], r.get("full_table_name") or f"{r['schema_name']}.{r['table_name']}",
                      r.get("last_sync_timestamp"), r["last_sync_mode"], r.get("sync_status", "SUCCESS"), now,
                      r.get("batch_id"), time.time_ns() // 1000 * 1000 + next(_seq) % 1000,
-                     r.get("rows"), r.get("null_marks"), r.get("error"), r.get("target"), r.get("mark_column"), r.get("live")))
+                     r.get("rows"), r.get("null_marks"), r.get("error"), r.get("target"), r.get("mark_column"), r.get("live"),
+                     r.get("columns"), r.get("epochs")))
     seq = recs[0][8]
     path = f"{log_path}/commits/day={_seq_day(seq).isoformat()}/commit-{seq:020d}-{uuid.uuid4().hex[:8]}"
     spark.createDataFrame(recs, LOG_SCHEMA).coalesce(1).write.mode("error").parquet(path)
@@ -209,25 +219,34 @@ def snapshot_state(spark: SparkSession, log_path: str) -> int | None:
     """Write the current state as a snapshot generation; returns its ``seq`` (None if no log).
 
     Run it periodically (e.g. daily): later state lookups read the newest snapshot plus
-    the commits made since, however long the log's history is.
+    the commits made since, however long the log's history is. Without a commit since the
+    newest snapshot that one stays; one that broke off is written again.
     """
     state = _current(spark, log_path).cache()
     try:
         top = state.agg(F.max("seq")).first()[0]
         if top is None:
             return None
-        state.coalesce(1).write.mode("error").parquet(f"{log_path}/snapshots/gen={top:020d}")
+        path = f"{log_path}/snapshots/gen={top:020d}"
+        if not _exists(spark, f"{path}/_SUCCESS"):
+            state.coalesce(1).write.mode("overwrite").parquet(path)
         return int(top)
     finally:
         state.unpersist()
 
 
+def _newest_snapshot(spark: SparkSession, log_path: str) -> int:
+    """``seq`` of the newest snapshot that was written to its end, from the folder listing."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{log_path}/snapshots/gen=*/_SUCCESS")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return max(int(f.getPath().getParent().getName().removeprefix("gen=")) for f in found)
+
+
 def _current(spark: SparkSession, log_path: str) -> DataFrame:
     if not _exists(spark, f"{log_path}/snapshots/gen=*/_SUCCESS"):
         return _latest(read_log(spark, log_path))
-    snaps = spark.read.parquet(f"{log_path}/snapshots")
-    gen = int(snaps.agg(F.max("gen")).first()[0])
-    base = snaps.filter(F.col("gen") == gen).select(*LOG_COLUMNS)
+    gen = _newest_snapshot(spark, log_path)
+    base = spark.read.schema(LOG_SCHEMA).parquet(f"{log_path}/snapshots/gen={gen:020d}")
     recent = read_log(spark, log_path, since=_seq_day(gen)).filter(F.col("seq") > gen)
     return _latest(base.unionByName(recent))
 
@@ -250,23 +269,38 @@ def _state_rows(spark: SparkSession, log_path: str) -> dict[tuple[str, str], obj
 
 def read_target(spark: SparkSession, target: str, log_path: str, ts_col: str | None = None) -> DataFrame:
     """The committed rows of a sync target: the folders that its newest log row names."""
-    row = (_current(spark, log_path).filter(F.col("target") == target)
-           .orderBy(F.desc("seq")).select("live", "mark_column").first())
+    row = _target_row(spark, target, log_path)
     if row is None:
         raise ValueError(f"nothing was committed to {target}")
-    return _read_live(spark, target, row["live"], ts_col or row["mark_column"])
-
-
-def _read_live(spark: SparkSession, target: str, live, ts_col: str | None) -> DataFrame:
-    """Rows of the live folders; a folder with a ``before`` day shows only earlier days (and rows without a day)."""
-    groups: dict[object, list[str]] = {}
-    for x in live:
-        groups.setdefault(x["before"], []).append(f"{target}/{x['folder']}")
-    out = None
-    for before, paths in groups.items():  # a group per reloaded day span, merged by compaction
-        part = spark.read.option("mergeSchema", "true").parquet(*paths)
-        if before is not None:
-            part = part.filter(F.col(ts_col).isNull() | (F.col(ts_col) < date_lit(before)))
+    return _read_live(spark, target, row["live"], ts_col or row["mark_column"], _columns(row))
+
+
+def _target_row(spark: SparkSession, target: str, log_path: str):
+    return _current(spark, log_path).filter(F.col("target") == target).orderBy(F.desc("seq")).first()
+
+
+def _columns(row) -> StructType | None:
+    """The schema that a log row names; None for rows written before there was one."""
+    return StructType.fromJson(json.loads(row["columns"])) if row is not None and row["columns"] else None
+
+
+def _read_live(spark: SparkSession, target: str, live, ts_col: str | None, columns: StructType | None = None) -> DataFrame:
+    """Rows of the live folders; a folder with a ``before`` day shows only earlier days (and rows without a day).
+
+    Two scans at most, however many folders and days there are: the day of a file's folder
+    is looked up by the file's path.
+    """
+    reader = spark.read.schema(columns) if columns is not None else spark.read.option("mergeSchema", "true")
+    whole = [f"{target}/{x['folder']}" for x in live if x["before"] is None]
+    cut = {x["folder"]: x["before"] for x in live if x["before"] is not None}
+    out = reader.parquet(*whole) if whole else None
+    if cut:
+        part = reader.parquet(*[f"{target}/{f}" for f in cut])
+        before = F.create_map(*[c for f, d in cut.items() for c in (F.lit(f), date_lit(d))])
+        folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        # the first bound reaches the scan, the second is each folder's own
+        shown = (F.col(ts_col) < date_lit(max(cut.values()))) & (F.col(ts_col) < before[folder])
+        part = part.filter(F.col(ts_col).isNull() | shown).select(*part.columns)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
@@ -291,7 +325,7 @@ def _as_mark(value) -> dt.datetime | None:
 
 def _loaded_stats(spark: SparkSession, folder: str, ts_col: str | None):
     """Rows, highest mark and rows without a mark of the folder just written."""
-    df = spark.read.parquet(folder)
+    df = spark.read.option("mergeSchema", "false").parquet(folder)
     aggs = [F.count(F.lit(1)).alias("rows")]
     if ts_col:
         aggs += [_mark_out(df, ts_col).alias("hi"), F.count_if(F.col(ts_col).isNull()).alias("nulls")]
@@ -301,13 +335,16 @@ def _loaded_stats(spark: SparkSession, folder: str, ts_col: str | None):
 
 def sync_table(spark: SparkSession, source: DataFrame, schema: str, table: str, target: str, log_path: str,
                force: bool = False, ts_override: str | None = None, lookback: dt.timedelta | None = None,
-               key: list[str] | None = None, state: dict | None = None, file_mb: float = 128.0) -> SyncResult:
+               key: list[str] | None = None, state: dict | None = None, file_mb: float = 128.0,
+               max_folders: int = MAX_FOLDERS) -> SyncResult:
     """SNK-4 + SNK-1..3 + SNK-6 for one table: pick the mode, copy, measure, commit to the log.
 
     The source is read once for the copy; the mark (``max`` of the sync column) and the
     row count are then taken from the folder just written, so the saved mark is exactly
-    the newest row loaded (D-1) and no extra pass over the whole source is needed. A full
-    load that left many small files is compacted into files of about ``file_mb``.
+    the newest row loaded (D-1) and no extra pass over the whole source is needed. An incremental batch is fitted
+    to the target's schema, or widens it; ``SchemaConflict`` is raised, and logged, before anything is written. A full
+    load that left many small files, and an incremental target of more than ``max_folders`` folders, are
+    compacted into files of about ``file_mb`` after the commit.
     """
     ts_col = get_timestamp_column(source, ts_override)
     # ``state``: the run's state rows by (schema, table), read once by ``sync_all``
@@ -315,11 +352,13 @@ def sync_table(spark: SparkSession, source: DataFrame, schema: str, table: str,
     mode = choose_mode(row is not None, force, ts_col)
     is_date = _is_date(source, ts_col)
     lo = None if mode != INCREMENTAL else row["last_sync_timestamp"]
-    entry = dict(schema_name=schema, table_name=table, last_sync_mode=mode, target=target, mark_column=ts_col)
+    entry = dict(schema_name=schema, table_name=table, last_sync_mode=mode, target=target, mark_column=ts_col,
+                 epochs=row["epochs"] if row is not None else None)
     try:
         if mode == INCREMENTAL:
+            columns, source = _grown(spark, row, target, source)
             at = lo.date() if is_date and lo is not None else lo
-            loaded = _read_live(spark, target, row["live"], ts_col) if lookback is not None and key else None
+            loaded = _read_live(spark, target, row["live"], ts_col, columns) if lookback is not None and key else None
             folder = copy_incremental(source, target, ts_col, at, lookback=lookback, key=key, loaded=loaded)
             rows, hi, _ = _loaded_stats(spark, f"{target}/{folder}", ts_col)
             # rows without a mark are never copied incrementally (D-3); the count uses
@@ -329,17 +368,66 @@ def sync_table(spark: SparkSession, source: DataFrame, schema: str, table: str,
             hidden = at if is_date else None
             live = [(x["folder"], x["before"] if hidden is None else min(x["before"] or hidden, hidden)) for x in row["live"]]
         else:
+            columns = source.schema
             folder = copy_full(source, target, ts_col)
             rows, mark, nulls = _loaded_stats(spark, f"{target}/{folder}", ts_col)
             live = []
+        live.append((folder, None))
         log_sync(spark, log_path, [entry | dict(last_sync_timestamp=mark, batch_id=folder, rows=rows, null_marks=nulls,
-                                                live=[*live, (folder, None)])])
-        if mode != INCREMENTAL:
-            compact_target(spark, target, log_path, file_mb)
-        return SyncResult(f"{schema}.{table}", mode, rows, lo, mark, folder, SUCCESS, nulls)
+                                                live=live, columns=columns.json())])
     except Exception as e:
         log_sync(spark, log_path, [entry | dict(last_sync_timestamp=lo, sync_status=FAILED, error=type(e).__name__)])
         raise
+    _tidied(spark, entry, target, log_path, file_mb, mode != INCREMENTAL or len(live) > max_folders)
+    return SyncResult(f"{schema}.{table}", mode, rows, lo, mark, folder, SUCCESS, nulls)
+
+
+def _grown(spark: SparkSession, row, target: str, batch: DataFrame) -> tuple[StructType, DataFrame]:
+    """The target's schema after ``batch``, and the batch fitted to it; raises ``SchemaConflict``."""
+    columns = _columns(row) or _read_live(spark, target, row["live"], row["mark_column"]).schema
+    columns = merged(columns, batch.schema)
+    return columns, fitted(batch, columns)
+
+
+def _tidied(spark: SparkSession, entry: dict, target: str, log_path: str, file_mb: float, due: bool) -> None:
+    """Compact the target if that is ``due``. The load is committed by then, and stays so whatever
+    becomes of this: a compaction that fails is a log row of its own, and the next load tries again."""
+    if not due:
+        return
+    try:
+        compact_target(spark, target, log_path, file_mb)
+    except Exception as e:
+        log_sync(spark, log_path, [entry | dict(sync_status=NOT_COMPACTED, error=type(e).__name__)])
+
+
+def append_epoch(spark: SparkSession, batch: DataFrame, schema: str, table: str, target: str, log_path: str, stream: str, epoch: int,
+                 ts_override: str | None = None, file_mb: float = 128.0, max_folders: int = MAX_FOLDERS) -> bool:
+    """ST-1 into SNK-3: commit one epoch of the stream named ``stream``; False if it was committed before.
+
+    The epoch's folder bears its name: an attempt that broke off before its log row was written is
+    overwritten by the next one, and an epoch that the table's newest log row has (or has passed) is left out,
+    so each row counts once however often an epoch is run. An epoch without rows commits nothing.
+    """
+    row = _state_rows(spark, log_path).get((schema, table))
+    epochs = dict(row["epochs"] or {}) if row is not None else {}
+    if epochs.get(stream, -1) >= epoch or batch.isEmpty():
+        return False
+    columns = batch.schema
+    if row is not None:
+        columns, batch = _grown(spark, row, target, batch)
+    ts_col = get_timestamp_column(batch, ts_override)
+    if _is_date(batch, ts_col):
+        raise ValueError(f"{ts_col} is a DATE: its last day is reloaded by the batch sync, a stream cannot do that")
+    folder = f"stream-{stream}-{epoch:012d}"
+    batch.write.mode("overwrite").parquet(f"{target}/{folder}")
+    rows, hi, nulls = _loaded_stats(spark, f"{target}/{folder}", ts_col)
+    lo = row["last_sync_timestamp"] if row is not None else None
+    live = [tuple(x) for x in row["live"]] if row is not None else []
+    entry = dict(schema_name=schema, table_name=table, last_sync_mode=INCREMENTAL, target=target, mark_column=ts_col, epochs=epochs | {stream: epoch})
+    log_sync(spark, log_path, [entry | dict(last_sync_timestamp=max((m for m in (lo, hi) if m is not None), default=None), batch_id=folder,
+                                            rows=rows, null_marks=nulls, live=[*live, (folder, None)], columns=columns.json())])
+    _tidied(spark, entry, target, log_path, file_mb, len(live) >= max_folders)
+    return True
 
 
 class SyncFailed(Exception):
@@ -422,26 +510,30 @@ def compact(spark: SparkSession, path_in: str, path_out: str, target_file_mb: fl
 
 
 def compact_target(spark: SparkSession, target: str, log_path: str, file_mb: float = 128.0) -> int:
-    """Rewrite a sync target's live rows into one folder and switch readers to it with a log row.
+    """Rewrite the small files of a sync target into one folder and switch readers to it with a log row.
 
-    The old folders stay for readers that have listed them; ``unused_folders`` names them.
-    Returns the number of files, or 0 where there already are no more files than that.
+    Only folders whose files are on average below SMALL of ``file_mb`` are read and rewritten, each without
+    the rows that it hides; folders of large files stay as they are. The old folders stay for readers
+    that have listed them; ``unused_folders`` names them. Returns the number of files written, or 0 where
+    that would not make fewer of them.
     """
-    row = _current(spark, log_path).filter(F.col("target") == target).orderBy(F.desc("seq")).first()
-    size, files = _size(spark, [f"{target}/{x['folder']}" for x in row["live"]])
-    n = _ideal_files(size, file_mb)
-    if files <= n:
+    row = _target_row(spark, target, log_path)
+    sizes = {x["folder"]: _size(spark, [f"{target}/{x['folder']}"]) for x in row["live"]}
+    small = [x for x in row["live"] if sizes[x["folder"]][0] < SMALL * file_mb * 1024 * 1024 * sizes[x["folder"]][1]]
+    n = _ideal_files(sum(sizes[x["folder"]][0] for x in small), file_mb)
+    if sum(sizes[x["folder"]][1] for x in small) <= n:
         return 0
     folder = f"compact-{uuid.uuid4().hex}"
-    ts_col = row["mark_column"]
-    _resized(_read_live(spark, target, row["live"], ts_col), n, ts_col).write.mode("error").parquet(f"{target}/{folder}")
-    log_sync(spark, log_path, [row.asDict() | dict(sync_status=COMPACTED, batch_id=folder, live=[(folder, None)])])
+    ts_col, columns = row["mark_column"], _columns(row)
+    _resized(_read_live(spark, target, small, ts_col, columns), n, ts_col).write.mode("error").parquet(f"{target}/{folder}")
+    stay = [tuple(x) for x in row["live"] if x not in small]
+    log_sync(spark, log_path, [row.asDict() | dict(sync_status=COMPACTED, batch_id=folder, live=[*stay, (folder, None)])])
     return n
 
 
 def unused_folders(spark: SparkSession, target: str, log_path: str) -> list[str]:
     """Folders of the target that its newest log row does not name: superseded or never committed."""
-    row = _current(spark, log_path).filter(F.col("target") == target).orderBy(F.desc("seq")).select("live").first()
+    row = _target_row(spark, target, log_path)
     live = {x["folder"] for x in row["live"]} if row else set()
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
     found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
