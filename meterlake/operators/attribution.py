@@ -26,7 +26,7 @@ def job_cost_per_consumer(priced: DataFrame, jobs: DataFrame, writes: DataFrame,
       descending, NULLs last (TK-1).
     """
     cost = priced.groupBy(F.col(resource).alias("job_id")).agg(F.sum("cost").alias("__cost"))
-    per_table = lineage.consumers_per_table(reads)
+    per_table = lineage.counted_per_table(reads)
     job_use = (lineage.produced(writes).join(per_table, "table_id", "left")
                .groupBy("job_id").agg(F.count(F.lit(1)).alias("tables"),
                                       F.coalesce(F.sum("consumers"), F.lit(0)).alias("consumers")))
@@ -137,7 +137,7 @@ def table_cost(priced: DataFrame, writes: DataFrame, resource: str = "resource_i
 
 def table_cost_per_read(tcost: DataFrame, reads: DataFrame) -> DataFrame:
     """REP-3: ``table_id, cost, reads, cost_per_read`` for every produced table."""
-    r = lineage.consumers_per_table(reads).withColumnRenamed("consumers", "reads")
+    r = lineage.counted_per_table(reads).withColumnRenamed("consumers", "reads")
     return (tcost.join(r, "table_id", "left")
             .select("table_id", "cost", F.coalesce("reads", F.lit(0)).cast("bigint").alias("reads"))
             .withColumn("cost_per_read", F.round(ratio("cost", "reads"), 6)))
@@ -162,7 +162,7 @@ def pipeline_roi(priced: DataFrame, outputs: DataFrame, reads: DataFrame, resour
     """REP-5: ``pipeline_id, cost, consumers, cost_per_consumer``; consumers = counted reads
     of the pipeline's output tables (``outputs``: ``pipeline_id, table_id``)."""
     cost = priced.groupBy(F.col(resource).alias("pipeline_id")).agg(F.sum("cost").alias("__c"))
-    per_table = lineage.consumers_per_table(reads)
+    per_table = lineage.counted_per_table(reads)
     use = (outputs.select("pipeline_id", "table_id").distinct().join(per_table, "table_id", "left")
            .groupBy("pipeline_id").agg(F.coalesce(F.sum("consumers"), F.lit(0)).alias("consumers")))
     return (cost.join(use, "pipeline_id", "left")

@@ -39,6 +39,13 @@ def consumers_per_table(reads: DataFrame, table: str = "table_id") -> DataFrame:
     return reads.groupBy(table).agg(F.count(F.lit(1)).alias("consumers"))
 
 
+def counted_per_table(reads: DataFrame, table: str = "table_id") -> DataFrame:
+    """``table, consumers`` of raw reads, or of reads that come counted already (``table, consumers``), in parts or whole."""
+    if "consumers" in reads.columns:
+        return reads.groupBy(table).agg(F.sum("consumers").alias("consumers"))
+    return consumers_per_table(reads, table)
+
+
 def consumer_breakdown(reads: DataFrame, types: list[str], table: str = "table_id",
                        type_col: str = "consumer_type", id_col: str = "consumer_id") -> DataFrame:
     """AG-4: distinct consumers per table plus reads per consumer type (one column per type)."""

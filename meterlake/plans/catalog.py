@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, reduce
 
 from pyspark.errors import PySparkException
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from meterlake import registry
 from meterlake.functions import quantiles
 from meterlake.functions.columns import last_days, money, ntz_lit, ratio
-from meterlake.operators import align, attribution, lineage, lineage_graph, pricing, quality, tenant
+from meterlake.operators import align, attribution, lineage, lineage_graph, pricing, quality, rollup, tenant
 from meterlake.plans import roles as R
 from meterlake.session import fresh_dir, shared_dir
 from meterlake.session import stored as write_once
@@ -273,16 +274,21 @@ class Facts:
 
     def __init__(self, t: Tables, days: int = R.WINDOW_DAYS, stored: bool = False):
         self.t, self.days = t, days
-        # ``stored``: priced usage, writes and reads are written once to the shared folder, for
-        # reports that use them several times
-        self._store = write_once if stored else (lambda df, name: df)
         if stored:
-            self.t = Tables(t.spark, t.root)
-            self.t._frames["lineitem"] = self._store(R._lines(t, True, days), "lines")
+            # the reports read these three to seven times: each is reduced to the grain that the reports
+            # share and written once to the shared folder, all at the same time
+            with ThreadPoolExecutor(3) as pool:
+                reads = pool.submit(write_once, lineage.consumers_per_table(self.reads), "reads")
+                writes = pool.submit(write_once, lineage.produced(self.writes), "writes")
+                self.priced = write_once(self.priced.groupBy("resource_id", "family").agg(F.sum("cost").alias("cost")), "priced")
+                self.reads, self.writes = reads.result(), writes.result()
+            # usage and writes are the same lines here: a pipeline's outputs are its pairs
+            pairs = R.with_family(self.t, self.writes.select(F.col("job_id").alias("resource_id"), F.col("table_id").alias("sku")))
+            self.pipeline_outputs = R.pipeline_outputs(pairs)
 
     @cached_property
     def priced(self):
-        return self._store(R.priced_daily(self.t, True, self.days), "priced")
+        return R.priced_daily(self.t, True, self.days)
 
     @cached_property
     def writes(self):
@@ -290,7 +296,7 @@ class Facts:
 
     @cached_property
     def reads(self):
-        return self._store(_counted_reads(self.t, True, self.days), "reads")
+        return _counted_reads(self.t, True, self.days)
 
     @cached_property
     def table_cost(self):
@@ -319,6 +325,29 @@ class Facts:
         return attribution.job_cost_per_consumer(self.priced, R.jobs_latest(self.t), self.writes, self.reads)
 
 
+class Rollups:
+    """Daily partials of what the explorer adds up: cost per resource and SKU family, reads per table, lines per job and table."""
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def refresh(self, t: Tables, days) -> None:
+        """Bring the rollups up to date for ``days`` of the usage lines in ``t``; the three are written at the same time."""
+        priced = pricing.price_usage(R.usage_rows(t), R.prices(t), keep=("family",))
+        one = F.count(F.lit(1))
+        parts = [(priced, "usage_date", ["resource_id", "family"], {"cost": F.sum("cost")}, "cost"),
+                 (_counted_reads(t, window=False), "read_date", ["table_id"], {"consumers": one}, "reads"),
+                 (R.writes(t, window=False), "write_date", ["job_id", "table_id"], {"lines": one}, "writes")]
+        with ThreadPoolExecutor(3) as pool:
+            list(pool.map(lambda p: rollup.refresh(*p[:4], f"{self.root}/{p[4]}", days), parts))
+
+    def facts(self, t: Tables, days: int) -> Facts:
+        f = Facts(t, days)
+        f.priced, f.reads, f.writes = (rollup.read(t.spark, f"{self.root}/{part}", R.LINE_AS_OF, days) for part in ("cost", "reads", "writes"))
+        f.pipeline_outputs = R.pipeline_outputs(R.with_family(t, f.writes.select(F.col("job_id").alias("resource_id"), F.col("table_id").alias("sku"))))
+        return f
+
+
 def _facts(spark, d, days=R.WINDOW_DAYS) -> Facts:
     return Facts(Tables(spark, d), days)
 
@@ -418,12 +447,13 @@ def cost_utilization_quadrant(spark, d):
     return attribution.quadrant(tc, "cost", "reads", mc, mr)
 
 
-def explorer_for(t, days=R.WINDOW_DAYS, only=None):
+def explorer_for(t, days=R.WINDOW_DAYS, only=None, f=None):
     """AG-16 over the last ``days`` days (the explorer's 7 / 30 / 90 day selector).
 
-    ``only``: the one resource type asked for; the other reports are not built.
+    ``only``: the one resource type asked for; the other reports are not built. ``f``: the facts, where
+    they are not to be read from the tables (``Rollups``).
     """
-    f = Facts(t, days, stored=True)
+    f = f or Facts(t, days, stored=True)
 
     def named(prefix, col):
         return F.concat(F.lit(prefix), F.col(col).cast("string")).alias("name")
@@ -466,6 +496,24 @@ def explorer_90d(spark, d):
     return explorer_for(Tables(spark, d), 90)
 
 
+@query
+def explorer_from_rollup(spark, d):
+    """The explorer over 7, 30 and 90 days from daily rollups that were kept up through four batches of usage: most of
+    the lines, the failed ones of the same days later, the newest days, and a day that is loaded again."""
+    t = Tables(spark, d)
+    target, log = _sync_dirs(spark, "rollup")
+    rollups = Rollups(fresh_dir(spark, "rollup-days"))
+    late, new = F.col("l_returnflag") == "R", F.col("l_shipdate") >= ntz_lit(dt.datetime(2001, 10, 20))
+    for epoch, batch in enumerate((t.lineitem.filter(~late & ~new), t.lineitem.filter(late & ~new), t.lineitem.filter(new))):
+        sync.append_epoch(spark, batch, "tpch", "lineitem", target, log, "usage", epoch)
+        now = Tables(spark, d)
+        now._frames["lineitem"] = sync.read_target(spark, target, log)
+        rollups.refresh(now, rollup.days_of(batch, "l_shipdate"))
+    rollups.refresh(now, [dt.date(2001, 10, 20)])
+    parts = [explorer_for(now, days, f=rollups.facts(now, days)).withColumn("days", F.lit(days)) for days in (7, R.WINDOW_DAYS, 90)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query
 def published_views(spark, d):
     """Row counts read back through the published views of the consolidated tables."""

@@ -650,3 +650,6 @@ SELECT 'tpch' AS schema_name, 'events' AS table_name, 'tpch.events' AS full_tabl
        max(ts) AS last_sync_timestamp, 'INCREMENTAL' AS last_sync_mode, 'SUCCESS' AS sync_status FROM events"""
 SQL["date_target_many_runs"] = "SELECT *, CAST(o_orderdate AS DATE) AS usage_date FROM orders"
 SQL["stream_into_sync"] = "SELECT * FROM events"
+
+SQL["explorer_from_rollup"] = " UNION ALL ".join(
+    f"SELECT *, {days} AS days FROM ({SQL[key]}) e{days}" for days, key in ((7, "explorer_7d"), (30, "resource_explorer"), (90, "explorer_90d")))
