@@ -41,6 +41,44 @@ def tenant_scope(fact: DataFrame, dim: DataFrame, key: str, sql_filter: str,
     return fact.join(keys, F.col(fk) == F.col("__tenant_key"), "left_semi")
 
 
+def tenant_bits(dim: DataFrame, dim_key: str, sql_filters: dict[str, str]) -> DataFrame:
+    """``__tenant_key, __bits``: for every dimension key that fits any filter, the tenants it fits as bits.
+
+    Bit ``i % 63`` of word ``i // 63`` stands for the filter of position ``i``. A repeated key fits what any of its rows
+    fits; a predicate that is NULL does not fit.
+    """
+    fits = [F.coalesce(F.expr(p).cast("boolean"), F.lit(False)) for p in sql_filters.values()]
+    words = []
+    for lo in range(0, len(fits), 63):
+        word = F.lit(0).cast("long")
+        for i, fit in enumerate(fits[lo:lo + 63]):
+            word = word.bitwiseOR(F.when(fit, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
+        words.append(word.alias(f"__w{lo // 63}"))
+    each = dim.select(F.col(dim_key).alias("__tenant_key"), *words).filter("__tenant_key IS NOT NULL")
+    names = [f"__w{i}" for i in range(len(words))]
+    both = each.groupBy("__tenant_key").agg(*[F.bit_or(w).alias(w) for w in names])
+    return both.filter(" OR ".join(f"{w} <> 0" for w in names)).select("__tenant_key", F.array(*names).alias("__bits"))
+
+
+def tenant_fanout(fact: DataFrame, dim: DataFrame, key: str, sql_filters: dict[str, str], dim_key: str | None = None,
+                  out: str = "tenant") -> DataFrame:
+    """TEN-3 for many tenants at once: the rows of ``tenant_scope`` for each of ``sql_filters`` (tenant -> predicate), with the tenant's name in ``out``.
+
+    The predicates are evaluated once per dimension row and kept as bits, so the fact is read, and
+    joined, once however many tenants there are; its rows are then handed to the tenants whose
+    bits are set. The key meets one row at most, so nothing is multiplied but by the tenants that see it.
+    """
+    if not sql_filters:
+        raise ValueError("no tenants")
+    fk, dk = _find(fact, key), _find(dim, dim_key or key)
+    if fk is None or dk is None:
+        raise ValueError(f"no column {key!r} in the fact, or {(dim_key or key)!r} in the dimension")
+    bits = tenant_bits(dim, dk, sql_filters)
+    joined = fact.join(bits, F.col(fk) == F.col("__tenant_key"))
+    seen = [F.when(F.getbit(F.col("__bits")[i // 63], F.lit(i % 63)) == 1, F.lit(name)) for i, name in enumerate(sql_filters)]
+    return joined.select(*[F.col(f"`{c}`") for c in fact.columns], F.explode(F.array_compact(F.array(*seen))).alias(out))
+
+
 def is_readable(df: DataFrame) -> bool:
     """AG-18 / LIM-1: whether the plan resolves and a first row can be read (one row of one file at most)."""
     try:

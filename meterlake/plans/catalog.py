@@ -202,6 +202,13 @@ def consumer_breakdown(spark, d):
     return lineage.consumer_breakdown(_counted_reads(Tables(spark, d)), ["JOB", "NOTEBOOK", "DASHBOARD"])
 
 
+@query
+def consumers_rolling_30d(spark, d):
+    """Distinct consumers of every table over the 30 days up to each day it was read on, from stored daily sketches."""
+    sketches = write_once(lineage.daily_consumer_sketches(_counted_reads(Tables(spark, d), window=False)), "sketches")
+    return lineage.consumers_rolling(sketches, R.WINDOW_DAYS)
+
+
 @query
 def lineage_job_table_consumer(spark, d):
     t = Tables(spark, d)
@@ -572,6 +579,13 @@ def tenant_scope_all(spark, d):
     return tenant.scope_report(scoped, skipped)
 
 
+@query
+def tenant_fanout(spark, d):
+    """Orders as each of fifty tenants sees them, in one pass over the orders."""
+    t = Tables(spark, d)
+    return tenant.tenant_fanout(R.tenant_fact(t), R.workspaces(t), "workspace_id", R.TENANTS)
+
+
 @query
 def view_row_counts(spark, d):
     merged, _, _ = align.consolidate_all(R.catalogs_all(Tables(spark, d)), R.fixture_rule, discover="all")

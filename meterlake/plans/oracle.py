@@ -653,3 +653,17 @@ SQL["stream_into_sync"] = "SELECT * FROM events"
 
 SQL["explorer_from_rollup"] = " UNION ALL ".join(
     f"SELECT *, {days} AS days FROM ({SQL[key]}) e{days}" for days, key in ((7, "explorer_7d"), (30, "resource_explorer"), (90, "explorer_90d")))
+
+# ---- many tenants, rolling distinct counts ----------------------------------------------------
+_TENANTS = {f"segment_{n.lower()}": f"regexp_matches(c_mktsegment, '^{n}')" for n in ("AUTO", "BUILD", "FURN", "HOUSE", "MACH")} \
+    | {f"group_{k}": f"c_custkey % 45 = {k}" for k in range(45)}
+SQL["tenant_fanout"] = " UNION ALL ".join(
+    f"SELECT o.*, o.o_custkey AS workspace_id, '{name}' AS tenant FROM orders o WHERE o.o_custkey IN (SELECT c_custkey FROM customer WHERE {p})"
+    for name, p in _TENANTS.items())
+
+SQL["consumers_rolling_30d"] = """
+WITH r AS (
+  SELECT DISTINCT l.l_partkey AS table_id, CAST(l.l_shipdate AS DATE) AS day, o.o_orderpriority || ':' || o.o_custkey AS consumer
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE o.o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))
+SELECT d.table_id, d.day, count(DISTINCT r.consumer) AS consumers
+FROM (SELECT DISTINCT table_id, day FROM r) d JOIN r ON r.table_id = d.table_id AND r.day BETWEEN d.day - 29 AND d.day GROUP BY 1, 2"""

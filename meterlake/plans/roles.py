@@ -46,6 +46,11 @@ def workspaces(t: Tables) -> DataFrame:
                              F.col("c_mktsegment").alias("workspace_name"))
 
 
+# fifty overlapping tenants: one per market segment, the others by workspace number
+TENANTS = {f"segment_{n.lower()}": f"workspace_name RLIKE '^{n}'" for n in ("AUTO", "BUILD", "FURN", "HOUSE", "MACH")} \
+    | {f"group_{k}": f"workspace_id % 45 = {k}" for k in range(45)}
+
+
 def tenant_fact(t: Tables) -> DataFrame:
     """Orders carrying the tenant key ``workspace_id``."""
     return t.orders.withColumn("workspace_id", F.col("o_custkey"))
