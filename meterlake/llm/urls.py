@@ -19,7 +19,8 @@ from meterlake.llm.common import lower_ascii, written
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 DAMPING = 0.85
-ROUNDS = 12
+#: Rank still on its way, of 1 in all, at which the propagation has settled.
+TOLERANCE = 1e-6
 #: A host is blocked if its distrust is above this share of trust plus distrust.
 DISTRUST_SHARE = 0.5
 
@@ -55,24 +56,32 @@ def host_links(pages: DataFrame) -> DataFrame:
     Links are the absolute ``href`` targets of the whole page.
     """
     target = F.explode(F.expr(r"regexp_extract_all(html, '(?i)href\\s*=\\s*[\"\']?\\s*([a-z][a-z0-9+.-]*://[^\"\'\\s>]*)', 1)"))
+    # counts and totals are written, so that the join stands alone and a hub's links can be split
     counts = pages.select("host", target.alias("to")).select(F.col("host").alias("src"), host_of(F.col("to")).alias("dst")) \
         .filter("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.groupBy("src").agg(F.sum("n").alias("all"))
+    counts = written(counts, "links")
+    total = written(counts.groupBy("src").agg(F.sum("n").alias("all")), "link-totals")
     return counts.join(total, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("weight"))
 
 
-def pagerank(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def pagerank(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
     """Personalised PageRank ``(host, rank)`` from ``seeds (host, seed)``, whose seeds sum to 1.
 
-    Each round sends ``damping`` of a host's rank along its links and gives the rest back to
-    the seeds; rank at hosts without links goes nowhere. Hosts that no seed reaches have no row.
+    A host passes ``damping`` of the rank that reaches it on along its links; rank at hosts without
+    links goes nowhere. Each round moves on only what the last one brought. The rounds end when a round reached no
+    new host and brought no more than ``tolerance`` in all, so every host on any path from a
+    seed has its rank, however long the path; what is still on its way then is less than
+    ``tolerance * damping / (1 - damping)``. Hosts that no seed reaches have no row.
     """
-    start = seeds.select("host", (F.col("seed") * (1 - damping)).alias("rank"))
-    rank = start
-    for _ in range(rounds):
-        sent = rank.join(edges, rank["host"] == edges["src"]).groupBy(F.col("dst").alias("host")) \
-            .agg(F.sum(F.col("rank") * F.col("weight") * damping).alias("rank"))
-        rank = written(sent.union(start).groupBy("host").agg(F.sum("rank").alias("rank")), "rank")
+    sent = rank = written(seeds.select("host", (F.col("seed") * (1 - damping)).alias("rank")), "rank")
+    hosts = rank.count()
+    while hosts:
+        sent = written(sent.join(edges, sent["host"] == edges["src"]).groupBy(F.col("dst").alias("host"))
+                       .agg(F.sum(F.col("rank") * F.col("weight") * damping).alias("rank")), "sent")
+        rank = written(rank.union(sent).groupBy("host").agg(F.sum("rank").alias("rank")), "rank")
+        moved, before, hosts = sent.agg(F.sum("rank")).first()[0] or 0.0, hosts, rank.count()
+        if hosts == before and moved <= tolerance:
+            break
     return rank
 
 
@@ -83,18 +92,17 @@ def _seeds(hosts: DataFrame, action: str) -> DataFrame:
     return own.select("host", (F.col("n") / F.lit(float(count))).alias("seed"))
 
 
-def host_scores(judged: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def host_scores(judged: DataFrame) -> DataFrame:
     """``(host, trust, distrust)`` for each host that a seed reaches, from pages with ``host, action, html``."""
     hosts = judged.groupBy("host").agg(F.count_if(F.col("action") == "allow").alias("allow"),
                                        F.count_if(F.col("action") == "block").alias("block"))
     hosts = written(hosts.filter("host <> '' and (allow > 0 or block > 0)"), "hosts")
     edges = written(host_links(judged), "edges")
-    steps = rounds if edges.limit(1).count() else 0  # without links only the seeds have rank
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    out = back.groupBy("src").agg(F.sum("weight").alias("all"))
-    back = back.join(out, "src").select("src", "dst", (F.col("weight") / F.col("all")).alias("weight"))
-    trust = pagerank(edges, _seeds(hosts, "allow"), steps).withColumnRenamed("rank", "trust")
-    distrust = pagerank(back, _seeds(hosts, "block"), steps).withColumnRenamed("rank", "distrust")
+    out = written(back.groupBy("src").agg(F.sum("weight").alias("all")), "link-totals")
+    back = written(back.join(out, "src").select("src", "dst", (F.col("weight") / F.col("all")).alias("weight")), "edges")
+    trust = pagerank(edges, _seeds(hosts, "allow")).withColumnRenamed("rank", "trust")
+    distrust = pagerank(back, _seeds(hosts, "block")).withColumnRenamed("rank", "distrust")
     return trust.join(distrust, "host", "full_outer").na.fill(0.0, ["trust", "distrust"])
 
 
@@ -109,7 +117,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, share
     parts = pages.select("page_id", "html", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     judged = parts.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules)) \
         .select("page_id", "html", "host", "path", F.col("fit.rule").alias("rule"), F.col("fit.action").alias("action"))
-    scores = host_scores(judged, ROUNDS)
+    scores = host_scores(judged)
     known = judged.drop("html").join(scores, "host", "left").na.fill(0.0, ["trust", "distrust"])
     bad = F.col("distrust") > share * (F.col("trust") + F.col("distrust"))
     return known.select("page_id", "host", "path", "rule",
