@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from meterlake import registry
 from meterlake.functions import quantiles
 from meterlake.functions.columns import last_days, money, ntz_lit, ratio
-from meterlake.operators import align, attribution, lineage, lineage_graph, pricing, quality, rollup, tenant
+from meterlake.operators import align, attribution, lineage, lineage_graph, pricing, quality, rollup, search_index, tenant
 from meterlake.plans import roles as R
 from meterlake.session import fresh_dir, shared_dir
 from meterlake.session import stored as write_once
@@ -429,6 +429,15 @@ def node_utilization_hourly(spark, d):
     return attribution.node_utilization(R.node_timeline(Tables(spark, d)))
 
 
+@query
+def rolling_24h_load(spark, d):
+    """Load of every cluster over the 24 hours up to each hour it was sampled in, in chunks of a week."""
+    samples = R.node_timeline(Tables(spark, d))
+    hours = samples.groupBy("cluster_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(F.sum(F.col("cpu").cast("decimal(18,6)")).alias("load"))
+    rolled = attribution.rolling_sum(hours, "cluster_id", "hour", "load", dt.timedelta(hours=24), "load_24h", dt.timedelta(days=7))
+    return rolled.select("cluster_id", "hour", F.col("load").cast("double").alias("load"), F.col("load_24h").cast("double").alias("load_24h"))
+
+
 @query
 def efficiency_score(spark, d):
     # ranking reads the report several times: it is computed once
@@ -493,6 +502,15 @@ def explorer_search_by_type(spark, d):
     return attribution.search(explorer_for(Tables(spark, d), only="TABLE"), text="1", resource_type="TABLE")
 
 
+@query
+def explorer_search_indexed(spark, d):
+    """Searches of the explorer's resources by their gram index: short, long, common, odd and absent needles."""
+    path, keys = fresh_dir(spark, "search"), ["resource_type", "id"]
+    search_index.build(explorer_for(Tables(spark, d)), keys, path)
+    return reduce(lambda a, b: a.unionByName(b), [
+        search_index.search(spark, path, text, keys).withColumn("needle", F.lit(text)) for text in R.NEEDLES])
+
+
 @query
 def explorer_7d(spark, d):
     return explorer_for(Tables(spark, d), 7)

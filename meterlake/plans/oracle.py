@@ -667,3 +667,13 @@ WITH r AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE o.o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))
 SELECT d.table_id, d.day, count(DISTINCT r.consumer) AS consumers
 FROM (SELECT DISTINCT table_id, day FROM r) d JOIN r ON r.table_id = d.table_id AND r.day BETWEEN d.day - 29 AND d.day GROUP BY 1, 2"""
+
+SQL["explorer_search_indexed"] = f"""
+SELECT e.*, n.needle FROM ({SQL["resource_explorer"]}) e, (VALUES ('7'), ('_1'), ('E_1'), ('table_1'), ('SUPPLIER#0'), ('endpoint_42'), ('99'), ('no such name')) n(needle)
+WHERE contains(lower(e.name), lower(n.needle))"""
+
+SQL["rolling_24h_load"] = """
+WITH h AS (SELECT user_id AS cluster_id, date_trunc('hour', ts) AS hour, sum(CAST(value AS DECIMAL(18,6))) AS load FROM events GROUP BY 1, 2)
+SELECT cluster_id, CAST(hour AS TIMESTAMP) AS hour, CAST(load AS DOUBLE) AS load,
+       CAST(sum(load) OVER (PARTITION BY cluster_id ORDER BY hour RANGE BETWEEN INTERVAL 23 HOURS PRECEDING AND CURRENT ROW) AS DOUBLE) AS load_24h
+FROM h"""

@@ -46,6 +46,8 @@ def workspaces(t: Tables) -> DataFrame:
                              F.col("c_mktsegment").alias("workspace_name"))
 
 
+# texts searched for in the explorer's names
+NEEDLES = ["7", "_1", "E_1", "table_1", "SUPPLIER#0", "endpoint_42", "99", "no such name"]
 # fifty overlapping tenants: one per market segment, the others by workspace number
 TENANTS = {f"segment_{n.lower()}": f"workspace_name RLIKE '^{n}'" for n in ("AUTO", "BUILD", "FURN", "HOUSE", "MACH")} \
     | {f"group_{k}": f"workspace_id % 45 = {k}" for k in range(45)}
