@@ -31,11 +31,14 @@ def reference():
     return _tiktoken()
 
 
+@lru_cache
+def _library():
+    return Tokenizer.from_file(JSON)
+
+
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
-    return t
+    return _library()
 
 
 def unpacked(ids):
@@ -66,11 +69,23 @@ def test_hard_texts(reference, library):
         assert unpacked(ids) == library.encode(text, add_special_tokens=False).ids
 
 
-def test_texts_give_no_special_tokens():
+def test_special_tokens_as_the_library_loads_them(library):
+    cache, _ = records._cache(JSON)
+    assert unpacked(cache.ids(["a<|endoftext|>b"])[0]) == library.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([" ", " ", "\n", "\t", "\x1c", "\x85", "\u3000", "a", "b1", "'s", "é!", "日", "<|endoftext|>", "<|"]), max_size=40))
+def test_records_match_the_library(parts):
     cache, _ = records._cache(JSON)
-    ids, = cache.ids(["a<|endoftext|>b"])
-    assert unpacked(ids) == [64, 27, 91, 437, 1659, 5239, 91, 29, 65]
-    assert Tokenizer.from_file(JSON).encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    texts = ["".join(parts), "".join(reversed(parts)), " ".join(parts)]
+    for text, ids in zip(texts, cache.ids(texts)):
+        assert unpacked(ids) == _library().encode(text, add_special_tokens=False).ids
+
+
+def test_a_key_that_is_no_integer_is_refused(spark, workdir):
+    with pytest.raises(TypeError):
+        records.write_records(spark.createDataFrame([("a", "b")], "doc_id string, text string"), JSON, workdir)
 
 
 def test_very_long_pre_token(reference):
