@@ -104,7 +104,10 @@ def sketch(h: np.ndarray) -> np.ndarray:
             v = (h[None, :] ^ seeds) * _MIX
             v ^= v >> np.uint64(32)
             v *= _MIX
-            at = np.argpartition(v, low - 1, axis=1)[:, :low] if n > low else np.broadcast_to(np.arange(n), (len(seeds), n))
+            at = np.empty((len(seeds), low), np.intp)
+            for i in range(low):
+                at[:, i] = v.argmin(axis=1)
+                v[np.arange(len(seeds)), at[:, i]] = ~np.uint64(0)
             picked = h[np.sort(at, axis=1)]
             key = seeds[:, 0].copy()
             for i in range(low):
