@@ -16,8 +16,10 @@ components of the links.
 A bucket (texts with one sketch) never emits all its pairs. First every text is aligned with
 the bucket's lowest one only, then those outside the bucket's largest class with members of it
 that each bucket draws anew; this settles families of copies. Then the texts outside the bucket's largest class are aligned with
-every text of the bucket in another class, except pairs that exact bounds (length, a bitmap of
-the words) rule out. Every candidate pair is thus aligned, ruled out exactly, or in one class already.
+every text of the bucket in another class, except pairs that exact bounds (length, counts of
+the words) rule out; a pair that shares several buckets is taken in the first of them. These pairs meet
+their texts by blocks of a bucket, so a text travels once a block and not once a pair. Every candidate
+pair is thus aligned, ruled out exactly, or in one class already.
 """
 
 from __future__ import annotations
@@ -37,9 +39,11 @@ K, L, SKETCHES = 5, 2, 80
 #: Words up to which texts are candidates by the prefix of their pairs of words.
 SHORT = 50
 SIMILARITY = 0.8
-BIT_WORDS = 64  # longs of the word bitmap: 4096 bits show most differing words of texts up to 1000 words
+BIT_WORDS, PLANES = 64, 2  # longs of a plane of word counts: 4096 counts up to PLANES show most differing words of texts up to 1000 words
 #: Rounds in which texts outside a bucket's largest class meet DRAWN members of it.
 STAR_ROUNDS, DRAWN = 2, 2
+#: Words in a block of the texts outside a bucket's largest class, and of all texts of a bucket.
+BLOCK_MINOR, BLOCK_ALL = 100_000, 500_000
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -132,13 +136,12 @@ def prefix(seq: np.ndarray) -> np.ndarray:
 
 
 def bitmap(seq: np.ndarray) -> np.ndarray:
-    """The words of a text as bits, a word that occurs again as another one."""
-    if not len(seq):
-        return np.zeros(BIT_WORDS, np.int64)
-    seq = _labelled(seq)
-    bits = np.zeros(64 * BIT_WORDS, np.uint8)
-    bits[(seq >> np.uint64(7)) % np.uint64(64 * BIT_WORDS)] = 1
-    return np.packbits(bits).view(np.int64)
+    """Counts of a text's words, a word that occurs again as another one: bit i of plane p is 1
+    where more than p words fall on i. So the bits that one text has and another lacks are no
+    more than the words that the other lacks."""
+    n = 64 * BIT_WORDS
+    count = np.bincount(((_labelled(seq) if len(seq) else seq) >> np.uint64(7)).astype(np.int64) % n, minlength=n)
+    return np.packbits(count > np.arange(PLANES)[:, None]).view(np.int64)
 
 
 def banded_distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
@@ -257,6 +260,25 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _verified_in_blocks(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The ``pairs (key, ab, bb, a, b)`` of nodes whose words align. A block ``(key, ab, bb)`` holds its texts once."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        seqs = {node: np.frombuffer(seq, np.uint64) for node, seq in zip(right["node"].to_pylist(), right["seq"].to_pylist())}
+        counted = {node: np.sort(_labelled(seq)) for node, seq in seqs.items()}
+        keep = []
+        for a, b in zip(left["a"].to_pylist(), left["b"].to_pylist()):
+            x, y = counted[a], counted[b]
+            common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            longest = max(len(x), len(y))
+            keep.append(longest - common <= int((1 - SIMILARITY) * longest + 1e-9) and similar(seqs[a], seqs[b]))
+        return left.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    block = ["key", "ab", "bb"]
+    needed = pairs.select(*block, F.col("a").alias("node")).union(pairs.select(*block, F.col("b").alias("node"))).distinct()
+    held = needed.join(texts, "node").select(*[F.col(c).alias(f"in_{c}") for c in block], "node", "seq")
+    return pairs.groupBy(*block).cogroup(held.groupBy(*[f"in_{c}" for c in block])).applyInArrow(run, "a long, b long")
+
+
 def _words_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``(node, seq)``: the word hashes of the texts that stand for ``nodes (node, k1, k2)``."""
     def run(batches):
@@ -340,20 +362,38 @@ def classes(docs: DataFrame) -> DataFrame:
         tried, comps = tried.unionByName(stars), _merged(comps, written(_verified(stars, texts), "links"))
 
     placed, largest = _by_class(buckets, comps, STAR_ROUNDS)
-    mixed = placed.join(largest.select("key", "main"), "key").join(nodes.select("node", "n", "bits"), "node")
-    mixed = written(mixed.select("key", "node", "n", "comp", "bits", (F.col("comp") != F.col("main")).alias("minor")), "mixed")
-    one = mixed.filter("minor").select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"), *[F.coalesce(F.element_at("bits", i + 1), F.lit(0).cast("long")).alias(f"x{i}") for i in range(BIT_WORDS)])
-    two = mixed.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), "minor", *[F.coalesce(F.element_at("bits", i + 1), F.lit(0).cast("long")).alias(f"y{i}") for i in range(BIT_WORDS)])
+    mixed = placed.join(largest.select("key", "main"), "key").join(nodes.select("node", "n"), "node")
+    mixed = written(mixed.select("key", "node", "n", "comp", (F.col("comp") != F.col("main")).alias("minor")), "mixed")
+    held = mixed.groupBy("node").agg(F.collect_list("key").alias("keys")).join(nodes.select("node", "bits"), "node")
+    blocks = mixed.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK_ALL).alias("all"), F.ceil(F.sum(F.when(F.col("minor"), F.col("n"))) / BLOCK_MINOR).alias("few"))
+    members = mixed.join(held, "node").join(blocks, "key")
+
+    def side(x: str, block: Column) -> list[Column]:
+        named = [F.col("node").alias(x), F.col("n").alias(f"{x}n"), F.col("comp").alias(f"{x}c"), F.col("keys").alias(f"{x}k"),
+                 F.pmod(F.xxhash64("node"), block).alias(f"{x}b"), F.slice("bits", BIT_WORDS + 1, (PLANES - 1) * BIT_WORDS).alias(f"{x}more")]
+        return named + [F.coalesce(F.element_at("bits", i + 1), F.lit(0).cast("long")).alias(f"{x}{i}") for i in range(BIT_WORDS)]
+
+    one = members.filter("minor").select("key", *side("a", F.col("few")))
+    two = members.select(F.col("key").alias("bkey"), "minor", *side("b", F.col("all")))
     most = _most(F.greatest("an", "bn"))
 
     def lost(x: str, y: str) -> Column:
-        """Words of one text that the other lacks, as far as the bitmaps show: each costs an edit."""
+        """Words of one text that the other lacks, as far as the first plane shows: each costs an edit."""
         return sum((F.bit_count(F.col(f"{x}{i}").bitwiseAND(F.bitwise_not(F.col(f"{y}{i}")))) for i in range(BIT_WORDS)), F.lit(0))
 
-    rest = one.hint("merge").join(two, (one["key"] == two["key"]) & (F.col("ac") != F.col("bc")) & (~F.col("minor") | (F.col("a") < F.col("b")))
-                                  & (F.least("an", "bn") >= F.greatest("an", "bn") - most) & (lost("x", "y") <= most) & (lost("y", "x") <= most))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    comps = _merged(comps, written(_verified(rest, texts), "links"))
+    def lost_more(x: str, y: str) -> Column:
+        """The same for the other planes."""
+        lacks = F.zip_with(f"{x}more", f"{y}more", lambda u, v: F.bit_count(u.bitwiseAND(F.bitwise_not(v))))
+        return F.aggregate(lacks, F.lit(0), lambda u, v: u + v)
+
+    rest = one.hint("merge").join(two, (F.col("key") == F.col("bkey")) & (F.col("ac") != F.col("bc")) & (~F.col("minor") | (F.col("a") < F.col("b")))
+                                  & (F.least("an", "bn") >= F.greatest("an", "bn") - most) & (lost("a", "b") <= most) & (lost("b", "a") <= most)
+                                  & (lost("a", "b") + lost_more("a", "b") <= most) & (lost("b", "a") + lost_more("b", "a") <= most)
+                                  # a pair that meets in several buckets is taken in the first of them
+                                  & (F.array_min(F.array_intersect("ak", "bk")) == F.col("key")))
+    rest = rest.select("key", F.col("ab"), F.col("bb"), "a", "b", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+    rest = written(rest.join(tried.select(F.col("a").alias("lo"), F.col("b").alias("hi")), ["lo", "hi"], "left_anti").select("key", "ab", "bb", "a", "b"), "rest")
+    comps = _merged(comps, written(_verified_in_blocks(rest, texts), "links"))
     classed = _placed(nodes.select("node", "h1", "h2", "low"), comps, "node", "comp")
     lowest = classed.groupBy("comp").agg(F.min("low").alias("class_id"))
     classed = classed.join(lowest, "comp").select("h1", "h2", "class_id")
