@@ -58,9 +58,8 @@ def _masks(width: int, radius: int) -> Column:
 
 def segment_bits(n: int) -> float:
     """Bits of a segment for ``n`` codes: about one code per segment value, since wider segments need more
-    probes and narrower ones find more strangers; 16 over the middle sizes, so that work grows evenly."""
-    bits = math.log2(max(n, 16))
-    return 16.0 if 12 <= bits <= 17 else min(bits, 24.0)
+    probes and narrower ones find more strangers."""
+    return math.log2(max(n, 16))
 
 
 def top_k(codes: DataFrame, queries: DataFrame, dims: int, k: int = 10, n_rows: int | None = None) -> DataFrame:
@@ -94,7 +93,8 @@ def top_k(codes: DataFrame, queries: DataFrame, dims: int, k: int = 10, n_rows:
         masks = F.lit(None).cast("array<bigint>")
         for w in sorted({w for _, _, w in segments if w >= radius}):
             masks = F.when(F.col("seg").isin([i for i, x in enumerate(segments) if x[2] == w]), _masks(w, radius)).otherwise(masks)
-        probe = open_q.select("q", "qcode", "bound", F.posexplode(_values(F.col("qcode"), segments)).alias("seg", "qvalue")) \
+        # dealt by number, so that few queries with many probes are still many tasks
+        probe = open_q.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "q").select("q", "qcode", "bound", F.posexplode(_values(F.col("qcode"), segments)).alias("seg", "qvalue")) \
             .select("q", "qcode", "bound", "seg", "qvalue", F.explode(masks).alias("mask")) \
             .select("q", "qcode", "bound", F.col("seg").alias("pseg"), F.col("qvalue").bitwiseXOR(F.col("mask")).alias("pvalue"))
         # a code met in several segments is taken in the first of its closest segments only, and
@@ -133,8 +133,16 @@ def top_k(codes: DataFrame, queries: DataFrame, dims: int, k: int = 10, n_rows:
     return asked.join(ranked, "q").select("query_id", F.col("rank").cast("int").alias("rank"), "id", F.col("d").cast("int").alias("hamming"))
 
 
-def search_embeddings(embeddings: DataFrame, every: int = 20, k: int = 10, dims: int = 64) -> DataFrame:
-    """Query ``op10_hamming``: sign codes of all vectors; queries are the ids divisible by ``every``."""
+def search_embeddings(embeddings: DataFrame, every: int = 20, k: int = 10, dims: int | None = None) -> DataFrame:
+    """Query ``op10_hamming``: sign codes of all vectors; queries are the ids divisible by ``every``.
+
+    ``dims`` is the width of the widest vector unless given; a vector that is wider than a given ``dims`` raises.
+    Missing and null values count as 0 bits; NaN sorts above every number and is a 1 bit.
+    """
+    width = embeddings.agg(F.max(F.size("embedding"))).first()[0] or 0
+    if dims is not None and width > dims:
+        raise ValueError(f"vectors of {width} values do not fit {dims} dimensions")
+    dims = dims or max(1, width)
     codes = embeddings.select(F.col("vec_id").alias("id"), sign_bits(F.col("embedding"), dims).alias("code"))
     codes = written(codes, "signs")
     return top_k(codes, codes.filter(F.col("id") % every == 0), dims, k)

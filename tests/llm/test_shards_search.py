@@ -66,3 +66,24 @@ def test_top_k(spark, dims, n):
 
 def test_empty_table(spark):
     assert hamming.search_embeddings(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+@pytest.mark.parametrize("n", [1000, 6000])
+def test_top_k_by_number_of_codes(spark, n):
+    rng = random.Random(n)
+    values = [rng.getrandbits(40) for _ in range(n)]
+    vectors = [(i, [1.0 if v >> b & 1 else -1.0 for b in range(40)]) for i, v in enumerate(values)]
+    got = hamming.search_embeddings(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"), every=n // 10, k=5)
+    want = [(q, rank, i, d) for q in range(0, n, n // 10)
+            for rank, (d, i) in enumerate(sorted(((v ^ values[q]).bit_count(), i) for i, v in enumerate(values))[:5], 1)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_widths_and_odd_values(spark):
+    nan = float("nan")
+    vectors = [(0, [1.0] * 70), (1, [1.0] * 64), (2, [nan] * 70), (3, None), (4, [])]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["id"]): r["hamming"] for r in hamming.search_embeddings(table, every=1, k=4).collect()}
+    assert got[0, 1] == 6 and got[0, 2] == 0 and got[0, 4] == 70 and not any(3 in pair for pair in got)
+    with pytest.raises(ValueError):
+        hamming.search_embeddings(table, dims=64)
