@@ -208,25 +208,25 @@ def between_surge_and_dive(weights: list[int], least: int, window: int = WINDOW)
 def main_text(html: str | None) -> str:
     """The page's article: its blocks joined by an empty line; empty if there is none.
 
-    Where the page marks its article (article or main element), what lies outside counts
-    nothing and the whole of it is kept from its first line to its last, however far apart.
-    Else every range between a surge and its dive is kept; the curve surges at SURGE characters, or at
-    half of its own peak where that is lower. Lines that are links alone are left out, and
-    mostly linked ones at the ends of a range.
+    Every range of lines between a surge of the windowed sums and the dive after it is kept; the curve
+    surges at SURGE characters, or at half of its own peak where that is lower. Where the page marks its
+    article (article or main element), what lies outside weighs nothing and a line inside weighs
+    SURGE at least: a short one lifts the curve as well as a long one, so none is lost, and the curve
+    dives where a window holds no marked line. Else link text weighs against a line, and lines that are links alone are left out.
     """
     if not html:
         return ""
     page = lines(html)
-    if any(x.article and not x.boiler for x in page):
-        weights = [len(x.text) if x.article and not x.boiler else 0 for x in page]
-        # any text lifts the curve here: the marked article is one surge however long its gaps are
-        lo, hi = between_surge_and_dive(weights, 1, max(WINDOW, len(page)))
+    marked = any(x.article and not x.boiler for x in page)
+    if marked:
+        counted = [x.article and not x.boiler for x in page]
+        weights = [max(len(x.text), SURGE) if c else 0 for x, c in zip(page, counted)]
     else:
+        counted = [x.free and not x.boiler for x in page]
         weights = [max(0, len(x.text) - 2 * x.linked) if not x.boiler else 0 for x in page]
-        peak = max((sum(weights[i:i + WINDOW]) for i in range(len(page))), default=0)
-        kept = all_surges(weights, max(1, min(SURGE, peak // 2)))
-        return "\n\n".join(x.text for x, k in zip(page, kept) if k and not x.boiler and x.free)
-    return "\n\n".join(x.text for x, w in zip(page[lo:hi], weights[lo:hi]) if w)
+    peak = max((sum(weights[i:i + WINDOW]) for i in range(len(page))), default=0)
+    kept = all_surges(weights, max(1, min(SURGE, peak // 2)))
+    return "\n\n".join(x.text for x, c, k in zip(page, counted, kept) if c and k)
 
 
 def extract(pages: DataFrame) -> DataFrame:

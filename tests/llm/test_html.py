@@ -55,6 +55,20 @@ def test_a_page_of_very_many_lines():
     assert html.between_surge_and_dive([1] * n, 1, n) == (0, n)
 
 
+def test_marked_pages_go_by_the_same_windows(monkeypatch):
+    """The curve of a marked page has windows of WINDOW lines, and short marked lines far apart surge by themselves."""
+    seen, real = [], html.all_surges
+    monkeypatch.setattr(html, "all_surges", lambda *a: seen.append(a) or real(*a))
+    gap = "<aside>advert</aside>" * 5
+    page = f"<p>{LONG}</p><article><h1>T</h1>{gap}<p>{LONG}1</p>{gap}<p>end</p></article>{gap}<article>more</article><p>{LONG}</p>"
+    assert html.main_text(page) == f"T\n\n{LONG}1\n\nend\n\nmore"
+    (weights, least), = seen
+    n, most = len(weights), html.SURGE
+    assert least == most and n == 21 and [w > 0 for w in weights] == [i in (1, 7, 13, 19) for i in range(n)]
+    lifted = {j for i in range(n) if sum(weights[i:i + html.WINDOW]) >= least for j in range(i, min(n, i + html.WINDOW))}
+    assert lifted != set(range(n)) and {i for i, w in enumerate(weights) if w} <= lifted
+
+
 def test_surge_and_dive():
     assert html.between_surge_and_dive([0, 0, 90, 5, 90, 0, 0, 0, 10], 80) == (2, 5)
     assert html.between_surge_and_dive([1, 2, 3], 80) == (0, 0)
