@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from meterlake.functions.columns import MONEY, ntz_lit
+from meterlake.session import stored
 
 
 def price_versions(dim: DataFrame, sku: str, base_price: str,
@@ -64,7 +65,8 @@ def price_usage(usage: DataFrame, prices: DataFrame, sku: str = "sku", date: str
             .withColumn("cost", F.col(qty) * F.col("price")))
 
 
-#: Usage rows of one SKU and time bin that one task walks through; more are dealt over several.
+#: Rows of one SKU, usage and versions, that one task walks through; more are cut into time bins, and the
+#: usage rows of a bin that are still more are dealt over several.
 ASOF_ROWS = 1_000_000
 
 
@@ -73,11 +75,12 @@ def price_usage_asof(usage: DataFrame, prices: DataFrame, sku: str = "sku", date
     """JN-1 for price lists of many versions a SKU: ``price_usage`` in one sorted pass.
 
     An interval join pairs every usage row with all versions of its SKU before it drops all but
-    one. Here usage and version starts are united, sorted by time within a SKU and time bin,
-    and the newest version so far is carried forward to the usage rows: rows read grow
-    with usage plus versions, not with their product. The version that is open when a
-    bin begins comes from the same carry over the (far fewer) bins that hold usage. A SKU and bin with more than
-    ``rows_per_task`` usage rows is dealt over several tasks, each with the bin's few versions.
+    one. Here usage and version starts are united, sorted by time within a SKU, and the newest version
+    so far is carried forward to the usage rows: rows read grow with usage plus versions, not with their
+    product, and each is shuffled once. A hot SKU, one of more than ``rows_per_task`` rows, is cut into bins
+    of ``bin_days``; the version that is open when a bin begins comes from the same carry over the (far
+    fewer) bins that hold usage. A bin with more than ``rows_per_task`` usage rows is dealt over several tasks,
+    each with the bin's few versions. The hot SKUs and bins are one in ``rows_per_task`` rows at most; they are written once.
 
     A usage row takes the version that started last (of versions that start together, the one that ends
     last, an open one most of all; see ``price_overlaps``), if that has not ended; rows before the first version, in a gap,
@@ -89,35 +92,41 @@ def price_usage_asof(usage: DataFrame, prices: DataFrame, sku: str = "sku", date
     version = F.struct(F.coalesce("price_end_time", forever).alias("end"), "price", *keep)
     starts = prices.filter("sku IS NOT NULL AND price_start_time IS NOT NULL").select(
         F.col("sku").alias("__sku"), time("price_start_time").alias("__t"), version.alias("__v"))
-    # of versions that start together only one can ever be taken
-    starts = starts.groupBy("__sku", "__t").agg(F.max("__v").alias("__v"))
-    starts = starts.withColumn("__bin", bin_of(F.col("__t")))
     used = usage.filter(F.col(sku).isNotNull() & F.col(date).isNotNull())
     used = used.select(F.col(sku).alias("__sku"), time(date).alias("__t"), F.struct(*[F.col(f"`{c}`") for c in usage.columns]).alias("__u"))
-    used = used.withColumn("__bin", bin_of(F.col("__t")))
+    none_v, none_u = F.lit(None).cast(starts.schema["__v"].dataType), F.lit(None).cast(used.schema["__u"].dataType)
+    rows = starts.select("__sku", "__t", F.lit(1).alias("__kind"), "__v", none_u.alias("__u")) \
+        .unionByName(used.select("__sku", "__t", F.lit(2).alias("__kind"), none_v.alias("__v"), "__u"))
+
+    one = F.count(F.lit(1)).alias("__n")
+    # written, so that their size is known and the joins with them move no other rows
+    hot = stored(rows.groupBy("__sku").agg(one).filter(F.col("__n") > rows_per_task).select("__sku", F.lit(True).alias("__hot")), "hot")
+    # a SKU that is not hot has no bins, and its bin is NULL
+    rows = rows.join(hot, "__sku", "left").withColumn("__bin", F.when(F.col("__hot"), bin_of(F.col("__t")))).drop("__hot")
 
-    bins = used.groupBy("__sku", "__bin").agg(F.count(F.lit(1)).alias("__n"))
+    binned = rows.filter("__bin IS NOT NULL")
+    bins = binned.filter("__kind = 2").groupBy("__sku", "__bin").agg(one)
     before = Window.partitionBy("__sku").orderBy("__bin", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    newest = starts.groupBy("__sku", "__bin").agg(F.max_by("__v", "__t").alias("__v"))
+    newest = binned.filter("__kind = 1").groupBy("__sku", "__bin").agg(F.max_by("__v", F.struct("__t", "__v")).alias("__v"))
     # a bin opens with the newest version of the bins before it: its own versions (kind 1) come after its opening (kind 0)
-    marks = bins.select("__sku", "__bin", F.lit(0).alias("__kind"), "__n", F.lit(None).cast(newest.schema["__v"].dataType).alias("__v")) \
+    marks = bins.select("__sku", "__bin", F.lit(0).alias("__kind"), "__n", none_v.alias("__v")) \
         .unionByName(newest.select("__sku", "__bin", F.lit(1).alias("__kind"), F.lit(0).cast("long").alias("__n"), "__v"))
     opening = marks.withColumn("__v", F.last("__v", ignorenulls=True).over(before)).filter("__kind = 0")
 
     parts = F.ceil(F.col("__n") / rows_per_task).cast("int")
-    hot = bins.filter(F.col("__n") > rows_per_task).select("__sku", "__bin", parts.alias("__parts"))
-    dealt = used.join(hot, ["__sku", "__bin"], "left").withColumn(
-        "__part", F.when(F.col("__parts").isNotNull(), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("__parts")).cast("int")).otherwise(0)).drop("__parts")
-    spread = starts.join(hot, ["__sku", "__bin"], "left").withColumn(
-        "__part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - 1))).drop("__parts")
-    opened = opening.select("__sku", "__bin", "__v", F.explode(F.sequence(F.lit(0), parts - 1)).alias("__part"))
+    dense = stored(bins.filter(F.col("__n") > rows_per_task).select("__sku", "__bin", parts.alias("__parts")), "dense")
+    opened = opening.select("__sku", "__bin", F.explode(F.sequence(F.lit(0), parts - 1)).alias("__part"),
+                            F.lit(None).cast("timestamp_ntz").alias("__t"), F.lit(0).alias("__kind"), "__v", none_u.alias("__u"))
+    # the usage rows of a dense bin go to one of its parts each, its versions to all
+    several = F.coalesce("__parts", F.lit(1))
+    own = F.when(F.col("__kind") == 2, F.pmod(F.xxhash64(F.monotonically_increasing_id()), several).cast("int"))
+    dealt = rows.join(dense, ["__sku", "__bin"], "left").withColumn("__own", own)
+    dealt = dealt.withColumn("__part", F.explode(F.when(F.col("__own").isNull(), F.sequence(F.lit(0), several - 1)).otherwise(F.array("__own"))))
 
-    none_v, none_u = F.lit(None).cast(starts.schema["__v"].dataType), F.lit(None).cast(used.schema["__u"].dataType)
     place = ["__sku", "__bin", "__part"]
-    both = opened.select(*place, F.lit(None).cast("timestamp_ntz").alias("__t"), F.lit(0).alias("__kind"), "__v", none_u.alias("__u")) \
-        .unionByName(spread.select(*place, "__t", F.lit(1).alias("__kind"), "__v", none_u.alias("__u"))) \
-        .unionByName(dealt.select(*place, "__t", F.lit(2).alias("__kind"), none_v.alias("__v"), "__u"))
-    so_far = Window.partitionBy(*place).orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = opened.unionByName(dealt.drop("__parts", "__own"))
+    # of versions that start together the last one in this order is the one to take
+    so_far = Window.partitionBy(*place).orderBy("__t", "__kind", "__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     priced = both.withColumn("__v", F.last("__v", ignorenulls=True).over(so_far)).filter((F.col("__kind") == 2) & (F.col("__t") < F.col("__v.end")))
     return priced.select("__u.*", "__v.price", *[F.col(f"__v.{c}") for c in keep]).withColumn("cost", F.col(qty) * F.col("price"))
 

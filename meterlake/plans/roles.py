@@ -111,8 +111,10 @@ def monthly_prices(t: Tables) -> DataFrame:
     start = F.add_months(F.lit(MONTHLY_FROM).cast("date"), m)
     end = F.when(m % 12 == MONTHLY_GAP, F.date_add(start, 15)).when(m < MONTHS - 1, F.add_months(F.lit(MONTHLY_FROM).cast("date"), m + 1))
     factor = ((F.lit(100) + (m * 7) % 40).cast("decimal(5,2)") / F.lit(100).cast("decimal(5,2)")).cast("decimal(5,2)")
-    every = t.part.select(F.col("p_partkey").alias("sku"), F.col("p_retailprice").cast("decimal(12,2)").alias("base"),
-                          F.explode(F.sequence(F.lit(0), F.lit(MONTHS - 1))).alias("m"))
+    listed = t.part.select(F.col("p_partkey").alias("sku"), F.col("p_retailprice").cast("decimal(12,2)").alias("base"))
+    # dealt before each row becomes MONTHS rows, however few files or row groups the parts come in
+    listed = listed.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "sku")
+    every = listed.select("sku", "base", F.explode(F.sequence(F.lit(0), F.lit(MONTHS - 1))).alias("m"))
     return every.select("sku", start.cast("timestamp_ntz").alias("price_start_time"), end.cast("timestamp_ntz").alias("price_end_time"),
                         F.round(F.col("base") * factor, 2).cast("decimal(12,2)").alias("price"))
 

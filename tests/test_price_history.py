@@ -84,3 +84,21 @@ def test_thousands_of_versions_stay_linear(spark):
     assert joined_rows(df._jdf.queryExecution().executedPlan()) <= 2 * 25_000
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in text and "price_end_time" not in "".join(line for line in text.splitlines() if "Join" in line)
+
+
+def test_a_version_is_shuffled_once(spark):
+    """A long price list is neither aggregated nor joined by shuffles before the one sorted pass, unless a SKU is hot."""
+    prices = spark.range(40_000).select((F.col("id") % 400).alias("sku"), F.timestamp_add("DAY", F.floor(F.col("id") / 400).cast("int"), F.lit("2020-01-01").cast("timestamp_ntz")).alias("price_start_time"),
+                                        F.lit(None).cast("timestamp_ntz").alias("price_end_time"), (F.col("id") % 97).cast("decimal(12,2)").alias("price"))
+    usage = spark.range(4000).select((F.col("id") % 400).alias("sku"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 90).cast("int")).alias("usage_date"), F.lit(1).alias("quantity"))
+    df = pricing.price_usage_asof(usage, prices)
+    want = {(s, d): (d * 400 + s) % 97 for s in range(400) for d in range(90)}
+    assert all(r.price == want[r.sku, (r.usage_date - dt.date(2020, 1, 1)).days] for r in df.collect())
+    text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+
+
+def test_the_long_list_is_made_in_many_tasks(spark):
+    from meterlake.plans import roles as R
+    from meterlake.sources.tables import Tables
+    assert R.monthly_prices(Tables(spark, "/root/testdata/sf0.001")).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
