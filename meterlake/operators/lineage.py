@@ -66,16 +66,23 @@ def daily_consumer_sketches(reads: DataFrame, table: str = "table_id", date: str
     return rows.groupBy(table, F.col(date).cast("date").alias("day")).agg(F.hll_sketch_agg(consumer, F.lit(lg_k)).alias("sketch"))
 
 
-def consumers_rolling(sketches: DataFrame, days: int, table: str = "table_id") -> DataFrame:
+def consumers_rolling(sketches: DataFrame, days: int, table: str = "table_id", chunk_days: int | None = None) -> DataFrame:
     """``table, day, consumers``: distinct consumers of the ``days`` days that end at each day with a read, from daily sketches.
 
-    Every sketch is handed to the days that it counts for and united there, map-side first: an ordinary aggregate,
-    so a table with a long history needs no window of its own.
+    A sketch is handed to its own chunk of ``chunk_days`` days (eight times ``days`` by default) and, where it still counts there, to the
+    next one, and a window per table and chunk unites the sketches of each day's span: sketches are shuffled once and
+    a bit, not once a day of the span, and a task holds a chunk and the span before it, however long the history is.
     """
-    end = F.explode(F.sequence("day", F.date_add("day", days - 1))).alias("end")
-    seen = sketches.select(table, "day", "sketch", end)
-    united = seen.groupBy(table, "end").agg(F.hll_union_agg("sketch").alias("sketch"), F.max(F.col("end") == F.col("day")).alias("own"))
-    return united.filter("own").select(table, F.col("end").alias("day"), F.hll_sketch_estimate("sketch").alias("consumers"))
+    width = chunk_days or 8 * days
+    chunk = lambda day: F.floor(day / width).cast("long")
+    own = sketches.filter(F.col("day").isNotNull()).withColumn("__d", F.unix_date("day")).withColumn("__own", chunk(F.col("__d")))
+    handed = own.withColumn("__chunk", F.explode(F.sequence("__own", chunk(F.col("__d") + (days - 1)))))
+    time = Window.partitionBy(table, "__chunk").orderBy("__d")
+    united = handed.select(table, "day", "__d", "__own", "__chunk", F.hll_union_agg("sketch").over(time.rangeBetween(-(days - 1), 0)).alias("sketch"),
+                           F.lag("__d").over(time).alias("__last"))
+    # a day that comes in several sketches is one row
+    united = united.filter("__own = __chunk AND (__last IS NULL OR __last < __d)")
+    return united.select(table, "day", F.hll_sketch_estimate("sketch").alias("consumers"))
 
 
 def lineage_path(writes: DataFrame, reads: DataFrame, job: str = "job_id", table: str = "table_id",

@@ -62,3 +62,15 @@ def test_rolling_consumers_error_and_size_for_many(spark):
     got = {r.day.day: r.consumers for r in lineage.consumers_rolling(sketches, 2).collect()}
     for d, exact in ((1, 200_000), (2, 300_000), (3, 300_000)):
         assert abs(got[d] / exact - 1) < 4 * 0.83 / 64
+
+
+def test_rolling_consumers_shuffle_a_sketch_about_once(spark):
+    """Three hundred days of five tables over 30 days: few sketches are handed on, a day in two sketches is one row, and chunk bounds change nothing."""
+    from tests.test_price_history import joined_rows
+    rows = [(t, "JOB", c, dt.date(1969, 6, 1) + dt.timedelta(days=d)) for t in range(5) for d in range(0, 300, 1 + t) for c in (d % 40, d % 7, t)]
+    sketches = lineage.daily_consumer_sketches(reads(spark, rows)).localCheckpoint()
+    df = lineage.consumers_rolling(sketches.unionByName(sketches.filter("table_id = 2")), 30)
+    got = [(r.table_id, r.day, r.consumers) for r in df.collect()]
+    want = [(t, d, len({c for u, _, c, e in rows if u == t and 0 <= (d - e).days < 30})) for t, d in {(r[0], r[3]) for r in rows}]
+    assert sorted(got) == sorted(want)
+    assert joined_rows(df._jdf.queryExecution().executedPlan()) <= 1.5 * (len(want) + 100)
