@@ -49,6 +49,8 @@ SUCCESS, COMPACTED, FAILED, NOT_COMPACTED = "SUCCESS", "COMPACTED", "FAILED", "C
 MAX_FOLDERS = 24
 #: Share of the wanted file size below which a folder's files count as small.
 SMALL = 0.5
+#: Rows that one task sorts for a file of a compaction: Parquet can be so small that a file's rows do not fit a task.
+SORT_ROWS = 2_000_000
 
 # Sync-column candidates, matched case-insensitively, first match wins.
 SYNC_CANDIDATES = [
@@ -491,21 +493,25 @@ def sync_summary(log: DataFrame, by: str | None = None) -> DataFrame:
 
 
 # ---- compaction (SNK-9) ---------------------------------------------------------------------
-def _ideal_files(size: int, file_mb: float) -> int:
-    return max(1, math.ceil(size / (file_mb * 1024 * 1024)))
+def _ideal_files(size: int, file_mb: float, rows: int = 0) -> int:
+    """Files of ``file_mb`` for ``size`` bytes, more of them where they would hold over SORT_ROWS of the ``rows`` to sort."""
+    return max(1, math.ceil(size / (file_mb * 1024 * 1024)), math.ceil(rows / SORT_ROWS))
 
 
 def _resized(df: DataFrame, n: int, sort_col: str | None) -> DataFrame:
-    """``df`` in ``n`` partitions, ranged and sorted by ``sort_col`` where there is one."""
-    return df.repartitionByRange(n, sort_col).sortWithinPartitions(sort_col) if sort_col else df.repartition(n)
+    """``df`` in ``n`` partitions, ranged and sorted by ``sort_col`` where there is one; rows alike in it (or without it) are dealt over several."""
+    if not sort_col:
+        return df.repartition(n)
+    return df.withColumn("__tie", F.monotonically_increasing_id()).repartitionByRange(n, sort_col, "__tie").drop("__tie").sortWithinPartitions(sort_col)
 
 
 def compact(spark: SparkSession, path_in: str, path_out: str, target_file_mb: float = 128.0,
             sort_col: str | None = None) -> int:
     """Rewrite the files of one folder into ``path_out``, a new folder, with files of about
-    ``target_file_mb``; returns their number. Sizes come from the file listing."""
-    n = _ideal_files(_size(spark, [path_in])[0], target_file_mb)
-    _resized(spark.read.option("mergeSchema", "true").parquet(path_in), n, sort_col).write.mode("error").parquet(path_out)
+    ``target_file_mb``; returns their number. Sizes come from the file listing, rows from the footers."""
+    df = spark.read.option("mergeSchema", "true").parquet(path_in)
+    n = _ideal_files(_size(spark, [path_in])[0], target_file_mb, df.count() if sort_col else 0)
+    _resized(df, n, sort_col).write.mode("error").parquet(path_out)
     return n
 
 
@@ -513,19 +519,25 @@ def compact_target(spark: SparkSession, target: str, log_path: str, file_mb: flo
     """Rewrite the small files of a sync target into one folder and switch readers to it with a log row.
 
     Only folders whose files are on average below SMALL of ``file_mb`` are read and rewritten, each without
-    the rows that it hides; folders of large files stay as they are. The old folders stay for readers
+    the rows that it hides, into files of ``file_mb`` and SORT_ROWS rows at most; folders of large files stay as they are. The old folders stay for readers
     that have listed them; ``unused_folders`` names them. Returns the number of files written, or 0 where
     that would not make fewer of them.
     """
     row = _target_row(spark, target, log_path)
     sizes = {x["folder"]: _size(spark, [f"{target}/{x['folder']}"]) for x in row["live"]}
     small = [x for x in row["live"] if sizes[x["folder"]][0] < SMALL * file_mb * 1024 * 1024 * sizes[x["folder"]][1]]
+    ts_col, columns = row["mark_column"], _columns(row)
+    files = sum(sizes[x["folder"]][1] for x in small)
     n = _ideal_files(sum(sizes[x["folder"]][0] for x in small), file_mb)
-    if sum(sizes[x["folder"]][1] for x in small) <= n:
+    if files <= n:
         return 0
+    df = _read_live(spark, target, small, ts_col, columns)
+    if ts_col:
+        n = max(n, _ideal_files(0, file_mb, df.count()))
+        if files <= n:
+            return 0
     folder = f"compact-{uuid.uuid4().hex}"
-    ts_col, columns = row["mark_column"], _columns(row)
-    _resized(_read_live(spark, target, small, ts_col, columns), n, ts_col).write.mode("error").parquet(f"{target}/{folder}")
+    _resized(df, n, ts_col).write.mode("error").parquet(f"{target}/{folder}")
     stay = [tuple(x) for x in row["live"] if x not in small]
     log_sync(spark, log_path, [row.asDict() | dict(sync_status=COMPACTED, batch_id=folder, live=[*stay, (folder, None)])])
     return n

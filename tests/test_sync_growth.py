@@ -194,3 +194,16 @@ def test_an_epoch_is_committed_once(spark, workdir):
     assert ids(sync.read_target(spark, tgt, log)) == [1, 2]
     with pytest.raises(ValueError, match="DATE"):
         sync.append_epoch(spark, ev(spark, [9]).select(F.to_date("ts").alias("event_date")), "s", "d", f"{tgt}-d", log, "q", 0)
+
+
+@pytest.mark.parametrize("value", ["id", "7", "null"])
+def test_compaction_sorts_no_more_rows_in_a_task_than_allowed(spark, workdir, monkeypatch, value):
+    """Files are cut by rows too, also where all rows are alike in the sync column or have none; nothing is compacted again."""
+    tgt, log = f"{workdir}/t-{value}", f"{workdir}/l-{value}"
+    monkeypatch.setattr(sync, "SORT_ROWS", 100)
+    source = spark.range(0, 1000, 1, 40).select("id", F.expr(f"timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, {value})").alias("ts"))
+    sync.sync_table(spark, source, "s", "t", tgt, log, ts_override="ts")
+    got = sync.read_target(spark, tgt, log)
+    files = [r["count"] for r in got.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert sorted(r.id for r in got.collect()) == list(range(1000))
+    assert len(files) == 10 and max(files) <= 200 and sync.compact_target(spark, tgt, log) == 0
