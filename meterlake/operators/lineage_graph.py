@@ -39,6 +39,16 @@ def _reversed(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
 
 
+#: Nodes up to which a round may be sent to every task; what is sent passes through the driver, and a walk has many rounds.
+FEW = 20_000
+
+
+def _met(nodes: DataFrame, n: int) -> DataFrame:
+    """``nodes``, of which there are ``n``, as a side of a join: both sides are shuffled unless these are few. (Left to itself
+    the optimiser sends the whole graph in every round as long as its files are small.)"""
+    return nodes.hint("broadcast" if n <= FEW else "merge")
+
+
 def walk(edges: DataFrame, starts: DataFrame, upstream: bool = False, max_hops: int | None = None,
          by_start: bool = False) -> DataFrame:
     """Nodes that the edges ``(src, dst)`` lead to from ``starts (node)``: ``node, hops``, the starts at 0.
@@ -52,18 +62,19 @@ def walk(edges: DataFrame, starts: DataFrame, upstream: bool = False, max_hops:
     graph = stored((_reversed(edges) if upstream else edges).select("src", "dst").filter("src <> dst").distinct(), "edges")
     start = F.col("node") if by_start else F.lit(None).cast("string")
     frontier = starts.filter("node IS NOT NULL").select("node").distinct().select(start.alias("start"), "node", F.lit(0).cast("bigint").alias("hops"))
-    root, schema, hops = fresh_dir(spark, "walk"), frontier.schema, 0
+    root, schema, hops, total = fresh_dir(spark, "walk"), frontier.schema, 0, 0
     key = ["start", "node"] if by_start else ["node"]
     reached = lambda: spark.read.schema(schema).parquet(f"{root}/round-*")
     while True:
         path = f"{root}/round-{hops:05d}"
         frontier.write.mode("overwrite").parquet(path)
         frontier = spark.read.schema(schema).parquet(path)
-        if frontier.isEmpty() or hops == max_hops:
+        n = frontier.count()
+        if not n or hops == max_hops:
             return reached().select(*key, "hops")
-        hops += 1
-        step = frontier.join(graph, F.col("node") == F.col("src")).select("start", F.col("dst").alias("node")).distinct()
-        frontier = step.join(reached().select(*key), key, "left_anti").select("start", "node", F.lit(hops).cast("bigint").alias("hops"))
+        hops, total = hops + 1, total + n
+        step = _met(frontier, n).join(graph, F.col("node") == F.col("src")).select("start", F.col("dst").alias("node")).distinct()
+        frontier = step.join(_met(reached().select(*key), total), key, "left_anti").select("start", "node", F.lit(hops).cast("bigint").alias("hops"))
 
 
 def related(edges: DataFrame, starts: DataFrame, max_hops: int | None = None) -> DataFrame:

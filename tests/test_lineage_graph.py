@@ -70,3 +70,15 @@ def test_a_hot_node_is_split(cluster_like, monkeypatch):  # noqa: F811
     step = starts.join(wide, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
     assert "skew=true" in executed(step)
     assert G.walk(wide, starts, max_hops=1).filter("hops = 1").count() == 40_000
+
+
+def test_many_nodes_are_not_sent_through_the_driver(spark, monkeypatch):
+    """Rounds of more than FEW nodes are joined by shuffles, and reach the same."""
+    monkeypatch.setattr(G, "FEW", 2)
+    joins, real = [], G._met
+    monkeypatch.setattr(G, "_met", lambda nodes, n: joins.append((n, real(nodes, n)._jdf.queryExecution().analyzed().toString())) or real(nodes, n))
+    edges = spark.createDataFrame([("a", f"b{i}") for i in range(5)] + [(f"b{i}", "c") for i in range(5)], "src string, dst string")
+    got = {(r.node, r.hops) for r in G.walk(edges, spark.createDataFrame([("a",)], "node string")).collect()}
+    assert got == {("a", 0), ("c", 2)} | {(f"b{i}", 1) for i in range(5)}
+    assert [n for n, _ in joins] == [1, 1, 5, 6, 1, 7] and [("strategy=merge" in text) for _, text in joins] == [False, False, True, True, False, True]
+    assert "BroadcastHashJoin" not in edges.join(real(edges.select("src").distinct(), 3), "src", "left_anti")._jdf.queryExecution().executedPlan().toString()
