@@ -14,11 +14,11 @@ similarity 1 - distance / words of the longer text of 0.8 or more. Classes are t
 components of the links.
 
 A bucket (texts with one sketch) never emits all its pairs. First every text is aligned with
-the bucket's lowest one only, then those outside the bucket's largest class with members of it
-that each bucket draws anew; this settles families of copies. Then the texts outside the bucket's largest class are aligned with
-every text of the bucket in another class, except pairs that exact bounds (length, counts of
-the words) rule out; a pair that shares several buckets is taken in the first of them. These pairs meet
-their texts by blocks of a bucket, so a text travels once a block and not once a pair. Every candidate
+the lowest one of its buckets' lowest ones, then those outside a bucket's largest class with members of it that each
+bucket draws; this settles families of copies. Then the texts outside the
+bucket's largest class are held against every text of the bucket in another class, block by block inside a task: pairs
+that exact bounds (length, counts of the words) rule out make no row, the others are aligned; a pair that shares several
+buckets is taken in the first of them. A text travels once a block and not once a pair. Every candidate
 pair is thus aligned, ruled out exactly, or in one class already.
 """
 
@@ -41,10 +41,15 @@ SHORT = 50
 SIMILARITY = 0.8
 BIT_WORDS, PLANES = 64, 2  # longs of a plane of word counts: 4096 counts up to PLANES show most differing words of texts up to 1000 words
 #: Rounds in which texts outside a bucket's largest class meet DRAWN members of it.
-STAR_ROUNDS, DRAWN = 2, 2
-#: Words in a block of the texts outside a bucket's largest class, and of all texts of a bucket.
+STAR_ROUNDS, DRAWN = 1, 2
+#: Words and texts in a block of the texts outside a bucket's largest class, and of all texts of a bucket.
 BLOCK_MINOR, BLOCK_ALL = 100_000, 500_000
+TEXTS_MINOR, TEXTS_ALL = 2_000, 8_000
+#: Rows of buckets that one group compares by their word counts, on average.
+ROWS_DEALT = 3_000
 _WORD = re.compile(r"\w+")
+#: Blanks for the ASCII characters that are in no word.
+_ASCII_WORDS = {i: " " for i in range(128) if not _WORD.match(chr(i))}
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -68,7 +73,9 @@ class WordHashes(dict):
 
 
 def words(text: str | None, hashes: dict) -> np.ndarray:
-    return np.fromiter(map(hashes.__getitem__, _WORD.findall((text or "").lower())), np.uint64)
+    text = (text or "").lower()
+    found = text.translate(_ASCII_WORDS).split() if text.isascii() else _WORD.findall(text)
+    return np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
 
 
 def _labelled(h: np.ndarray) -> np.ndarray:
@@ -216,6 +223,39 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     return False
 
 
+def close(an: np.ndarray, ac: np.ndarray, abits: np.ndarray, bn: np.ndarray, bc: np.ndarray, bbits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (i, j) of the texts of two blocks in different classes that lengths and counts of words allow to be similar.
+
+    ``n``: numbers of words, ``c``: classes, ``bits``: bitmaps, PLANES * BIT_WORDS longs each.
+    """
+    order = np.argsort(bn, kind="stable")
+    bn, bc, bbits = bn[order], bc[order], bbits[order].view(np.uint64)
+    abits, found = abits.view(np.uint64), []
+    longest = np.arange(max(an.max(initial=0), bn.max(initial=0)) + 1)
+    most_of = (longest * (1 - SIMILARITY) + 1e-9).astype(np.int64)
+    shortest_of = longest - most_of  # of the texts that fit a longest one; never falls
+    lows, highs = np.searchsorted(bn, shortest_of[an]), np.searchsorted(shortest_of[bn], an, "right")
+    for i in range(len(an)):
+        j = np.arange(lows[i], highs[i])
+        j = j[bc[j] != ac[i]]
+        most = most_of[np.maximum(an[i], bn[j])]
+        at = 0
+        # words of one text that the other lacks cost an edit each; a part of the bitmap that shows too many ends it
+        lost = np.zeros((2, len(j)), np.int64)
+        for upto in (BIT_WORDS // 4, BIT_WORDS, PLANES * BIT_WORDS):
+            x, y = abits[i, at:upto], bbits[j, at:upto]
+            lost += np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+            fits = (lost <= most).all(axis=0)
+            j, most, lost, at = j[fits], most[fits], lost[:, fits], upto
+            if not len(j):
+                break
+        if len(j):
+            found.append((np.full(len(j), i), order[j]))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
 # ---- Spark ------------------------------------------------------------------------------
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -279,6 +319,57 @@ def _verified_in_blocks(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.groupBy(*block).cogroup(held.groupBy(*[f"in_{c}" for c in block])).applyInArrow(run, "a long, b long")
 
 
+def _close_in_blocks(members: DataFrame, groups: int) -> DataFrame:
+    """Pairs ``(key, ab, bb, a, b)`` of a bucket's texts in different classes, a outside the largest class, that exact bounds allow.
+
+    ``members``: key, node, n, comp, minor, keys, bits and the bucket's numbers of blocks ``few`` and ``all``. A block of the texts outside
+    the largest class meets every block of the bucket's texts; small blocks share a group, at least ``groups`` in all.
+    """
+    kept = ["key", "ab", "bb", "node", "n", "comp", "minor", "keys", "bits"]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        left, right = (t.rename_columns(["dealt", *kept]) for t in (left, right))
+
+        def column(t, name):
+            return t[name].combine_chunks().to_numpy(zero_copy_only=False)
+
+        def sides(t):
+            block = np.stack([column(t, c) for c in ("key", "ab", "bb")])
+            order = np.lexsort(block)
+            block = block[:, order]
+            first = np.flatnonzero(np.concatenate([[True], (block[:, 1:] != block[:, :-1]).any(axis=0)])) if len(order) else order
+            ends = np.append(first[1:], len(order))
+            bits = t["bits"].combine_chunks().flatten().to_numpy().reshape(-1, PLANES * BIT_WORDS)
+            at = {tuple(block[:, lo].tolist()): order[lo:hi] for lo, hi in zip(first.tolist(), ends.tolist())}
+            return at, column(t, "node"), column(t, "n"), column(t, "comp"), column(t, "minor"), bits, t["keys"].combine_chunks()
+
+        at, a, an, ac, _, abits, akeys = sides(left)
+        bt, b, bn, bc, minor, bbits, bkeys = sides(right)
+        out = {c: [] for c in ("key", "ab", "bb", "a", "b")}
+        for block, rows in at.items():
+            if block not in bt:
+                continue
+            others = bt[block]
+            i, j = close(an[rows], ac[rows], abits[rows], bn[others], bc[others], bbits[others])
+            i, j = rows[i], others[j]
+            once = ~minor[j] | (a[i] < b[j])
+            for x, y in zip(i[once].tolist(), j[once].tolist()):
+                # a pair that meets in several buckets is taken in the first of them
+                if min(set(akeys[x].as_py()).intersection(bkeys[y].as_py())) == block[0]:
+                    for c, v in zip(out, (*block, int(a[x]), int(b[y]))):
+                        out[c].append(v)
+        return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
+
+    spread = lambda other: F.explode(F.sequence(F.lit(0), F.col(other).cast("long") - 1))
+    one = members.filter("minor").withColumn("ab", F.pmod(F.xxhash64("node"), "few")).withColumn("bb", spread("all"))
+    two = members.filter("few > 0").withColumn("bb", F.pmod(F.xxhash64("node"), "all")).withColumn("ab", spread("few"))
+    dealt = F.pmod(F.xxhash64("key", "ab", "bb"), F.lit(max(1, groups))).alias("dealt")
+    # named anew, since a cogroup takes no two sides with the same columns
+    one, two = (df.select(dealt, *[(F.col(c).cast("long") if c in ("ab", "bb") else F.col(c)).alias(f"{x}_{c}") for c in kept]) for x, df in (("a", one), ("b", two)))
+    two = two.withColumnRenamed("dealt", "b_dealt")
+    return one.groupBy("dealt").cogroup(two.groupBy("b_dealt")).applyInArrow(run, "key long, ab long, bb long, a long, b long")
+
+
 def _words_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``(node, seq)``: the word hashes of the texts that stand for ``nodes (node, k1, k2)``."""
     def run(batches):
@@ -298,11 +389,10 @@ def _most(longest: Column) -> Column:
     return F.floor(longest * (1 - SIMILARITY) + 1e-9)
 
 
-def _fitting(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The ``pairs (a, b)``, a below b, whose lengths allow the similarity."""
-    n = nodes.select("node", "n")
-    both = pairs.join(n.select(F.col("node").alias("a"), F.col("n").alias("an")), "a").join(n.select(F.col("node").alias("b"), F.col("n").alias("bn")), "b")
-    return both.filter(F.least("an", "bn") >= F.greatest("an", "bn") - _most(F.greatest("an", "bn"))).select("a", "b")
+def _fitting(an: Column, bn: Column) -> Column:
+    """Whether the lengths of two texts allow the similarity."""
+    longest = F.greatest(an, bn)
+    return F.least(an, bn) >= longest - _most(longest)
 
 
 def _placed(df: DataFrame, comps: DataFrame, col: str, out: str) -> DataFrame:
@@ -325,8 +415,8 @@ def _merged(comps: DataFrame | None, links: DataFrame) -> DataFrame:
 def _by_class(buckets: DataFrame, comps: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     """Bucket members with their component, and for every bucket of several components its
     largest one (``main``) with DRAWN of its members, picked by a hash of bucket and turn."""
-    placed = written(_placed(buckets.select("key", "node"), comps, "node", "comp"), "placed")
-    drawn = [F.min_by("node", F.xxhash64("node", "key", F.lit(turn * DRAWN + i))).alias(f"d{i}") for i in range(DRAWN)]
+    placed = written(_placed(buckets.select("key", "node", "n"), comps, "node", "comp"), "placed")
+    drawn = [F.min_by(F.struct(F.col("node").alias("m"), F.col("n").alias("mn")), F.xxhash64("node", "key", F.lit(turn * DRAWN + i))).alias(f"d{i}") for i in range(DRAWN)]
     parts = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"), *drawn)
     best = F.max_by(F.struct("comp", *[f"d{i}" for i in range(DRAWN)]), F.struct("size", "comp")).alias("b")
     largest = parts.groupBy("key").agg(best, F.count(F.lit(1)).alias("comps")).filter("comps > 1")
@@ -348,50 +438,33 @@ def classes(docs: DataFrame) -> DataFrame:
 
     drawn = nodes.select("node", "n", F.explode(F.array_distinct("keys")).alias("key"))
     # written, so that the join below stands alone and a bucket of very many texts can be split
-    heads = written(drawn.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "head"), "heads")
+    heads = drawn.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    heads = written(heads.select("key", F.col("head.node").alias("head"), F.col("head.n").alias("headn")), "heads")
     buckets = written(drawn.join(heads, "key"), "buckets")
     texts = written(_words_of(docs, nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "k1", "k2")), "words")
-    stars = written(_fitting(buckets.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), nodes), "pairs")
+    # every text meets the lowest of its heads first: one pair a text, which settles most families
+    stars = buckets.filter((F.col("node") != F.col("head")) & _fitting(F.col("headn"), F.col("n"))).groupBy(F.col("node").alias("b")).agg(F.min("head").alias("a"))
+    stars = written(stars.select("a", "b"), "pairs")
     tried, comps = stars, _merged(None, written(_verified(stars, texts), "links"))
     for turn in range(STAR_ROUNDS):
         placed, largest = _by_class(buckets, comps, turn)
+        # only buckets of several classes have pairs left
+        buckets = placed.join(largest, "key")
         # texts outside a bucket's largest class meet members of it that each bucket draws by itself
-        apart = placed.join(largest, "key").filter("comp <> main").select(F.explode("drawn").alias("m"), "node")
-        stars = _fitting(apart.select(F.least("m", "node").alias("a"), F.greatest("m", "node").alias("b")).distinct(), nodes)
-        stars = written(stars.join(tried, ["a", "b"], "left_anti"), "pairs")
+        apart = buckets.filter("comp <> main").select(F.explode("drawn").alias("m"), "node", "n").filter(_fitting(F.col("m.mn"), F.col("n")))
+        apart = apart.select(F.least("m.m", "node").alias("a"), F.greatest("m.m", "node").alias("b")).distinct()
+        stars = written(apart.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried, comps = tried.unionByName(stars), _merged(comps, written(_verified(stars, texts), "links"))
 
     placed, largest = _by_class(buckets, comps, STAR_ROUNDS)
-    mixed = placed.join(largest.select("key", "main"), "key").join(nodes.select("node", "n"), "node")
+    mixed = placed.join(largest.select("key", "main"), "key")
     mixed = written(mixed.select("key", "node", "n", "comp", (F.col("comp") != F.col("main")).alias("minor")), "mixed")
     held = mixed.groupBy("node").agg(F.collect_list("key").alias("keys")).join(nodes.select("node", "bits"), "node")
-    blocks = mixed.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK_ALL).alias("all"), F.ceil(F.sum(F.when(F.col("minor"), F.col("n"))) / BLOCK_MINOR).alias("few"))
+    size = lambda cond, words, many: F.ceil(F.greatest(F.sum(F.when(cond, F.col("n"))) / words, F.count_if(cond) / many))
+    blocks = mixed.groupBy("key").agg(size(F.lit(True), BLOCK_ALL, TEXTS_ALL).alias("all"), size(F.col("minor"), BLOCK_MINOR, TEXTS_MINOR).alias("few"))
     members = mixed.join(held, "node").join(blocks, "key")
-
-    def side(x: str, block: Column) -> list[Column]:
-        named = [F.col("node").alias(x), F.col("n").alias(f"{x}n"), F.col("comp").alias(f"{x}c"), F.col("keys").alias(f"{x}k"),
-                 F.pmod(F.xxhash64("node"), block).alias(f"{x}b"), F.slice("bits", BIT_WORDS + 1, (PLANES - 1) * BIT_WORDS).alias(f"{x}more")]
-        return named + [F.coalesce(F.element_at("bits", i + 1), F.lit(0).cast("long")).alias(f"{x}{i}") for i in range(BIT_WORDS)]
-
-    one = members.filter("minor").select("key", *side("a", F.col("few")))
-    two = members.select(F.col("key").alias("bkey"), "minor", *side("b", F.col("all")))
-    most = _most(F.greatest("an", "bn"))
-
-    def lost(x: str, y: str) -> Column:
-        """Words of one text that the other lacks, as far as the first plane shows: each costs an edit."""
-        return sum((F.bit_count(F.col(f"{x}{i}").bitwiseAND(F.bitwise_not(F.col(f"{y}{i}")))) for i in range(BIT_WORDS)), F.lit(0))
-
-    def lost_more(x: str, y: str) -> Column:
-        """The same for the other planes."""
-        lacks = F.zip_with(f"{x}more", f"{y}more", lambda u, v: F.bit_count(u.bitwiseAND(F.bitwise_not(v))))
-        return F.aggregate(lacks, F.lit(0), lambda u, v: u + v)
-
-    rest = one.hint("merge").join(two, (F.col("key") == F.col("bkey")) & (F.col("ac") != F.col("bc")) & (~F.col("minor") | (F.col("a") < F.col("b")))
-                                  & (F.least("an", "bn") >= F.greatest("an", "bn") - most) & (lost("a", "b") <= most) & (lost("b", "a") <= most)
-                                  & (lost("a", "b") + lost_more("a", "b") <= most) & (lost("b", "a") + lost_more("b", "a") <= most)
-                                  # a pair that meets in several buckets is taken in the first of them
-                                  & (F.array_min(F.array_intersect("ak", "bk")) == F.col("key")))
-    rest = rest.select("key", F.col("ab"), F.col("bb"), "a", "b", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+    rest = _close_in_blocks(members, -(-mixed.count() // ROWS_DEALT))
+    rest = rest.select("key", "ab", "bb", "a", "b", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
     rest = written(rest.join(tried.select(F.col("a").alias("lo"), F.col("b").alias("hi")), ["lo", "hi"], "left_anti").select("key", "ab", "bb", "a", "b"), "rest")
     comps = _merged(comps, written(_verified_in_blocks(rest, texts), "links"))
     classed = _placed(nodes.select("node", "h1", "h2", "low"), comps, "node", "comp")

@@ -214,3 +214,44 @@ def test_repeated_words_are_cut(odd_docs, odd_rows, no_docs):
             assert got[i] == texts[i]
     assert got[14] == "" and "." in got[10]
     assert repeats.remove_repeats(no_docs).count() == 0
+
+
+def test_words_of_ascii_and_other_texts_are_those_of_the_pattern():
+    hashes = minhash.WordHashes()
+    for text in ("".join(map(chr, range(128))), "It's snake_case, x2 --\tA\x1cB\n", "Grüße, İstanbul x", "", None):
+        assert minhash.words(text, hashes).tolist() == [hashes[w] for w in minhash._WORD.findall((text or "").lower())]
+
+
+def test_blocks_keep_exactly_the_pairs_that_the_bounds_allow():
+    rng = random.Random(8)
+    base = [[rng.getrandbits(62) for _ in range(rng.randint(1, 60))] for _ in range(6)]
+    seqs = []
+    for _ in range(60):
+        seq = list(rng.choice(base))
+        for _ in range(rng.randint(0, 8)):
+            seq[rng.randrange(len(seq))] = rng.getrandbits(62)
+        seqs.append(np.array(seq + seq[:1] * rng.randint(0, 5), np.uint64))
+    n, classes, bits = np.array([len(s) for s in seqs], np.int32), np.arange(60) % 7, np.stack([minhash.bitmap(s) for s in seqs])
+    got = set(zip(*map(np.ndarray.tolist, minhash.close(n[:25], classes[:25], bits[:25], n, classes, bits))))
+    on = np.unpackbits(bits.view(np.uint8), axis=1).astype(int)
+    for i in range(25):
+        for j in range(60):
+            most = int(0.2 * max(n[i], n[j]) + 1e-9)
+            lost = max((on[i] & ~on[j] & 1).sum(), (on[j] & ~on[i] & 1).sum())
+            assert ((i, j) in got) == (classes[i] != classes[j] and min(n[i], n[j]) >= max(n[i], n[j]) - most and lost <= most), (i, j)
+
+
+def test_a_family_of_copies_aligns_about_one_pair_a_text(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(4000)}" for _ in range(120)]
+    rows = []
+    for i in range(60):
+        text = list(base)
+        for _ in range(5):
+            text[rng.randrange(120)] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(text)))
+    tried, real = [], minhash._verified
+    monkeypatch.setattr(minhash, "_verified", lambda pairs, texts: (tried.append(pairs.count()), real(pairs, texts))[1])
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["class_id"] for r in got} == {0}
+    assert sum(tried) <= 60 * 1.5
