@@ -56,15 +56,19 @@ def refresh(facts: DataFrame, day: str, keys: list[str], sums: dict[str, Column]
     return gen
 
 
+def within(df: DataFrame, as_of: dt.date, days: int) -> DataFrame:
+    """The rows of the ``days`` days that end at ``as_of``, as ``last_days`` counts them."""
+    return df.filter(F.col("day").between(date_lit(as_of - dt.timedelta(days=days)), date_lit(as_of)))
+
+
 def read(spark: SparkSession, path: str, as_of: dt.date, days: int) -> DataFrame:
     """The rollup's rows of the ``days`` days that end at ``as_of``, as ``last_days`` counts them, each day from its newest generation."""
     gens = _generations(spark, path, "days")
     if not gens:
         raise ValueError(f"nothing was rolled up in {path}")
-    within = lambda df: df.filter(F.col("day").between(date_lit(as_of - dt.timedelta(days=days)), date_lit(as_of)))
     at = lambda part: [f"{path}/{part}/gen={g:010d}" for g in gens]
-    newest = within(spark.read.option("basePath", f"{path}/days").parquet(*at("days"))).groupBy("day").agg(F.max("gen").alias("gen"))
-    rows = within(spark.read.option("basePath", f"{path}/data").option("mergeSchema", "true").parquet(*at("data")))
+    newest = within(spark.read.option("basePath", f"{path}/days").parquet(*at("days")), as_of, days).groupBy("day").agg(F.max("gen").alias("gen"))
+    rows = within(spark.read.option("basePath", f"{path}/data").option("mergeSchema", "true").parquet(*at("data")), as_of, days)
     return rows.join(newest, ["day", "gen"]).drop("gen")
 
 

@@ -348,9 +348,15 @@ class Rollups:
         with ThreadPoolExecutor(3) as pool:
             list(pool.map(lambda p: rollup.refresh(*p[:4], f"{self.root}/{p[4]}", days), parts))
 
-    def facts(self, t: Tables, days: int) -> Facts:
+    def window(self, t: Tables, days: int) -> list[DataFrame]:
+        """The rollups' rows of the last ``days`` days, each of the three read once and written, all at the same time."""
+        with ThreadPoolExecutor(3) as pool:
+            return list(pool.map(lambda part: write_once(rollup.read(t.spark, f"{self.root}/{part}", R.LINE_AS_OF, days), part), ("cost", "reads", "writes")))
+
+    def facts(self, t: Tables, days: int, window: list[DataFrame]) -> Facts:
+        """Facts over the last ``days`` days of ``window``, which holds as many days at least."""
         f = Facts(t, days)
-        f.priced, f.reads, f.writes = (rollup.read(t.spark, f"{self.root}/{part}", R.LINE_AS_OF, days) for part in ("cost", "reads", "writes"))
+        f.priced, f.reads, f.writes = (rollup.within(rows, R.LINE_AS_OF, days) for rows in window)
         f.pipeline_outputs = R.pipeline_outputs(R.with_family(t, f.writes.select(F.col("job_id").alias("resource_id"), F.col("table_id").alias("sku"))))
         return f
 
@@ -535,7 +541,9 @@ def explorer_from_rollup(spark, d):
         now._frames["lineitem"] = sync.read_target(spark, target, log)
         rollups.refresh(now, rollup.days_of(batch, "l_shipdate"))
     rollups.refresh(now, [dt.date(2001, 10, 20)])
-    parts = [explorer_for(now, days, f=rollups.facts(now, days)).withColumn("days", F.lit(days)) for days in (7, R.WINDOW_DAYS, 90)]
+    spans = (7, R.WINDOW_DAYS, 90)
+    window = rollups.window(now, max(spans))  # the reports read it many times, the rollups' folders are read once
+    parts = [explorer_for(now, days, f=rollups.facts(now, days, window)).withColumn("days", F.lit(days)) for days in spans]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

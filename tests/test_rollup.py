@@ -64,3 +64,21 @@ def test_days_reach_the_scan(spark, workdir, SUMS):
     rollup.refresh(spark.read.parquet(f"{workdir}/facts"), "day0", ["k"], SUMS, f"{workdir}/r")
     plan = rollup.read(spark, f"{workdir}/r", DAY(9), 7)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("GreaterThanOrEqual(day,2024-01-02)") >= 2 and plan.count("LessThanOrEqual(day,2024-01-09)") >= 2
+
+
+def test_explorer_windows_come_from_one_read_of_the_rollups(spark, monkeypatch):
+    from meterlake.plans import catalog
+
+    read, real = [], rollup.read
+    monkeypatch.setattr(rollup, "read", lambda spark, path, as_of, days: (read.append((path.rsplit("/", 1)[1], days)), real(spark, path, as_of, days))[1])
+    catalog.explorer_from_rollup(spark, "/root/testdata/sf0.001")
+    assert sorted(read) == [("cost", 90), ("reads", 90), ("writes", 90)]
+
+
+def test_a_window_holds_the_shorter_ones(spark, workdir):
+    facts = spark.createDataFrame([(DAY(d), "a", d) for d in range(1, 20)], "day date, k string, v int")
+    rollup.refresh(facts, "day", ["k"], {"v": F.sum("v")}, f"{workdir}/w")
+    longest = rollup.read(spark, f"{workdir}/w", DAY(15), 12)
+    for days in (0, 3, 12):
+        direct = rollup.read(spark, f"{workdir}/w", DAY(15), days)
+        assert sorted(rollup.within(longest, DAY(15), days).collect()) == sorted(direct.collect())
