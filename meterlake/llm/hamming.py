@@ -3,7 +3,9 @@
 A code of b bits is cut into m segments, each with its own index. Two codes at distance d
 agree within ``floor(d / m)`` bits in some segment, so after all segments have been probed up
 to radius s, every code at distance ``m * (s + 1) - 1`` or less has been seen. The radius
-grows until the kth verified distance lies inside that bound for each query.
+grows until the kth verified distance lies inside that bound for each query. A query whose
+kth distance so far is ``m * s + i`` probes its first i + 1 segments only at radius s: a code that
+is nearer and has not been met lies farther than s - 1 in every segment, and within s in one of those.
 """
 
 from __future__ import annotations
@@ -56,10 +58,23 @@ def _masks(width: int, radius: int) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def segment_bits(n: int) -> float:
-    """Bits of a segment for ``n`` codes: about one code per segment value, since wider segments need more
-    probes and narrower ones find more strangers."""
-    return math.log2(max(n, 16))
+def segment_count(n: int, dims: int, k: int = 10) -> int:
+    """Segments for ``n`` codes: the number with the fewest probes and codes met for a query, as reckoned for codes
+    that lie evenly. Wider segments need more probes, narrower ones meet more strangers."""
+    words, n = -(-dims // 64), max(n, 16)
+    chance, within, kth = 0.5 ** dims, 0.0, -1
+    while within * n < k and kth < dims:  # distance up to which k codes of n lie
+        kth += 1
+        within += math.comb(dims, kth) * chance
+
+    def cost(m: int) -> float:
+        radius, rest = divmod(kth, m)
+        width = dims / m
+        ball = lambda r: sum(math.comb(round(width), i) for i in range(r + 1))
+        probes = (rest + 1) * ball(radius) + (m - rest - 1) * ball(radius - 1)
+        return probes * (1 + n / 2 ** width)
+
+    return min(range(words, max(words, round(dims / 4)) + 1), key=cost)
 
 
 def top_k(codes: DataFrame, queries: DataFrame, dims: int, k: int = 10, n_rows: int | None = None) -> DataFrame:
@@ -81,7 +96,7 @@ def top_k(codes: DataFrame, queries: DataFrame, dims: int, k: int = 10, n_rows:
         .withColumn("r", F.row_number().over(fewest)).filter(F.col("r") <= k)
     index = written(kept.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "codes")
     n = n_rows or max(2, index.count())
-    segments = _segments(dims, max(words, round(dims / segment_bits(n))))
+    segments = _segments(dims, segment_count(n, dims, k))
     m = len(segments)
     seek = written(queries.filter("code is not null").select("code").distinct()
                    .select(F.monotonically_increasing_id().alias("q"), F.col("code").alias("qcode")), "seek")
@@ -93,8 +108,10 @@ def top_k(codes: DataFrame, queries: DataFrame, dims: int, k: int = 10, n_rows:
         masks = F.lit(None).cast("array<bigint>")
         for w in sorted({w for _, _, w in segments if w >= radius}):
             masks = F.when(F.col("seg").isin([i for i, x in enumerate(segments) if x[2] == w]), _masks(w, radius)).otherwise(masks)
+        # a code within m * radius + i that no smaller radius has met lies within the radius in one of the first i + 1 segments
         # dealt by number, so that few queries with many probes are still many tasks
         probe = open_q.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "q").select("q", "qcode", "bound", F.posexplode(_values(F.col("qcode"), segments)).alias("seg", "qvalue")) \
+            .filter(F.col("bound").isNull() | (F.col("seg") <= F.col("bound") - m * radius)) \
             .select("q", "qcode", "bound", "seg", "qvalue", F.explode(masks).alias("mask")) \
             .select("q", "qcode", "bound", F.col("seg").alias("pseg"), F.col("qvalue").bitwiseXOR(F.col("mask")).alias("pvalue"))
         # a code met in several segments is taken in the first of its closest segments only, and

@@ -87,3 +87,24 @@ def test_widths_and_odd_values(spark):
     assert got[0, 1] == 6 and got[0, 2] == 0 and got[0, 4] == 70 and not any(3 in pair for pair in got)
     with pytest.raises(ValueError):
         hamming.search_embeddings(table, dims=64)
+
+
+def test_segments_follow_the_work_and_not_the_width_alone():
+    counts = [hamming.segment_count(n, 64) for n in (2, 100, 2_000, 10_256, 51_282, 10**6, 10**7, 10**9)]
+    assert counts == sorted(counts, reverse=True) and counts[-1] >= 1
+    # four segments of 16 bits took 1,820 probes each at radius 4; five reach as far at radius 3
+    assert hamming.segment_count(51_282, 64) == 5
+
+
+def test_bounded_probes_lose_no_neighbour(spark):
+    rng = random.Random(2)
+    centres = [rng.getrandbits(64) for _ in range(20)]
+    codes = [rng.getrandbits(64) if i % 3 else rng.choice(centres) ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 9))) for i in range(1500)]
+    signed = [(i, [c - (1 << 64) if c >> 63 else c]) for i, c in enumerate(codes)]
+    table = spark.createDataFrame(signed, "id long, code array<long>")
+    got = {}
+    for r in hamming.top_k(table, table.filter("id % 20 = 0"), 64).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["hamming"], r["id"]))
+    for q in range(0, 1500, 20):
+        near = sorted(((codes[q] ^ c).bit_count(), i) for i, c in enumerate(codes))[:10]
+        assert sorted(got[q]) == [(n, d, i) for n, (d, i) in enumerate(near, 1)]
