@@ -18,13 +18,14 @@ the lowest one of its buckets' lowest ones, then those outside a bucket's larges
 bucket draws; this settles families of copies. Then the texts outside the
 bucket's largest class are held against every text of the bucket in another class, block by block inside a task: pairs
 that exact bounds (length, counts of the words) rule out make no row, the others are aligned; a pair that shares several
-buckets is taken in the first of them. A text travels once a block and not once a pair. Every candidate
-pair is thus aligned, ruled out exactly, or in one class already.
+buckets is taken in the first of them. A text travels once a block and not once a pair, and once only in a bucket of one
+block, its counts of words packed. Every candidate pair is thus aligned, ruled out exactly, or in one class already.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from itertools import islice
 
 import numpy as np
@@ -42,9 +43,10 @@ SIMILARITY = 0.8
 BIT_WORDS, PLANES = 64, 2  # longs of a plane of word counts: 4096 counts up to PLANES show most differing words of texts up to 1000 words
 #: Rounds in which texts outside a bucket's largest class meet DRAWN members of it.
 STAR_ROUNDS, DRAWN = 1, 2
-#: Words and texts in a block of the texts outside a bucket's largest class, and of all texts of a bucket.
-BLOCK_MINOR, BLOCK_ALL = 100_000, 500_000
+#: Texts in a block of the texts outside a bucket's largest class, and of all texts of a bucket; their counts of words travel, not the words.
 TEXTS_MINOR, TEXTS_ALL = 2_000, 8_000
+#: Words of the pairs that one group aligns, each text counted once a pair.
+PAIR_WORDS = 500_000
 #: Rows of buckets that one group compares by their word counts, on average.
 ROWS_DEALT = 3_000
 _WORD = re.compile(r"\w+")
@@ -259,14 +261,13 @@ def close(an: np.ndarray, ac: np.ndarray, abits: np.ndarray, bn: np.ndarray, bc:
 # ---- Spark ------------------------------------------------------------------------------
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Per row: row key, hash of its words (h1, h2), number of words, sketches, word bitmap. Rows
-    without words have null sketches."""
+    """Per row: row key, hash of its words (h1, h2), number of words, sketches. Rows without words have null sketches."""
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                h1, h2, n, keys, bits = [], [], [], [], []
+                h1, h2, n, keys = [], [], [], []
                 for text in part.column(3).to_pylist():
                     seq = words(text, hashes)
                     d = xxhash.xxh3_128_intdigest(seq.tobytes())
@@ -274,16 +275,14 @@ def sketches(docs: DataFrame) -> DataFrame:
                     h2.append(d & (1 << 64) - 1)
                     n.append(len(seq))
                     keys.append(np.concatenate([sketch(kmers(seq)), prefix(seq)]).view(np.int64) if len(seq) else None)
-                    bits.append(bitmap(seq))
                 signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays([
                     *part.columns[:3], signed(h1), signed(h2), pa.array(np.array(n, np.int32)),
-                    pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
-                    ["doc_id", "k1", "k2", "h1", "h2", "n", "keys", "bits"])
+                    pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "k1", "k2", "h1", "h2", "n", "keys"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", *row_key(), "text").mapInArrow(
-        run, f"doc_id {kind}, k1 long, k2 long, h1 long, h2 long, n int, keys array<long>, bits array<long>")
+        run, f"doc_id {kind}, k1 long, k2 long, h1 long, h2 long, n int, keys array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -301,7 +300,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _verified_in_blocks(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The ``pairs (key, ab, bb, a, b)`` of nodes whose words align. A block ``(key, ab, bb)`` holds its texts once."""
+    """The ``pairs (key, ab, bb, part, a, b)`` of nodes whose words align. A part of a block holds its texts once."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         seqs = {node: np.frombuffer(seq, np.uint64) for node, seq in zip(right["node"].to_pylist(), right["seq"].to_pylist())}
         counted = {node: np.sort(_labelled(seq)) for node, seq in seqs.items()}
@@ -313,19 +312,21 @@ def _verified_in_blocks(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             keep.append(longest - common <= int((1 - SIMILARITY) * longest + 1e-9) and similar(seqs[a], seqs[b]))
         return left.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    block = ["key", "ab", "bb"]
+    block = ["key", "ab", "bb", "part"]
     needed = pairs.select(*block, F.col("a").alias("node")).union(pairs.select(*block, F.col("b").alias("node"))).distinct()
-    held = needed.join(texts, "node").select(*[F.col(c).alias(f"in_{c}") for c in block], "node", "seq")
+    held = needed.join(texts.select("node", "seq"), "node").select(*[F.col(c).alias(f"in_{c}") for c in block], "node", "seq")
     return pairs.groupBy(*block).cogroup(held.groupBy(*[f"in_{c}" for c in block])).applyInArrow(run, "a long, b long")
 
 
 def _close_in_blocks(members: DataFrame, groups: int) -> DataFrame:
-    """Pairs ``(key, ab, bb, a, b)`` of a bucket's texts in different classes, a outside the largest class, that exact bounds allow.
+    """Pairs ``(key, ab, bb, part, a, b)`` of a bucket's texts in different classes, a outside the largest class, that exact bounds allow.
 
-    ``members``: key, node, n, comp, minor, keys, bits and the bucket's numbers of blocks ``few`` and ``all``. A block of the texts outside
-    the largest class meets every block of the bucket's texts; small blocks share a group, at least ``groups`` in all.
+    ``members``: key, node, n, comp, minor, keys, bits (packed) and the bucket's numbers of blocks ``few`` and ``all``. A block of the texts
+    outside the largest class meets every block of the bucket's texts; a bucket that is one block travels once. Small blocks share a group,
+    at least ``groups`` in all. The pairs of a block are cut into parts of about PAIR_WORDS words, texts ``a`` in one part each.
     """
-    kept = ["key", "ab", "bb", "node", "n", "comp", "minor", "keys", "bits"]
+    kept = ["key", "ab", "bb", "whole", "node", "n", "comp", "minor", "keys", "bits"]
+    made = ["key", "ab", "bb", "part", "a", "b"]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         left, right = (t.rename_columns(["dealt", *kept]) for t in (left, right))
@@ -339,49 +340,66 @@ def _close_in_blocks(members: DataFrame, groups: int) -> DataFrame:
             block = block[:, order]
             first = np.flatnonzero(np.concatenate([[True], (block[:, 1:] != block[:, :-1]).any(axis=0)])) if len(order) else order
             ends = np.append(first[1:], len(order))
-            bits = t["bits"].combine_chunks().flatten().to_numpy().reshape(-1, PLANES * BIT_WORDS)
             at = {tuple(block[:, lo].tolist()): order[lo:hi] for lo, hi in zip(first.tolist(), ends.tolist())}
-            return at, column(t, "node"), column(t, "n"), column(t, "comp"), column(t, "minor"), bits, t["keys"].combine_chunks()
-
-        at, a, an, ac, _, abits, akeys = sides(left)
-        bt, b, bn, bc, minor, bbits, bkeys = sides(right)
-        out = {c: [] for c in ("key", "ab", "bb", "a", "b")}
-        for block, rows in at.items():
-            if block not in bt:
+            return at, [column(t, c) for c in ("node", "n", "comp", "minor")], t["bits"].combine_chunks(), t["keys"].combine_chunks()
+
+        def unpacked(bits, rows):
+            return np.frombuffer(b"".join(zlib.decompress(bits[i].as_buffer()) for i in rows.tolist()), np.int64).reshape(-1, PLANES * BIT_WORDS)
+
+        one, two = sides(left), sides(right)
+        whole, out = column(right, "whole"), {c: [] for c in made}
+        for block, others in two[0].items():
+            _, (b, bn, bc, minor), bbits, bkeys = two
+            bits = unpacked(bbits, others)
+            if whole[others[0]]:
+                few = np.flatnonzero(minor[others])
+                (a, an, ac, _), akeys, rows, few_bits = two[1], bkeys, others[few], bits[few]
+            elif block in one[0]:
+                (a, an, ac, _), akeys, rows = one[1], one[3], one[0][block]
+                few_bits = unpacked(one[2], rows)
+            else:
                 continue
-            others = bt[block]
-            i, j = close(an[rows], ac[rows], abits[rows], bn[others], bc[others], bbits[others])
+            i, j = close(an[rows], ac[rows], few_bits, bn[others], bc[others], bits)
             i, j = rows[i], others[j]
             once = ~minor[j] | (a[i] < b[j])
-            for x, y in zip(i[once].tolist(), j[once].tolist()):
-                # a pair that meets in several buckets is taken in the first of them
-                if min(set(akeys[x].as_py()).intersection(bkeys[y].as_py())) == block[0]:
-                    for c, v in zip(out, (*block, int(a[x]), int(b[y]))):
-                        out[c].append(v)
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
+            i, j = i[once], j[once]
+            # a pair that meets in several buckets is taken in the first of them: no other key that both have is lower
+            lower = [{x: {k for k in keys[x].as_py() if k < block[0]} for x in np.unique(of).tolist()} for of, keys in ((i, akeys), (j, bkeys))]
+            here = np.fromiter((lower[0][x].isdisjoint(lower[1][y]) for x, y in zip(i.tolist(), j.tolist())), bool, len(i))
+            i, j = i[here], j[here]
+            order = np.argsort(i, kind="stable")
+            i, j = i[order], j[order]
+            before = np.cumsum(an[i].astype(np.int64) + bn[j]) - an[i] - bn[j]
+            part = before[np.searchsorted(i, i)] // PAIR_WORDS
+            for c, v in zip(made, (*[np.full(len(i), x, np.int64) for x in block], part, a[i], b[j])):
+                out[c].append(v)
+        return pa.table({c: pa.array(np.concatenate([np.empty(0, np.int64), *v]), pa.int64()) for c, v in out.items()})
 
     spread = lambda other: F.explode(F.sequence(F.lit(0), F.col(other).cast("long") - 1))
-    one = members.filter("minor").withColumn("ab", F.pmod(F.xxhash64("node"), "few")).withColumn("bb", spread("all"))
+    members = members.withColumn("whole", F.expr("few = 1 and all = 1"))
+    one = members.filter("minor and not whole").withColumn("ab", F.pmod(F.xxhash64("node"), "few")).withColumn("bb", spread("all"))
     two = members.filter("few > 0").withColumn("bb", F.pmod(F.xxhash64("node"), "all")).withColumn("ab", spread("few"))
     dealt = F.pmod(F.xxhash64("key", "ab", "bb"), F.lit(max(1, groups))).alias("dealt")
     # named anew, since a cogroup takes no two sides with the same columns
     one, two = (df.select(dealt, *[(F.col(c).cast("long") if c in ("ab", "bb") else F.col(c)).alias(f"{x}_{c}") for c in kept]) for x, df in (("a", one), ("b", two)))
     two = two.withColumnRenamed("dealt", "b_dealt")
-    return one.groupBy("dealt").cogroup(two.groupBy("b_dealt")).applyInArrow(run, "key long, ab long, bb long, a long, b long")
+    return one.groupBy("dealt").cogroup(two.groupBy("b_dealt")).applyInArrow(run, ", ".join(f"{c} long" for c in made))
 
 
 def _words_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(node, seq)``: the word hashes of the texts that stand for ``nodes (node, k1, k2)``."""
+    """``(node, seq, bits)``: the word hashes of the texts that stand for ``nodes (node, k1, k2)``, and their packed bitmap."""
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(
-                    [words(t, hashes).tobytes() for t in part.column(1).to_pylist()], pa.binary())], ["node", "seq"])
+                seqs = [words(t, hashes) for t in part.column(1).to_pylist()]
+                bits = [zlib.compress(bitmap(seq).tobytes(), 1) for seq in seqs]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([seq.tobytes() for seq in seqs], pa.binary()), pa.array(bits, pa.binary())],
+                                                 ["node", "seq", "bits"])
 
     texts = docs.select(*row_key(), "text").join(nodes, ["k1", "k2"]).dropDuplicates(["node"])
-    return texts.select("node", "text").mapInArrow(run, "node long, seq binary")
+    return texts.select("node", "text").mapInArrow(run, "node long, seq binary, bits binary")
 
 
 def _most(longest: Column) -> Column:
@@ -433,8 +451,8 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = written(sketches(docs), "sketches")
     nodes = rows.filter("n > 0").groupBy("h1", "h2").agg(
         F.min(F.struct("k1", "k2")).alias("one"), F.min("doc_id").alias("low"), F.first("n").alias("n"),
-        F.first("keys").alias("keys"), F.first("bits").alias("bits"))
-    nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "one.k1", "one.k2", "low", "n", "keys", "bits"), "nodes")
+        F.first("keys").alias("keys"))
+    nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "one.k1", "one.k2", "low", "n", "keys"), "nodes")
 
     drawn = nodes.select("node", "n", F.explode(F.array_distinct("keys")).alias("key"))
     # written, so that the join below stands alone and a bucket of very many texts can be split
@@ -459,13 +477,12 @@ def classes(docs: DataFrame) -> DataFrame:
     placed, largest = _by_class(buckets, comps, STAR_ROUNDS)
     mixed = placed.join(largest.select("key", "main"), "key")
     mixed = written(mixed.select("key", "node", "n", "comp", (F.col("comp") != F.col("main")).alias("minor")), "mixed")
-    held = mixed.groupBy("node").agg(F.collect_list("key").alias("keys")).join(nodes.select("node", "bits"), "node")
-    size = lambda cond, words, many: F.ceil(F.greatest(F.sum(F.when(cond, F.col("n"))) / words, F.count_if(cond) / many))
-    blocks = mixed.groupBy("key").agg(size(F.lit(True), BLOCK_ALL, TEXTS_ALL).alias("all"), size(F.col("minor"), BLOCK_MINOR, TEXTS_MINOR).alias("few"))
-    members = mixed.join(held, "node").join(blocks, "key")
+    held = mixed.groupBy("node").agg(F.collect_list("key").alias("keys")).join(texts.select("node", "bits"), "node")
+    blocks = mixed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TEXTS_ALL).alias("all"), F.ceil(F.count_if("minor") / TEXTS_MINOR).alias("few"))
+    members = mixed.join(blocks, "key").join(held, "node")  # the narrow join first, so that bitmaps are dealt out once
     rest = _close_in_blocks(members, -(-mixed.count() // ROWS_DEALT))
-    rest = rest.select("key", "ab", "bb", "a", "b", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
-    rest = written(rest.join(tried.select(F.col("a").alias("lo"), F.col("b").alias("hi")), ["lo", "hi"], "left_anti").select("key", "ab", "bb", "a", "b"), "rest")
+    rest = rest.select("*", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+    rest = written(rest.join(tried.select(F.col("a").alias("lo"), F.col("b").alias("hi")), ["lo", "hi"], "left_anti").drop("lo", "hi"), "rest")
     comps = _merged(comps, written(_verified_in_blocks(rest, texts), "links"))
     classed = _placed(nodes.select("node", "h1", "h2", "low"), comps, "node", "comp")
     lowest = classed.groupBy("comp").agg(F.min("low").alias("class_id"))

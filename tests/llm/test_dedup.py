@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -255,3 +256,59 @@ def test_a_family_of_copies_aligns_about_one_pair_a_text(spark, monkeypatch):
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["class_id"] for r in got} == {0}
     assert sum(tried) <= 60 * 1.5
+
+
+def bucket_of_unlike_texts(count, length, seed):
+    """Texts of one passage each that share buckets, and copies of some of them with two words changed."""
+    rng = random.Random(seed)
+    passage, rows = [f"p{i}" for i in range(length // 3)], []
+    for i in range(count):
+        rows.append((2 * i, " ".join(passage + [f"w{rng.randrange(10**9)}" for _ in range(length - length // 3)])))
+        if i % 4 == 0:
+            copy = rows[-1][1].split()
+            copy[-1] = copy[-9] = f"y{i}"
+            rows.append((2 * i + 1, " ".join(copy)))
+    return rows
+
+
+def test_a_bucket_of_many_words_is_not_copied_block_by_block(spark, monkeypatch):
+    rows, seen, real = bucket_of_unlike_texts(40, 6000, 2), [], minhash._close_in_blocks
+    monkeypatch.setattr(minhash, "_close_in_blocks", lambda members, groups: (seen.append(members), real(members, groups))[1])
+    got = {i: c for i, c in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+    blocks = seen[0].groupBy("key").agg({"few": "max", "all": "max", "node": "count"}).collect()
+    assert max(b["count(node)"] for b in blocks) >= 30
+    assert all(b["max(few)"] <= 1 and b["max(all)"] == 1 for b in blocks)  # a text is sent once a bucket
+
+
+@pytest.mark.parametrize("minor, every, part", [(2_000, 8_000, 500_000), (7, 11, 100), (1, 2, 1)])
+def test_pairs_of_blocks_are_taken_once_whatever_their_size(spark, monkeypatch, minor, every, part):
+    rng = random.Random(6)
+    base = [[rng.getrandbits(62) for _ in range(rng.randint(20, 40))] for _ in range(3)]
+    texts, keys = [], (-5, 3, 2**62)
+    for i in range(36):
+        seq = list(rng.choice(base))
+        for _ in range(rng.randint(0, 8)):
+            seq[rng.randrange(len(seq))] = rng.getrandbits(62)
+        texts.append((i, np.array(seq, np.uint64), rng.randrange(12), rng.sample(keys, rng.randint(1, 3))))
+    rows = []
+    for key in keys:
+        held = [t for t in texts if key in t[3]]
+        main = Counter(t[2] for t in held).most_common(1)[0][0]
+        few, every_block = -(-sum(t[2] != main for t in held) // minor), -(-len(held) // every)
+        rows += [(key, i, len(seq), comp, comp != main, of, bytearray(zlib.compress(minhash.bitmap(seq).tobytes())), few, every_block) for i, seq, comp, of in held]
+    monkeypatch.setattr(minhash, "PAIR_WORDS", part)
+    members = spark.createDataFrame(rows, "key long, node long, n int, comp long, minor boolean, keys array<long>, bits binary, few long, all long")
+    got = minhash._close_in_blocks(members, 3).collect()
+    want = set()
+    for i, x, cx, kx in texts:
+        for j, y, cy, ky in texts[:i]:
+            sides = [(np.array([len(s)], np.int32), np.array([c]), minhash.bitmap(s)[None, :]) for s, c in ((x, cx), (y, cy))]
+            if set(kx) & set(ky) and len(minhash.close(*sides[0], *sides[1])[0]):
+                want.add((j, i, min(set(kx) & set(ky))))
+    assert len(want) > 20
+    assert sorted((min(r["a"], r["b"]), max(r["a"], r["b"]), r["key"]) for r in got) == sorted(want)
+    # a text outside the largest class is in one part of its block; parts stay near their words
+    assert len({(r["key"], r["ab"], r["bb"], r["part"], r["a"]) for r in got}) == len({(r["key"], r["ab"], r["bb"], r["a"]) for r in got})
+    if part == 1:
+        assert len({(r["key"], r["ab"], r["bb"], r["part"]) for r in got}) == len({(r["key"], r["ab"], r["bb"], r["a"]) for r in got})
